@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import tokens, urls
+from . import decontaminate, quality, tokens, urls
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +20,16 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.filter_urls(table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.find_contamination(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    items = F.sha2(F.array_join("items", ","), 256)
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), items.alias("items_sha256"), "contaminated")
+
+
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge_quality(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("kept_chars")
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -27,15 +38,17 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_url_filter": op1_url_filter,
+    "op6_decontamination": op6_decontamination,
+    "op7_quality_rules": op7_quality_rules,
     "op10_token_counts": op10_token_counts,
 }
 
 ORACLE: dict[str, str] = {
     "op1_url_filter": r"""
 WITH cut AS (
-  SELECT page_id, strpos(coalesce(url, ''), '://') AS at, coalesce(url, '') AS url FROM pages),
+  SELECT page_id, strpos(coalesce(url, ''), '://') AS cut_at, coalesce(url, '') AS url FROM pages),
 parts AS (
-  SELECT page_id, CASE WHEN at = 0 THEN '' ELSE substr(url, at + 3) END AS rest FROM cut),
+  SELECT page_id, CASE WHEN cut_at = 0 THEN '' ELSE substr(url, cut_at + 3) END AS rest FROM cut),
 split AS (
   SELECT page_id,
     translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
@@ -52,5 +65,57 @@ judged AS (
 SELECT page_id, host, path, rule,
   CASE WHEN rule IN ('example.com/en/', 'net/es/', 'net/fr/') THEN 'block' ELSE 'allow' END AS verdict
 FROM judged
+""",
+    "op6_decontamination": r"""
+WITH dw AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+bw AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+bs AS (
+  SELECT item_id, w, least(13, len(w)) AS size, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS i FROM bw WHERE len(w) > 0),
+win AS (
+  SELECT DISTINCT item_id, size, array_to_string(w[i:i + size - 1], ' ') AS s FROM bs),
+sizes AS (SELECT DISTINCT size FROM win),
+pos AS (
+  SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM dw CROSS JOIN sizes WHERE len(w) >= size),
+cand AS (SELECT doc_id, size, i, array_to_string(w[i:i + size - 1], ' ') AS s FROM pos),
+hits AS (SELECT c.doc_id, c.size, c.i, win.item_id FROM cand c JOIN win ON c.s = win.s),
+words AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + size)) AS p FROM hits) GROUP BY doc_id),
+items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(s, ',' ORDER BY s) AS ids FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS s FROM hits) GROUP BY doc_id)
+SELECT dw.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM dw LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
+""",
+    "op7_quality_rules": rf"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+w AS (SELECT doc_id, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w FROM t),
+words AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM w),
+tri AS (SELECT doc_id, i, word || ' ' || lead(word) OVER o || ' ' || lead(word, 2) OVER o AS s FROM words WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+twice AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, s) AS c FROM tri WHERE s IS NOT NULL) WHERE c > 1),
+rep AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM twice) GROUP BY doc_id),
+lines AS (
+  SELECT doc_id, line FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM t) WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+different AS (SELECT DISTINCT doc_id, line FROM lines),
+dup AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM lines GROUP BY doc_id),
+measured AS (
+  SELECT *, regexp_extract_all(line, '[^\x20\x09-\x0D]+') AS lw, length(regexp_replace(line, '[\x20\x09-\x0D]+', '', 'g')) AS chars,
+    length(regexp_replace(line, '\P{{L}}+', '', 'g')) AS letters, length(regexp_replace(line, '\P{{Lu}}+', '', 'g')) AS upper_letters,
+    length(line) - length(translate(line, '#*$%&|<>', '')) AS symbols, len(regexp_extract_all(line, '{quality.SEPARATORS}')) AS marks
+  FROM different),
+good AS (
+  SELECT doc_id, sum(chars) AS chars FROM measured WHERE NOT (
+    (marks >= 3 AND 5 * marks >= len(lw)) OR regexp_matches(line, '{quality.MENU}') OR (len(lw) <= {quality.NOTICE_WORDS} AND regexp_matches(line, '{quality.NOTICE}'))
+    OR 10 * symbols > chars OR (letters >= 10 AND 10 * upper_letters > 7 * letters) OR (len(lw) >= 10 AND 10 * len(list_distinct(lw)) < 3 * len(lw))
+    OR (len(lw) >= 8 AND NOT regexp_matches(line, '[.!?…:;。！？]')))
+  GROUP BY doc_id),
+base AS (
+  SELECT t.doc_id, CAST(len(w.w) AS BIGINT) AS n_words, CAST(length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g')) AS BIGINT) AS word_chars,
+    CAST(length(text) - length(translate(text, '#*$%&|<>', '')) AS BIGINT) AS n_symbols, CAST(coalesce(dup.n, 0) AS BIGINT) AS n_dup_lines,
+    CAST(coalesce(rep.n, 0) AS BIGINT) AS n_repeat_words, coalesce(good.chars, 0) AS good_chars
+  FROM t JOIN w USING (doc_id) LEFT JOIN dup USING (doc_id) LEFT JOIN rep USING (doc_id) LEFT JOIN good USING (doc_id))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+  NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND 100 * good_chars >= 50 * word_chars AS kept
+FROM base
 """,
 }
