@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, quality, tokens, urls
+from . import decontaminate, language, mixing, quality, tokens, urls
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,17 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge_quality(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("kept_chars")
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+    model = language.train(docs, ~held_out)
+    return language.predict(docs.select("doc_id", "text", held_out.alias("held_out")), model).select("doc_id", "held_out", "lang_pred", "score")
+
+
+def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source")).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -40,6 +51,8 @@ QUERIES: dict[str, Query] = {
     "op1_url_filter": op1_url_filter,
     "op6_decontamination": op6_decontamination,
     "op7_quality_rules": op7_quality_rules,
+    "op8_language_id": op8_language_id,
+    "op9_source_mixing": op9_source_mixing,
     "op10_token_counts": op10_token_counts,
 }
 
