@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language, mixing, quality, tokens, urls
+from . import decontaminate, language, mixing, quality, tokens, toxicity, urls
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,17 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.filter_urls(table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+def toxicity_fold(key: str = "doc_id") -> Column:
+    """The rows whose labels may be learned."""
+    return F.crc32(F.col(key).cast("string")) % 5 != 0
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), toxicity_fold())
+    return toxicity.score_toxicity(docs, model).select("doc_id", (~toxicity_fold()).alias("held_out"), "score", "predicted")
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_contamination(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
     items = F.sha2(F.array_join("items", ","), 256)
@@ -49,6 +60,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_url_filter": op1_url_filter,
+    "op5_toxicity": op5_toxicity,
     "op6_decontamination": op6_decontamination,
     "op7_quality_rules": op7_quality_rules,
     "op8_language_id": op8_language_id,
