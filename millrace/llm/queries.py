@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language, mixing, quality, tokens, toxicity, urls
+from . import decontaminate, html_extract, language, mixing, quality, tokens, toxicity, urls
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,10 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.filter_urls(table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract_main_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 def toxicity_fold(key: str = "doc_id") -> Column:
     """The rows whose labels may be learned."""
     return F.crc32(F.col(key).cast("string")) % 5 != 0
@@ -60,6 +64,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_url_filter": op1_url_filter,
+    "op3_html_extraction": op3_html_extraction,
     "op5_toxicity": op5_toxicity,
     "op6_decontamination": op6_decontamination,
     "op7_quality_rules": op7_quality_rules,
