@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, html_extract, language, mixing, quality, tokens, toxicity, urls
+from . import decontaminate, html_extract, language, mixing, quality, suffix_dedup, tokens, toxicity, urls
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,11 @@ def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract_main_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.find_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+
+
 def toxicity_fold(key: str = "doc_id") -> Column:
     """The rows whose labels may be learned."""
     return F.crc32(F.col(key).cast("string")) % 5 != 0
@@ -65,6 +70,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_url_filter": op1_url_filter,
     "op3_html_extraction": op3_html_extraction,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_toxicity": op5_toxicity,
     "op6_decontamination": op6_decontamination,
     "op7_quality_rules": op7_quality_rules,
