@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, html_extract, language, mixing, quality, suffix_dedup, tokens, toxicity, urls
+from . import decontaminate, html_extract, jaccard, language, mixing, quality, suffix_dedup, tokens, toxicity, urls
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,10 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.filter_urls(table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join_similar(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract_main_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
 
@@ -69,6 +73,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_url_filter": op1_url_filter,
+    "op2_jaccard_join": op2_jaccard_join,
     "op3_html_extraction": op3_html_extraction,
     "op4_suffix_dedup": op4_suffix_dedup,
     "op5_toxicity": op5_toxicity,

@@ -24,22 +24,20 @@ don't remove each other's bytes. Other columns are ignored. An empty table gives
 from __future__ import annotations
 
 import hashlib
-import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-import zstandard
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import small_batches, written
+from .packs import by_shard, compress, expand, from_six, packed, six, unpack
 
 LENGTH = 50
-#: Bytes of text packed in a row, and bytes handled at a time (positions must fit in 24 bits).
-PACK, PIECE = 2 << 20, 4 << 20
+#: Bytes handled at a time (positions must fit in 24 bits).
+PIECE = 4 << 20
 #: Bytes of text for each shard, about, and the bounds of their number.
 SHARD_BYTES, MIN_SHARDS, MAX_SHARDS = 8 << 20, 24, 20_000
 _LAST = np.iinfo(np.int64).max
@@ -215,19 +213,6 @@ class SuffixFamily:
         return out
 
 
-def _pack(keys: list[int], texts: list[bytes]) -> bytes:
-    head = np.array([len(keys), *keys, *map(len, texts)], dtype=np.int64).tobytes()
-    return zstandard.ZstdCompressor(level=1).compress(head + b"".join(texts))
-
-
-def _unpack(pack: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Keys, sizes, bytes."""
-    raw = zstandard.ZstdDecompressor().decompress(pack)
-    n = int(np.frombuffer(raw, np.int64, 1)[0])
-    head = np.frombuffer(raw, np.int64, 1 + 2 * n)
-    return head[1 : n + 1], head[n + 1 :], np.frombuffer(raw, np.uint8, offset=8 * (1 + 2 * n))
-
-
 def _pieces(sizes: np.ndarray, length: int) -> Iterator[tuple[int, int, int, int]]:
     """Spans of documents (first, one beyond the last) of about PIECE bytes; a longer document is cut, so that every string lies in one piece. Then the start and end in bytes."""
     ends = np.cumsum(sizes)
@@ -246,7 +231,7 @@ def _pieces(sizes: np.ndarray, length: int) -> Iterator[tuple[int, int, int, int
 
 def _found(pack: bytes, shape: Shape) -> Iterator[tuple[np.ndarray, np.ndarray, Anchors, int]]:
     """Of each piece of a pack: its bytes, the number in the pack of each run's document, the runs, and where it starts."""
-    _keys, sizes, text = _unpack(pack)
+    _keys, sizes, text = unpack(pack)
     starts = np.cumsum(sizes) - sizes
     for i, j, start, end in _pieces(sizes, shape.length):
         own = sizes[i:j] if j > i + 1 else np.array([end - start])
@@ -255,35 +240,6 @@ def _found(pack: bytes, shape: Shape) -> Iterator[tuple[np.ndarray, np.ndarray,
         yield piece, np.searchsorted(starts[i:j], a.first + start, side="right") - 1 + i, a, start
 
 
-def _compress(x: np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor(level=3).compress(np.ascontiguousarray(x).tobytes())
-
-
-def _expand(x: bytes, dtype) -> np.ndarray:
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(x), dtype=dtype)
-
-
-def _six(h: np.ndarray) -> bytes:
-    """48-bit numbers in six bytes each."""
-    return np.ascontiguousarray(h.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
-
-
-def _from_six(x: bytes) -> np.ndarray:
-    out = np.zeros((len(x) // 6, 8), dtype=np.uint8)
-    out[:, :6] = np.frombuffer(x, np.uint8).reshape(-1, 6)
-    return out.view("<u8").ravel()
-
-
-def _by_shard(h: np.ndarray, shards: int) -> Iterator[tuple[int, np.ndarray]]:
-    """Places of h by shard, in the order of h."""
-    shard = (h % np.uint64(shards)).astype(np.int64)
-    order = np.argsort(shard, kind="stable")
-    cut = np.searchsorted(shard[order], np.arange(shards + 1))
-    for s in range(shards):
-        if cut[s + 1] > cut[s]:
-            yield s, order[cut[s] : cut[s + 1]]
-
-
 class _Part:
     """What a part of the corpus sends, computed anew in every step."""
 
@@ -292,7 +248,7 @@ class _Part:
         self.packs = list(packs.sort_values("seq")["pack"])
         hashes, keys = [], []
         for pack in self.packs:
-            own = _unpack(pack)[0]
+            own = unpack(pack)[0]
             for _, doc, a, _ in _found(pack, shape):
                 # of a document, each hash once
                 h, k = a.hash, own[doc]
@@ -310,19 +266,19 @@ class _Part:
 
     def sent(self, shards: int) -> Iterator[tuple[int, bytes, bytes]]:
         """Of each shard: hashes that one document has, and a bit for each that is in several here."""
-        for s, at in _by_shard(self.hashes, shards):
-            yield s, _six(self.hashes[at]), np.packbits(self.several[at]).tobytes()
+        for s, at in by_shard(self.hashes, shards):
+            yield s, six(self.hashes[at]), np.packbits(self.several[at]).tobytes()
 
     def shared(self, bits: pd.DataFrame, shards: int) -> np.ndarray:
         """Hashes that two documents have, sorted."""
         answer = dict(zip(bits["shard"], bits["bits"], strict=True))
-        out = [self.hashes[at[np.unpackbits(np.frombuffer(answer[s], np.uint8), count=len(at)).astype(bool)]] for s, at in _by_shard(self.hashes, shards) if s in answer]
+        out = [self.hashes[at[np.unpackbits(np.frombuffer(answer[s], np.uint8), count=len(at)).astype(bool)]] for s, at in by_shard(self.hashes, shards) if s in answer]
         return np.sort(np.concatenate(out)) if out else np.zeros(0, dtype=np.uint64)
 
     def runs(self, shared: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray, Anchors]]:
         """By piece: the pack's number, rows, keys and hashes of the runs at shared anchors, where their piece starts, the runs."""
         for number, pack in enumerate(self.packs):
-            own = _unpack(pack)[0]
+            own = unpack(pack)[0]
             for piece, doc, a, start in _found(pack, self.shape):
                 if not len(shared):
                     continue
@@ -357,26 +313,8 @@ def find_repeats(docs: DataFrame, length: int = LENGTH, text: str = "text", key:
         raise ValueError("length must be 8 to 75 bytes")
     small_batches(spark)
 
-    def pack(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        part, seq, keys, texts, size = TaskContext.get().partitionId(), 0, [], [], 0
-        for rows in parts:
-            for k, t in zip(rows["key"], rows["text"], strict=True):
-                keys.append(k)
-                texts.append(bytes(t))
-                size += len(t)
-                if size >= PACK:
-                    yield pd.DataFrame({"part": [part], "seq": [seq], "size": [size], "pack": [_pack(keys, texts)]})
-                    seq, keys, texts, size = seq + 1, [], [], 0
-        if keys:
-            yield pd.DataFrame({"part": [part], "seq": [seq], "size": [size], "pack": [_pack(keys, texts)]})
-
     rows = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(int(_LAST))).alias("key"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text"))
-    packed = rows.mapInPandas(pack, "part int, seq int, size long, pack binary")
-    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(20_000, packed.rdd.getNumPartitions()))
-    name = f"millrace_packs_{uuid.uuid4().hex}"
-    packed.write.format("parquet").option("compression", "uncompressed").bucketBy(buckets, "part").saveAsTable(name)
-    try:
-        packs = spark.table(name)
+    with packed(rows) as (packs, buckets):
         total = packs.agg(F.sum("size")).first()[0] or 0
         shards = int(min(MAX_SHARDS, max(MIN_SHARDS, total // SHARD_BYTES)))
 
@@ -386,7 +324,7 @@ def find_repeats(docs: DataFrame, length: int = LENGTH, text: str = "text", key:
 
         def answer_hashes(sent: pd.DataFrame) -> pd.DataFrame:
             sent = sent.sort_values("part")
-            lists = [_from_six(x) for x in sent["hashes"]]
+            lists = [from_six(x) for x in sent["hashes"]]
             every, count = np.unique(np.concatenate(lists), return_counts=True)
             out = []
             for part, own, several in zip(sent["part"], lists, sent["several"], strict=True):
@@ -395,38 +333,38 @@ def find_repeats(docs: DataFrame, length: int = LENGTH, text: str = "text", key:
                     out.append((int(part), int(sent["shard"].iloc[0]), np.packbits(bits).tobytes()))
             return pd.DataFrame(out, columns=["part", "shard", "bits"])
 
-        hashes = packs.groupBy("part").applyInPandas(send_hashes, "shard int, part int, hashes binary, several binary")
-        bits = written(hashes.groupBy("shard").applyInPandas(answer_hashes, "part int, shard int, bits binary"), "shared")
+        hashes = packs.groupBy("part").applyInPandas(send_hashes, "shard int, part long, hashes binary, several binary")
+        bits = written(hashes.groupBy("shard").applyInPandas(answer_hashes, "part long, shard int, bits binary"), "shared")
 
         def send_suffixes(own: pd.DataFrame, answer: pd.DataFrame) -> pd.DataFrame:
             out = []
             if len(own) and len(answer):
                 p = _Part(own, shape)
                 level, h = p.unique(p.shared(answer, shards))
-                for s, at in _by_shard(h, shards):
-                    out.append((s, int(own["part"].iloc[0]), _compress(level.rows[at]), level.keys[at].tobytes()))
+                for s, at in by_shard(h, shards):
+                    out.append((s, int(own["part"].iloc[0]), compress(level.rows[at]), level.keys[at].tobytes()))
             return pd.DataFrame(out, columns=["shard", "part", "rows", "keys"])
 
         def answer_suffixes(sent: pd.DataFrame) -> pd.DataFrame:
             sent = sent.sort_values("part")
             family = SuffixFamily(shape)
             for r, k in zip(sent["rows"], sent["keys"], strict=True):
-                family.add(Level(_expand(r, f"S{shape.row}"), np.frombuffer(k, np.int64)))
+                family.add(Level(expand(r, f"S{shape.row}"), np.frombuffer(k, np.int64)))
             bits, level, out = family.earlier(), family.settle(), []
             every = bits.dtype.type(~bits.dtype.type(0))
             for part, r, k in zip(sent["part"], sent["rows"], sent["keys"], strict=True):
-                at = np.searchsorted(level.rows, _expand(r, f"S{shape.row}"))
+                at = np.searchsorted(level.rows, expand(r, f"S{shape.row}"))
                 mine = np.where(level.keys[at] < np.frombuffer(k, np.int64), every, bits[at])
                 if mine.any():
-                    out.append((int(part), int(sent["shard"].iloc[0]), _compress(mine)))
+                    out.append((int(part), int(sent["shard"].iloc[0]), compress(mine)))
             return pd.DataFrame(out, columns=["part", "shard", "masks"])
 
         def by_part(df: DataFrame) -> DataFrame:
             return df.repartition(buckets, "part").groupBy("part")
 
         own = packs.groupBy("part")
-        sent = own.cogroup(by_part(bits)).applyInPandas(send_suffixes, "shard int, part int, rows binary, keys binary")
-        masks = written(sent.groupBy("shard").applyInPandas(answer_suffixes, "part int, shard int, masks binary"), "masks")
+        sent = own.cogroup(by_part(bits)).applyInPandas(send_suffixes, "shard int, part long, rows binary, keys binary")
+        masks = written(sent.groupBy("shard").applyInPandas(answer_suffixes, "part long, shard int, masks binary"), "masks")
         answers = bits.select("part", "shard", "bits", F.lit(None).cast("binary").alias("masks")).unionByName(masks.select("part", "shard", F.lit(None).cast("binary").alias("bits"), "masks"))
         kind = np.uint64 if shape.reach > 32 else np.uint32
 
@@ -439,9 +377,9 @@ def find_repeats(docs: DataFrame, length: int = LENGTH, text: str = "text", key:
                 shared = p.shared(answer[answer["bits"].notna()], shards)
                 level, h = p.unique(shared)
                 mask, given = np.zeros(len(level.rows), dtype=kind), dict(zip(answer["shard"][answer["masks"].notna()], answer["masks"][answer["masks"].notna()], strict=True))
-                for s, at in _by_shard(h, shards):
+                for s, at in by_shard(h, shards):
                     if s in given:
-                        mask[at] = _expand(given[s], kind)
+                        mask[at] = expand(given[s], kind)
                 for number, r, k, _, start, a in p.runs(shared):
                     at = np.searchsorted(level.rows, r)
                     whole = level.keys[at] < k
@@ -453,7 +391,7 @@ def find_repeats(docs: DataFrame, length: int = LENGTH, text: str = "text", key:
                     if whole.any():
                         matched.setdefault(number, []).append((a.first[whole] + start, a.last[whole] + start + shape.length))
             for number, pack in enumerate(p.packs if p else own.sort_values("seq")["pack"]):
-                keys, sizes, text = _unpack(pack)
+                keys, sizes, text = unpack(pack)
                 gone = np.zeros(len(text) + 1, dtype=np.int32)
                 for first, end in matched.get(number, ()):
                     np.add.at(gone, first, 1)
@@ -473,5 +411,3 @@ def find_repeats(docs: DataFrame, length: int = LENGTH, text: str = "text", key:
         spans = F.arrays_zip(F.col("_starts").alias("start"), F.col("_ends").alias("end")).alias("spans")
         more = ["kept_text"] * with_text
         return written(result.select(F.col("_key").alias(key), "n_bytes", "n_removed", spans, "kept_sha256", *more), "cut")
-    finally:
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
