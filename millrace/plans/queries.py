@@ -252,7 +252,7 @@ def flatten_page(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tree.flattened(nodes, nodes.where("pre = 0").select("page", F.col("pre").alias("root")), "root").select("page", "flat")
 
 
-@query("""SELECT page_id AS page, replace(replace(regexp_extract(html, '<h1>([^<]*)</h1>', 1), '&quot;', '"'), '&amp;', '&') AS shown FROM pages""")
+@query("""SELECT page_id AS page, trim(replace(replace(regexp_extract(html, '<h1>([^<]*)</h1>', 1), '&quot;', '"'), '&amp;', '&')) AS shown FROM pages""")
 def page_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first heading of each page with a short enough text."""
     nodes = page_nodes(spark, sf_dir).select("page", "pre", "tag", "text", "path")

@@ -47,7 +47,7 @@ def history(spark: SparkSession, folder: str, schema: str = POST) -> DataFrame:
     return spark.read.schema(schema).option("pathGlobFilter", "posts_*.jsonl").json(folder).withColumn("run", F.col("_metadata.file_name"))
 
 
-def missing_keys(rows: DataFrame, fields: list[str]) -> Column:
+def missing_keys(fields: list[str]) -> Column:
     """Whether a row of json_lines lacks a field."""
     return ~F.forall(F.array(*map(F.lit, fields)), lambda f: F.array_contains("keys", f))
 
