@@ -3,9 +3,10 @@
 A source of target T and size S takes each of its documents T/S times: the whole part for certain, the
 rest by balanced sampling. Inclusion probabilities start at that fraction and move along vectors that keep
 both the expected documents and the expected words of the sample, until one of three active documents is
-in or out; then the next takes its place. Documents are dealt to blocks of a bounded size by a hash, each
-block leaves at most two undecided, and the undecided meet in ever fewer blocks of their source. The last
-dozen of a source is landed by trying every choice and taking the one whose words come nearest to the balance.
+in or out; then the next takes its place. Documents are dealt to blocks of a bounded size by a hash; in a
+block those of like sizes (by powers of two) decide among themselves and leave at most two undecided, and the
+undecided meet in ever fewer blocks of their source. The last dozen of a source is landed by trying every
+choice and taking the one whose words come nearest to the balance.
 
 Null texts and texts without words have size 0 and are taken 0 words. Null sources are one source, the last.
 All randomness is a hash of the key, so reruns agree; documents of one key and source count as one each.
@@ -26,7 +27,9 @@ from .common import SPACE, unit_hash, written
 
 WEIGHTS = (5.0, 2.0, 1.0)
 #: Documents in a block of the flight, about, and the most that are landed together.
-BLOCK, LANDING = 4096, 12
+BLOCK, LANDING = 4096, 14
+#: Documents that a block may leave undecided, about: two of each size class.
+LEFT = 64
 #: Sources at most: their totals come to the driver, a row each.
 MAX_SOURCES = 100_000
 
@@ -85,11 +88,20 @@ def landing(p: np.ndarray, size: np.ndarray) -> np.ndarray:
 def _fly(last: bool):
     def fly(part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values(["draw", "key"], kind="stable").reset_index(drop=True)
-        size, p = part["size"].to_numpy(dtype=float), part["p"].to_numpy(dtype=float).copy()
-        end = max(0, len(p) - (LANDING - 2) * last)  # with those that the flight leaves, the rest is landed
-        p[:end] = flight(p[:end], size[:end], part["draw"].to_numpy(dtype=float)[:end].copy())
-        if last and len(left := np.flatnonzero((p > 0) & (p < 1))):
-            p[left] = landing(p[left], size[left])
+        size, p, draw = (part[c].to_numpy(dtype=float).copy() for c in ("size", "p", "draw"))
+        # documents of like sizes decide among themselves: one far longer than the others would hardly move
+        kind = np.floor(np.log2(np.maximum(size, 1)))
+        for k in np.unique(kind):
+            own = np.flatnonzero(kind == k)
+            p[own] = flight(p[own], size[own], draw[own].copy())
+        if last:
+            left = np.flatnonzero((p > 0) & (p < 1))
+            left = left[np.argsort(size[left], kind="stable")]
+            if len(small := left[: max(0, len(left) - LANDING + 2)]) > 2:
+                p[small] = flight(p[small], size[small], draw[small].copy())
+            left = np.flatnonzero((p > 0) & (p < 1))
+            if len(left):
+                p[left] = landing(p[left], size[left])
         return part.assign(p=p)
 
     return fly
@@ -123,10 +135,10 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, limit: float = 3.
         decided.append(out.where((F.col("p") == 0) | (F.col("p") == 1)).select("key", "source", (F.col("p") == 1).cast("int").alias("drawn")))
         if most == 1:
             break
-        # at most two of a block are left: BLOCK // 2 blocks meet in one
-        fewer = F.greatest(F.lit(1).cast("long"), F.ceil(F.col("blocks") / (BLOCK // 2)))
+        meet = max(2, BLOCK // LEFT)
+        fewer = F.greatest(F.lit(1).cast("long"), F.ceil(F.col("blocks") / meet))
         open_ = out.where((F.col("p") > 0) & (F.col("p") < 1)).withColumn("blocks", fewer.cast("long")).withColumn("block", F.pmod(F.xxhash64("key", F.lit(91)), F.col("blocks")))
-        most = -(-most // (BLOCK // 2))
+        most = -(-most // meet)
     drawn = decided[0] if decided else rows.limit(0).select("key", "source", F.lit(0).alias("drawn"))
     for more in decided[1:]:
         drawn = drawn.unionByName(more)
