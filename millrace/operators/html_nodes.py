@@ -16,6 +16,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.workers import ship
+
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: An opening tag closes an open element of these names, unless one of the others lies between.
 CLOSES = {
@@ -89,6 +91,7 @@ def nodes_of(page: str | None) -> list[list]:
 def html_nodes(pages: DataFrame, html: str = "html", key: str = "page_id") -> DataFrame:
     """key and the node columns: a row for each node of each page. Select and filter pages before; nothing is pushed below this."""
     kind = dict(pages.select(F.col(key)).dtypes)[key]
+    ship(pages.sparkSession)
 
     def explode(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
