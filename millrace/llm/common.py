@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.workers import ship
+
 #: The white space of the contracts: space, and tab to carriage return.
 SPACE = r"\x20\x09-\x0D"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -21,7 +23,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Bounds what a Python worker holds at a time."""
+    """Bounds what a Python worker holds at a time, and lets workers import this package."""
+    ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 

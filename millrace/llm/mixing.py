@@ -16,14 +16,13 @@ An empty table gives an empty result.
 from __future__ import annotations
 
 import itertools
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, unit_hash, written
+from .common import SPACE, small_batches, unit_hash, written
 
 WEIGHTS = (5.0, 2.0, 1.0)
 #: Documents in a block of the flight, about, and the most that are landed together.
@@ -114,6 +113,7 @@ def sizes_of(docs: DataFrame, text: str = "text") -> DataFrame:
 def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, limit: float = 3.0, text: str = "text", source: str = "source", key: str = "doc_id") -> DataFrame:
     """key, size, source_size, target, copies, taken: a row for each of docs."""
     spark = docs.sparkSession
+    small_batches(spark)
     rows = sizes_of(docs.select(F.col(key).alias("key"), F.col(source).alias("source"), F.col(text).alias("_text")), "_text").drop("_text")
     rows = written(rows, "sizes")  # the texts are read once
     found = rows.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("n")).limit(MAX_SOURCES + 1).collect()
