@@ -16,6 +16,9 @@ from ..functions import ages, rules
 from ..functions import textops as X
 from ..operators import dedup, quality, tree
 from ..operators.html_nodes import html_nodes
+from ..sources import files
+from ..sources.shared import new_folder
+from ..streaming.ingest import ingest
 from . import envelope as E
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -345,3 +348,22 @@ def outbox(spark: SparkSession, sf_dir: str) -> DataFrame:
     posts = enveloped(spark, sf_dir)
     sent = posts.where(E.best(F.col("scoring"), "toxic") == 1).select("id")
     return E.outbox(posts, sent, "quality", 1.0).select("doc_id")
+
+
+@query("SELECT conv_id, turn, role, text FROM conversations")
+def staging_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns written as JSON lines and read again, strictly."""
+    path = new_folder(spark, "staging")
+    files.write_lines(read(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"), path)
+    return files.json_lines(spark, path, "conv_id bigint, turn bigint, role string, text string").select("conv_id", "turn", "role", "text")
+
+
+@query(rf"WITH {KEYED} SELECT min(doc_id) AS doc_id, body_key FROM k GROUP BY body_key")
+def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents read as a stream of files into an empty history, twice: the second run adds nothing."""
+    schema = read(spark, sf_dir, "documents").schema
+    table, checkpoint = new_folder(spark, "history"), new_folder(spark, "checkpoint")
+    for _ in range(2):
+        stream = spark.readStream.schema(schema).parquet(f"{sf_dir}/documents.parquet*")
+        ingest(stream, table, checkpoint, ["body_key"], ["doc_id"], lambda df: df.select("doc_id", dedup.letters_key(F.col("text")).alias("body_key")))
+    return spark.read.parquet(table).select("doc_id", "body_key")
