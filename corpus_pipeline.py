@@ -29,8 +29,8 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Bytes that a 50-byte string of an earlier document covers are cut; documents of which nothing but white space is left go, if something was cut."""
-    cut = suffix_dedup.find_repeats(docs.select("doc_id", "text"), with_text=True).where("n_removed > 0").select(F.col("doc_id").alias("_id"), "kept_text")
+    """Bytes that a 50-byte string of an earlier document covers are cut; documents of which nothing but white space is left go, if something was cut. doc_ids are unique by now."""
+    cut = suffix_dedup.find_repeats(docs.select("doc_id", "text"), with_text=True).where("n_removed > 0").select(F.col("doc_id").alias("_id"), "kept_text").dropDuplicates(["_id"])
     out = docs.join(cut, docs["doc_id"].eqNullSafe(cut["_id"]), "left").where(F.col("_id").isNull() | F.col("kept_text").rlike(r"[^\x20\x09-\x0D]"))
     changed = F.col("kept_text").isNotNull()
     return out.select(

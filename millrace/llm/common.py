@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.shared import new_folder
 from ..sources.workers import ship
 
 #: The white space of the contracts: space, and tab to carriage return.
@@ -29,20 +27,10 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that the cluster names in spark.checkpoint.dir; a local one only where none is set, as in tests."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if root:
-        return root
-    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="millrace-"))
-    return spark.sparkContext._jsc.sc().getCheckpointDir().get()
-
-
 def written(df: DataFrame, name: str) -> DataFrame:
     """df as a Parquet table in the shared folder, reread: a cut of the lineage that outlives executors."""
     spark = df.sparkSession
-    path = f"{shared_folder(spark).rstrip('/')}/millrace/{uuid.uuid4().hex}/{name}"
+    path = new_folder(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
