@@ -88,7 +88,7 @@ def packed(rows: DataFrame, more: Callable[[list[int], list[bytes]], bytes] | No
             yield row()
 
     table = rows.mapInPandas(packs, "part long, seq int, size long, pack binary, more binary")
-    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(20_000, rows.rdd.getNumPartitions()))
+    buckets = min(100_000, int(spark.conf.get("spark.sql.shuffle.partitions")))  # that many is the limit of a bucketed table
     name = f"millrace_packs_{uuid.uuid4().hex}"
     table.write.format("parquet").option("compression", "uncompressed").bucketBy(buckets, "part").saveAsTable(name)
     try:
