@@ -17,7 +17,7 @@ from ..functions import textops as X
 from ..operators import dedup, quality, tree
 from ..operators.html_nodes import html_nodes
 from ..sources import files
-from ..sources.shared import new_folder
+from ..sources.shared import materialised, new_folder
 from ..streaming.ingest import ingest
 from . import envelope as E
 
@@ -225,8 +225,10 @@ def url_without_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "pages", "page_id", "url").select("page_id", X.without_query(F.col("url")).alias("url"))
 
 
-def page_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return html_nodes(read(spark, sf_dir, "pages", "page_id", "html"))
+def page_nodes(spark: SparkSession, sf_dir: str, again: bool = False) -> DataFrame:
+    """The node table; again: it is read more than once."""
+    nodes = html_nodes(read(spark, sf_dir, "pages", "page_id", "html"))
+    return materialised(nodes, "nodes") if again else nodes
 
 
 @query("""SELECT page_id AS page, unnest(regexp_extract_all(html, '<a href="([^"]*)"', 1)) AS href FROM pages""")
@@ -242,7 +244,7 @@ def link_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""SELECT page_id AS page, len(regexp_extract_all(html, '<a href=')) AS markers, len(regexp_extract_all(html, '<li><a href=')) AS containers, 'li' AS tag FROM pages WHERE contains(html, '<a href=')""")
 def link_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Containers of links: the highest element that holds one link only is its list item."""
-    nodes = page_nodes(spark, sf_dir).select("page", "pre", "tag", "attrs", "path")
+    nodes = page_nodes(spark, sf_dir, again=True).select("page", "pre", "tag", "attrs", "path")
     tops = tree.containers(tree.with_prefix(nodes, "a", "href", ""))
     tags = tops.join(nodes.select("page", F.col("pre").alias("container"), "tag"), ["page", "container"])
     return tags.groupBy("page", "tag").agg(F.count("*").cast("long").alias("markers"), F.count_distinct("container").alias("containers"))
@@ -251,14 +253,14 @@ def link_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def flatten_page(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All text of each page."""
-    nodes = page_nodes(spark, sf_dir).select("page", "pre", "tag", "text", "path")
+    nodes = page_nodes(spark, sf_dir, again=True).select("page", "pre", "tag", "text", "path")
     return tree.flattened(nodes, nodes.where("pre = 0").select("page", F.col("pre").alias("root")), "root").select("page", "flat")
 
 
 @query("""SELECT page_id AS page, trim(replace(replace(regexp_extract(html, '<h1>([^<]*)</h1>', 1), '&quot;', '"'), '&amp;', '&')) AS shown FROM pages""")
 def page_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first heading of each page with a short enough text."""
-    nodes = page_nodes(spark, sf_dir).select("page", "pre", "tag", "text", "path")
+    nodes = page_nodes(spark, sf_dir, again=True).select("page", "pre", "tag", "text", "path")
     return tree.first_shown(nodes, nodes.where("pre = 0").select("page", F.col("pre").alias("root")), "root", ("h1", "h2"), F.length("flat") <= 400).select("page", "shown")
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -22,3 +22,10 @@ def shared_folder(spark: SparkSession) -> str:
 def new_folder(spark: SparkSession, name: str) -> str:
     """A path in it that nobody else has."""
     return f"{shared_folder(spark)}/millrace/{uuid.uuid4().hex}/{name}"
+
+
+def materialised(df: DataFrame, name: str) -> DataFrame:
+    """df as a Parquet table in the shared folder, reread: computed once however often it is used, and safe from lost executors."""
+    path = new_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
