@@ -36,8 +36,8 @@ from .packs import by_shard, compress, expand, from_six, packed, six, unpack
 PERCENT, WORDS = 80, 5
 #: The largest boundary that is tried: sets below it may be enumerated.
 MAX_SMALL = 13
-#: Rows of a list, and of a family, that one task compares at most; larger ones are cut into blocks.
-LIMIT = 2048
+#: Rows of a list, and of a family, that are compared in one go; larger lists name a family at once, larger families are cut into blocks.
+LIMIT, FAMILY = 2048, 256
 #: Bits of the parity bitmap, 64 to a word.
 PARITY = 512
 _SHARD_BYTES, _MIN_SHARDS, _MAX_SHARDS = 8 << 20, 24, 20_000
@@ -169,10 +169,13 @@ class _Family:
             near = np.flatnonzero(differ * (100 + self.percent) <= (100 - self.percent) * (n + self.sizes[low:i])) + low
             if self.side is not None:
                 near = near[self.side[near] != self.side[i]]
-            for j in near:
-                if label[j] != label[i] and self.linked(i, j):
+            near = near[label[near] != label[i]]
+            while len(near):
+                j, near = near[0], near[1:]
+                if self.linked(i, j):
                     yield int(self.nodes[i]), int(self.nodes[j])
                     label[label == label[i]] = label[j]
+                    near = near[label[near] != label[i]]
 
 
 def _runs(parts: Iterator[pd.DataFrame], by: list[str]) -> Iterator[pd.DataFrame]:
@@ -295,7 +298,7 @@ def _compare_families(sets: DataFrame, percent: int, limit: int) -> DataFrame:
     return edges.unionByName(near.select("a", "b")).unionByName(rest)
 
 
-def join_similar(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, text: str = "text", key: str = "doc_id", limit: int = LIMIT) -> DataFrame:
+def join_similar(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, text: str = "text", key: str = "doc_id", limit: int = LIMIT, family: int = FAMILY) -> DataFrame:
     """key, n_shingles, component_id (the least key that is reachable by links, the row's own included): a row for each of docs."""
     spark = docs.sparkSession
     small_batches(spark)
@@ -339,7 +342,7 @@ def join_similar(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, te
             return pd.DataFrame(out, columns=["part", "shard", "levels"])
 
         sent = packs.groupBy("part").applyInPandas(send, "shard int, part long, hashes binary, counts binary")
-        levels = sent.groupBy("shard").applyInPandas(answer, "part long, shard int, levels binary")
+        levels = sent.repartition(shards, "shard").groupBy("shard").applyInPandas(answer, "part long, shard int, levels binary")
         answers = levels.withColumn("own", F.lit(None).cast("array<long>")).unionByName(
             nodes.groupBy("part").agg(F.collect_list("node").alias("own")).select("part", F.lit(-1).alias("shard"), F.lit(None).cast("binary").alias("levels"), "own")
         )
@@ -380,7 +383,7 @@ def join_similar(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, te
     lists = sets.select("node", "n", "bits", F.explode(_lists(boundary, listed(boundary))).alias("list"))
     families = components(_edges_of(lists, percent, limit))
     members = sets.select("node", "n", "bits", "tokens").join(families.withColumnRenamed("comp", "family"), "node")
-    linked = components(_compare_families(members, percent, limit))
+    linked = components(_compare_families(members, percent, family))
     found = nodes.join(linked, "node", "left").select("s1", "s2", F.col("n").alias("size"), F.coalesce("comp", "node").alias("comp"))
     own = every.where("n > 0")
     comps = own.join(found, (own["s1"] == found["s1"]) & (own["s2"] == found["s2"]) & (own["n"] == found["size"])).select("key", "n", F.col("comp"))
