@@ -334,7 +334,7 @@ def find_repeats(docs: DataFrame, length: int = LENGTH, text: str = "text", key:
             return pd.DataFrame(out, columns=["part", "shard", "bits"])
 
         hashes = packs.groupBy("part").applyInPandas(send_hashes, "shard int, part long, hashes binary, several binary")
-        bits = written(hashes.groupBy("shard").applyInPandas(answer_hashes, "part long, shard int, bits binary"), "shared")
+        bits = written(hashes.repartition(shards, "shard").groupBy("shard").applyInPandas(answer_hashes, "part long, shard int, bits binary"), "shared")
 
         def send_suffixes(own: pd.DataFrame, answer: pd.DataFrame) -> pd.DataFrame:
             out = []
@@ -364,7 +364,7 @@ def find_repeats(docs: DataFrame, length: int = LENGTH, text: str = "text", key:
 
         own = packs.groupBy("part")
         sent = own.cogroup(by_part(bits)).applyInPandas(send_suffixes, "shard int, part long, rows binary, keys binary")
-        masks = written(sent.groupBy("shard").applyInPandas(answer_suffixes, "part long, shard int, masks binary"), "masks")
+        masks = written(sent.repartition(shards, "shard").groupBy("shard").applyInPandas(answer_suffixes, "part long, shard int, masks binary"), "masks")
         answers = bits.select("part", "shard", "bits", F.lit(None).cast("binary").alias("masks")).unionByName(masks.select("part", "shard", F.lit(None).cast("binary").alias("bits"), "masks"))
         kind = np.uint64 if shape.reach > 32 else np.uint32
 
