@@ -141,6 +141,39 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def chain(ids):
+    return [(ids[i], ids[i + 1]) for i in range(len(ids) - 1)]
+
+
+def test_components_of_long_chains(spark):
+    """Orders of ids in which labels that only spread from neighbour to neighbour need hundreds of rounds."""
+    n = 1000
+    mixed = list(range(n))
+    random.Random(4).shuffle(mixed)
+    for ids in (mixed, [0, *range(n - 1, 0, -1)]):
+        edges = chain(ids) + chain([5000 + x for x in ids[:300]])
+        got = dict(map(tuple, components(spark.createDataFrame(edges, "a long, b long")).collect()))
+        assert got == {x: 0 for x in ids} | {5000 + x: 5000 + min(ids[:300]) for x in ids[:300]}
+
+
+def test_components_at_random(spark):
+    """Sparse graphs with components of all sizes and shapes, and a star whose middle is its largest node."""
+    rnd = random.Random(6)
+    edges = [(rnd.randrange(600), rnd.randrange(600)) for _ in range(330)] + [(9999, 1000 + i) for i in range(50)]
+    up = {x: x for e in edges for x in e if e[0] != e[1]}
+
+    def find(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for a, b in edges:
+        if a != b:
+            x, y = find(a), find(b)
+            up[max(x, y)] = min(x, y)
+    assert dict(map(tuple, components(spark.createDataFrame(edges, "a long, b long")).collect())) == {x: find(x) for x in up}
+
+
 # 3
 
 
