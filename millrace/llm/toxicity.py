@@ -7,8 +7,9 @@ text is a logistic function of its clauses' weights, never of a single word's pr
 
 Insults are learned: words and word beginnings that stand in many different contexts of toxic texts and
 hardly any of others, from a bounded sample of the labelled rows (SAMPLE_TOXIC and SAMPLE_CLEAN, chosen by
-a hash of the key; one half finds the words, the other fits the logistic function), besides a short list
-of insults and threats that holds in any corpus. Texts are read whole.
+a hash of the key), besides a short list of insults and threats that holds in any corpus. All of the sample
+finds the words; the logistic function is fitted on each half with the words of the other, so no text is
+measured by words that it taught itself. Texts are read whole.
 
 Null and empty texts have no clauses and get the function's least score. Without labels the function is a
 fixed one. Repeated rows are scored alike; other columns are ignored.
@@ -242,24 +243,28 @@ def train(docs: DataFrame, labels: DataFrame, fold: Column, text: str = "text",
     chosen = chosen.withColumn("half", F.pmod(F.xxhash64("key", F.lit(55)), F.lit(2)))
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).join(F.broadcast(chosen), "key")  # of a bounded size
     rows = written(rows.repartition(12), "labelled")
-    words, stems = _learn_terms(rows.where("half = 0 and y = 1").dropDuplicates(["text"]), rows.where("half = 0 and y = 0").dropDuplicates(["text"]))
-    words = {w: 1.5 for w in INSULTS} | words
-    model = Model(words, stems, -3.0, [1.5, 1.0, 0.5, 0.0])
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+
+    def learned(some: DataFrame) -> Model:
+        words, stems = _learn_terms(some.where("y = 1").dropDuplicates(["text"]), some.where("y = 0").dropDuplicates(["text"]))
+        return Model({w: 1.5 for w in INSULTS} | words, stems, -3.0, [1.5, 1.0, 0.5, 0.0])
+
+    # cross-fitting: the function is fitted on what each half's terms find in the other, and then used with the terms of all
+    sent = docs.sparkSession.sparkContext.broadcast({half: learned(rows.where(F.col("half") != half)) for half in (0, 1)})
+    model = learned(rows)
 
     def measured(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        lexicon = sent.value.lexicon()
+        lexicons = {half: m.lexicon() for half, m in sent.value.items()}
         for part in parts:
-            yield pd.DataFrame([(*features(lexicon, x), y) for x, y in zip(part["text"], part["y"], strict=True)], columns=[*"abcd", "y"])
+            yield pd.DataFrame([(*features(lexicons[half], x), y) for x, y, half in zip(part["text"], part["y"], part["half"], strict=True)], columns=[*"abcd", "y"])
 
-    data = rows.where("half = 1").mapInPandas(measured, "a double, b double, c double, d double, y int").toPandas().to_numpy(dtype=float)
+    data = rows.mapInPandas(measured, "a double, b double, c double, d double, y int").toPandas().to_numpy(dtype=float)
     if len(data) and 0 < data[:, 4].mean() < 1:
         data = data[np.lexsort(data.T)]
         # classes were sampled at their own rates; rows count as often as they stand for
         rate = {y: max(1.0, sizes.get(y, 0) / most) for y, most in ((1, SAMPLE_TOXIC), (0, SAMPLE_CLEAN))}
         shift = math.log(rate[1]) - math.log(rate[0])
         w = _logistic(data[:, :4], data[:, 4])
-        model = Model(words, stems, float(w[0] + shift), [float(x) for x in w[1:]])
+        model = Model(model.words, model.stems, float(w[0] + shift), [float(x) for x in w[1:]])
     return model
 
 

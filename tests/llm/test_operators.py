@@ -316,6 +316,22 @@ def test_toxicity_learns_and_scores(spark, empty):
     assert toxicity.score_toxicity(empty, none).count() == 0
 
 
+def test_toxicity_learns_rare_insults(spark):
+    """Insults in 10 toxic texts each: enough in all labels, too few in a half of them."""
+    rnd = random.Random(8)
+    insults = ["zorblat", "quimpex", "vandruk", "yelfrig"]
+    rows = []
+    for i in range(240):
+        w = [f"{rnd.choice(WORDS)}{chr(97 + rnd.randrange(26))}" for _ in range(30)]
+        if i < 40:
+            w.insert(rnd.randrange(1, 30), insults[i % 4])
+        rows.append((i, " ".join(w), int(i < 40)))
+    both = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.train(both.drop("toxic"), both.drop("text"), F.lit(True))
+    missed = [x for x in insults if x not in model.words and not any(x.startswith(s) for s in model.stems)]
+    assert missed == []
+
+
 # 6
 
 
