@@ -6,9 +6,10 @@ key. Strings are judged on the input and never cross documents.
 The index is a family of sparse suffix arrays. Of every string of `length` bytes, the k-gram with the least
 hash is its anchor, wherever the string stands, so equal strings share their anchor. Suffixes are indexed at
 anchors only, each with the bytes of all strings that chose the anchor. They are dealt to shards by the
-anchor's hash. In a shard, each new batch gets a sorted suffix array; arrays of about one size are merged, so
-there are logarithmically many; and a merge-scan of a batch against the levels finds its strings that start
-in a smaller document.
+anchor's hash. In a shard, each new batch gets a sorted suffix array, and arrays of about one size are merged, so
+there are logarithmically many. No batch is scanned against the levels: once all batches are in, the levels are
+settled into one array, and a sort of its strings for each offset from the anchor finds those that start in a
+smaller document.
 
 Steps, over parts of the corpus that are packed once into a bucketed table and never shuffled again:
 1. each part sends the hashes of its anchors, and the shards answer, a bit each, which occur in two documents;
