@@ -192,7 +192,8 @@ def _learn_terms(toxic: DataFrame, clean: DataFrame) -> tuple[dict[str, float],
         def rows(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for part in parts:
                 found = Counter((t, c) for x in part["text"] if x for t, c in _terms(x).items() if only is None or t in only)
-                yield pd.DataFrame({"term": [t for t, _ in found], "context": [c for _, c in found]})
+                if found:
+                    yield pd.DataFrame({"term": [t for t, _ in found], "context": [c for _, c in found]})
 
         return rows
 
