@@ -15,87 +15,89 @@ Line rules (a line without a word is neither kept nor counted):
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import SPACE
 
-WORD = rf"[^{SPACE}]+"
 SYMBOLS = "#*$%&|<>"
 #: What menus and notices say, in the languages of the corpus.
+LONE = ("|", "/", ">", "·", "•", "»", "›", "::", "--")
 SEPARATORS = r"(?:^|[\x20\x09-\x0D])(?:[|/>·•»›]|::|--)(?:$|[\x20\x09-\x0D])"
 MENU = r"(?i)^[\x20\x09-\x0D]*(?:home|menu|login|log in|sign in|sign up|register|search|next|previous|back to top|skip to content|share|print|startseite|anmelden|suche|weiter|zurück|accueil|connexion|rechercher|suivant|précédent|inicio|iniciar sesión|buscar|siguiente|anterior)[\x20\x09-\x0D]*$"
-NOTICE = r"(?i)(?:cookie|all rights reserved|copyright|©|licensed under|released under the|license, version|this work is licensed|privacy policy|terms of (?:use|service)|enable javascript|subscribe to|newsletter|share this|alle rechte vorbehalten|datenschutz|tous droits réservés|mentions légales|todos los derechos reservados|política de privacidad)"
-#: Words of the longest line that counts as a notice.
-NOTICE_WORDS = 30
-
-
-def words_of(text: Column) -> Column:
-    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(WORD), F.lit(0))
+NOTICES = "cookie|all rights reserved|copyright|©|licensed under|released under the|license, version|this work is licensed|privacy policy|terms of (?:use|service)|enable javascript|subscribe to|newsletter|share this|alle rechte vorbehalten|datenschutz|tous droits réservés|mentions légales|todos los derechos reservados|política de privacidad"
+NOTICE = f"(?i)(?:{NOTICES})"
+#: Words of the longest line that counts as a notice, and of the longest that MENU can match.
+NOTICE_WORDS, MENU_WORDS = 30, 3
+BLANKS = " \t\n\x0b\f\r"
+#: What a notice has in its lowered text, so that most lines never meet the pattern.
+_IN_NOTICES = sorted({re.split(r"[(]", x)[0] for x in re.split(r"\|(?![^(]*\))", NOTICES)})
 
 
-def _let(value: Column, body) -> Column:
-    """body(value), with the value computed once, however often the body uses it."""
-    return F.transform(F.array(value), body)[0]
+def split_words(line: Column) -> Column:
+    """The words of a text that has one."""
+    return F.split(F.btrim(line, F.lit(BLANKS)), rf"[{SPACE}]+")
 
 
 def _chars(text: Column) -> Column:
     """Code points that aren't white space."""
-    return F.length(F.regexp_replace(text, rf"[{SPACE}]+", ""))
+    return F.length(text) - F.regexp_count(text, F.lit(rf"[{SPACE}]"))
 
 
 def _symbols(text: Column) -> Column:
-    return F.length(text) - F.length(F.translate(text, SYMBOLS, ""))
-
-
-def repeated_words(words: Column, n: int = 3) -> Column:
-    """Words of words that lie in a window of n that occurs twice or more. The windows' hashes are sorted with their positions; neighbours of one hash count only if their words are equal too."""
-
-    def covered(w: Column) -> Column:
-        last = F.size(w) - n  # of the windows
-        many = F.size(w).cast("long")
-        room = F.lit(1 << 62) / many  # so that hash * many + position fits
-        key = lambda i: F.pmod(F.xxhash64(*(w[i + k] for k in range(n))), F.floor(room)) * many + i
-
-        def positions(s: Column) -> Column:
-            def same(a: Column, b: Column) -> Column:
-                i, j = (a % many).cast("int"), (b % many).cast("int")
-                both = a - a % many == b - b % many
-                for k in range(n):
-                    both = both & (w[i + k] == w[j + k])
-                return both
-
-            near = lambda a, b: (F.abs(a - b) < many) & same(a, b)
-            top = F.size(s) - 1
-            twice = lambda x, i: F.when(i > 0, near(x, F.get(s, i - 1))).otherwise(False) | F.when(i < top, near(x, F.get(s, i + 1))).otherwise(False)
-            return F.array_sort(F.transform(F.filter(s, twice), lambda x: x % many))
-
-        keys = F.transform(F.sequence(F.lit(0), last), key)
-        union = lambda p: F.aggregate(
-            p,
-            F.struct(F.lit(0).cast("long").alias("end"), F.lit(0).cast("long").alias("n")),
-            lambda a, x: F.struct((x + n).alias("end"), (a["n"] + (x + n) - F.greatest(a["end"], x)).alias("n")),
-            lambda a: a["n"],
-        )
-        return F.when(last > 0, _let(F.sort_array(keys), lambda s: union(positions(s)))).otherwise(F.lit(0).cast("long"))
-
-    return _let(words, covered)
-
-
-def line_fails(line: Column) -> Column:
-    """Whether a line with a word fails a rule; repeated lines are found elsewhere."""
-    n = F.regexp_count(line, F.lit(WORD))
+    return F.regexp_count(text, F.lit(f"[{SYMBOLS}]"))
+
+
+def _any(conditions: list[Column]) -> Column:
+    return reduce(lambda a, b: a | b, conditions)
+
+
+def with_repeated_words(rows: DataFrame, words: str, name: str, n: int = 3) -> DataFrame:
+    """rows with name: how many of the column words lie in a window of n that occurs twice or more.
+
+    A window's key is its hash with its place in the low bits, so a sort of the keys brings equal windows together;
+    neighbours of one hash count only if their words are equal too. Each step is a column of its own, as a sort
+    of numbers within generated code is many times faster than one in a lambda."""
+    w, kept = F.col(words), rows.columns
+    size = F.greatest(F.size(w) - (n - 1), F.lit(0))
+    places = F.call_function("shiftleft", F.lit(1).cast("long"), F.length(F.bin(F.size(w).cast("long")))) - 1
+    rows = rows.select(*kept, F.arrays_zip(*(F.slice(w, k + 1, size).alias(f"w{k}") for k in range(n))).alias("_windows"), F.coalesce(places, F.lit(0)).alias("_places"))
+    rows = rows.select("*", F.bitwise_not("_places").bitwiseAND(F.lit((1 << 63) - 1)).alias("_high"))
+    keys = F.transform("_windows", lambda x, i: F.xxhash64(x).bitwiseAND(F.col("_high")).bitwiseOR(i.cast("long")))
+    rows = rows.select(*kept, "_places", F.sort_array(keys).alias("_keys"))
+    last = F.greatest(F.size("_keys") - 1, F.lit(0))
+    place = lambda x: x.bitwiseAND(F.col("_places"))
+
+    def equal(x: Column) -> Column:
+        i, j = place(x["a"]).cast("int"), place(x["b"]).cast("int")
+        return reduce(lambda p, q: p & q, (w[i + k] == w[j + k] for k in range(n)), x["a"].bitwiseXOR(x["b"]) <= F.col("_places"))
+
+    pairs = F.filter(F.arrays_zip(F.slice("_keys", 1, last).alias("a"), F.slice("_keys", 2, last).alias("b")), equal)
+    rows = rows.select(*kept, "_places", pairs.alias("_pairs"))
+    starts = F.concat(F.transform("_pairs", lambda x: place(x["a"])), F.transform("_pairs", lambda x: place(x["b"])))
+    rows = rows.select(*kept, F.array_distinct(starts).alias("_starts"))
+    covered = F.concat(*(F.transform("_starts", lambda x: x + k) for k in range(n)))  # noqa: B023
+    return rows.select(*kept, F.size(F.array_distinct(covered)).cast("long").alias(name))
+
+
+def line_fails(line: Column, words: Column | None = None) -> Column:
+    """Whether a line with a word (its words too, where they are known) fails a rule; repeated lines are found elsewhere. A cheap test stands before each costly one that it implies."""
+    words = split_words(line) if words is None else words
+    n = F.size(words)
+    upper, letters = (F.length(F.regexp_replace(line, rf"\P{{{kind}}}+", "")) for kind in ("Lu", "L"))
     marks = F.regexp_count(line, F.lit(SEPARATORS))
-    upper, letters = F.length(F.regexp_replace(line, r"\P{Lu}+", "")), F.length(F.regexp_replace(line, r"\P{L}+", ""))
-    different = F.size(F.array_distinct(F.regexp_extract_all(line, F.lit(WORD), F.lit(0))))
+    low = F.lower(line)
     return (
-        ((marks >= 3) & (5 * marks >= n))
-        | line.rlike(MENU)
-        | ((n <= NOTICE_WORDS) & line.rlike(NOTICE))
-        | (10 * _symbols(line) > _chars(line))
-        | ((letters >= 10) & (10 * upper > 7 * letters))
-        | ((n >= 10) & (10 * different < 3 * n))
+        ((n <= MENU_WORDS) & line.rlike(MENU))
         | ((n >= 8) & ~line.rlike(r"[.!?…:;。！？]"))
+        | ((n >= 10) & (10 * F.size(F.array_distinct(words)) < 3 * n))
+        | (F.arrays_overlap(words, F.array(*map(F.lit, LONE))) & (marks >= 3) & (5 * marks >= n))
+        | (line.rlike(f"[{SYMBOLS}]") & (10 * _symbols(line) > _chars(line)))
+        | ((n <= NOTICE_WORDS) & _any([low.contains(x) for x in _IN_NOTICES]) & line.rlike(NOTICE))
+        | ((upper >= 8) & (10 * upper > 7 * letters) & (letters >= 10))
     )
 
 
@@ -103,19 +105,23 @@ def judge_quality(
     docs: DataFrame, text: str = "text", key: str = "doc_id", min_words: int = 50, max_repeat_percent: int = 50, min_kept_percent: int = 50, with_text: bool = False
 ) -> DataFrame:
     """key, the base counts, base_failed, kept_chars, kept, and with_text the cleaned text of every row."""
-    t = F.coalesce(F.col(text), F.lit(""))
-    rows = docs.select(
-        F.col(key),
-        t.alias("_text"),
-        F.regexp_count(t, F.lit(WORD)).cast("long").alias("n_words"),
-        _chars(t).cast("long").alias("word_chars"),
-        _symbols(t).cast("long").alias("n_symbols"),
-        F.filter(F.split(t, "\n"), lambda x: x.rlike(rf"[^{SPACE}]")).alias("_lines"),
-        repeated_words(words_of(F.col(text))).alias("n_repeat_words"),
+    lines = F.filter(F.split(F.coalesce(F.col(text), F.lit("")), "\n"), lambda x: x.rlike(rf"[^{SPACE}]"))
+    rows = docs.select(F.col(key), lines.alias("_lines"))
+    rows = rows.select("*", F.transform("_lines", split_words).alias("_split"))  # the one time that words are cut
+    rows = rows.select("*", F.flatten("_split").alias("_words"))
+    rows = rows.select("*", F.array_join("_words", "").alias("_text"))
+    good = F.filter(F.arrays_zip("_lines", "_split"), lambda x: ~line_fails(x["_lines"], x["_split"]))
+    rows = rows.select(
+        key,
+        "_words",
+        F.size("_words").cast("long").alias("n_words"),
+        F.length("_text").cast("long").alias("word_chars"),
+        _symbols(F.col("_text")).cast("long").alias("n_symbols"),
+        (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
+        F.array_distinct(F.transform(good, lambda x: x["_lines"])).alias("_kept"),
     )
-    rows = rows.select("*", F.array_distinct("_lines").alias("_different"))
-    rows = rows.select("*", (F.size("_lines") - F.size("_different")).cast("long").alias("n_dup_lines"), F.filter("_different", lambda x: ~line_fails(x)).alias("_kept"))
-    rows = rows.withColumn("kept_chars", F.aggregate("_kept", F.lit(0).cast("long"), lambda a, x: a + _chars(x)))
+    rows = with_repeated_words(rows, "_words", "n_repeat_words")
+    rows = rows.withColumn("kept_chars", _chars(F.array_join("_kept", "")).cast("long"))
     base = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words"))
     rows = rows.withColumn("base_failed", base).withColumn("kept", ~base & (100 * F.col("kept_chars") >= min_kept_percent * F.col("word_chars")))
     out = [key, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "kept_chars"]
