@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,20 +15,22 @@ def post_key(author: Column, text: Column) -> list[Column]:
     return [F.coalesce(author, F.lit("")).alias("author_key"), letters_key(text).alias("body_key")]
 
 
+def _named(column: str) -> Column:
+    return F.col(f"`{column}`")
+
+
 def keep_first(rows: DataFrame, keys: list[str], ordinal: list[str]) -> DataFrame:
-    """Of the rows of each key, the first by ordinal. An aggregate of the order columns finds it, so a key that very many rows share is combined before the shuffle; the rows themselves meet it in a join that can be split."""
-    first = rows.groupBy(*keys).agg(F.min(F.struct(*ordinal)).alias("_first"))
-    renamed = first.select(*(F.col(k).alias(f"_{k}") for k in keys), "_first")
-    same = [rows[k].eqNullSafe(renamed[f"_{k}"]) for k in keys]
-    at = F.struct(*(rows[o] for o in ordinal)) == renamed["_first"]
-    on = at
-    for s in same:
-        on = on & s
-    return rows.join(renamed, on, "left_semi")
+    """Of the rows of each key, the first by ordinal, and only one: rows that tie on ordinal are told apart by a hash of their other columns (maps and variants, which have none, left out); rows that tie on that too are alike. Null keys are equal.
+
+    One aggregate carries the rows themselves, so a key that very many rows share is combined before the shuffle, and rows are shuffled once."""
+    plain = [f.name for f in rows.schema.fields if not re.search("map<|variant", f.dataType.simpleString())]
+    order = F.struct(*(F.col(o) for o in ordinal), F.xxhash64(*map(_named, plain)).alias("_tie"))
+    first = rows.groupBy(*map(_named, keys)).agg(F.min_by(F.struct(*map(_named, rows.columns)), order).alias("_first"))
+    return first.select("_first.*")
 
 
 def ranked_first(rows: DataFrame, keys: list[str], ordinal: list[str]) -> DataFrame:
-    """As keep_first, by a window: right where rows may tie on ordinal and keys are many."""
+    """As keep_first, by a window. Spark limits each group before the shuffle, so a key that very many rows share sends one row a task; of rows that tie on ordinal one stays, any."""
     w = Window.partitionBy(*keys).orderBy(*ordinal)
     return rows.withColumn("_rank", F.row_number().over(w)).where("_rank = 1").drop("_rank")
 
