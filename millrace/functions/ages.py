@@ -44,6 +44,11 @@ def iso(ts: Column) -> Column:
     return F.when(F.date_format(ts, "SSSSSS") == "000000", whole).otherwise(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"))
 
 
+def epoch_ms(ts: Column) -> Column:
+    """Milliseconds since 1970, as a whole number."""
+    return F.unix_millis(ts)
+
+
 def run_stamp(ts: Column) -> Column:
     return F.date_format(ts, STAMP)
 

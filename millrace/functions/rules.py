@@ -43,6 +43,7 @@ def extra_keys(keys: Column, known: list[str]) -> Rule:
     return Rule("extra", F.size(F.array_except(keys, F.array(*map(F.lit, known)))) > 0)
 
 
+MESSAGE_FIELDS = ["channel", "channel_title", "message_id", "text", "posted_at", "scraped_at"]
 POST_FIELDS = ["author_profile_url", "author_name", "text", "post_relative_age", "post_time_iso", "scraped_at"]
 
 
