@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import rules
 from ..functions.ages import iso, stamped
-from ..functions.textops import is_blank
+from ..functions.textops import is_blank, permalink
 
 POST = "author_profile_url string, author_name string, text string, post_relative_age string, post_time_iso string, scraped_at string"
 MESSAGE = "channel string, channel_title string, message_id bigint, text string, posted_at string, scraped_at string"
@@ -34,8 +35,23 @@ def fresh(files: DataFrame, now: Column, max_age_seconds: int = 1800, time: str
     return files.where(F.timestamp_diff("SECOND", F.col(time), now) <= max_age_seconds)
 
 
+def collected(files: DataFrame, now: Column, max_age_seconds: int = 1800, force: bool = False, path: str = "page", time: str = "captured_at") -> DataFrame:
+    """The one page to take over: the file that was changed last, if it isn't older than so many seconds (or with force); else no row."""
+    last = newest(files, path, time).where(F.col(path).isNotNull())
+    return last if force else fresh(last, now, max_age_seconds, time)
+
+
+def _there(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = where.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(where)
+    return found is not None and len(found) > 0
+
+
 def json_lines(spark: SparkSession, path: str, schema: str, strict: bool = True) -> DataFrame:
-    """file, ordinal (line order), the schema's columns and keys (those that the line has). Blank lines are skipped; a malformed line fails the read, or with strict off gives nulls."""
+    """file, ordinal (line order), the schema's columns and keys (those that the line has). Blank lines are skipped; a malformed line fails the read, or with strict off gives nulls. A path that isn't there has no lines."""
+    if not _there(spark, path):
+        none = spark.createDataFrame([], schema)
+        return none.select(F.lit("").alias("file"), F.lit(0).alias("ordinal"), "*", F.array().cast("array<string>").alias("keys"))
     lines = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("file"), F.posexplode(F.split("value", "\n")).alias("ordinal", "line"))
     lines = lines.where(~is_blank(F.col("line")))
     row = F.from_json("line", schema, {"mode": "FAILFAST" if strict else "PERMISSIVE"})
@@ -43,10 +59,30 @@ def json_lines(spark: SparkSession, path: str, schema: str, strict: bool = True)
 
 
 def history(spark: SparkSession, folder: str, schema: str = POST) -> DataFrame:
-    """Every run file of a folder, not validated again; run is the file's name."""
+    """Every run file of a folder, not validated again; run is the file's name. A folder that isn't there has no runs."""
+    if not _there(spark, f"{folder.rstrip('/')}/posts_*.jsonl"):
+        return spark.createDataFrame([], schema).withColumn("run", F.lit(""))
     return spark.read.schema(schema).option("pathGlobFilter", "posts_*.jsonl").json(folder).withColumn("run", F.col("_metadata.file_name"))
 
 
+def post_lines(spark: SparkSession, path: str, max_days: int = 30) -> DataFrame:
+    """json_lines of posts, times read, with outcome: record, or the first rule that a line breaks (a missing or an unknown key breaks one too)."""
+    return _judged(json_lines(spark, path, POST), rules.POST_FIELDS, ("post_time_iso", "scraped_at"), rules.post_rules(max_days))
+
+
+def message_lines(spark: SparkSession, path: str, base: str = "https://t.me") -> DataFrame:
+    """json_lines of channel messages, times read, with url (the permalink) and outcome."""
+    rows = _judged(json_lines(spark, path, MESSAGE), rules.MESSAGE_FIELDS, ("posted_at", "scraped_at"), rules.message_rules(), ("channel_title",))
+    return rows.withColumn("url", permalink(base, F.col("channel"), F.col("message_id")))
+
+
+def _judged(rows: DataFrame, fields: list[str], times: tuple[str, ...], checks: list[rules.Rule], optional: tuple[str, ...] = ()) -> DataFrame:
+    needed = [f for f in fields if f not in optional]
+    rows = rows.withColumns({t: F.try_to_timestamp(t) for t in times})
+    every = [rules.Rule("missing", missing_keys(needed)), *checks, rules.extra_keys(F.col("keys"), fields)]
+    return rows.withColumn("outcome", F.coalesce(rules.first_failure(every), F.lit("record")))
+
+
 def missing_keys(fields: list[str]) -> Column:
     """Whether a row of json_lines lacks a field."""
     return ~F.forall(F.array(*map(F.lit, fields)), lambda f: F.array_contains("keys", f))
@@ -58,12 +94,16 @@ def write_lines(rows: DataFrame, path: str, mode: str = "overwrite") -> None:
     rows.select(*(iso(F.col(c)).alias(c) if c in times else F.col(c) for c in rows.columns)).write.mode(mode).option("ignoreNullFields", "false").json(path)
 
 
-def append_run(rows: DataFrame, table: str, stamp: str) -> int:
-    """Appends rows as the partition run_ts=stamp of a Parquet table; nothing is written if there are none. Returns how many there are."""
+def append_run(rows: DataFrame, table: str, stamp: str, staging: str | None = None) -> int:
+    """Adds rows as the partition run_ts=stamp of a Parquet table; nothing is written if there are none. The same stamp again replaces its own rows, so a run may be repeated. The staging path goes once the rows are saved. Returns how many there are."""
     rows = rows.persist()
     try:
         if n := rows.count():
-            rows.withColumn("run_ts", F.lit(stamp)).write.mode("append").partitionBy("run_ts").parquet(table)
+            rows.withColumn("run_ts", F.lit(stamp)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_ts").parquet(table)
+        if staging is not None:
+            spark = rows.sparkSession
+            where = spark._jvm.org.apache.hadoop.fs.Path(staging)
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
         return n
     finally:
         rows.unpersist()

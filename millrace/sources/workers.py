@@ -10,6 +10,8 @@ from pathlib import Path
 from pyspark.sql import SparkSession
 
 _shipped: set[str] = set()
+#: Rows and bytes of an Arrow batch: long texts and pages must not meet by the thousand in one Python worker.
+BATCH_ROWS, BATCH_BYTES = 1000, 8 << 20
 
 
 def ship(spark: SparkSession) -> None:
@@ -24,3 +26,20 @@ def ship(spark: SparkSession) -> None:
             z.write(p, p.relative_to(root.parent))
     sc.addPyFile(path)
     _shipped.add(sc.applicationId)
+
+
+def _lower(spark: SparkSession, name: str, most: int) -> None:
+    given = spark.conf.get(name, None)
+    try:
+        if given is not None and 0 < int(given) <= most:
+            return
+    except ValueError:  # with a unit, as 64MB
+        pass
+    spark.conf.set(name, str(most))
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Bounds what a Python worker holds at a time, and lets workers import this package. The bounds are read when a plan runs, so they stay set in the session; bounds that are smaller already are kept."""
+    ship(spark)
+    _lower(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    _lower(spark, "spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
