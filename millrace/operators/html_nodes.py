@@ -5,6 +5,9 @@ after its subtree (`post`), its depth, and the path of its ancestors from the ro
 elements are closed at once; `p`, `li`, `tr`, `td`, `dt`, `dd` and `option` are closed where HTML implies it.
 Comments, and the contents of script and style, are dropped. How else a malformed page is repaired differs
 between HTML libraries; here an end tag closes the nearest open element of its name, or nothing.
+
+Every page of the input gets a number of its own (`row`), so a page id that occurs twice is two pages, each with
+its own nodes. A null page has a root and nothing else.
 """
 
 from __future__ import annotations
@@ -12,11 +15,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
-import pandas as pd
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.workers import ship
+from ..sources.workers import bounded_batches
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: An opening tag closes an open element of these names, unless one of the others lies between.
@@ -25,6 +29,9 @@ CLOSES = {
     "td": (("td", "th"), ("tr", "table")), "th": (("td", "th"), ("tr", "table")), "option": (("option",), ("select",)),
 } | {t: (("p",), ("button", "table")) for t in "address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split()}
 SCHEMA = "pre int, post int, parent int, depth int, tag string, attrs map<string,string>, text string, path array<int>"
+_TYPES = [("pre", pa.int32()), ("post", pa.int32()), ("parent", pa.int32()), ("depth", pa.int32()), ("tag", pa.string()), ("attrs", pa.map_(pa.string(), pa.string())), ("text", pa.string()), ("path", pa.list_(pa.int32()))]
+#: Nodes that leave a worker at once, or those of one page if it has more.
+NODES = 20_000
 
 
 class _Nodes(HTMLParser):
@@ -88,17 +95,33 @@ def nodes_of(page: str | None) -> list[list]:
     return parser.finish()
 
 
-def html_nodes(pages: DataFrame, html: str = "html", key: str = "page_id") -> DataFrame:
-    """key and the node columns: a row for each node of each page. Select and filter pages before; nothing is pushed below this."""
-    kind = dict(pages.select(F.col(key)).dtypes)[key]
-    ship(pages.sparkSession)
-
-    def explode(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in parts:
-            for k, page in zip(part["key"], part["html"], strict=True):
-                rows = pd.DataFrame(nodes_of(page), columns=["pre", "post", "parent", "depth", "tag", "attrs", "text", "path"])
-                rows["parent"] = rows["parent"].astype("Int32")
-                rows.insert(0, "page", k)
-                yield rows
-
-    return pages.select(F.col(key).alias("key"), F.col(html).alias("html")).mapInPandas(explode, f"page {kind}, {SCHEMA}")
+def html_nodes(pages: DataFrame, html: str = "html", key: str = "page_id", carried: tuple[str, ...] = ()) -> DataFrame:
+    """page (the key), row, the carried columns and the node columns: a row for each node of each page. Select and filter pages before; nothing is pushed below this."""
+    kinds = dict(pages.select(F.col(key).alias("page"), *carried).dtypes)
+    bounded_batches(pages.sparkSession)
+
+    def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        row = TaskContext.get().partitionId() << 33
+        for batch in batches:
+            at, rows, nodes = [], [], []
+
+            def frame() -> pa.RecordBatch:
+                kept = [batch.column(c).take(pa.array(at, pa.int64())) for c in kinds]  # noqa: B023
+                columns = zip(*nodes, strict=True) if nodes else [[] for _ in _TYPES]  # noqa: B023
+                own = [pa.array([list(x.items()) for x in c] if n == "attrs" else c, t) for (n, t), c in zip(_TYPES, columns, strict=True)]
+                return pa.RecordBatch.from_arrays([*kept, pa.array(rows, pa.int64()), *own], names=[*kinds, "row", *(n for n, _ in _TYPES)])  # noqa: B023
+
+            for i, page in enumerate(batch.column("_html").to_pylist()):
+                found = nodes_of(page)
+                at += [i] * len(found)
+                rows += [row] * len(found)
+                nodes += found
+                row += 1
+                if len(nodes) >= NODES:
+                    yield frame()
+                    at, rows, nodes = [], [], []
+            if nodes:
+                yield frame()
+
+    given = pages.select(F.col(key).alias("page"), *carried, F.col(html).alias("_html"))
+    return given.mapInArrow(explode, ", ".join(f"`{c}` {t}" for c, t in kinds.items()) + f", row long, {SCHEMA}")

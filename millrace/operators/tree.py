@@ -1,7 +1,8 @@
 """Operators on node tables: selection, ancestors, containers, flattened text, and records of posts.
 
 Each is a join or an aggregate on (page, node); none compares a page's nodes pairwise. `path` carries every
-node's ancestors, so walking up is an explode and searching below is an equi-join.
+node's ancestors, so walking up is an explode and searching below is an equi-join. A page is known by its id
+and the number of its row (PAGE), so an id that occurs twice is two pages.
 """
 
 from __future__ import annotations
@@ -14,12 +15,15 @@ from pyspark.sql import functions as F
 from ..functions import ages
 from ..functions import textops as X
 from ..functions.rules import first_failure, post_rules
+from ..sources.shared import materialised
 
 #: Fixed values of the feed's markup.
 MARKER_TAG, MARKER_ATTR, MARKER_PREFIX = "button", "aria-label", "Open control menu for post"
 LINK_PARTS = ("/in/", "/company/")
 AGE_TAGS, AGE_TEXT, AGE_CHARS = ("span", "time"), r"\A([0-9]{1,3})([mhdw])(?U)\s*(?:•|\z)", 40
 MAX_HOPS, NAME_CHARS = 8, 90
+#: What tells pages apart.
+PAGE = ("page", "row")
 
 
 def with_prefix(nodes: DataFrame, tag: str, attr: str, prefix: str) -> DataFrame:
@@ -35,93 +39,94 @@ def with_parts(nodes: DataFrame, tag: str, attr: str, parts: tuple[str, ...]) ->
 
 def ancestors(nodes: DataFrame) -> DataFrame:
     """page, pre, ancestor, ancestor_depth: each node itself and all above it, up to the root."""
-    return nodes.select("page", "pre", F.posexplode("path").alias("ancestor_depth", "ancestor"))
+    return nodes.select(*PAGE, "pre", F.posexplode("path").alias("ancestor_depth", "ancestor"))
 
 
 def owners(markers: DataFrame) -> DataFrame:
     """page, ancestor, owns: how many markers lie at or below each ancestor of any."""
-    return ancestors(markers).groupBy("page", "ancestor").agg(F.count("*").alias("owns"))
+    return ancestors(markers).groupBy(*PAGE, "ancestor").agg(F.count("*").alias("owns"))
 
 
 def containers(markers: DataFrame) -> DataFrame:
     """page, marker, container: the highest ancestor that owns one marker only. A page's only marker has the root."""
     up = ancestors(markers)
-    single = up.join(owners(markers).where("owns = 1"), ["page", "ancestor"])
-    return single.groupBy("page", F.col("pre").alias("marker")).agg(F.min_by("ancestor", "ancestor_depth").alias("container"))
+    single = up.join(owners(markers).where("owns = 1"), [*PAGE, "ancestor"])
+    return single.groupBy(*PAGE, F.col("pre").alias("marker")).agg(F.min_by("ancestor", "ancestor_depth").alias("container"))
 
 
 def below(nodes: DataFrame, tops: DataFrame, top: str) -> DataFrame:
     """tops joined to the nodes at or below their column top, by the nodes' paths."""
     spread = nodes.select("*", F.explode("path").alias("_up"))
-    return tops.join(spread, (tops["page"] == spread["page"]) & (tops[top] == spread["_up"])).drop(spread["page"]).drop("_up")
+    return tops.join(spread.withColumnRenamed("_up", top), [*PAGE, top])
 
 
 def flattened(nodes: DataFrame, tops: DataFrame, top: str, name: str = "flat") -> DataFrame:
     """page, top and all text below it, in page order, without anything between nodes, white space collapsed."""
-    texts = below(nodes.where("tag = '#text'").select("page", "pre", "text", "path"), tops.select("page", top).distinct(), top)
-    joined = texts.groupBy("page", top).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pre", "text"))), lambda x: x["text"]), "").alias("_all"))
-    out = tops.select("page", top).distinct().join(joined, ["page", top], "left")
-    return out.select("page", top, X.collapse(F.coalesce("_all", F.lit(""))).alias(name))
+    texts = below(nodes.where("tag = '#text'").select(*PAGE, "pre", "text", "path"), tops.select(*PAGE, top).distinct(), top)
+    joined = texts.groupBy(*PAGE, top).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pre", "text"))), lambda x: x["text"]), "").alias("_all"))
+    out = tops.select(*PAGE, top).distinct().join(joined, [*PAGE, top], "left")
+    return out.select(*PAGE, top, X.collapse(F.coalesce("_all", F.lit(""))).alias(name))
 
 
 def ages_below(nodes: DataFrame, tops: DataFrame, top: str = "container") -> DataFrame:
     """page, top, age, age_pre, age_path: of the first element below top that shows an age by itself."""
-    shown = nodes.where(F.col("tag").isin(*AGE_TAGS)).select("page", F.col("pre").alias("el"))
+    shown = nodes.where(F.col("tag").isin(*AGE_TAGS)).select(*PAGE, F.col("pre").alias("el"))
     shown = flattened(nodes, shown, "el").where((F.length("flat") <= AGE_CHARS) & F.col("flat").rlike(AGE_TEXT))
-    shown = nodes.join(shown.withColumnRenamed("el", "pre"), ["page", "pre"]).select("page", "pre", "path", F.concat(F.regexp_extract("flat", AGE_TEXT, 1), F.regexp_extract("flat", AGE_TEXT, 2)).alias("age"))
-    found = below(shown, tops.select("page", top).distinct(), top)
-    return found.groupBy("page", top).agg(F.min_by(F.struct("age", F.col("pre").alias("age_pre"), F.col("path").alias("age_path")), "pre").alias("_a")).select("page", top, "_a.*")
+    shown = nodes.join(shown.withColumnRenamed("el", "pre"), [*PAGE, "pre"]).select(*PAGE, "pre", "path", F.concat(F.regexp_extract("flat", AGE_TEXT, 1), F.regexp_extract("flat", AGE_TEXT, 2)).alias("age"))
+    found = below(shown, tops.select(*PAGE, top).distinct(), top)
+    return found.groupBy(*PAGE, top).agg(F.min_by(F.struct("age", F.col("pre").alias("age_pre"), F.col("path").alias("age_path")), "pre").alias("_a")).select(*PAGE, top, "_a.*")
 
 
 def links(nodes: DataFrame, parts: tuple[str, ...] = LINK_PARTS) -> DataFrame:
     """page, pre, path, href (without its query), shown (its flattened text)."""
-    found = with_parts(nodes, "a", "href", parts).select("page", "pre", "path", X.without_query(F.element_at("attrs", F.lit("href"))).alias("href"))
-    text = flattened(nodes, found.select("page", F.col("pre").alias("el")), "el", "shown").withColumnRenamed("el", "pre")
-    return found.join(text, ["page", "pre"])
+    found = with_parts(nodes, "a", "href", parts).select(*PAGE, "pre", "path", X.without_query(F.element_at("attrs", F.lit("href"))).alias("href"))
+    text = flattened(nodes, found.select(*PAGE, F.col("pre").alias("el")), "el", "shown").withColumnRenamed("el", "pre")
+    return found.join(text, [*PAGE, "pre"])
 
 
 def authors_by_label(markers: DataFrame, tops: DataFrame, found: DataFrame) -> DataFrame:
     """page, marker, url, name: the name in the marker's label, the url of the first link in its container that shows this name."""
     pattern = rf"^{MARKER_PREFIX} by (.+)$"
     label = F.element_at("attrs", F.lit(MARKER_ATTR))
-    named = markers.where(label.rlike(pattern)).select("page", F.col("pre").alias("marker"), X.collapse(F.regexp_extract(label, pattern, 1)).alias("name"))
-    named = named.withColumn("_norm", X.norm_name(F.col("name"))).where("_norm <> ''").join(tops, ["page", "marker"])
-    inside = found.where("href <> ''").select("page", "pre", "href", X.norm_name(F.col("shown")).alias("_norm"), F.explode("path").alias("container"))
-    hit = named.join(inside, ["page", "container", "_norm"])
-    return hit.groupBy("page", "marker").agg(F.min_by("href", "pre").alias("url"), F.first(F.substring("name", 1, NAME_CHARS)).alias("name"))
+    named = markers.where(label.rlike(pattern)).select(*PAGE, F.col("pre").alias("marker"), X.collapse(F.regexp_extract(label, pattern, 1)).alias("name"))
+    named = named.withColumn("_norm", X.norm_name(F.col("name"))).where("_norm <> ''").join(tops, [*PAGE, "marker"])
+    inside = found.where("href <> ''").select(*PAGE, "pre", "href", X.norm_name(F.col("shown")).alias("_norm"), F.explode("path").alias("container"))
+    hit = named.join(inside, [*PAGE, "container", "_norm"])
+    return hit.groupBy(*PAGE, "marker").agg(F.min_by("href", "pre").alias("url"), F.first(F.substring("name", 1, NAME_CHARS)).alias("name"))
 
 
 def authors_by_walk(tops: DataFrame, aged: DataFrame, found: DataFrame) -> DataFrame:
     """page, marker, url, name: from above the age, the nearest ancestor with a link, at most MAX_HOPS up and not above the container; there the first link with a short text, else the first."""
-    up = tops.join(aged, ["page", "container"]).select("page", "marker", "container", F.posexplode("age_path").alias("depth", "ancestor"), (F.size("age_path") - 1).alias("age_depth"), F.array_position("age_path", F.col("container")).alias("top"))
+    up = tops.join(aged, [*PAGE, "container"]).select(*PAGE, "marker", "container", F.posexplode("age_path").alias("depth", "ancestor"), (F.size("age_path") - 1).alias("age_depth"), F.array_position("age_path", F.col("container")).alias("top"))
     up = up.where((F.col("depth") < F.col("age_depth")) & (F.col("depth") >= F.col("age_depth") - MAX_HOPS) & (F.col("depth") >= F.col("top") - 1))
-    inside = found.select("page", "pre", "href", "shown", F.explode("path").alias("ancestor"))
-    met = up.join(inside, ["page", "ancestor"])
-    nearest = met.groupBy("page", "marker").agg(F.max("depth").alias("depth"))
+    inside = found.select(*PAGE, "pre", "href", "shown", F.explode("path").alias("ancestor"))
+    met = up.join(inside, [*PAGE, "ancestor"])
+    nearest = met.groupBy(*PAGE, "marker").agg(F.max("depth").alias("depth"))
     good = (F.length("shown") > 0) & (F.length("shown") < NAME_CHARS)
-    pick = met.join(nearest, ["page", "marker", "depth"]).groupBy("page", "marker").agg(F.min_by(F.struct("href", "shown"), F.struct(F.when(good, 0).otherwise(1), F.col("pre"))).alias("_l"))
+    pick = met.join(nearest, [*PAGE, "marker", "depth"]).groupBy(*PAGE, "marker").agg(F.min_by(F.struct("href", "shown"), F.struct(F.when(good, 0).otherwise(1), F.col("pre"))).alias("_l"))
     name = F.nullif(F.substring(X.without_degree(F.col("_l.shown")), 1, NAME_CHARS), F.lit(""))
-    return pick.where(F.col("_l.href") != "").select("page", "marker", F.col("_l.href").alias("url"), name.alias("name"))
+    return pick.where(F.col("_l.href") != "").select(*PAGE, "marker", F.col("_l.href").alias("url"), name.alias("name"))
 
 
-def posts(nodes: DataFrame, captured: DataFrame, fold: bool = False) -> DataFrame:
-    """A row for each marker of each page: the record's columns, author_route (label, walk) and outcome (record, ads, no_age, no_author, rejected_<rule>). captured: page, captured_at.
+def posts(nodes: DataFrame, fold: bool = False) -> DataFrame:
+    """A row for each marker of each page: the record's columns, author_route (label, walk) and outcome (record, ads, no_age, no_author, rejected_<rule>). nodes carry their page's captured_at.
 
-    A post without an age is dropped, whatever the reason, before its author is sought."""
-    nodes = nodes.select("page", "pre", "depth", "tag", "attrs", "text", "path")
+    Containers and links are read by several joins, so each is written once. A post without an age is dropped, whatever the reason, before its author is sought."""
+    captured = nodes.where("pre = 0").select(*PAGE, "captured_at")
+    nodes = nodes.select(*PAGE, "pre", "depth", "tag", "attrs", "text", "path")
     markers = with_prefix(nodes, MARKER_TAG, MARKER_ATTR, MARKER_PREFIX)
-    tops = containers(markers)
+    tops = materialised(containers(markers), "containers")
     flat = flattened(nodes, tops, "container")
     flat = flat.withColumn("flat", X.clamp(X.fold_punctuation(F.col("flat")) if fold else F.col("flat")))
     aged = ages_below(nodes, tops)
-    found = links(nodes)
-    by_label = authors_by_label(markers, tops, found).select("page", "marker", F.col("url").alias("u1"), F.col("name").alias("n1"))
-    by_walk = authors_by_walk(tops, aged, found).select("page", "marker", F.col("url").alias("u2"), F.col("name").alias("n2"))
-    rows = tops.join(flat, ["page", "container"]).join(aged.drop("age_pre", "age_path"), ["page", "container"], "left")
-    rows = rows.join(by_label, ["page", "marker"], "left").join(by_walk, ["page", "marker"], "left").join(captured, "page", "left")
+    found = materialised(links(nodes), "links")
+    by_label = authors_by_label(markers, tops, found).select(*PAGE, "marker", F.col("url").alias("u1"), F.col("name").alias("n1"))
+    by_walk = authors_by_walk(tops, aged, found).select(*PAGE, "marker", F.col("url").alias("u2"), F.col("name").alias("n2"))
+    rows = tops.join(flat, [*PAGE, "container"]).join(aged.drop("age_pre", "age_path"), [*PAGE, "container"], "left")
+    rows = rows.join(by_label, [*PAGE, "marker"], "left").join(by_walk, [*PAGE, "marker"], "left").join(captured, list(PAGE), "left")
     label = F.col("u1").isNotNull()
     rows = rows.select(
-        "page",
+        *PAGE,
         F.col("marker").alias("ordinal"),
         F.when(label, F.col("u1")).otherwise(F.col("u2")).alias("author_profile_url"),
         F.when(label, F.col("n1")).otherwise(F.col("n2")).alias("author_name"),
@@ -157,7 +162,7 @@ def rejected(rows: DataFrame) -> DataFrame:
 
 def first_shown(nodes: DataFrame, tops: DataFrame, top: str, tags: tuple[str, ...], keeps: Column, name: str = "shown") -> DataFrame:
     """page, top, name: the flattened text (column flat in keeps) of the first element of tags below top that keeps holds for."""
-    el = nodes.where(F.col("tag").isin(*tags)).select("page", F.col("pre").alias("el"))
+    el = nodes.where(F.col("tag").isin(*tags)).select(*PAGE, F.col("pre").alias("el"))
     shown = flattened(nodes, el, "el").where(keeps).withColumnRenamed("el", "pre")
-    shown = nodes.select("page", "pre", "path").join(shown, ["page", "pre"])
-    return below(shown, tops.select("page", top).distinct(), top).groupBy("page", top).agg(F.min_by("flat", "pre").alias(name))
+    shown = nodes.select(*PAGE, "pre", "path").join(shown, [*PAGE, "pre"])
+    return below(shown, tops.select(*PAGE, top).distinct(), top).groupBy(*PAGE, top).agg(F.min_by("flat", "pre").alias(name))

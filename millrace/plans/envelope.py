@@ -39,6 +39,16 @@ def envelope(
     ]
 
 
+def write_posts(posts: DataFrame, table: str) -> None:
+    """Canonical posts as a Parquet table by platform, one row for each id: a post that is there already stays as it is."""
+    new = posts.dropDuplicates(["id"])
+    spark = posts.sparkSession
+    where = spark._jvm.org.apache.hadoop.fs.Path(table)
+    if where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):
+        new = new.join(spark.read.parquet(table).select("id"), "id", "left_anti")
+    new.write.mode("append").partitionBy("platform").parquet(table)
+
+
 def source_type(path: Column) -> Column:
     return F.split_part(path, F.lit("/"), F.lit(1))
 

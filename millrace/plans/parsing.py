@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.rules import first_failure, post_rules
+from ..functions.rules import POST_FIELDS, first_failure, post_rules
 from ..operators import dedup, quality, tree
 from ..operators.html_nodes import html_nodes
 from ..sources.files import append_run
@@ -20,7 +22,7 @@ class BatchRejected(RuntimeError):
 
 def parse(pages: DataFrame) -> DataFrame:
     """pages (page, html, captured_at) to a row for each post, with its outcome. Pages are parsed once; the node table is written, as several joins read some of its columns."""
-    return tree.posts(materialised(html_nodes(pages, "html", "page"), "nodes"), pages.select("page", "captured_at"))
+    return tree.posts(materialised(html_nodes(pages, "html", "page", ("captured_at",)), "nodes"))
 
 
 def keyed(rows: DataFrame) -> DataFrame:
@@ -31,16 +33,24 @@ def judge(records: DataFrame) -> DataFrame:
     """One row: counts, lengths, times and gates of a batch of records (with page and ordinal)."""
     rows = keyed(records)
     age = F.col("post_relative_age")
-    order = quality.inversions(rows, age, "ordinal", ["page"]).agg(F.coalesce(F.sum("ages"), F.lit(0)).alias("ages"), F.coalesce(F.sum("inversions"), F.lit(0)).alias("inversions"))
+    order = quality.inversions(rows, age, "ordinal", ["page", "row"]).agg(F.coalesce(F.sum("ages"), F.lit(0)).alias("ages"), F.coalesce(F.sum("inversions"), F.lit(0)).alias("inversions"))
     counts = rows.agg(
         quality.distinct_with_null(F.col("author_profile_url")).alias("authors"),
         F.count_if(first_failure(post_rules()).isNotNull()).alias("invalid"),
         F.count_if(F.coalesce(F.col("author_profile_url"), F.lit("")) == "").alias("no_url"),
         F.count_if(F.col("post_time_iso").isNull()).alias("no_time"),
+        F.count_if(reduce(lambda a, b: a | b, (F.col(f).isNull() for f in POST_FIELDS))).alias("missing_field"),
         F.min("post_time_iso").alias("oldest"),
         F.max("post_time_iso").alias("newest"),
     )
-    return quality.gates(quality.beside(quality.repeats(rows, KEYS, "body_key"), quality.lengths(rows), order, counts))
+    failures = first_failures(rows, first_failure(post_rules()), ["page", "row", "ordinal"])
+    return quality.gates(quality.beside(quality.repeats(rows, KEYS, "body_key"), quality.lengths(rows), order, counts, failures))
+
+
+def first_failures(rows: DataFrame, rule: Column, ordinal: list[str], n: int = 3) -> DataFrame:
+    """One row: failures, the names of the rules that the first n failing rows broke. Each task sends n rows at most."""
+    first = rows.select(F.struct(*ordinal).alias("at"), rule.alias("rule")).where("rule is not null").orderBy("at").limit(n)
+    return first.agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "rule"))), lambda x: x["rule"]).alias("failures"))
 
 
 def run(pages: DataFrame, history: DataFrame | None, table: str, stamp: str, report_only: bool = False) -> tuple[dict, int]:
@@ -50,11 +60,12 @@ def run(pages: DataFrame, history: DataFrame | None, table: str, stamp: str, rep
         report = judge(records).first().asDict()
         if not report["passed"]:
             gates = ("no_rows", "invalid_rows", "empty_rows", "repeating", "clamped", "disordered")
-            raise BatchRejected(", ".join(g for g in gates if report[g]))
+            named = f" ({'; '.join(report['failures'])})" if report["failures"] else ""
+            raise BatchRejected(", ".join(g for g in gates if report[g]) + named)
         if report_only:
             return report, 0
         batch = keyed(records)
         new = dedup.against_history(batch, history, KEYS) if history is not None else batch
-        return report, append_run(dedup.keep_first(new, KEYS, ["page", "ordinal"]), table, stamp)
+        return report, append_run(dedup.keep_first(new, KEYS, ["page", "row", "ordinal"]).drop("row"), table, stamp)
     finally:
         records.unpersist()

@@ -18,7 +18,7 @@ from ..operators import dedup, quality, tree
 from ..operators.html_nodes import html_nodes
 from ..sources import files
 from ..sources.shared import materialised, new_folder
-from ..streaming.ingest import ingest
+from ..streaming.ingest import ingest, open_stream
 from . import envelope as E
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -117,7 +117,27 @@ def text_normalised(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", X.collapse(F.col("text")).alias("flat"), X.clamp(X.fold_punctuation(F.col("text"))).alias("folded"))
 
 
-@query()
+#: Unicode white space, and the parts of body_of as patterns of the SQL's engine.
+_WS = r"\x09-\x0D\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+_COUNT = rf"\p{{Nd}}[\p{{Nd}},{_WS}\x{{200B}}]*(?:reactions?|comments?|reposts?)"
+
+
+def _flat_sql(text: str) -> str:
+    return f"trim(regexp_replace({text}, '[{_WS}]+', ' ', 'g'))"
+
+
+def _body_sql(flat: str) -> str:
+    """The body of a flattened post in SQL; a stack of tail junk goes in one match."""
+    start, verbs = rf"[0-9]{{1,3}}[mhdw][{_WS}]*•[{_WS}]*", rf"(?i)^(?:Following|Follow|Connect|Message|Show translation|Edited[{_WS}]*•[{_WS}]*|\+[{_WS}]*Follow)+"
+    end = rf"(?is)(?:{_COUNT}|Video Player is loading|Comments have been turned off|Close Modal Dialog|End of dialog window|See \p{{Nd}}+ more comments?).*$"
+    tail = rf"(?i)(?:[{_WS}\x{{200B}}]*(?:{_COUNT}|See[{_WS}]+\p{{Nd}}+[{_WS}]+more[{_WS}]+comments?|Close Modal Dialog.*$|End of dialog window\.?))+[{_WS}]*$"
+    body = f"CASE WHEN regexp_matches({flat}, '{start}') THEN {_flat_sql(f"regexp_replace(regexp_replace({flat}, '(?s)^.*?{start}', ''), '{verbs}', '')")} ELSE {flat} END"
+    body = _flat_sql(f"regexp_replace(replace(regexp_replace({body}, '{end}', ''), 'hashtag#', ' #'), '(?i)…[{_WS}]*more|Show translation|', ' ', 'g')".replace("translation|'", "translation'"))
+    return f"trim(regexp_replace({body}, '{tail}', ''))"
+
+
+@query(f"""WITH f AS (SELECT doc_id, 'Ann Example 3h • Follow' || {_flat_sql("coalesce(text, '')")} || ' 1,2' || chr(8203) || '3 reactionsBob Example said' AS flat FROM documents)
+SELECT doc_id, {_body_sql("flat")} AS body FROM f""")
 def body_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with a feed's header and footer around them, cleaned again."""
     docs = read(spark, sf_dir, "documents", "doc_id", "text")
@@ -208,13 +228,14 @@ def identity_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.ranked_first(read(spark, sf_dir, "conversations", "conv_id", "turn", "role"), ["conv_id", "turn"], ["role"])
 
 
-@query("""SELECT conv_id, turn, 'https://t.me/' || 'conv_' || conv_id || '/' || turn AS url,
-  CASE WHEN turn <= 0 THEN 'message_id' WHEN text IS NULL OR NOT regexp_matches(text, '[^\\x09-\\x0D\\x20]') THEN 'text' ELSE 'record' END AS outcome FROM conversations""".replace("\\\\", "\\"))
+@query("""SELECT conv_id, turn, 'https://t.me/' || CASE WHEN conv_id % 7 = 3 THEN '7' ELSE 'conv_' END || conv_id || '/' || turn AS url,
+  CASE WHEN conv_id % 7 = 3 THEN 'channel' WHEN turn <= 0 THEN 'message_id' WHEN text IS NULL OR NOT regexp_matches(text, '[^\\x09-\\x0D\\x20]') THEN 'text' WHEN turn % 5 = 4 THEN 'model' ELSE 'record' END AS outcome FROM conversations""".replace("\\\\", "\\"))
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Turns as channel messages: their permalinks, and the first rule that each breaks."""
+    """Turns as channel messages: their permalinks, and the first rule that each breaks. One conversation in seven has a name that is no channel's, every fifth turn a time after its capture."""
     when = F.make_timestamp(F.lit(2024), F.lit(1), F.lit(1), F.lit(0), F.lit(0), F.lit(0))
     rows = read(spark, sf_dir, "conversations", "conv_id", "turn", "text").select(
-        "conv_id", "turn", "text", F.concat(F.lit("conv_"), F.col("conv_id").cast("string")).alias("channel"), F.col("turn").alias("message_id"), when.alias("posted_at"), when.alias("scraped_at")
+        "conv_id", "turn", "text", F.concat(F.when(F.col("conv_id") % 7 == 3, "7").otherwise("conv_"), F.col("conv_id").cast("string")).alias("channel"), F.col("turn").alias("message_id"),
+        F.when(F.col("turn") % 5 == 4, F.timestamp_add("SECOND", F.lit(1), when)).otherwise(when).alias("posted_at"), when.alias("scraped_at")
     )
     outcome = F.coalesce(rules.first_failure(rules.message_rules()), F.lit("record"))
     return rows.select("conv_id", "turn", X.permalink("https://t.me", F.col("channel"), F.col("message_id")).alias("url"), outcome.alias("outcome"))
@@ -231,9 +252,9 @@ def page_nodes(spark: SparkSession, sf_dir: str, again: bool = False) -> DataFra
     return materialised(nodes, "nodes") if again else nodes
 
 
-@query("""SELECT page_id AS page, unnest(regexp_extract_all(html, '<a href="([^"]*)"', 1)) AS href FROM pages""")
+@query("""SELECT page, href FROM (SELECT page_id AS page, unnest(regexp_extract_all(html, '<a href="([^"]*)"', 1)) AS href FROM pages) WHERE starts_with(href, '/e')""")
 def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tree.with_prefix(page_nodes(spark, sf_dir), "a", "href", "").select("page", F.element_at("attrs", F.lit("href")).alias("href"))
+    return tree.with_prefix(page_nodes(spark, sf_dir), "a", "href", "/e").select("page", F.element_at("attrs", F.lit("href")).alias("href"))
 
 
 @query("""SELECT page, count(*) AS n FROM (SELECT page_id AS page, unnest(regexp_extract_all(html, '<a href="([^"]*)"', 1)) AS href FROM pages) WHERE contains(href, '/en') OR contains(href, '/de') GROUP BY page""")
@@ -244,32 +265,42 @@ def link_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""SELECT page_id AS page, len(regexp_extract_all(html, '<a href=')) AS markers, len(regexp_extract_all(html, '<li><a href=')) AS containers, 'li' AS tag FROM pages WHERE contains(html, '<a href=')""")
 def link_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Containers of links: the highest element that holds one link only is its list item."""
-    nodes = page_nodes(spark, sf_dir, again=True).select("page", "pre", "tag", "attrs", "path")
+    nodes = page_nodes(spark, sf_dir, again=True).select(*tree.PAGE, "pre", "tag", "attrs", "path")
     tops = tree.containers(tree.with_prefix(nodes, "a", "href", ""))
-    tags = tops.join(nodes.select("page", F.col("pre").alias("container"), "tag"), ["page", "container"])
+    tags = tops.join(nodes.select(*tree.PAGE, F.col("pre").alias("container"), "tag"), [*tree.PAGE, "container"])
     return tags.groupBy("page", "tag").agg(F.count("*").cast("long").alias("markers"), F.count_distinct("container").alias("containers"))
 
 
-@query()
+_TAGS = r"(?is)<script.*?</script>|<style.*?</style>|<!--.*?-->|<[^>]*>"
+_NAMED = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "''", "&copy;": "©", "&nbsp;": " ", "&middot;": "·", "&amp;": "&"}
+
+
+def _unescaped_sql(text: str) -> str:
+    for name, shown in _NAMED.items():
+        text = f"replace({text}, '{name}', '{shown}')"
+    return text
+
+
+@query(f"""SELECT page_id AS page, {_flat_sql(_unescaped_sql(f"regexp_replace(coalesce(html, ''), '{_TAGS}', '', 'g')"))} AS flat FROM pages""")
 def flatten_page(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All text of each page."""
-    nodes = page_nodes(spark, sf_dir, again=True).select("page", "pre", "tag", "text", "path")
-    return tree.flattened(nodes, nodes.where("pre = 0").select("page", F.col("pre").alias("root")), "root").select("page", "flat")
+    nodes = page_nodes(spark, sf_dir, again=True).select(*tree.PAGE, "pre", "tag", "text", "path")
+    return tree.flattened(nodes, nodes.where("pre = 0").select(*tree.PAGE, F.col("pre").alias("root")), "root").select("page", "flat")
 
 
 @query("""SELECT page_id AS page, trim(replace(replace(regexp_extract(html, '<h1>([^<]*)</h1>', 1), '&quot;', '"'), '&amp;', '&')) AS shown FROM pages""")
 def page_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first heading of each page with a short enough text."""
-    nodes = page_nodes(spark, sf_dir, again=True).select("page", "pre", "tag", "text", "path")
-    return tree.first_shown(nodes, nodes.where("pre = 0").select("page", F.col("pre").alias("root")), "root", ("h1", "h2"), F.length("flat") <= 400).select("page", "shown")
+    """The first heading of each page that has a text."""
+    nodes = page_nodes(spark, sf_dir, again=True).select(*tree.PAGE, "pre", "tag", "text", "path")
+    return tree.first_shown(nodes, nodes.where("pre = 0").select(*tree.PAGE, F.col("pre").alias("root")), "root", ("h1", "h2"), F.col("flat") != "").select("page", "shown")
 
 
 def feed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A feed page for each event-sending user's source: its documents as posts, one in nine an advert, with authors by label or only in the markup."""
-    docs = read(spark, sf_dir, "documents", "doc_id", "source", "text").where("source is not null")
+    """Feed pages of each source (a null one is `unknown`): its documents as posts, one in nine an advert, with authors by label or only in the markup."""
+    docs = read(spark, sf_dir, "documents", "doc_id", "source", "text").withColumn("source", F.coalesce("source", F.lit("unknown")))
     title, path = F.concat(F.lit("Author "), F.col("source")), F.concat(F.lit("https://www.linkedin.com/in/"), F.col("source"))
     escaped = F.replace(F.replace(F.coalesce("text", F.lit("")), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
-    kind = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(9))
+    kind = F.pmod(F.col("doc_id"), F.lit(9))
     label = F.when(kind < 4, F.concat(F.lit("Open control menu for post by "), title)).otherwise("Open control menu for post")
     age = F.when(kind == 8, "3,321 followersPromoted").otherwise(F.concat((1 + F.pmod(F.col("doc_id"), F.lit(20))).cast("string"), F.lit("h • ")))
     post = F.concat(
@@ -282,7 +313,19 @@ def feed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.select(F.concat_ws("/", "source", F.col("slice").cast("string")).alias("page"), html.alias("html"), F.make_timestamp(F.lit(2024), F.lit(1), F.lit(31), F.lit(0), F.lit(0), F.lit(0)).alias("captured_at"))
 
 
-@query()
+#: What feed_pages shows and parsing must find again, from the documents alone. A post has 17 nodes (16 if its text is
+#: empty), its button is the 13th, a line break stands between posts, and root, html, body and main come first.
+_POSTS = f"""d AS (SELECT doc_id, coalesce(source, 'unknown') AS source, coalesce(text, '') AS text, doc_id // 1000 AS slice, doc_id % 9 AS kind, (1 + doc_id % 20) || 'h' AS age FROM documents),
+p AS (SELECT *, source || '/' || slice AS page, CAST(16 + coalesce(sum(CASE WHEN text = '' THEN 17 ELSE 18 END) OVER (PARTITION BY source, slice ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS INTEGER) AS ordinal,
+  substr({_flat_sql("'Someone likes thisAuthor ' || source || ' • 2nd' || CASE WHEN kind = 8 THEN '3,321 followersPromoted' ELSE age || ' • ' END || text || '12 reactionsAndela 3 comments'")}, 1, 6000) AS flat FROM d),
+b AS (SELECT *, {_body_sql("flat")} AS body FROM p),
+o AS (SELECT page, ordinal, CASE WHEN kind < 8 THEN 'https://www.linkedin.com/in/' || source END AS author_profile_url, CASE WHEN kind < 8 THEN 'Author ' || source END AS author_name, body AS text,
+  CASE WHEN kind < 8 THEN age END AS post_relative_age, CASE WHEN kind < 8 THEN strftime(TIMESTAMP '2024-01-31' - to_hours(1 + doc_id % 20), '%Y-%m-%dT%H:%M:%SZ') END AS post_time_iso,
+  CASE WHEN kind < 4 THEN 'label' WHEN kind < 8 THEN 'walk' END AS author_route,
+  CASE WHEN kind = 8 THEN 'ads' WHEN NOT regexp_matches(body, '[^{_WS}]') OR starts_with(body, 'Feed post') OR NOT regexp_matches(body, '\\p{{L}}') THEN 'rejected_text' ELSE 'record' END AS outcome FROM b)"""
+
+
+@query(f"WITH {_POSTS} SELECT * FROM o")
 def parse_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records of feed pages, each with its outcome."""
     from .parsing import parse
@@ -290,7 +333,8 @@ def parse_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse(feed_pages(spark, sf_dir)).select("page", "ordinal", "author_profile_url", "author_name", "text", "post_relative_age", ages.iso(F.col("post_time_iso")).alias("post_time_iso"), "author_route", "outcome")
 
 
-@query()
+@query(f"""WITH {_POSTS} SELECT count(*) AS containers, count(*) FILTER (WHERE outcome = 'ads') AS ads, 0::BIGINT AS no_age, 0::BIGINT AS no_author, count(*) FILTER (WHERE author_route = 'label') AS author_by_label,
+  count(*) FILTER (WHERE author_route = 'walk') AS author_by_walk, count(*) FILTER (WHERE starts_with(outcome, 'rejected_')) AS rejected, count(*) FILTER (WHERE outcome = 'record') AS records FROM o""")
 def parse_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .parsing import parse
 
@@ -333,10 +377,11 @@ def enveloped(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", *columns)
 
 
-@query("""SELECT d.doc_id, 'docs:' || sha256(source || chr(31) || d.doc_id) AS id, CAST(quality AS DOUBLE) AS quality, CAST(toxic AS DOUBLE) AS toxic, 2 AS n_scores, 'parsed' AS state, lang, 'docs' AS source_type, 'record' AS outcome
+@query("""SELECT d.doc_id, 'docs:' || sha256(source || chr(31) || d.doc_id) AS id, CAST(quality AS DOUBLE) AS quality, CAST(toxic AS DOUBLE) AS toxic, 2 AS n_scores, CASE WHEN d.doc_id % 11 = 5 THEN 'lost' ELSE 'parsed' END AS state, lang, 'docs' AS source_type, CASE WHEN d.doc_id % 11 = 5 THEN 'status' WHEN d.doc_id % 13 > 10 THEN 'feedback' ELSE 'record' END AS outcome
 FROM documents d JOIN labels l ON d.doc_id = l.doc_id""")
 def score_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
-    posts = enveloped(spark, sf_dir)
+    state = F.when(F.col("doc_id") % 11 == 5, "lost").otherwise(F.col("status.state"))
+    posts = enveloped(spark, sf_dir).withColumn("status", F.struct(state.alias("state"))).withColumn("feedback", (F.col("doc_id") % 13).cast("int"))
     return posts.select(
         "doc_id", "id", E.best(F.col("scoring"), "quality").alias("quality"), E.best(F.col("scoring"), "toxic").alias("toxic"), F.size("scoring").alias("n_scores"), F.col("status.state").alias("state"),
         F.try_variant_get("metadata.platform_data", "$.lang", "string").alias("lang"), E.source_type(F.col("metadata.source.path")).alias("source_type"),
@@ -366,6 +411,6 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = read(spark, sf_dir, "documents").schema
     table, checkpoint = new_folder(spark, "history"), new_folder(spark, "checkpoint")
     for _ in range(2):
-        stream = spark.readStream.schema(schema).parquet(f"{sf_dir}/documents.parquet*")
+        stream = open_stream(spark, f"{sf_dir}/documents.parquet*", schema)
         ingest(stream, table, checkpoint, ["body_key"], ["doc_id"], lambda df: df.select("doc_id", dedup.letters_key(F.col("text")).alias("body_key")))
     return spark.read.parquet(table).select("doc_id", "body_key")

@@ -21,6 +21,12 @@ def history_or_empty(spark: SparkSession, table: str, schema: StructType) -> Dat
     return spark.read.schema(schema).parquet(table) if there else spark.createDataFrame([], schema)
 
 
+def open_stream(spark: SparkSession, path: str, schema: str | StructType, kind: str = "parquet", max_files: int | None = None) -> DataFrame:
+    """Files as a stream; with max_files no batch has more, and what is left waits for the next batch."""
+    reader = spark.readStream.format(kind).schema(schema)
+    return (reader.option("maxFilesPerTrigger", max_files) if max_files else reader).load(path)
+
+
 def ingest(
     stream: DataFrame, table: str, checkpoint: str, keys: list[str], ordinal: list[str], prepare: Callable[[DataFrame], DataFrame] = lambda df: df, gate: Callable[[DataFrame], None] | None = None
 ) -> None:

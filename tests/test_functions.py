@@ -44,6 +44,9 @@ def test_letters_as_python(spark, strings):
         ("Ann Lee3h • FollowUnd los!", "Und los!"),
         ("Ann 1w • Connect+ FollowText 27 reactionsAndela said", "Text"),
         ("Ann 2d •Body 2​​2 reactions5 comments", "Body"),
+        ("x 5m • Following Text here", "Text here"),
+        ("x 5m • + FollowEdited • Text", "Text"),
+        ("x 5m • Text" + " 1…more reaction" * 40, "Text"),
         ("Ужос", "Ужос"),
         ("x 5m • Логично!", "Логично!"),
         ("x 5m • Text … more tail hashtag#tag Show translation", "Text tail #tag"),
@@ -82,6 +85,11 @@ def test_ages(spark):
     assert apply(spark, lambda c: ages.age_of(c.cast("long")), [str(s) for s in seconds]) == ["0m", "59m", "1h", "23h", "1d", "6d", "1w", "16w", None]
 
 
+def test_units(spark):
+    r = spark.sql("SELECT timestamp'1970-01-01 00:00:01.5' AS t, 20500000L AS b").select(ages.epoch_ms(F.col("t")), X.megabytes(F.col("b"))).first()
+    assert tuple(r) == (1500, 20.5)
+
+
 def test_times(spark):
     one = spark.sql("SELECT timestamp'2024-03-01 12:00:00.5' AS a, timestamp'2024-03-01 12:00:00' AS b, cast(null AS timestamp) AS n, 'posts_2024-02-28T01-02-03Z.jsonl' AS f, 'posts_x.jsonl' AS g")
     r = one.select(

@@ -47,6 +47,17 @@ def test_dedup(spark, posts):
     assert tuple(dedup.save_report(new, old, keys, ["n"]).first()) == (len(want), 197 - len(want), len(had))
 
 
+def test_keep_first_keeps_one_of_rows_that_tie(spark):
+    rows = [(1, "a", {"x": 1}), (1, "a", {"x": 1}), (1, "b", None), (2, "a", None), (None, None, None), (None, None, None), (3, None, None)]
+    df = spark.createDataFrame(rows, "n int, k string, m map<string,int>")
+    got = dedup.keep_first(df.select("n", "k", "m", F.lit(7).alias("_first")), ["k"], ["n"])
+    assert got.columns == ["n", "k", "m", "_first"]
+    assert sorted(((r["n"], r["k"]) for r in got.collect()), key=str) == [(1, "a"), (1, "b"), (None, None)]
+    again = dedup.save_batch(df.drop("m").unionByName(df.drop("m")), df.where("k = 'b'").drop("m"), ["k"], ["n"])
+    assert sorted(((r["n"], r["k"]) for r in again.collect()), key=str) == [(1, "a"), (None, None)]
+    assert dedup.keep_first(df.limit(0), ["k"], ["n"]).count() == 0
+
+
 def test_reports(spark, posts):
     rows, df = posts
     c = Counter(map(key, rows))
@@ -165,6 +176,21 @@ def test_containers(spark, feed):
     assert tree.owners(markers).where("page = 'one' AND ancestor = 0").first()["owns"] == 7
 
 
+def test_repeated_page_ids_are_two_pages(spark, feed):
+    twice = feed.where("page IN ('one', 'sole')").unionByName(feed.where("page = 'one'"))
+    assert sorted(r["outcome"] for r in parsing.parse(twice).where("page = 'one'").collect()) == sorted(2 * [r["outcome"] for r in parsing.parse(feed).where("page = 'one'").collect()])
+    one = spark.createDataFrame([("p", "<div><a href=/in/x>n</a></div>")] * 2, "page string, html string")
+    nodes = html_nodes(one, "html", "page")
+    tops = tree.containers(tree.with_prefix(nodes, "a", "href", "/in"))
+    assert [(r["page"], r["container"]) for r in tops.collect()] == [("p", 0)] * 2
+
+
+def test_first_failures(spark):
+    rows = spark.createDataFrame([(i, f"r{i}" if i % 3 == 1 else None) for i in range(20)], "n int, rule string")
+    assert parsing.first_failures(rows, F.col("rule"), ["n"]).first()["failures"] == ["r1", "r4", "r7"]
+    assert parsing.first_failures(rows.limit(1), F.col("rule"), ["n"]).first()["failures"] == []
+
+
 def test_run_and_gate(spark, feed, tmp_path):
     table = str(tmp_path / "history")
     report, n = parsing.run(feed, None, table, "2024-03-02T00-00-00Z")
@@ -172,6 +198,10 @@ def test_run_and_gate(spark, feed, tmp_path):
     history = spark.read.parquet(table)
     assert parsing.run(feed, history, table, "2024-03-03T00-00-00Z")[1] == 0
     assert parsing.run(feed, None, table, "x", report_only=True)[1] == 0
+    assert report["missing_field"] == 0 and report["failures"] == []
+    again = spark.read.parquet(table).where("run_ts = '2024-03-02T00-00-00Z'").drop("run_ts")
+    assert files.append_run(spark.createDataFrame(again.collect(), again.schema), table, "2024-03-02T00-00-00Z") == 2
+    assert spark.read.parquet(table).count() == 2  # the same stamp replaces its own rows
     with pytest.raises(parsing.BatchRejected, match="no_rows"):
         parsing.run(feed.where("page = 'none'"), None, table, "x")
 
@@ -200,6 +230,7 @@ def test_json_lines(spark, tmp_path):
     missing = files.json_lines(spark, str(path), files.POST).select(files.missing_keys(POST_FIELDS)).collect()
     assert all(r[0] for r in missing)
     assert files.history(spark, str(tmp_path)).count() == 2
+    assert files.history(spark, str(tmp_path / "none")).count() == 0 == files.json_lines(spark, str(tmp_path / "none.jsonl"), files.POST).count()
     path.write_text("{broken\n")
     with pytest.raises(Exception, match="(?i)malformed|FAILFAST|parse"):
         files.json_lines(spark, str(path), files.POST).collect()
@@ -209,10 +240,40 @@ def test_json_lines(spark, tmp_path):
     assert json.loads(next((tmp_path / "out").glob("*.json")).read_text(encoding="utf-8")) == {"a": "é", "b": None, "t": "2024-01-01T00:00:00Z"}
 
 
+def test_lines_are_judged(spark, tmp_path):
+    good = {"channel": "abcde", "channel_title": None, "message_id": 7, "text": "hi", "posted_at": "2024-01-01T00:00:00Z", "scraped_at": "2024-01-02T00:00:00Z"}
+    rows = [good, {k: v for k, v in good.items() if k != "channel_title"}, good | {"more": 1}, {k: v for k, v in good.items() if k != "text"}, good | {"message_id": 0}, good | {"posted_at": "2024-01-03T00:00:00Z"}, good | {"channel": "1x"}]
+    (tmp_path / "m.jsonl").write_text("\n".join(map(json.dumps, rows)))
+    got = files.message_lines(spark, str(tmp_path / "m.jsonl")).orderBy("ordinal").collect()
+    assert [r["outcome"] for r in got] == ["record", "record", "extra", "missing", "message_id", "model", "channel"]
+    assert got[0]["url"] == "https://t.me/abcde/7"
+    post = {"author_profile_url": "https://www.linkedin.com/in/a", "author_name": "A", "text": "Hallo", "post_relative_age": "23h", "post_time_iso": "2024-03-01T00:00:00Z", "scraped_at": "2024-03-02T00:00:00Z"}
+    (tmp_path / "p.jsonl").write_text("\n".join(map(json.dumps, [post, post | {"extra": 1}, post | {"text": "1"}, post | {"scraped_at": "then"}])))
+    assert [r["outcome"] for r in files.post_lines(spark, str(tmp_path / "p.jsonl")).orderBy("ordinal").collect()] == ["record", "extra", "text", "scraped_at"]
+
+
+def test_collected(spark):
+    pages = spark.createDataFrame([("a", dt.datetime(2024, 1, 1)), ("b", dt.datetime(2024, 1, 3))], "page string, captured_at timestamp")
+    late, soon = F.lit(dt.datetime(2024, 1, 3, 1)), F.lit(dt.datetime(2024, 1, 3, 0, 10))
+    assert [r["page"] for r in files.collected(pages, soon).collect()] == ["b"]
+    assert files.collected(pages, late).count() == 0 and files.collected(pages, late, force=True).count() == 1
+    assert files.collected(pages.limit(0), late, force=True).count() == 0
+
+
+def test_intermediate_tables_go(spark):
+    from millrace.sources import shared
+
+    df = shared.materialised(spark.range(3), "x")
+    assert df.count() == 3
+    path = df.inputFiles()[0]
+    shared.discard(df)
+    assert not spark._jvm.java.io.File(path.removeprefix("file:").replace("///", "/")).exists()
+
+
 GIVEN = {k: 3 for k in config.INTEGERS} | {"pg_down_delay": [300.0, 800], "scroll_fraction": [0.6, 0.9]}
 
 
-@pytest.mark.parametrize("change", [{"settle_ms": 0}, {"settle_ms": "x"}, {"pg_down_delay": [2, 1]}, {"pg_down_delay": [1]}, {"scroll_fraction": [0.5, 1.1]}, {"max_posts": None}])
+@pytest.mark.parametrize("change", [{"settle_ms": 0}, {"settle_ms": "x"}, {"pg_down_delay": [2, 1]}, {"pg_down_delay": [1]}, {"scroll_fraction": [0.5, 1.1]}, {"max_posts": None}, {"stuck_limit": True}, {"scroll_fraction": [0.5, "1"]}])
 def test_config_refuses(change):
     with pytest.raises(config.ConfigError):
         config.AcquisitionConfig.of(GIVEN | change)
@@ -227,12 +288,12 @@ def test_config(tmp_path):
             config.read_json(str(tmp_path / "c.json"))
     with pytest.raises(config.ConfigError):
         config.AcquisitionConfig.read(str(tmp_path / "none.json"))
-    with pytest.raises(config.ConfigError):
-        config.AcquisitionConfig.of({k: v for k, v in GIVEN.items() if k != "max_posts"})
+    with pytest.raises(config.ConfigError, match="settle_ms must be at least 1; max_posts is missing"):
+        config.AcquisitionConfig.of({k: v for k, v in GIVEN.items() if k != "max_posts"} | {"settle_ms": 0})
     assert config.sources({"sources": {"a": "file", "b": {"file": {"group_urls": ["u"]}}}}) == [("a", "file", []), ("b", "file", ["u"])]
 
 
-def test_envelope(spark):
+def test_envelope(spark, tmp_path):
     rows = spark.sql("SELECT * FROM VALUES (1, 0.9D), (2, 0.1D), (3, null) AS t(n, v)")
     scoring = F.when(F.col("v").isNotNull(), F.array(E.score("m", "job", F.col("v"))))
     now = F.lit(dt.datetime(2024, 1, 1))
@@ -240,6 +301,10 @@ def test_envelope(spark):
     assert len({r["id"] for r in posts.collect()}) == 3
     assert [r["n"] for r in E.outbox(posts, posts.limit(0), "job", 0.5).collect()] == [1]
     assert E.outbox(posts, posts.select("id"), "job", 0.5).count() == 0
+    table = str(tmp_path / "posts")
+    for _ in range(2):
+        E.write_posts(posts, table)
+        assert posts.sparkSession.read.parquet(table).count() == 3
     got = posts.select(F.try_variant_get("metadata.platform_data", "$.a[0]", "int"), E.source_type(F.col("metadata.source.path")), "status.state", "metadata.schema_version").first()
     assert tuple(got) == (1, "web", "parsed", 1)
 
