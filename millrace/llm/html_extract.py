@@ -29,19 +29,27 @@ from .common import small_batches
 
 #: Fixed values of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea title iframe svg math object xmp noembed noframes".split())
+RAW = frozenset("script style noscript template textarea title iframe xmp noembed noframes".split())
 BLOCK = frozenset(
     "html body head address article aside blockquote center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr li main menu nav ol p pre search section summary table tbody td tfoot th thead tr ul button select option label caption".split()
 )
-#: An opening tag of the first ends an open one of the second, up to the third.
-IMPLIED = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"})}
-CLOSES_P = BLOCK - {"button", "select", "option", "label", "html", "body", "head"}
+#: Open elements that an opening tag may end, by group: the elements, and what shields them when it lies between.
+GROUPS = {
+    "p": ({"p"}, BLOCK - {"p"}), "foreign": ({"svg", "math"}, BLOCK | {"foreignobject", "desc"}), "li": ({"li"}, {"ul", "ol", "menu"}), "d": ({"dt", "dd"}, {"dl"}),
+    "row": ({"tr", "td", "th"}, {"table"}), "cell": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"}),
+}
+#: The groups whose highest open element a tag ends.
+ENDS = {t: ("foreign", "p") for t in BLOCK - {"button", "select", "option", "label", "html", "body", "head"}}
+ENDS |= {t: (*ENDS.get(t, ()), g) for t, g in {"li": "li", "dt": "d", "dd": "d", "tr": "row", "td": "cell", "th": "cell", "option": "option"}.items()}
+#: The groups that a tag shields, and those that it is one of.
+_SHIELDS = {t: tuple(g for g, (_, stop) in GROUPS.items() if t in stop) for _, stops in GROUPS.values() for t in stops}
+_MEMBER = {t: tuple(g for g, (own, _) in GROUPS.items() if t in own) for owns, _ in GROUPS.values() for t in owns}
 #: Never main text, whatever the trees say: what isn't shown, and what takes input.
 NEVER = frozenset("script style noscript template textarea title iframe svg math object head select option button input label".split())
 
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+_NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
+_END_OR_QUOTE = re.compile(r"[>\"']")
 _ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
-_SPACE = re.compile(r"[ \t\n\r\f]+")
 _WORD = re.compile(r"\w+")
 
 #: What attributes call the main text and what surrounds it (roots of tokens).
@@ -52,7 +60,7 @@ BAD = (
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "parent", "children", "depth", "index")
+    __slots__ = ("tag", "attrs", "parent", "children", "depth", "index", "block", "scope")
 
     def __init__(self, tag: str, attrs: str, parent: Node | None):
         self.tag, self.attrs, self.parent = tag, attrs, parent
@@ -60,68 +68,106 @@ class Node:
         self.children: list[Node | str] = []
         self.depth = parent.depth + 1 if parent else 0
         self.index = 0
-
-
-MAX_DEPTH = 400
+        #: The nearest block from here up, and of each group the highest open element that nothing shields.
+        self.block: Node = self if parent is None or tag in BLOCK else parent.block
+        self.scope: dict[str, Node] = parent.scope if parent else {}
+        shields, member = _SHIELDS.get(tag, ()), _MEMBER.get(tag, ())
+        if member or any(g in self.scope for g in shields):
+            self.scope = {g: x for g, x in self.scope.items() if g not in shields}
+            for g in member:
+                self.scope.setdefault(g, self)
+
+
+class _Scanner:
+    """Finds where tags end. Each kind of thing that turns out not to close is remembered, so a page is read once, whatever it holds."""
+
+    def __init__(self, page: str):
+        self.page, self.quotes, self.cdata = page, True, True
+
+    def tag_end(self, at: int) -> int:
+        """Of the tag that starts at: the place of its `>`, one within a quoted value not counting; -1 if there is none. After a quote that is never closed quotes mean nothing."""
+        page, here = self.page, at
+        while self.quotes and (m := _END_OR_QUOTE.search(page, here)):
+            if m.group() == ">":
+                return m.start()
+            here = page.find(m.group(), m.end()) + 1
+            self.quotes = here > 0
+        self.quotes = False
+        return page.find(">", at)
+
+    def markup(self, at: int) -> tuple[int, str]:
+        """Of a comment, declaration or CDATA section that starts at: its end, and the text that it gives."""
+        page = self.page
+        if page.startswith("<!--", at):
+            end = page.find("-->", at + 4)
+            return (end + 3 if end >= 0 else len(page)), ""
+        if self.cdata and page.startswith("<![CDATA[", at):
+            end = page.find("]]>", at)
+            if end >= 0:
+                return end + 3, page[at + 9 : end].replace("&", "&amp;")
+            self.cdata = False
+        end = page.find(">", at)
+        return (end + 1 if end >= 0 else len(page)), ""
 
 
 def parse(page: str) -> Node:
-    """A tree of any string: unclosed and misplaced tags are closed where HTML implies it."""
+    """A tree of any string, in time that its length bounds: unclosed and misplaced tags are closed where HTML implies it, an end tag that closes nothing is dropped."""
     root = here = Node("#root", "", None)
-    at, end = 0, len(page)
+    scan, at, end = _Scanner(page), 0, len(page)
+    opened: dict[tuple[int, str], int] = {}  # by block and tag (blocks: by tag alone): how many are open
+
+    def counted(x: Node) -> tuple[int, str]:
+        return (0 if x.tag in BLOCK else id(x.block)), x.tag
+
+    def up_to(x: Node) -> None:
+        """Closes all below x."""
+        nonlocal here
+        while here is not x:
+            opened[counted(here)] -= 1
+            here = here.parent
+
     while at < end:
-        m = _TAG.search(page, at)
-        if m is None:
+        start = page.find("<", at)
+        if start < 0:
             here.children.append(page[at:])
             break
-        if m.start() > at:
-            here.children.append(page[at : m.start()])
-        at = m.end()
-        if m.group(2) is None:
-            if m.group().startswith("<![CDATA["):
-                here.children.append(entities.unescape(m.group()[9:-3]).replace("&", "&amp;"))
+        if start > at:
+            here.children.append(page[at:start])
+        if page[start + 1 : start + 2] in ("!", "?"):
+            at, text = scan.markup(start)
+            if text:
+                here.children.append(text)
+            continue
+        m = _NAME.match(page, start)
+        stop = scan.tag_end(m.end()) if m else -1
+        if m is None or stop < 0:
+            # no tag: the sign is text; where no tag can end any more, so is the rest
+            at = start + 1 if m is None else end
+            here.children.append(page[start:at])
             continue
-        tag = m.group(2).lower()
-        if m.group(1):
-            x = here
-            while x.parent and x.tag != tag:
-                x = x.parent
-            if x.parent and not (tag not in BLOCK and _crosses_block(here, x)):
-                here = x.parent
+        tag, attrs, at = m.group(1).lower(), page[m.end() : stop], stop + 1
+        if page[start + 1] == "/":
+            if opened.get((0 if tag in BLOCK else id(here.block), tag)):
+                x = here
+                while x.tag != tag:
+                    x = x.parent
+                up_to(x.parent)
             continue
-        if tag in CLOSES_P:
-            x = here
-            while x.parent and (x.tag == "p" or x.tag not in BLOCK):
-                if x.tag == "p":
-                    here = x.parent
-                x = x.parent
-        if tag in IMPLIED:
-            own, stop = IMPLIED[tag]
-            x = here
-            while x.parent and x.tag not in stop:
-                if x.tag in own:
-                    here = x.parent
-                x = x.parent
-        node = Node(tag, m.group(3), here)
+        for group in ENDS.get(tag, ()):
+            if (x := here.scope.get(group)) is not None:
+                up_to(x.parent)
+        node = Node(tag, attrs, here)
         here.children.append(node)
         if tag in RAW:
             close = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
             node.children.append(page[at : close.start() if close else end])
             at = close.end() if close else end
-        elif tag not in VOID and not m.group(3).rstrip().endswith("/") and node.depth < MAX_DEPTH:
+        elif tag not in VOID and not attrs.rstrip().endswith("/"):
             here = node
+            opened[counted(node)] = opened.get(counted(node), 0) + 1
     return root
 
 
-def _crosses_block(here: Node, up: Node) -> bool:
-    x = here
-    while x is not up:
-        if x.tag in BLOCK:
-            return True
-        x = x.parent
-    return False
-
-
 TAGS = {t: i for i, t in enumerate("article main section div p h1 h2 h3 h4 li ul ol nav header footer aside form table td tr pre blockquote figure figcaption a span body b".split())}
 _KINDS = {"nav": 0, "menu": 0, "header": 1, "footer": 1, "aside": 2, "form": 2, "dialog": 2, "article": 3, "main": 3}
 _HEADINGS, _LISTS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6")), frozenset(("li", "ul", "ol"))
@@ -305,7 +351,7 @@ def blocks(root: Node, nodes: list[Node], kept: list[bool]) -> list[str]:
     run: list[str] = []
 
     def close() -> None:
-        if text := _SPACE.sub(" ", entities.unescape("".join(run)).replace("\xa0", " ")).strip():
+        if text := " ".join("".join(run).split()):  # white space of any kind
             out.append(text)
         run.clear()
 
@@ -320,7 +366,7 @@ def blocks(root: Node, nodes: list[Node], kept: list[bool]) -> list[str]:
         child = node.children[at]
         if isinstance(child, str):
             if node.tag not in ("#root", "html", "body") or child.strip():
-                run.append(child)
+                run.append(entities.unescape(child))
         elif child.tag in NEVER or not kept[child.index]:
             if child.tag in BLOCK:
                 close()

@@ -21,11 +21,12 @@ nothing. Rows of equal keys are one document; a null key is its own component, n
 from __future__ import annotations
 
 import itertools
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import small_batches, written
@@ -34,8 +35,6 @@ from .packs import by_shard, compress, expand, from_six, packed, six, unpack
 
 #: Two sets link if 100 * intersection >= PERCENT * union; the derivations below hold for any percentage.
 PERCENT, WORDS = 80, 5
-#: The largest boundary that is tried: sets below it may be enumerated.
-MAX_SMALL = 13
 #: Rows of a list, and of a family, that are compared in one go; larger lists name a family at once, larger families are cut into blocks.
 LIMIT, FAMILY = 2048, 256
 #: Bits of the parity bitmap, 64 to a word.
@@ -130,6 +129,19 @@ def prefix_size(n: int, percent: int = PERCENT) -> int:
     return n - -(-percent * n // 100) + 1
 
 
+def subset_count(n: int, shared: int, percent: int = PERCENT) -> int:
+    """How many subsets() gives for a set of n n-grams, of which so many are in other documents."""
+    return sum(math.comb(shared, t) for t in {shared_size(n, m, percent) for m in partner_sizes(n, percent)} if 0 < t <= min(n, shared))
+
+
+def largest_boundary(percent: int = PERCENT, limit: int = LIMIT) -> int:
+    """The size from which on enumeration costs more than any lists can: a list costs a row of it for each other, limit at most, as longer lists aren't compared."""
+    n = 1
+    while subset_count(n, n, percent) <= prefix_size(n, percent) * limit:
+        n += 1
+    return n
+
+
 def subsets(tokens: np.ndarray, n: int, percent: int = PERCENT) -> np.ndarray:
     """Hashes of the subsets of tokens that a set of n n-grams (the others being in no other document) may share with a set that links."""
     out = []
@@ -298,10 +310,11 @@ def _compare_families(sets: DataFrame, percent: int, limit: int) -> DataFrame:
     return edges.unionByName(near.select("a", "b")).unionByName(rest)
 
 
-def join_similar(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, text: str = "text", key: str = "doc_id", limit: int = LIMIT, family: int = FAMILY) -> DataFrame:
-    """key, n_shingles, component_id (the least key that is reachable by links, the row's own included): a row for each of docs."""
+def join_similar(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, text: str = "text", key: str = "doc_id", limit: int = LIMIT, family: int = FAMILY, boundary: int | None = None) -> DataFrame:
+    """key, n_shingles, component_id (the least key that is reachable by links, the row's own included): a row for each of docs. The boundary between small and large sets is chosen by cost if it isn't given."""
     spark = docs.sparkSession
     small_batches(spark)
+    top = largest_boundary(percent, limit) if boundary is None else boundary
     given = docs.select(F.col(key).cast("long").alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     rows = given.where("key is not null").select("key", F.concat(F.col("text"), F.lit("\n")).cast("binary").alias("text"))
 
@@ -367,20 +380,32 @@ def join_similar(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, te
                         t, l = tokens[a : a + n], of[a : a + n]
                         rare = np.lexsort((t, l))[: prefix_size(n, percent)]
                         rare = rare[l[rare] > 0]
-                        some = subsets(t[l > 0], n, percent) if n < MAX_SMALL else t[:0]
-                        if len(rare) or len(some):
-                            scan = int(np.left_shift(1, l[rare].astype(np.int64)).sum())
-                            out.append((k, n, t.tobytes(), parity(t).tobytes(), t[rare].view(np.int64).tolist(), some.view(np.int64).tolist(), scan))
-            return pd.DataFrame(out, columns=["node", "n", "tokens", "bits", "prefix", "subsets", "scan"])
+                        shared = l > 0
+                        if len(rare) or shared.any():
+                            level_of_rare = np.left_shift(1, np.minimum(l[rare], 40).astype(np.int64))
+                            cost = subset_count(n, int(shared.sum()), percent) if n < top else 0
+                            out.append((k, n, t.tobytes(), parity(t).tobytes(), t[rare].view(np.int64).tolist(), np.packbits(shared).tobytes(), cost, int(np.minimum(level_of_rare, limit).sum())))
+            return pd.DataFrame(out, columns=["node", "n", "tokens", "bits", "prefix", "shared", "subsets", "scan"])
 
         taken = packs.groupBy("part").cogroup(answers.repartition(buckets, "part").groupBy("part"))
-        sets = written(taken.applyInPandas(take, "node long, n long, tokens binary, bits binary, prefix array<long>, subsets array<long>, scan long"), "candidates")
+        sets = written(taken.applyInPandas(take, "node long, n long, tokens binary, bits binary, prefix array<long>, shared binary, subsets long, scan long"), "candidates")
 
     # the boundary: sets below it are enumerated; lists are scanned for the others, and for those below that may link to them
-    cost = {r["n"]: (r["s"], r["t"]) for r in sets.where(F.col("n") <= MAX_SMALL).groupBy("n").agg(F.sum(F.size("subsets")).alias("s"), F.sum("scan").alias("t")).collect()}
     listed = lambda x: -(-percent * x // 100)
-    boundary = min(range(1, MAX_SMALL + 1), key=lambda x: (sum(s for n, (s, _) in cost.items() if n < x) + sum(t for n, (_, t) in cost.items() if n >= listed(x)), x))
-    lists = sets.select("node", "n", "bits", F.explode(_lists(boundary, listed(boundary))).alias("list"))
+    if boundary is None:
+        cost = {r["n"]: (r["s"], r["t"]) for r in sets.where(F.col("n") <= top).groupBy("n").agg(F.sum("subsets").alias("s"), F.sum("scan").alias("t")).collect()}  # a row for each size up to top
+        boundary = min(range(1, top + 1), key=lambda x: (sum(s for n, (s, _) in cost.items() if n < x) + sum(t for n, (_, t) in cost.items() if n >= listed(x)), x))
+
+    def enumerate_subsets(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            for r in part.itertuples():
+                t = np.frombuffer(r.tokens, np.uint64)
+                own = subsets(t[np.unpackbits(np.frombuffer(r.shared, np.uint8), count=len(t)).astype(bool)], r.n, percent)
+                if len(own):
+                    yield pd.DataFrame({"node": r.node, "n": r.n, "bits": [r.bits] * len(own), "list": own.view(np.int64)})
+
+    small = sets.where(F.col("n") < boundary).select("node", "n", "bits", "tokens", "shared").mapInPandas(enumerate_subsets, "node long, n long, bits binary, list long")
+    lists = small.unionByName(sets.where(F.col("n") >= listed(boundary)).select("node", "n", "bits", F.explode("prefix").alias("list")))
     families = components(_edges_of(lists, percent, limit))
     members = sets.select("node", "n", "bits", "tokens").join(families.withColumnRenamed("comp", "family"), "node")
     linked = components(_compare_families(members, percent, family))
@@ -393,12 +418,6 @@ def join_similar(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, te
     return out.select(F.col("key").alias(key), F.col("n").alias("n_shingles"), F.col("comp").alias("component_id"))
 
 
-def _lists(boundary: int, listed: int) -> Column:
-    """The inverted lists that a set is in: its subsets if it is small, its first n-grams if it may link to a large set."""
-    none = F.array().cast("array<long>")
-    return F.concat(F.when(F.col("n") < boundary, F.col("subsets")).otherwise(none), F.when(F.col("n") >= listed, F.col("prefix")).otherwise(none))
-
-
 def keep_one(docs: DataFrame, found: DataFrame, key: str = "doc_id") -> DataFrame:
     """docs without those that a smaller key's component already has: one document of each component stays, its least key."""
     stay = found.where(F.col("component_id").isNull() | (F.col(key) == F.col("component_id"))).select(F.col(key).alias("_stay")).distinct()

@@ -106,6 +106,41 @@ judged AS (
 SELECT page_id, host, path, rule,
   CASE WHEN rule IN ('example.com/en/', 'net/es/', 'net/fr/') THEN 'block' ELSE 'allow' END AS verdict
 FROM judged
+""",
+    "op2_jaccard_join": r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+sh AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM w WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+meet AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+link AS (SELECT a, b FROM meet JOIN sizes x ON a = x.doc_id JOIN sizes y ON b = y.doc_id WHERE 100 * k >= 80 * (x.n + y.n - k)),
+pair AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+reach AS (SELECT a, b FROM pair UNION SELECT reach.a, pair.b FROM reach JOIN pair ON reach.b = pair.a)
+SELECT w.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, least(w.doc_id, coalesce((SELECT min(b) FROM reach WHERE a = w.doc_id), w.doc_id)) AS component_id
+FROM w LEFT JOIN sizes USING (doc_id)
+""",
+    # the pages of the driver hold their main text in one article, in headings and paragraphs
+    "op3_html_extraction": r"""
+WITH a AS (SELECT page_id, url, regexp_extract(coalesce(html, ''), '(?is)<article[^>]*>(.*?)</article>', 1) AS x FROM pages),
+b AS (SELECT page_id, url, string_split(regexp_replace(regexp_replace(regexp_replace(x, '(?i)</?(?:h[1-6]|p|ul|ol|li|div|section|blockquote|table|tr|td|th|pre)(?: [^>]*)?>', chr(1), 'g'), '(?i)<br ?/?>', ' ', 'g'), '(?s)<!--.*?-->|<[^>]*>', '', 'g'), chr(1)) AS parts FROM a),
+c AS (SELECT page_id, url, array_to_string(list_filter(list_transform(parts, lambda t: trim(regexp_replace(
+  replace(replace(replace(replace(replace(replace(replace(replace(t, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', chr(39)), '&nbsp;', ' '), '&copy;', '©'), '&middot;', '·'), '&amp;', '&'),
+  '[\x09-\x0D\x1C-\x20\x{85}\x{A0}\x{2000}-\x{200A}\x{2028}\x{2029}\x{3000}]+', ' ', 'g'))), lambda t: t <> ''), chr(10)) AS text FROM b)
+SELECT page_id, url, text, CAST(length(text) AS BIGINT) AS n_chars FROM c
+""",
+    "op4_suffix_dedup": r"""
+WITH n AS (SELECT doc_id, encode(coalesce(text, '')) AS h, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+pos AS (SELECT doc_id, i, array_slice(h, i + 1, i + 50) AS s FROM (SELECT doc_id, h, unnest(range(0, n - 49)) AS i FROM n WHERE n >= 50)),
+first AS (SELECT s, min(doc_id) AS least FROM pos GROUP BY s),
+hit AS (SELECT DISTINCT doc_id, i FROM pos JOIN first USING (s) WHERE least < doc_id),
+run AS (SELECT doc_id, i, sum(CASE WHEN i > prev + 50 OR prev IS NULL THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i) AS r FROM (SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS prev FROM hit)),
+span AS (SELECT doc_id, min(i) AS a, max(i) + 50 AS b FROM run GROUP BY doc_id, r),
+gap AS (SELECT doc_id, b AS a, lead(a) OVER (PARTITION BY doc_id ORDER BY a) AS b FROM span UNION ALL SELECT doc_id, 0, min(a) FROM span GROUP BY doc_id),
+kept AS (SELECT doc_id, string_agg(hex(array_slice(h, a + 1, coalesce(b, n))), '' ORDER BY a) AS k FROM gap JOIN n USING (doc_id) GROUP BY doc_id),
+gone AS (SELECT doc_id, sum(b - a) AS removed, count(*) AS spans FROM span GROUP BY doc_id)
+SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(spans, 0) AS BIGINT) AS n_spans, sha256(coalesce(unhex(k), h)) AS kept_sha256
+FROM n LEFT JOIN gone USING (doc_id) LEFT JOIN kept USING (doc_id)
 """,
     "op6_decontamination": r"""
 WITH dw AS (

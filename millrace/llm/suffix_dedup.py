@@ -6,10 +6,11 @@ key. Strings are judged on the input and never cross documents.
 The index is a family of sparse suffix arrays. Of every string of `length` bytes, the k-gram with the least
 hash is its anchor, wherever the string stands, so equal strings share their anchor. Suffixes are indexed at
 anchors only, each with the bytes of all strings that chose the anchor. They are dealt to shards by the
-anchor's hash. In a shard, each new batch gets a sorted suffix array, and arrays of about one size are merged, so
-there are logarithmically many. No batch is scanned against the levels: once all batches are in, the levels are
-settled into one array, and a sort of its strings for each offset from the anchor finds those that start in a
-smaller document.
+anchor's hash. In a shard, the family has logarithmically many levels, each a sorted suffix array: a new batch
+gets a suffix array, it is scanned against every level for strings that they share (a binary search finds the
+suffixes of a level whose anchor the batch has; only these are compared), both sides keep which of their strings
+start in a smaller document, and then levels of about the batch's size are merged with it. So each suffix is
+compared when it comes, and after that only with those that share its anchor.
 
 Steps, over parts of the corpus that are packed once into a bucketed table and never shuffled again:
 1. each part sends the hashes of its anchors, and the shards answer, a bit each, which occur in two documents;
@@ -149,68 +150,100 @@ def _strings(rows: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Level:
-    """A suffix array: sorted rows, each once, with the smallest key that has it."""
+    """A suffix array: sorted rows, each once, with the smallest key that has it, and a bit for each string of the row that is known to start in a document with a key smaller than that."""
 
     rows: np.ndarray
     keys: np.ndarray
+    bits: np.ndarray
 
     @staticmethod
-    def of(rows: np.ndarray, keys: np.ndarray) -> Level:
-        """rows as strings in any order, perhaps repeated."""
+    def of(rows: np.ndarray, keys: np.ndarray, bits: np.ndarray | None = None) -> Level:
+        """rows as strings in any order, perhaps repeated. Of equal rows the one of the smallest key stays, with its bits: what is earlier than another need not be earlier than it."""
+        bits = np.zeros(len(rows), dtype=np.uint64) if bits is None else bits
         if not len(rows):
-            return Level(rows, keys)
+            return Level(rows, keys, bits)
         order = np.argsort(rows, kind="stable")
-        rows, keys = rows[order], keys[order]
-        first = np.flatnonzero(np.append(True, rows[1:] != rows[:-1]))
-        return Level(rows[first], np.minimum.reduceat(keys, first))
+        first = np.flatnonzero(np.append(True, rows[order][1:] != rows[order][:-1]))
+        run = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(rows))))
+        order = order[np.lexsort((keys[order], run))]
+        return Level(rows[order][first], keys[order][first], bits[order][first])
+
+    def sharing(self, prefixes: np.ndarray, k: int) -> np.ndarray:
+        """Places of the rows that start with one of some sorted prefixes of k bytes."""
+        own = _strings(self.rows.view(np.uint8).reshape(len(self.rows), -1)[:, :k]) if len(self.rows) else np.zeros(0, dtype=f"S{k}")
+        low, high = np.searchsorted(own, prefixes, side="left"), np.searchsorted(own, prefixes, side="right")
+        size = high - low
+        return np.repeat(low - np.cumsum(size) + size, size) + np.arange(size.sum())
+
+    def find(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where rows are, and whether they are."""
+        at = np.minimum(np.searchsorted(self.rows, rows), max(0, len(self.rows) - 1))
+        return at, self.rows[at] == rows if len(self.rows) else np.zeros(len(rows), dtype=bool)
+
+
+def earlier(rows: np.ndarray, keys: np.ndarray, shape: Shape) -> np.ndarray:
+    """For each of some rows, a bit for each of its strings that another row has with a smaller key."""
+    out = np.zeros(len(rows), dtype=np.uint64)
+    table = rows.view(np.uint8).reshape(-1, shape.row)
+    text = np.concatenate((table[:, shape.length : shape.length + shape.reach - 1][:, ::-1], table[:, : shape.length]), axis=1)
+    right, left = table[:, -2].astype(int), table[:, -1].astype(int) - 1
+    with np.errstate(over="ignore"):
+        power, last = np.uint64(1), shape.reach - 1
+        h = np.zeros(len(rows), dtype=np.uint64)
+        for j in range(shape.length):
+            h = h * _MULTIPLY + _TABLE[text[:, j]]
+            power = power * _MULTIPLY if j else power
+        for start in range(shape.reach):  # the hash rolls along the text; equal hashes are compared by their bytes
+            before = last - start
+            use = np.flatnonzero((before <= left) & (shape.length - before <= right))
+            use = use[np.argsort(h[use], kind="stable")]
+            same = h[use][1:] == h[use][:-1]
+            if same.any():
+                use = use[np.append(same, False) | np.append(False, same)]
+                strings = text[use, start : start + shape.length]
+                same = (h[use][1:] == h[use][:-1]) & (strings[1:] == strings[:-1]).all(axis=1)
+                first = np.flatnonzero(np.append(True, ~same))
+                least = np.repeat(np.minimum.reduceat(keys[use], first), np.diff(np.append(first, len(use))))
+                out[use[least < keys[use]]] |= np.uint64(1) << np.uint64(before)
+            if before:
+                h = (h - _TABLE[text[:, start]] * power) * _MULTIPLY + _TABLE[text[:, start + shape.length]]
+    return out
 
 
 class SuffixFamily:
-    """Levels of geometrically growing sizes."""
+    """Levels of geometrically growing sizes; every batch is scanned against all of them when it comes."""
 
     def __init__(self, shape: Shape):
-        self.shape, self.levels = shape, []
+        self.shape, self.levels, self.compared = shape, [], 0
 
     def add(self, batch: Level) -> None:
-        """The batch becomes a level; levels of its size or less are merged with it."""
+        """Finds the strings that the batch shares with the levels and within itself; then it becomes a level, with which levels of its size or less are merged."""
+        if not len(batch.rows):
+            return
+        prefixes = np.unique(_strings(batch.rows.view(np.uint8).reshape(len(batch.rows), -1)[:, : self.shape.k]))
+        near = [level.sharing(prefixes, self.shape.k) for level in self.levels]
+        rows = np.concatenate([batch.rows, *(x.rows[at] for x, at in zip(self.levels, near, strict=True))])
+        keys = np.concatenate([batch.keys, *(x.keys[at] for x, at in zip(self.levels, near, strict=True))])
+        bits, done = earlier(rows, keys, self.shape), len(batch.rows)
+        self.compared += len(rows)
+        batch = Level(batch.rows, batch.keys, batch.bits | bits[:done])
+        for level, at in zip(self.levels, near, strict=True):
+            level.bits[at] |= bits[done : done + len(at)]
+            done += len(at)
         while self.levels and len(self.levels[-1].rows) <= 2 * len(batch.rows):
             old = self.levels.pop()
-            batch = Level.of(np.concatenate((old.rows, batch.rows)), np.concatenate((old.keys, batch.keys)))
+            batch = Level.of(*(np.concatenate((getattr(old, x), getattr(batch, x))) for x in ("rows", "keys", "bits")))
         self.levels.append(batch)
 
-    def settle(self) -> Level:
-        """All levels as one."""
-        while len(self.levels) > 1:
-            a, b = self.levels.pop(), self.levels.pop()
-            self.levels.append(Level.of(np.concatenate((a.rows, b.rows)), np.concatenate((a.keys, b.keys))))
-        return self.levels[0]
-
-    def earlier(self) -> np.ndarray:
-        """For each row of the one level: a bit for each string of the row that starts in a document with a key smaller than the row's."""
-        s, level = self.shape, self.settle()
-        out = np.zeros(len(level.rows), dtype=np.uint64 if s.reach > 32 else np.uint32)
-        table = level.rows.view(np.uint8).reshape(-1, s.row)
-        same = (table[1:, : s.k] == table[:-1, : s.k]).all(axis=1)
-        near = np.flatnonzero(np.append(same, False) | np.append(False, same))  # rows that share their anchor's text
-        if not len(near):
-            return out
-        table, keys = table[near], level.keys[near]
-        text = np.concatenate((table[:, s.length : s.length + s.reach - 1][:, ::-1], table[:, : s.length]), axis=1)
-        right, left, bits = table[:, -2].astype(int), table[:, -1].astype(int) - 1, np.zeros(len(near), dtype=out.dtype)
-        ones = np.ones((len(near), 1), dtype=np.uint8)
-        for before in range(s.reach):
-            use = np.flatnonzero((before <= left) & (s.length - before <= right))
-            if len(use) < 2:
-                continue
-            start = s.reach - 1 - before
-            strings = _strings(np.concatenate((text[use, start : start + s.length], ones[use]), axis=1))
-            order = np.argsort(strings, kind="stable")
-            ranked = strings[order]
-            first = np.flatnonzero(np.append(True, ranked[1:] != ranked[:-1]))
-            least = np.repeat(np.minimum.reduceat(keys[use][order], first), np.diff(np.append(first, len(ranked))))
-            hit = use[order[least < keys[use][order]]]
-            bits[hit] |= out.dtype.type(1) << out.dtype.type(before)
-        out[near] = bits
+    def hits(self, rows: np.ndarray, keys: np.ndarray) -> np.ndarray:
+        """Of rows of a batch that was added: a bit for each string that starts in a document with a key smaller than the row's."""
+        out = np.zeros(len(rows), dtype=np.uint64)
+        for level in self.levels:
+            at, there = level.find(rows)
+            if there.any():
+                out[there & (level.keys[at] < keys)] = ~np.uint64(0)
+                own = there & (level.keys[at] == keys)
+                out[own] |= level.bits[at[own]]
         return out
 
 
@@ -299,12 +332,12 @@ class _Part:
             keys.append(np.minimum.reduceat(k, first) if len(first) else k[:0])
             hashes.append(h[first])
         if not rows:
-            return Level(np.zeros(0, dtype=f"S{self.shape.row}"), np.zeros(0, dtype=np.int64)), np.zeros(0, dtype=np.uint64)
+            return Level.of(np.zeros(0, dtype=f"S{self.shape.row}"), np.zeros(0, dtype=np.int64)), np.zeros(0, dtype=np.uint64)
         r, k, h = np.concatenate(rows), np.concatenate(keys), np.concatenate(hashes)
         order = np.argsort(r, kind="stable")
         r, k, h = r[order], k[order], h[order]
         first = np.flatnonzero(np.append(True, r[1:] != r[:-1])) if len(r) else np.zeros(0, dtype=np.int64)
-        return Level(r[first], np.minimum.reduceat(k, first) if len(first) else k), h[first]
+        return Level(r[first], np.minimum.reduceat(k, first) if len(first) else k, np.zeros(len(first), dtype=np.uint64)), h[first]
 
 
 def find_repeats(docs: DataFrame, length: int = LENGTH, text: str = "text", key: str = "doc_id", with_text: bool = False) -> DataFrame:
@@ -349,14 +382,12 @@ def find_repeats(docs: DataFrame, length: int = LENGTH, text: str = "text", key:
         def answer_suffixes(sent: pd.DataFrame) -> pd.DataFrame:
             sent = sent.sort_values("part")
             family = SuffixFamily(shape)
-            for r, k in zip(sent["rows"], sent["keys"], strict=True):
-                family.add(Level(expand(r, f"S{shape.row}"), np.frombuffer(k, np.int64)))
-            bits, level, out = family.earlier(), family.settle(), []
-            every = bits.dtype.type(~bits.dtype.type(0))
-            for part, r, k in zip(sent["part"], sent["rows"], sent["keys"], strict=True):
-                at = np.searchsorted(level.rows, expand(r, f"S{shape.row}"))
-                mine = np.where(level.keys[at] < np.frombuffer(k, np.int64), every, bits[at])
-                if mine.any():
+            batches = [(expand(r, f"S{shape.row}"), np.frombuffer(k, np.int64)) for r, k in zip(sent["rows"], sent["keys"], strict=True)]
+            for r, k in batches:
+                family.add(Level.of(r, k))
+            out = []
+            for part, (r, k) in zip(sent["part"], batches, strict=True):
+                if (mine := family.hits(r, k)).any():
                     out.append((int(part), int(sent["shard"].iloc[0]), compress(mine)))
             return pd.DataFrame(out, columns=["part", "shard", "masks"])
 
@@ -367,8 +398,6 @@ def find_repeats(docs: DataFrame, length: int = LENGTH, text: str = "text", key:
         sent = own.cogroup(by_part(bits)).applyInPandas(send_suffixes, "shard int, part long, rows binary, keys binary")
         masks = written(sent.repartition(shards, "shard").groupBy("shard").applyInPandas(answer_suffixes, "part long, shard int, masks binary"), "masks")
         answers = bits.select("part", "shard", "bits", F.lit(None).cast("binary").alias("masks")).unionByName(masks.select("part", "shard", F.lit(None).cast("binary").alias("bits"), "masks"))
-        kind = np.uint64 if shape.reach > 32 else np.uint32
-
         def cut(own: pd.DataFrame, answer: pd.DataFrame) -> pd.DataFrame:
             out = []
             matched: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
@@ -377,15 +406,15 @@ def find_repeats(docs: DataFrame, length: int = LENGTH, text: str = "text", key:
                 p = _Part(own, shape)
                 shared = p.shared(answer[answer["bits"].notna()], shards)
                 level, h = p.unique(shared)
-                mask, given = np.zeros(len(level.rows), dtype=kind), dict(zip(answer["shard"][answer["masks"].notna()], answer["masks"][answer["masks"].notna()], strict=True))
+                mask, given = np.zeros(len(level.rows), dtype=np.uint64), dict(zip(answer["shard"][answer["masks"].notna()], answer["masks"][answer["masks"].notna()], strict=True))
                 for s, at in by_shard(h, shards):
                     if s in given:
-                        mask[at] = expand(given[s], kind)
+                        mask[at] = expand(given[s], np.uint64)
                 for number, r, k, _, start, a in p.runs(shared):
                     at = np.searchsorted(level.rows, r)
                     whole = level.keys[at] < k
                     for before in range(shape.reach):
-                        use = ((mask[at] >> kind(before)) & kind(1)).astype(bool) & ~whole & (a.at - before >= a.first) & (a.at - before <= a.last)
+                        use = ((mask[at] >> np.uint64(before)) & np.uint64(1)).astype(bool) & ~whole & (a.at - before >= a.first) & (a.at - before <= a.last)
                         if use.any():
                             hit = a.at[use] - before + start
                             matched.setdefault(number, []).append((hit, hit + shape.length))

@@ -122,8 +122,8 @@ def test_jaccard_small_sets(spark):
             texts += [" ".join(base[cut:]), " ".join(base[:-cut]), " ".join([*base, *(f"e{rnd.random()}" for _ in range(cut))])]
     comps = brute_components(brute_sets(texts))
     rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    for boundary in (jaccard.MAX_SMALL, 1):  # all lists, or subsets where they cost less
-        got = {r["doc_id"]: r["component_id"] for r in jaccard.join_similar(rows).collect()}
+    for boundary in (None, 1, 8, 16):  # by cost, all by lists, some of each, all by subsets
+        got = {r["doc_id"]: r["component_id"] for r in jaccard.join_similar(rows, boundary=boundary).collect()}
         assert got == dict(enumerate(comps)), boundary
 
 
@@ -198,6 +198,42 @@ def test_html_extraction_edge_rows(spark):
     assert got[2] == got[3] == got[5] == ("", 0)
 
 
+PARTED = "<body><article><h1>Some title here</h1><p>First part of the text, with words.</p>{}<p>Second part of the text, with more words.</p></article></body>"
+
+
+@pytest.mark.parametrize(
+    ("between", "text"),
+    [
+        ('<svg class="i"/>', ""),
+        ("<math/>", ""),
+        ("<object data=x></object>", ""),
+        ("<svg><path d=x /><title>no</title></svg>", ""),
+        ("<svg><g>", ""),  # never closed: a block ends it
+        ("<p>a\x0bb\u2003c\xa0d\x85and so on.</p>", "a b c d and so on.\n"),
+        ("<div>" * 1000 + "</div>" * 1000, ""),
+        ("<p>x &am<b>p; y</b> z it was.</p>", "x &amp; y z it was.\n"),  # no reference is made of two parts
+    ],
+)
+def test_html_extraction_between_paragraphs(between, text):
+    got = html_extract.extract(PARTED.format(between), html_extract.trained())
+    assert got == f"Some title here\nFirst part of the text, with words.\n{text}Second part of the text, with more words."
+
+
+@pytest.mark.parametrize("page", ["<a " * 330_000, "<a '" * 250_000 + ">", '<a "x>y" ' * 40_000, "<![CDATA[" * 110_000, "<!--" * 250_000, "<i>" * 60_000 + "<p>" * 60_000, "<b><div>" + "<i>" * 60_000 + "</b>" * 60_000, "<ul>" + "<i>" * 60_000 + "<li>" * 60_000])
+def test_html_parser_reads_a_page_once(page):
+    import time
+
+    began = time.process_time()
+    html_extract.parse(page)
+    assert time.process_time() - began < 5  # a parser that looks again from every tag takes minutes
+
+
+def test_html_extraction_repeated_rows(spark):
+    rows = spark.createDataFrame([(1, PARTED, "u")] * 2 + [(None, PARTED, None)], "page_id long, html string, n_chars string")
+    got = [tuple(r) for r in html_extract.extract_main_text(rows).collect()]
+    assert len(got) == 3 and len({r[1] for r in got}) == 1
+
+
 def test_decoding_is_hierarchical():
     root = html_extract.parse("<body><div><p>a b</p><p>c d</p></div></body>")
     nodes, _ = html_extract.featurise(root)
@@ -259,22 +295,37 @@ def test_suffix_dedup_edge_rows(spark, empty):
     assert got == [(4, 0, "é" + t), (5, len(t), ""), (5, len(t), ""), (None, len(t), "")]
 
 
-def test_suffix_family_levels():
+def test_suffix_family():
+    """Batches in any order of keys: hits of every batch against all others, few levels, few comparisons."""
     import numpy as np
 
     shape, rnd = suffix_dedup.Shape(50), np.random.default_rng(5)
-    family = suffix_dedup.SuffixFamily(shape)
-    seen = {}
-    for batch in range(40):
-        rows = rnd.integers(97, 99, (30, shape.row)).astype(np.uint8)
-        rows[:, 8:-1] = 97
-        rows = suffix_dedup._strings(rows)
-        for r in rows:
-            seen[r] = min(seen.get(r, 10**9), batch)
-        family.add(suffix_dedup.Level.of(rows, np.full(30, batch)))
+    family, batches, every = suffix_dedup.SuffixFamily(shape), [], []
+    words = rnd.integers(97, 123, (400, shape.row)).astype(np.uint8)
+    for batch in rnd.permutation(40):
+        rows = words[rnd.integers(0, 400, 30)].copy()
+        rows[rnd.random(30) < 0.5, 45:60] = rnd.integers(97, 99, 15)  # the same anchor in other places
+        rows[:, -2], rows[:, -1] = 50, rnd.integers(1, shape.reach + 1, 30)
+        level = suffix_dedup.Level.of(suffix_dedup._strings(rows), rnd.permutation(1000)[:30] * 40 + batch)
+        batches.append((level.rows, level.keys))
+        every += list(zip(level.rows, level.keys, strict=True))
+        family.add(level)
         assert len(family.levels) <= 9
-    level = family.settle()
-    assert dict(zip(level.rows, level.keys, strict=True)) == seen
+    assert family.compared <= 12 * len(every)  # a row meets those of its anchor, not the family
+
+    def strings(row):
+        r = row.ljust(shape.row, b"\0")
+        text = r[shape.length : shape.length + shape.reach - 1][::-1] + r[: shape.length]
+        return {o: text[shape.reach - 1 - o :][: shape.length] for o in range(r[-1])}
+
+    first = {}
+    for row, key in every:
+        for o, x in strings(row).items():
+            first[o, x] = min(first.get((o, x), 1 << 60), key)
+    for rows, keys in batches:
+        for row, key, bits in zip(rows, keys, family.hits(rows, keys), strict=True):
+            for o, x in strings(row).items():
+                assert bool(int(bits) >> o & 1) == (first[o, x] < key)
 
 
 # 5
