@@ -6,25 +6,25 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.shared import new_folder
-from ..sources.workers import ship
+from ..sources.workers import bounded_batches as small_batches
 
 #: The white space of the contracts: space, and tab to carriage return.
 SPACE = r"\x20\x09-\x0D"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
-#: Rows and bytes of an Arrow batch: long texts must not meet by the thousand in one Python worker.
-BATCH_ROWS, BATCH_BYTES = 1000, 8 << 20
+__all__ = ["LOWER", "SPACE", "UPPER", "ascii_lower", "fits", "free_name", "small_batches", "table", "unit_hash", "written"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Bounds what a Python worker holds at a time, and lets workers import this package."""
-    ship(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+def free_name(df: DataFrame, base: str) -> str:
+    """A name for a helper column that df doesn't have."""
+    taken = {c.lower() for c in df.columns}
+    while base.lower() in taken:
+        base += "_"
+    return base
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

@@ -1,7 +1,7 @@
 """Benchmark decontamination: a hash set of normalised test n-grams, against every token window of the corpus.
 
 A window is n consecutive words of a benchmark item; an item of fewer words, but not none, is one window.
-Every document position whose words may start a window passes a fixed bitmap first (four words of the
+Every document position whose words may start a window passes a bitmap first, sized by the windows (four words of the
 window are hashed), then joins the windows themselves on their whole text, so each hit is verified. The
 windows are broadcast while they are few; a larger benchmark is joined by a shuffle.
 
@@ -11,16 +11,18 @@ rows are judged each, as are rows with equal keys; an empty benchmark hits nothi
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, fits
+from .common import ascii_lower, fits, written
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: The same in a text that isn't lowered.
 WORD_ANY_CASE = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-#: Bits of the bitmap, as a power of two: it has the same size for any benchmark.
-BITMAP_POWER = 18
+#: Bits of the bitmap, as powers of two: the least, and the most (a literal of 65,536 numbers, 512 KB). It has eight bits for each window or more, up to the most; beyond that it lets more positions through to the join, which decides.
+LEAST_POWER, MOST_POWER = 18, 22
 #: Windows that are broadcast at most, of about 100 bytes each.
 BROADCAST_ROWS = 200_000
 
@@ -33,10 +35,10 @@ def _let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def _bit(words: Column, i: Column, size: int) -> Column:
-    """The bitmap's bit of the window of size words that starts at i."""
+def _bit(words: Column, i: Column, size: int, power: int = MOST_POWER) -> Column:
+    """The bit of the window of size words that starts at i, in a bitmap of 2 ** power bits."""
     at = sorted({0, size // 3, 2 * size // 3, size - 1})
-    return F.pmod(F.xxhash64(*(F.get(words, i + k) for k in at)), F.lit(1 << BITMAP_POWER)).cast("int")
+    return F.xxhash64(*(F.get(words, i + k) for k in at)).bitwiseAND(F.lit((1 << power) - 1)).cast("int")
 
 
 def windows(benchmark: DataFrame, n: int = 13, text: str = "text", item: str = "item_id") -> DataFrame:
@@ -55,12 +57,16 @@ def windows(benchmark: DataFrame, n: int = 13, text: str = "text", item: str = "
     return benchmark.select(F.col(item).alias("item"), F.explode(_let(words_of(F.col(text)), cut)).alias("w")).select("item", "w.*")
 
 
-def _candidates(words: Column, sizes: list[int], bitmap: Column) -> Column:
+def _power(windows: int) -> int:
+    return min(MOST_POWER, max(LEAST_POWER, windows.bit_length() + 3))
+
+
+def _candidates(words: Column, sizes: list[int], bitmap: Column, power: int) -> Column:
     """Positions of words that may start a window, with the words there."""
 
     def of(size: int) -> Column:
         def starts(i: Column) -> Column:
-            bit = _bit(words, i, size)
+            bit = _bit(words, i, size, power)
             return F.getbit(F.get(bitmap, F.shiftright(bit, 6)), bit.bitwiseAND(63)) == 1
 
         def cut(i: Column) -> Column:
@@ -81,15 +87,18 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, n: int = 13, perce
     cut = windows(benchmark, n, bench_text, item)
     known = cut.groupBy("size", "window", "bit").agg(F.array_sort(F.collect_set(F.col("item").cast("string"))).alias("items"))
     known = known.withColumn("set_id", F.xxhash64("items"))
-    # at most 2 ** (BITMAP_POWER - 6) rows and n sizes come to the driver
-    bits = known.groupBy(F.shiftright("bit", 6).alias("at")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("bit").bitwiseAND(63))).alias("word"), F.collect_set("size").alias("sizes")).collect()
+    known = written(known, "windows")
+    power = _power(known.count())
+    low = F.col("bit").bitwiseAND(F.lit((1 << power) - 1))  # the low bits of a hash make the smaller bitmap
+    # at most 2 ** (power - 6) rows and n sizes come to the driver
+    bits = known.groupBy(F.shiftright(low, 6).alias("at")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("bit").bitwiseAND(63))).alias("word"), F.collect_set("size").alias("sizes")).collect()
     sizes = sorted({s for r in bits for s in r["sizes"]})
     by_at = {r["at"]: r["word"] for r in bits}
-    # one literal array; a list of columns would cross to the JVM one by one
-    bitmap = F.expr("array(" + ",".join(f"bigint('{by_at.get(i, 0)}')" for i in range(1 << (BITMAP_POWER - 6))) + ")")
+    # folded to one literal array; a list of columns would cross to the JVM one by one
+    bitmap = F.from_json(F.lit(json.dumps([by_at.get(i, 0) for i in range(1 << (power - 6))])), "array<bigint>")
 
     def found(w: Column) -> Column:
-        return F.struct(F.size(w).cast("long").alias("n_words"), _candidates(w, sizes or [n], bitmap).alias("at"))
+        return F.struct(F.size(w).cast("long").alias("n_words"), _candidates(w, sizes or [n], bitmap, power).alias("at"))
 
     rows = docs.select(F.col(key).alias("_key"), F.monotonically_increasing_id().alias("_row"), _let(words_of(F.col(text)), found).alias("_found"))
     rows = rows.select("_key", "_row", "_found.n_words", F.explode_outer("_found.at").alias("at")).select("_key", "_row", "n_words", "at.*")

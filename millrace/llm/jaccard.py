@@ -15,7 +15,7 @@ isn't compared again, so a group of copies costs about its size, not its square.
 limit are cut into blocks that meet pairwise.
 
 A text of fewer words than n is one n-gram; a text without words, or null, has an empty set and links to
-nothing. Rows of equal keys are one document; a null key is its own component, null. Other columns are ignored.
+nothing. Rows of equal keys and texts are one document (a key must not stand for different texts); a null key is its own component, null. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -398,11 +398,15 @@ def join_similar(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, te
 
     def enumerate_subsets(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
-            for r in part.itertuples():
-                t = np.frombuffer(r.tokens, np.uint64)
-                own = subsets(t[np.unpackbits(np.frombuffer(r.shared, np.uint8), count=len(t)).astype(bool)], r.n, percent)
-                if len(own):
-                    yield pd.DataFrame({"node": r.node, "n": r.n, "bits": [r.bits] * len(own), "list": own.view(np.int64)})
+            held, lists, rows = [], [], 0
+            for i, (tokens, shared, n) in enumerate(zip(part["tokens"], part["shared"], part["n"], strict=True)):
+                t = np.frombuffer(tokens, np.uint64)
+                lists.append(subsets(t[np.unpackbits(np.frombuffer(shared, np.uint8), count=len(t)).astype(bool)], int(n), percent).view(np.int64))
+                held.append(np.full(len(lists[-1]), i))
+                rows += len(lists[-1])
+                if rows > 50_000 or i == len(part) - 1:
+                    yield part.iloc[np.concatenate(held)][["node", "n", "bits"]].assign(list=np.concatenate(lists))
+                    held, lists, rows = [], [], 0
 
     small = sets.where(F.col("n") < boundary).select("node", "n", "bits", "tokens", "shared").mapInPandas(enumerate_subsets, "node long, n long, bits binary, list long")
     lists = small.unionByName(sets.where(F.col("n") >= listed(boundary)).select("node", "n", "bits", F.explode("prefix").alias("list")))

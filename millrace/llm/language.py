@@ -1,7 +1,7 @@
 """Language ID: sparse multinomial logistic regression on TF-IDF character n-grams.
 
 Texts are lowered, everything but letters becomes a gap, and n-grams of one to three characters (gaps
-included) are hashed to 2 ** POWER columns. TF is 1 + ln(count), IDF comes from every training text, rows
+included) are hashed to 2 ** POWER columns. TF is 1 + ln(count), IDF comes from every training text with a language, rows
 have length one. Weights come from follow-the-regularised-leader steps with an elastic net over a bounded
 sample (SAMPLE texts a language, chosen by a hash of the key); a temperature, fitted on a fifth of the
 sample that takes no steps, calibrates the probabilities.
@@ -20,11 +20,13 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, unit_hash
+from .common import free_name, small_batches, unit_hash
 
 POWER = 15
-#: Texts of a language that steps are taken on, about; languages beyond the most frequent CLASSES aren't learned.
-SAMPLE, CLASSES = 500, 400
+#: Texts of a language that steps are taken on, about; and of all languages together (about 10 KB each on the driver).
+SAMPLE, SAMPLE_ROWS = 500, 40_000
+#: Languages that a model has room for (a megabyte each); with more training is refused, none is left out silently.
+LANGUAGES = 1000
 EPOCHS, ALPHA, BETA, L1, L2 = 4, 0.5, 1.0, 0.02, 0.02
 
 _letters: np.ndarray | None = None
@@ -124,12 +126,16 @@ def fit(classes: list[str], idf: np.ndarray, rows: list[tuple[np.ndarray, np.nda
 
 
 def train(docs: DataFrame, fold: Column, text: str = "text", lang: str = "lang", key: str = "doc_id", sample: int = SAMPLE) -> Model | None:
-    """Learns from the rows of docs where fold holds: IDF from all their texts, weights from about sample texts a language."""
+    """Learns from the rows of docs where fold holds: IDF from all their texts that have a language, weights from about sample texts a language."""
     small_batches(docs.sparkSession)
     own = docs.where(fold).select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(lang).alias("lang"))
-    sizes = own.where("lang is not null").groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(CLASSES).collect()
+    own = own.where("lang is not null")
+    sizes = own.groupBy("lang").count().limit(LANGUAGES + 1).collect()
     if not sizes:
         return None
+    if len(sizes) > LANGUAGES:
+        raise ValueError(f"more than {LANGUAGES} languages")
+    sample = max(5, min(sample, SAMPLE_ROWS // len(sizes)))
 
     def frequencies(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         df, n = np.zeros(1 << POWER, dtype=np.int64), 0
@@ -156,17 +162,18 @@ def train(docs: DataFrame, fold: Column, text: str = "text", lang: str = "lang",
 
     def features(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
-            out = [(r.key, r.lang, found[0].astype(np.int32), found[1].astype(np.int32)) for r in part.itertuples() if (found := counted(r.text))]
+            out = [(r.key, r.lang, found[0].astype(np.int32).tobytes(), found[1].astype(np.int32).tobytes()) for r in part.itertuples() if (found := counted(r.text))]
             yield pd.DataFrame(out, columns=["key", "lang", "at", "n"])
 
     kind = dict(own.dtypes)["key"]
-    chosen = own.where(unit_hash(F.col("key"), F.lit(8)) < share).mapInPandas(features, f"key {kind}, lang string, at array<int>, n array<int>")
+    chosen = own.where(unit_hash(F.col("key"), F.lit(8)) < share).mapInPandas(features, f"key {kind}, lang string, at binary, n binary")
     rows = sorted(chosen.orderBy(F.xxhash64("key")).collect(), key=lambda r: str(r["key"]))
     if not rows:
         return None
     classes = sorted({r["lang"] for r in rows})
+    number = {c: i for i, c in enumerate(classes)}
     order = np.random.default_rng(8).permutation(len(rows))
-    return fit(classes, idf, [(np.array(rows[i]["at"]), np.array(rows[i]["n"]), classes.index(rows[i]["lang"])) for i in order])
+    return fit(classes, idf, [(np.frombuffer(rows[i]["at"], np.int32), np.frombuffer(rows[i]["n"], np.int32), number[rows[i]["lang"]]) for i in order])
 
 
 def predict(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
@@ -179,5 +186,5 @@ def predict(docs: DataFrame, model: Model | None, text: str = "text") -> DataFra
         m = sent.value
         return pd.DataFrame([m.predict(x) if m else ("und", 0.0) for x in texts], columns=["lang", "score"])
 
-    kept = [F.col(f"`{c}`") for c in docs.columns if c not in ("lang_pred", "score", "_predicted")]
-    return docs.select(*kept, predicted(F.col(text)).alias("_predicted")).select(*kept, F.col("_predicted.lang").alias("lang_pred"), F.col("_predicted.score").alias("score"))
+    kept, found = [F.col(f"`{c}`") for c in docs.columns if c not in ("lang_pred", "score")], free_name(docs, "_predicted")
+    return docs.select(*kept, predicted(F.col(text)).alias(found)).select(*kept, F.col(f"{found}.lang").alias("lang_pred"), F.col(f"{found}.score").alias("score"))

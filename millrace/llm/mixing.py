@@ -9,7 +9,7 @@ undecided meet in ever fewer blocks of their source. The last dozen of a source
 choice and taking the one whose words come nearest to the balance.
 
 Null texts and texts without words have size 0 and are taken 0 words. Null sources are one source, the last.
-All randomness is a hash of the key, so reruns agree; documents of one key and source count as one each.
+All randomness is a hash of the key and the size, so reruns agree; rows of one key are drawn each by itself.
 An empty table gives an empty result.
 """
 
@@ -86,7 +86,7 @@ def landing(p: np.ndarray, size: np.ndarray) -> np.ndarray:
 
 def _fly(last: bool):
     def fly(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values(["draw", "key"], kind="stable").reset_index(drop=True)
+        part = part.sort_values(["draw", "key", "size"], kind="stable").reset_index(drop=True)
         size, p, draw = (part[c].to_numpy(dtype=float).copy() for c in ("size", "p", "draw"))
         # documents of like sizes decide among themselves: one far longer than the others would hardly move
         kind = np.floor(np.log2(np.maximum(size, 1)))
@@ -115,7 +115,7 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, limit: float = 3.
     spark = docs.sparkSession
     small_batches(spark)
     rows = sizes_of(docs.select(F.col(key).alias("key"), F.col(source).alias("source"), F.col(text).alias("_text")), "_text").drop("_text")
-    rows = written(rows, "sizes")  # the texts are read once
+    rows = written(rows.withColumn("row", F.monotonically_increasing_id()), "sizes")  # the texts are read once
     found = rows.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("n")).limit(MAX_SOURCES + 1).collect()
     if len(found) > MAX_SOURCES:
         raise ValueError(f"more than {MAX_SOURCES} sources")
@@ -126,23 +126,22 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, limit: float = 3.
     whole = F.floor(F.col("rate") + 1e-9)
     rows = rows.withColumn("whole", whole.cast("int")).withColumn("p", F.greatest(F.lit(0.0), F.col("rate") - F.col("whole")))
     rows = rows.withColumn("p", F.when(F.col("size") == 0, 0.0).otherwise(F.when(F.col("p") < 1e-9, 0.0).otherwise(F.col("p"))))
-    unit = f"key {dict(rows.dtypes)['key']}, source string, size long, p double, draw double, block long, blocks long"
-    open_ = rows.where("p > 0").select("key", "source", "size", "p", unit_hash(F.col("key"), F.lit(9)).alias("draw"), F.pmod(F.xxhash64("key", F.lit(90)), F.col("blocks")).alias("block"), "blocks")
+    unit = f"row long, key {dict(rows.dtypes)['key']}, source string, size long, p double, draw double, block long, blocks long"
+    open_ = rows.where("p > 0").select("row", "key", "source", "size", "p", unit_hash(F.col("key"), F.col("size"), F.lit(9)).alias("draw"), F.pmod(F.xxhash64("key", "size", F.lit(90)), F.col("blocks")).alias("block"), "blocks")
     decided, most = [], max((r["blocks"] for r in plan.collect()), default=0)
     while most > 0:
         out = open_.groupBy("source", "block").applyInPandas(_fly(most == 1), unit)
         out = written(out, f"flight{most}")
-        decided.append(out.where((F.col("p") == 0) | (F.col("p") == 1)).select("key", "source", (F.col("p") == 1).cast("int").alias("drawn")))
+        decided.append(out.where((F.col("p") == 0) | (F.col("p") == 1)).select("row", (F.col("p") == 1).cast("int").alias("drawn")))
         if most == 1:
             break
         meet = max(2, BLOCK // LEFT)
         fewer = F.greatest(F.lit(1).cast("long"), F.ceil(F.col("blocks") / meet))
-        open_ = out.where((F.col("p") > 0) & (F.col("p") < 1)).withColumn("blocks", fewer.cast("long")).withColumn("block", F.pmod(F.xxhash64("key", F.lit(91)), F.col("blocks")))
+        open_ = out.where((F.col("p") > 0) & (F.col("p") < 1)).withColumn("blocks", fewer.cast("long")).withColumn("block", F.pmod(F.xxhash64("key", "size", F.lit(91)), F.col("blocks")))
         most = -(-most // meet)
-    drawn = decided[0] if decided else rows.limit(0).select("key", "source", F.lit(0).alias("drawn"))
+    drawn = decided[0] if decided else rows.limit(0).select("row", F.lit(0).alias("drawn"))
     for more in decided[1:]:
         drawn = drawn.unionByName(more)
-    drawn = drawn.groupBy("key", "source").agg(F.max("drawn").alias("drawn")).withColumnRenamed("source", "_source").withColumnRenamed("key", "_key")
-    rows = rows.join(drawn, (rows["key"] == drawn["_key"]) & rows["source"].eqNullSafe(drawn["_source"]), "left")
+    rows = rows.join(drawn, "row", "left")
     copies = (F.col("whole") + F.coalesce("drawn", F.lit(0))).cast("int")
     return rows.select(F.col("key").alias(key), "size", "source_size", "target", F.least(copies, F.lit(int(limit))).alias("copies")).withColumn("taken", F.col("copies") * F.col("size"))

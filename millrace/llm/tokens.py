@@ -35,12 +35,27 @@ def _byte_letters() -> list[str]:
     return [chr(b) if b in plain else chr(256 + next(rest)) for b in range(256)]
 
 
+def unsupported(vocabulary: dict) -> list[str]:
+    """What a vocabulary file asks for that isn't built here; counts would be wrong without a word."""
+    model, split = vocabulary.get("model") or {}, vocabulary.get("pre_tokenizer") or {}
+    out = [f"model {model.get('type')}"] if model.get("type", "BPE") != "BPE" else []
+    out += [k for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "fuse_unk", "byte_fallback", "ignore_merges") if model.get(k)]
+    if split.get("type") != "ByteLevel" or split.get("add_prefix_space") or not split.get("use_regex", True):
+        out.append("pre_tokenizer")
+    if vocabulary.get("normalizer"):
+        out.append("normalizer")
+    out += [f"added token {x['content']!r}" for x in vocabulary.get("added_tokens") or [] if x.get("single_word") or x.get("lstrip") or x.get("rstrip")]
+    return out
+
+
 class MergeCounter:
     """Counts the tokens of texts under one vocabulary."""
 
     def __init__(self, vocabulary: dict):
         import regex
 
+        if faults := unsupported(vocabulary):
+            raise ValueError(f"this vocabulary isn't counted by byte-pair merging alone: {', '.join(faults)}")
         symbols = {x: i for i, x in enumerate(_byte_letters())}  # a byte's symbol is its number
         #: By left symbol, then right symbol: the rank of their merge. By rank: the symbol that it makes.
         self.rank: list[dict[int, int]] = [{} for _ in symbols]

@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, small_batches
+from .common import ascii_lower, free_name, small_batches
 
 #: Rules are held by every worker; a longer list must be split.
 MAX_RULES = 2_000_000
@@ -90,4 +90,5 @@ def filter_urls(rows: DataFrame, rules: Iterable[tuple[str, str]], url: str = "u
     host, path = host_and_path(F.col(url))
     kept = [F.col(f"`{c}`") for c in rows.columns if c not in ("host", "path", "rule", "verdict")]
     out = rows.select(*kept, host.alias("host"), path.alias("path"))
-    return out.withColumn("_judged", judged("host", "path")).select(*kept, "host", "path", "_judged.rule", "_judged.verdict")
+    found = free_name(out, "_judged")
+    return out.withColumn(found, judged("host", "path")).select(*kept, "host", "path", f"{found}.rule", f"{found}.verdict")

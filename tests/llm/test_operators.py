@@ -2,6 +2,7 @@
 
 import hashlib
 import json
+import os
 import random
 import re
 
@@ -74,6 +75,15 @@ def test_url_rules(spark):
         urls.UrlTrie([("maybe", "a/")])
 
 
+def test_url_ties_and_clashes(spark):
+    rows = spark.createDataFrame([("http://a.com/x", "mine")] * 2 + [(None, None)], "url string, _judged string")
+    both = [("allow", "a.com/x"), ("block", "a.com/x")]
+    got = urls.filter_urls(rows, both).select("_judged", "verdict").collect()
+    assert sorted(map(tuple, got), key=str) == [("mine", "block")] * 2 + [(None, "allow")]
+    long = "http://a.com/x" + "y" * 2_000_000
+    assert urls.filter_urls(spark.createDataFrame([(long,)], "url string"), both).first()["path"] == long[12:]
+
+
 # 2
 
 
@@ -418,6 +428,17 @@ def test_decontamination(spark, docs, texts, empty):
         assert brute_hits(cut[i], [])[0] == n - hit
 
 
+def test_decontamination_sizes_its_bitmap(spark):
+    """More windows than the least bitmap is for; every item is found in its document and in no other."""
+    rnd = random.Random(12)
+    items = [(i, " ".join(f"{rnd.choice(WORDS)}{rnd.randrange(1000)}" for _ in range(43))) for i in range(1500)]
+    assert decontaminate._power(1500 * 31) == 19 and decontaminate._power(10) == 18 and decontaminate._power(1 << 40) == 22
+    rows = [(i, prose(rnd, 20) + " " + " ".join(t.split()[5:25])) for i, t in items[::10]] + [(-1, prose(rnd, 300)), (-2, None)]
+    bench, docs = spark.createDataFrame(items, "item_id long, text string"), spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: (r["items"], r["n_hit"]) for r in decontaminate.find_contamination(docs, bench).collect()}
+    assert got == {i: ([str(i)], 20) for i, _ in items[::10]} | {-1: ([], 0), -2: ([], 0)}
+
+
 # 7
 
 
@@ -469,6 +490,30 @@ def test_language(spark, empty):
     assert all(0 <= r["score"] <= 1 for r in got.values())
     assert language.train(empty.withColumn("lang", F.lit(None).cast("string")), F.lit(True)) is None
     assert language.predict(docs, None).where("lang_pred <> 'und'").count() == 0
+    again = language.train(docs.unionByName(docs.where("lang IS NULL").withColumn("text", F.lit("zzzz qqqq"))), F.lit(True))
+    assert (again.idf == language.train(docs, F.lit(True)).idf).all()  # rows without a language teach nothing
+    clash = language.predict(docs.limit(2).withColumn("_predicted", F.lit("mine")), model).collect()
+    assert [r["_predicted"] for r in clash] == ["mine"] * 2
+
+
+def test_language_learns_every_language(spark, monkeypatch):
+    monkeypatch.setattr(language, "LANGUAGES", 30)
+    rows = [(30 * j + i, f"{chr(97 + i % 26)}{chr(97 + i // 26)}x " * 5 + "the", f"l{i}") for i in range(30) for j in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert len(language.train(docs, F.lit(True)).classes) == 30
+    with pytest.raises(ValueError, match="more than 30 languages"):
+        language.train(docs.unionByName(docs.limit(1).withColumn("lang", F.lit("one more"))), F.lit(True))
+
+
+def test_language_held_out(spark):
+    """The driver's documents: rows of the fold that isn't learned from."""
+    from millrace.llm import queries
+
+    data = "/root/testdata/sf0.01"
+    if not os.path.exists(data):
+        pytest.skip("no test tables")
+    got = queries.op8_language_id(spark, data).join(spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "lang"), "doc_id").where("held_out AND lang IS NOT NULL AND lang_pred <> 'und'").collect()
+    assert len(got) > 200 and sum(r["lang"] == r["lang_pred"] for r in got) >= 0.98 * len(got)
 
 
 # 9
@@ -508,6 +553,13 @@ def test_mixing(spark, empty, monkeypatch):
     assert mixing.mix(empty).count() == 0
 
 
+def test_mixing_repeated_rows(spark):
+    """Rows of one key are drawn each by itself, so a source of many copies comes near its target too."""
+    rows = [(1, "w " * 10, "a")] * 400 + [(2, "w " * 10, "b")] * 400 + [(3, "w " * 10, "c")] * 400
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)).groupBy("doc_id").agg(F.sum("taken").alias("t"), F.first("target").alias("g"), F.count("*").alias("n")).collect()
+    assert all(r["n"] == 400 and abs(r["t"] - r["g"]) <= 20 for r in got)
+
+
 # 10
 
 
@@ -525,3 +577,7 @@ def test_token_counts(spark, docs, texts, empty):
         n = len(library.encode(t or "", add_special_tokens=False).ids)
         assert got[i] == Row(doc_id=i, n_bytes=len((t or "").encode()), n_tokens=n, over_limit=n > 100)
     assert tokens.token_counts(empty, path).count() == 0
+    given = json.load(open(path))
+    for change in ({"normalizer": {"type": "NFC"}}, {"pre_tokenizer": {"type": "Whitespace"}}, {"pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": True}}, {"model": given["model"] | {"ignore_merges": True}}):
+        with pytest.raises(ValueError, match="vocabulary"):
+            tokens.MergeCounter(given | change)

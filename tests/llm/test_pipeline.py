@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline as P
 from millrace.llm import mixing, toxicity
@@ -109,6 +110,22 @@ def test_stages(spark, sf_dir):
     assert rows_of(P.run(spark, sf_dir)) == rows_of(stages["mixing"](spark, got, sf_dir))
 
 
+def test_stages_leave_other_columns_alone(spark, sf_dir):
+    """Columns with the names that operators use themselves, nulls in every column, repeated rows, a very long text."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    odd = spark.createDataFrame([(None, None, None, None, None), (5000, "w " * 300_000, "en", "src1", 600_000), (5001, "", None, "src1", 0)], docs.schema)
+    clash = ["score", "predicted", "_id", "kept_text", "_bad", "_stay", "component_id", "part", "c0", "size"]
+    docs = docs.unionByName(odd).unionByName(docs.where("doc_id = 7")).select("*", *(F.concat(F.lit(f"{c}-"), F.col("doc_id").cast("string")).alias(c) for c in clash))
+    for name, stage in P.STAGES[:-1]:
+        before, docs = docs.count(), P.written(stage(spark, docs, sf_dir), name)
+        rows = docs.collect()
+        assert docs.columns[5:] == clash and 0 < len(rows) <= before
+        assert all(r[c] == (None if r["doc_id"] is None else f"{c}-{r['doc_id']}") for r in rows for c in clash)
+        assert sum(r["doc_id"] is None for r in rows) == 1 and sum(r["doc_id"] == 5001 for r in rows) == 1
+    mixed = P.STAGES[-1][1](spark, docs, sf_dir)
+    assert mixed.count() == docs.count()
+
+
 def test_empty_tables(spark, tmp_path):
     for name, schema in (("documents", "doc_id long, text string, lang string, source string, n_chars long"), ("labels", "doc_id long, quality int, toxic int"), ("benchmark", "item_id long, text string")):
         spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/{name}.parquet")
