@@ -2,7 +2,11 @@
 
 toxicity (toxic documents go), near-duplicate join (one document of each group stays), suffix dedup (bytes
 that an earlier document has go), decontamination (contaminated documents go), mixing (copies to take of
-each document). All but the last return the columns of documents.
+each document). All but the last return the columns of documents, and any others that docs has, whatever their names.
+
+A null or empty text is not toxic, links to nothing, loses nothing and is taken 0 words; a null doc_id counts as
+larger than any other and is its own group; a null source is one source, the last. Equal rows are one group, of
+which the near-duplicate stage keeps all rows of the least doc_id. Texts are read whole, however long.
 """
 
 from __future__ import annotations
@@ -17,10 +21,17 @@ from millrace.llm.common import table, written
 from millrace.llm.queries import toxicity_fold
 
 
+def _numbered(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """docs with columns c0, c1, ..., which clash with no operator's own, and the new name of each old one."""
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    return docs.toDF(*names), dict(zip(docs.columns, names, strict=True))
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity grammar predicts to be toxic go."""
     model = toxicity.train(docs, table(spark, sf_dir, "labels"), toxicity_fold())
-    return toxicity.score_toxicity(docs, model).where("predicted = 0").select(*docs.columns)
+    rows, name = _numbered(docs)
+    return toxicity.score_toxicity(rows, model, name["text"]).where("predicted = 0").select(*rows.columns).toDF(*docs.columns)
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,18 +42,10 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Bytes that a 50-byte string of an earlier document covers are cut; documents of which nothing but white space is left go, if something was cut. doc_ids are unique by now."""
     cut = suffix_dedup.find_repeats(docs.select("doc_id", "text"), with_text=True).where("n_removed > 0").select(F.col("doc_id").alias("_id"), "kept_text").dropDuplicates(["_id"])
-    out = docs.join(cut, docs["doc_id"].eqNullSafe(cut["_id"]), "left").where(F.col("_id").isNull() | F.col("kept_text").rlike(r"[^\x20\x09-\x0D]"))
-    changed = F.col("kept_text").isNotNull()
-    return out.select(
-        *(
-            F.when(changed, F.col("kept_text")).otherwise(F.col("text")).alias("text")
-            if c == "text"
-            else F.when(changed, F.length("kept_text").cast("long")).otherwise(F.col("n_chars")).alias("n_chars")
-            if c == "n_chars"
-            else docs[c]
-            for c in docs.columns
-        )
-    )
+    rows, name = _numbered(docs)
+    out = rows.join(cut, rows[name["doc_id"]].eqNullSafe(cut["_id"]), "left").where(F.col("kept_text").isNull() | F.col("kept_text").rlike(r"[^\x20\x09-\x0D]"))
+    new = {"text": F.col("kept_text"), "n_chars": F.length("kept_text").cast("long")}
+    return out.select(*(F.coalesce(new[c], F.col(name[c])).alias(c) if c in new else F.col(name[c]).alias(c) for c in docs.columns))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
