@@ -1,8 +1,10 @@
 """Toxicity: a weighted finite-state grammar over clauses.
 
-Words become symbols (insult, threat, target, negation, report, quote, other); three transducers, composed
-into one machine, read a clause and carry weights: a target close by strengthens an insult and completes a
-threat, a negation close before weakens, and reported speech or quotation weakens further. The score of a
+Words become symbols (insult, threat, target, negation, report, quote, other). A chain of weighted transducers
+reads a clause, each the output of the one before: a target close before makes an insult aimed and a threat a
+menace, and heavier; a negation close before weakens either, as do reported speech and quotation. The chain is
+composed into one machine, once a process, so a clause is read in one pass. A lone insult keeps its own weight;
+how much weight it takes to be called toxic is learned. The score of a
 text is a logistic function of its clauses' weights, never of a single word's presence.
 
 Insults are learned: words and word beginnings that stand in many different contexts of toxic texts and
@@ -22,6 +24,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import cache, reduce
 
 import numpy as np
 import pandas as pd
@@ -36,7 +39,7 @@ STEMS, MAX_TERMS = (4, 5, 6), 5000
 #: Different contexts that a term must be seen in, and the least evidence (a log-likelihood ratio).
 MIN_CONTEXTS, MIN_EVIDENCE = 6, 30.0
 
-INSULT, THREAT, TARGET, NEGATION, REPORT, QUOTE, OTHER = range(7)
+INSULT, THREAT, TARGET, NEGATION, REPORT, QUOTE, OTHER, AIMED, MENACE = SYMBOLS = range(9)
 #: The grammar's closed lists, in the languages of the corpus.
 INSULTS = "idiot idiots moron morons imbecile stupid dumb scum trash loser losers pathetic worthless disgusting clown bastard bitch asshole fucker whore vermin filth retard dummkopf arschloch abschaum hurensohn schlampe connard salope enculé crétin ordure imbécile pendejo cabrón puta basura escoria estúpido idiota".split()
 THREATS = "kill hurt beat destroy murder strangle töten umbringen vernichten tuer frapper détruire matar golpear destruir".split()
@@ -49,49 +52,71 @@ _TOKEN = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)?|[\"“”„«»]")
 _CLAUSE_END = re.compile(r"[.!?;\n]")
 
 
+#: What weighs, before and after targets are read.
+_WEIGHS = (INSULT, THREAT, AIMED, MENACE)
+
+
 @dataclass(frozen=True)
 class Transducer:
-    """From state and symbol to the next state and a factor; symbols that aren't named leave both as they are."""
+    """From state and symbol to the next state, the symbol that is written and a factor. A symbol that isn't named is written as it is and leads where rest says, or nowhere else."""
 
-    moves: dict[tuple[int, int], tuple[int, float]]
+    moves: dict[tuple[int, int], tuple[int, int, float]]
     rest: dict[int, int] = field(default_factory=dict)
 
-    def step(self, state: int, symbol: int) -> tuple[int, float]:
+    def step(self, state: int, symbol: int) -> tuple[int, int, float]:
         if (move := self.moves.get((state, symbol))) is not None:
             return move
-        return self.rest.get(state, state), 1.0
-
-
-def _fading(opens: int, acts: tuple[int, ...], words: int, factor: float) -> Transducer:
-    """After the symbol that opens it, the factor holds for the symbols it acts on, for so many words."""
-    moves = {(s, opens): (words, 1.0) for s in range(words + 1)}
-    moves |= {(s, a): (s - 1, factor) for s in range(1, words + 1) for a in acts}
+        return self.rest.get(state, state), symbol, 1.0
+
+    def then(self, other: Transducer) -> Transducer:
+        """The composition: other reads what this writes. States are those that can be reached, numbered from (0, 0)."""
+        number, moves, todo = {(0, 0): 0}, {}, [(0, 0)]
+        while todo:
+            a, b = todo.pop()
+            for symbol in SYMBOLS:
+                a2, written, f = self.step(a, symbol)
+                b2, out, g = other.step(b, written)
+                if (a2, b2) not in number:
+                    number[a2, b2] = len(number)
+                    todo.append((a2, b2))
+                moves[number[a, b], symbol] = number[a2, b2], out, f * g
+        return Transducer(moves)
+
+
+def _fading(opens: int, acts: dict[int, int], words: int, factor: float) -> Transducer:
+    """After the symbol that opens it, and for so many words, the factor holds for symbols, which are written as others."""
+    moves = {(s, opens): (words, opens, 1.0) for s in range(words + 1)}
+    moves |= {(s, a): (s - 1, out, factor) for s in range(1, words + 1) for a, out in acts.items()}
     return Transducer(moves, {s: s - 1 for s in range(1, words + 1)})
 
 
 def _quoted(factor: float) -> Transducer:
-    inside = {(1, a): (1, factor) for a in (INSULT, THREAT)}
-    return Transducer({(0, QUOTE): (1, 1.0), (1, QUOTE): (0, 1.0)} | inside)
+    inside = {(1, a): (1, a, factor) for a in _WEIGHS}
+    return Transducer({(0, QUOTE): (1, QUOTE, 1.0), (1, QUOTE): (0, QUOTE, 1.0)} | inside)
 
 
-#: Read one after the other; their factors multiply.
+#: Read one after the other.
 GRAMMAR = (
-    _fading(TARGET, (INSULT,), 6, 1.3),
-    _fading(TARGET, (THREAT,), 4, 2.0),
-    _fading(NEGATION, (INSULT, THREAT), 3, 0.3),
-    _fading(REPORT, (INSULT, THREAT), 8, 0.6),
+    _fading(TARGET, {INSULT: AIMED}, 6, 1.3),
+    _fading(TARGET, {THREAT: MENACE}, 4, 2.0),
+    _fading(NEGATION, {x: x for x in _WEIGHS}, 3, 0.3),
+    _fading(REPORT, {x: x for x in _WEIGHS}, 8, 0.6),
     _quoted(0.5),
 )
 
 
-def run(symbols: list[tuple[int, float]], grammar: tuple[Transducer, ...] = GRAMMAR) -> float:
+@cache
+def machine() -> Transducer:
+    """The grammar as one transducer."""
+    return reduce(Transducer.then, GRAMMAR)
+
+
+def run(symbols: list[tuple[int, float]]) -> float:
     """The weight of a clause, given as symbols and their own weights."""
-    states, total = [0] * len(grammar), 0.0
+    state, total, moves = 0, 0.0, machine().moves
     for symbol, weight in symbols:
-        for i, t in enumerate(grammar):
-            states[i], factor = t.step(states[i], symbol)
-            weight *= factor
-        total += weight
+        state, _, factor = moves[state, symbol]
+        total += weight * factor
     return total
 
 

@@ -355,6 +355,33 @@ def test_toxicity_grammar():
     assert weigh("kill you") == weigh("I will kill") == 0.5 and weigh("you I kill") == 1.0
 
 
+def test_toxicity_machine_is_the_chain():
+    """The composed machine gives each clause what its transducers give one after the other."""
+    rnd = random.Random(13)
+    assert len(toxicity.machine().moves) == len(toxicity.SYMBOLS) * len({s for s, _ in toxicity.machine().moves})  # every symbol moves every state
+    for _ in range(300):
+        clause = [(rnd.choice([toxicity.INSULT, toxicity.THREAT, toxicity.TARGET, toxicity.NEGATION, toxicity.REPORT, toxicity.QUOTE, toxicity.OTHER]), rnd.random()) for _ in range(rnd.randint(0, 15))]
+        states, total = [0] * len(toxicity.GRAMMAR), 0.0
+        for symbol, weight in clause:
+            for i, t in enumerate(toxicity.GRAMMAR):
+                states[i], symbol, factor = t.step(states[i], symbol)
+                weight *= factor
+            total += weight
+        assert toxicity.run(clause) == pytest.approx(total)
+
+
+def test_toxicity_held_out(spark):
+    """The driver's documents: recall on the fold whose labels aren't learned, and clean documents left alone."""
+    from millrace.llm import queries
+
+    data = "/root/testdata/sf0.1"
+    if not os.path.exists(data):
+        pytest.skip("no test tables")
+    got = queries.op5_toxicity(spark, data).where("held_out").join(spark.read.parquet(f"{data}/labels.parquet"), "doc_id").collect()
+    toxic, clean = [r for r in got if r["toxic"] == 1], [r for r in got if r["toxic"] == 0]
+    assert sum(r["predicted"] for r in toxic) >= 0.9 * len(toxic) and sum(r["predicted"] for r in clean) <= 0.02 * len(clean)
+
+
 def test_toxicity_learns_and_scores(spark, empty):
     rnd = random.Random(6)
     rows, labels = [], []
