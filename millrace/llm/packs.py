@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 #: Bytes of text in a row, and in a part.
-PACK, PART = 2 << 20, 32 << 20
+PACK, PART = 1 << 20, 32 << 20
 
 
 def pack(keys: list[int], texts: list[bytes]) -> bytes:

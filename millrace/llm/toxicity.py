@@ -21,7 +21,6 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import cache, reduce
@@ -36,6 +35,8 @@ from .common import small_batches, unit_hash, written
 SAMPLE_TOXIC, SAMPLE_CLEAN = 4000, 8000
 #: Letters of a word's beginning that may be learned; terms that are kept at most.
 STEMS, MAX_TERMS = (4, 5, 6), 5000
+#: Terms with contexts that a worker holds before it sends them.
+HELD_TERMS = 100_000
 #: Different contexts that a term must be seen in, and the least evidence (a log-likelihood ratio).
 MIN_CONTEXTS, MIN_EVIDENCE = 6, 30.0
 
@@ -215,10 +216,16 @@ def _evidence(a: int, b: int, na: int, nb: int) -> float:
 def _learn_terms(toxic: DataFrame, clean: DataFrame) -> tuple[dict[str, float], dict[str, float]]:
     def seen(only: set[str] | None):
         def rows(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            found: set[tuple[str, int]] = set()
+            frame = lambda: pd.DataFrame(list(found), columns=["term", "context"])
             for part in parts:
-                found = Counter((t, c) for x in part["text"] if x for t, c in _terms(x).items() if only is None or t in only)
-                if found:
-                    yield pd.DataFrame({"term": [t for t, _ in found], "context": [c for _, c in found]})
+                for x in part["text"]:
+                    found.update((t, c) for t, c in _terms(x or "").items() if only is None or t in only)
+                    if len(found) > HELD_TERMS:  # what is said twice is counted once later on
+                        yield frame()
+                        found.clear()
+            if found:
+                yield frame()
 
         return rows
 
