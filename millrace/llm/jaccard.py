@@ -381,9 +381,9 @@ def join_similar(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, te
                         rare = np.lexsort((t, l))[: prefix_size(n, percent)]
                         rare = rare[l[rare] > 0]
                         shared = l > 0
-                        if len(rare) or shared.any():
+                        cost = subset_count(n, int(shared.sum()), percent) if n < top else 0
+                        if len(rare) or cost:  # else it is in no list
                             level_of_rare = np.left_shift(1, np.minimum(l[rare], 40).astype(np.int64))
-                            cost = subset_count(n, int(shared.sum()), percent) if n < top else 0
                             out.append((k, n, t.tobytes(), parity(t).tobytes(), t[rare].view(np.int64).tolist(), np.packbits(shared).tobytes(), cost, int(np.minimum(level_of_rare, limit).sum())))
             return pd.DataFrame(out, columns=["node", "n", "tokens", "bits", "prefix", "shared", "subsets", "scan"])
 
