@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, written
+from .common import give_back, small_batches, written
 from .components import components
 from .packs import by_shard, compress, expand, from_six, packed, six, unpack
 
@@ -216,6 +216,7 @@ def _runs(parts: Iterator[pd.DataFrame], by: list[str]) -> Iterator[pd.DataFrame
 def _compare(percent: int, by: list[str], whole: bool) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     def compare(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         found: set[tuple[int, int]] = set()
+        give_back()
         for run in _runs(parts, by):
             if len(run) > 1:
                 sets = [np.frombuffer(x, np.uint64) for x in run["tokens"]] if whole else None
@@ -250,7 +251,11 @@ def _counts(own: pd.DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
                 use[i] = True
         every.append(h[np.repeat(use, count)] >> np.uint64(16))
     h = np.concatenate(every) if every else np.zeros(0, dtype=np.uint64)
-    return np.unique(h, return_counts=True)
+    every.clear()
+    h.sort()  # in place: np.unique would hold another copy
+    first = np.flatnonzero(np.append(True, h[1:] != h[:-1])) if len(h) else np.zeros(0, dtype=np.int64)
+    count = np.diff(np.append(first, len(h)))
+    return h[first], count
 
 
 def _edges_of(lists: DataFrame, percent: int, limit: int) -> DataFrame:
@@ -336,11 +341,13 @@ def join_similar(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, te
         nodes = written(every.where("n > 0").groupBy("s1", "s2", "n").agg(F.min(F.struct("key", "part")).alias("first")).select("s1", "s2", "n", F.col("first.key").alias("node"), "first.part"), "nodes")
 
         def send(own: pd.DataFrame) -> pd.DataFrame:
+            give_back()
             h, count = _counts(own, words)
             part, count = int(own["part"].iloc[0]), np.minimum(count, 255).astype(np.uint8)
             return pd.DataFrame([(s, part, six(h[at]), compress(count[at])) for s, at in by_shard(h, shards)], columns=["shard", "part", "hashes", "counts"])
 
         def answer(sent: pd.DataFrame) -> pd.DataFrame:
+            give_back()
             sent = sent.sort_values("part")
             lists = [from_six(x) for x in sent["hashes"]]
             h = np.concatenate(lists)
@@ -361,11 +368,13 @@ def join_similar(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, te
         )
 
         def take(own: pd.DataFrame, got: pd.DataFrame) -> pd.DataFrame:
+            give_back()
             out = []
             mine = {int(k) for x in got["own"] if x is not None for k in x}
             level_of = {int(s): x for s, x in zip(got["shard"], got["levels"], strict=True) if x is not None}
             if mine and level_of and len(own):
                 h, _ = _counts(own, words)
+                give_back()
                 level = np.zeros(len(h), dtype=np.uint8)
                 for s, at in by_shard(h, shards):
                     if s in level_of:

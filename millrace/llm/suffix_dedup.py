@@ -34,7 +34,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, written
+from .common import give_back, small_batches, written
 from .packs import by_shard, compress, expand, from_six, packed, six, unpack
 
 LENGTH = 50
@@ -353,10 +353,12 @@ def find_repeats(docs: DataFrame, length: int = LENGTH, text: str = "text", key:
         shards = int(min(MAX_SHARDS, max(MIN_SHARDS, total // SHARD_BYTES)))
 
         def send_hashes(own: pd.DataFrame) -> pd.DataFrame:
+            give_back()
             part = int(own["part"].iloc[0])
             return pd.DataFrame([(s, part, h, b) for s, h, b in _Part(own, shape).sent(shards)], columns=["shard", "part", "hashes", "several"])
 
         def answer_hashes(sent: pd.DataFrame) -> pd.DataFrame:
+            give_back()
             sent = sent.sort_values("part")
             lists = [from_six(x) for x in sent["hashes"]]
             every, count = np.unique(np.concatenate(lists), return_counts=True)
@@ -371,6 +373,7 @@ def find_repeats(docs: DataFrame, length: int = LENGTH, text: str = "text", key:
         bits = written(hashes.repartition(shards, "shard").groupBy("shard").applyInPandas(answer_hashes, "part long, shard int, bits binary"), "shared")
 
         def send_suffixes(own: pd.DataFrame, answer: pd.DataFrame) -> pd.DataFrame:
+            give_back()
             out = []
             if len(own) and len(answer):
                 p = _Part(own, shape)
@@ -380,6 +383,7 @@ def find_repeats(docs: DataFrame, length: int = LENGTH, text: str = "text", key:
             return pd.DataFrame(out, columns=["shard", "part", "rows", "keys"])
 
         def answer_suffixes(sent: pd.DataFrame) -> pd.DataFrame:
+            give_back()
             sent = sent.sort_values("part")
             family = SuffixFamily(shape)
             batches = [(expand(r, f"S{shape.row}"), np.frombuffer(k, np.int64)) for r, k in zip(sent["rows"], sent["keys"], strict=True)]
@@ -399,6 +403,7 @@ def find_repeats(docs: DataFrame, length: int = LENGTH, text: str = "text", key:
         masks = written(sent.repartition(shards, "shard").groupBy("shard").applyInPandas(answer_suffixes, "part long, shard int, masks binary"), "masks")
         answers = bits.select("part", "shard", "bits", F.lit(None).cast("binary").alias("masks")).unionByName(masks.select("part", "shard", F.lit(None).cast("binary").alias("bits"), "masks"))
         def cut(own: pd.DataFrame, answer: pd.DataFrame) -> pd.DataFrame:
+            give_back()
             out = []
             matched: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
             p = None

@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, unit_hash, written
+from .common import give_back, small_batches, unit_hash, written
 
 SAMPLE_TOXIC, SAMPLE_CLEAN = 4000, 8000
 #: Letters of a word's beginning that may be learned; terms that are kept at most.
@@ -226,6 +226,8 @@ def _learn_terms(toxic: DataFrame, clean: DataFrame) -> tuple[dict[str, float],
                         found.clear()
             if found:
                 yield frame()
+                found.clear()
+            give_back()
 
         return rows
 
