@@ -17,7 +17,7 @@ from ..functions import textops as X
 from ..operators import dedup, quality, tree
 from ..operators.html_nodes import html_nodes
 from ..sources import files
-from ..sources.shared import materialised, new_folder
+from ..sources.shared import lasting_folder, materialised
 from ..streaming.ingest import ingest, open_stream
 from . import envelope as E
 
@@ -400,7 +400,7 @@ def outbox(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT conv_id, turn, role, text FROM conversations")
 def staging_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Turns written as JSON lines and read again, strictly."""
-    path = new_folder(spark, "staging")
+    path = lasting_folder(spark, "staging")
     files.write_lines(read(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"), path)
     return files.json_lines(spark, path, "conv_id bigint, turn bigint, role string, text string").select("conv_id", "turn", "role", "text")
 
@@ -409,7 +409,7 @@ def staging_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents read as a stream of files into an empty history, twice: the second run adds nothing."""
     schema = read(spark, sf_dir, "documents").schema
-    table, checkpoint = new_folder(spark, "history"), new_folder(spark, "checkpoint")
+    table, checkpoint = lasting_folder(spark, "history"), lasting_folder(spark, "checkpoint")
     for _ in range(2):
         stream = open_stream(spark, f"{sf_dir}/documents.parquet*", schema)
         ingest(stream, table, checkpoint, ["body_key"], ["doc_id"], lambda df: df.select("doc_id", dedup.letters_key(F.col("text")).alias("body_key")))

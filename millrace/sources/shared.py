@@ -40,6 +40,11 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{own}/{uuid.uuid4().hex}/{name}"
 
 
+def lasting_folder(spark: SparkSession, name: str) -> str:
+    """A path in the shared folder that nobody else has, for results: it stays when the application ends."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def _remove(jvm, conf, path: str) -> None:
     with contextlib.suppress(Exception):  # the JVM may be gone by now
         where = jvm.org.apache.hadoop.fs.Path(path)
