@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, html_extract, jaccard, language, mixing, quality, suffix_dedup, tokens, toxicity, urls
+from ..sources.shared import lasting_folder
+from . import decontaminate, erasure, html_extract, jaccard, language, mixing, phrases, quality, sharding, suffix_dedup, tokens, toxicity, urls
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -71,6 +72,20 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(table(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op11_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = sharding.into_shards(sharding.measured(table(spark, sf_dir, "documents")), ["key", "text_crc32", "size"])
+    return rows.select(F.col("key").alias("doc_id"), "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "row_number")
+
+
+def op12_cascading_erasure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tables = {name: table(spark, sf_dir, name) for name in erasure.AMOUNTS}
+    return erasure.erase_shop(tables, lasting_folder(spark, "erasure"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents").select("text", "lang")).drop("words", "cut")
+
+
 QUERIES: dict[str, Query] = {
     "op1_url_filter": op1_url_filter,
     "op2_jaccard_join": op2_jaccard_join,
@@ -82,8 +97,33 @@ QUERIES: dict[str, Query] = {
     "op8_language_id": op8_language_id,
     "op9_source_mixing": op9_source_mixing,
     "op10_token_counts": op10_token_counts,
+    "op11_feistel_shards": op11_feistel_shards,
+    "op12_cascading_erasure": op12_cascading_erasure,
+    "op13_collocations": op13_collocations,
 }
 
+
+
+def _feistel_sql(rows: str) -> str:
+    """The permutation of sharding, once over, of rows (i, x, a, b, n: a and b the sides, n the rows) in SQL."""
+    p = sharding.Permutation(0)
+    s = f"SELECT i, a, b, n, x // b AS l, x % b AS r FROM ({rows})"
+    for j in range(p.rounds):
+        half, other, side = ("r", "l", "a") if j % 2 == 0 else ("l", "r", "b")
+        s = f"SELECT *, ({half} + {p.key(j)}) & {sharding.BITS} AS h FROM ({s})"
+        for factor in sharding.FACTORS[:2]:
+            s = f"SELECT * EXCLUDE h, (xor(h, h >> 15) * {factor}) & {sharding.BITS} AS h FROM ({s})"
+        s = f"SELECT i, a, b, n, {half}, ({other} + xor(h, h >> 13)) % {side} AS {other} FROM ({s})"
+    return f"SELECT i, l * b + r AS x, a, b, n FROM ({s})"
+
+
+def _nibble(i: int) -> int:
+    """What the CRC-32 polynomial makes of four bits."""
+    for _ in range(4):
+        i = (i >> 1) ^ (0xEDB88320 if i & 1 else 0)
+    return i
+
+
 ORACLE: dict[str, str] = {
     "op1_url_filter": r"""
 WITH cut AS (
@@ -193,5 +233,32 @@ base AS (
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
   NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND 100 * good_chars >= 50 * word_chars AS kept
 FROM base
+""",
+    "op11_feistel_shards": rf"""
+WITH RECURSIVE h AS (SELECT doc_id, octet_length(encode(coalesce(text, ''))) + 1 AS size, string_split(hex(encode(coalesce(text, ''))), '') AS h FROM documents),
+bits AS (SELECT doc_id, size, list_transform(range(1, size * 2 - 1), lambda i: CAST(strpos('0123456789ABCDEF', h[i + CASE WHEN i % 2 = 1 THEN 1 ELSE -1 END]) - 1 AS BIGINT)) AS h FROM h),
+crc AS (SELECT doc_id, size, xor(4294967295, list_reduce(list_concat([4294967295::BIGINT], h), lambda c, x: xor(list_extract(CAST({[*map(_nibble, range(16))]} AS BIGINT[]), (xor(c, x) & 15) + 1), c >> 4))) AS text_crc32 FROM bits),
+numbered AS (SELECT *, row_number() OVER (ORDER BY doc_id NULLS FIRST, text_crc32, size) - 1 AS i FROM crc),
+sides AS (SELECT count(*) AS n, CAST(floor(sqrt(count(*) - 1)) AS BIGINT) + 1 AS a FROM documents),
+cells AS (SELECT i, i AS x, a, (n + a - 1) // a AS b, n FROM numbered, sides),
+walk AS ({_feistel_sql("SELECT * FROM cells")} UNION ALL {_feistel_sql("SELECT * FROM walk WHERE x >= n")})
+SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(text_crc32 AS BIGINT) AS text_crc32, 'rows' AS law, CAST(x % 16 AS INTEGER) AS shard, CAST(x // 16 AS BIGINT) AS slot, CAST(NULL AS INTEGER) AS grown_shard, i AS row_number
+FROM numbered JOIN (SELECT i, x FROM walk WHERE x < n) USING (i)
+""",
+    "op13_collocations": r"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+total AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY lang),
+grams AS (SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS s FROM w, (SELECT unnest(range(1, 6)) AS k) WHERE len(w) >= k),
+f AS (SELECT lang, k, s, count(*) AS f FROM grams GROUP BY ALL),
+c AS (SELECT lang, k, s, f AS a, string_split(s, ' ') AS w FROM f WHERE k > 1 AND f >= 100),
+inner_ AS (SELECT lang, a, unnest(flatten(list_transform(range(2, k), lambda m: list_transform(range(1, k - m + 2), lambda i: array_to_string(w[i:i + m - 1], ' '))))) AS s FROM c),
+longer AS (SELECT lang, s, max(a) AS most FROM inner_ GROUP BY ALL),
+cuts AS (SELECT lang, s, k, a, cut, array_to_string(w[1:cut], ' ') AS x, array_to_string(w[cut + 1:k], ' ') AS y FROM (SELECT *, unnest(range(1, k)) AS cut FROM c)),
+scored AS (SELECT cuts.lang, cuts.s, a, cut, x.f AS l, y.f AS r, n, CAST((1000::HUGEINT * a * n) // (x.f::HUGEINT * y.f) AS BIGINT) AS score
+  FROM cuts JOIN f x ON cuts.lang = x.lang AND cuts.x = x.s JOIN f y ON cuts.lang = y.lang AND cuts.y = y.s JOIN total ON total.lang = cuts.lang),
+best AS (SELECT *, row_number() OVER (PARTITION BY lang, s ORDER BY score, cut) AS b FROM scored),
+kept AS (SELECT best.* FROM best LEFT JOIN longer USING (lang, s) WHERE b = 1 AND (most IS NULL OR 100 * most < 100 * a))
+SELECT lang, rank, s AS phrase, a, l, r, n, score FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, s) AS rank FROM kept) WHERE rank <= 2000
 """,
 }
