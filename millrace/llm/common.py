@@ -15,7 +15,7 @@ from ..sources.workers import bounded_batches as small_batches
 SPACE = r"\x20\x09-\x0D"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
-__all__ = ["LOWER", "SPACE", "UPPER", "ascii_lower", "fits", "free_name", "give_back", "small_batches", "table", "unit_hash", "written"]
+__all__ = ["LOWER", "SPACE", "UPPER", "ascii_lower", "fits", "free_name", "give_back", "small_batches", "table", "unit_hash", "written", "written_alone"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,6 +45,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def written_alone(df: DataFrame, name: str) -> DataFrame:
+    """As written, and the shuffle files of this one write go when it ends, not when the driver happens to collect its garbage. Only for a df that isn't run again."""
+    conf, key = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(key, "false")
+    conf.set(key, "true")
+    try:
+        return written(df, name)
+    finally:
+        conf.set(key, before)
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z lowered, all else as it is."""
     return F.translate(text, UPPER, LOWER)

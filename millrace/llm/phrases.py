@@ -5,9 +5,10 @@ the phrase is (its parts occur wherever it does). So every level names pairs of
 
 1. Texts are cut into words once and kept as blocks of a bounded size: the places of words, with a gap where
    a piece ends, and for each place a number in the block's own list of different words.
-2. The lists of all blocks are summed; what occurs often enough gets a name (an id) that holds everywhere.
-3. The names are joined back to the lists, a row for each block and different phrase, and each block puts them in the
-   place of its numbers. Neighbouring places that both have a name are the pairs of the next level, listed again.
+2. The entries of all lists meet, a row for each block and different phrase, and are summed; what occurs often enough
+   gets a name (an id, of the first entry) that holds everywhere.
+3. The names are joined back to the blocks, and each block puts them in the place of its numbers. Neighbouring places
+   that both have a name are the pairs of the next level, listed again; what the level before had is deleted.
 
 A pair's two halves are its parents, by id. Counts of all beginnings and ends come down these pointers, a join a
 level, so every cut is looked up without a search; and the most frequent child of each parent tells whether the parent
@@ -32,7 +33,8 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import give_back, small_batches, written
+from ..sources.shared import discard
+from .common import give_back, small_batches, written, written_alone
 
 #: Bytes of text in a block, about.
 BLOCK = 4 << 20
@@ -44,7 +46,8 @@ LEAST, LONGEST, SHOWN, PER_MILLE = 100, 5, 2000, 1000
 _KIND = np.zeros(256, dtype=np.uint8)
 _KIND[list(GAPS)] = 1
 _KIND[list(BREAKS)] = 2
-_BLOCKS = pa.schema([("block", pa.int64()), ("at", pa.binary()), ("number", pa.binary()), ("lang", pa.list_(pa.string())), ("word", pa.list_(pa.string())), ("a", pa.list_(pa.int64())), ("b", pa.list_(pa.int64())), ("c", pa.list_(pa.int64()))])
+#: Bits of a number in a block's list, and of a block's number in its task: (block, number) together name a gram.
+IN_LIST, IN_TASK = 28, 12
 
 
 def _packed(x: np.ndarray) -> bytes:
@@ -55,6 +58,15 @@ def _unpacked(x: bytes) -> np.ndarray:
     return np.frombuffer(zstandard.ZstdDecompressor().decompress(x), dtype=np.int32)
 
 
+def _rising(x: np.ndarray) -> bytes:
+    """Rising numbers as their steps, which take little room."""
+    return _packed(np.diff(x, prepend=0))
+
+
+def _row(**columns: object) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([v if isinstance(v, pa.Array) else pa.array([v]) for v in columns.values()], names=list(columns))
+
+
 def words_of(raw: bytes) -> tuple[np.ndarray, pa.Array]:
     """Places and words of a text in UTF-8: a place is one more than the one before it in the same piece, and two more or further in another piece."""
     data = np.frombuffer(raw.lower(), dtype=np.uint8)  # of bytes, so A-Z only
@@ -96,9 +108,7 @@ def _block(number: int, texts: dict[str, list[bytes]]) -> pa.RecordBatch:
     different, place, count = np.unique(keys, return_inverse=True, return_counts=True)
     lang = pa.array(langs, pa.string()).take(pa.array(different // max(1, len(shown))))
     word = shown.take(pa.array(different % max(1, len(shown)))).cast(pa.string())
-    none = pa.array([None], pa.list_(pa.int64()))
-    row = [pa.array([number]), pa.array([_packed(np.concatenate(at))]), pa.array([_packed(place)]), _one(lang), _one(word), none, none, _one(pa.array(count))]
-    return pa.RecordBatch.from_arrays([c.cast(t) for c, t in zip(row, _BLOCKS.types, strict=True)], schema=_BLOCKS)
+    return _row(block=number, at=_rising(np.concatenate(at)), number=_packed(place), lang=_one(lang), word=_one(word), c=_one(pa.array(count)))
 
 
 def _one(values: pa.Array) -> pa.Array:
@@ -110,29 +120,35 @@ def _blocks(docs: DataFrame) -> DataFrame:
     """Blocks of docs (lang, raw), as many for each task as its bytes need."""
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, held, size = TaskContext.get().partitionId() << 32, {}, 0
+        first, number, held, size = TaskContext.get().partitionId() << IN_TASK, 0, {}, 0
+
+        def block() -> pa.RecordBatch:
+            if number >> IN_TASK:
+                raise ValueError(f"an input partition has more than {1 << IN_TASK} blocks of text; read it in smaller ones")
+            return _block(first + number, held)
+
         for batch in batches:
             for lang, raw in zip(batch.column("lang").to_pylist(), batch.column("raw"), strict=True):
                 for run in _cut(raw.as_py(), BLOCK):
                     held.setdefault(lang, []).append(run)
                     size += len(run)
                     if size >= BLOCK:
-                        yield _block(number, held)
+                        yield block()
                         number, held, size = number + 1, {}, 0
         if held:
-            yield _block(number, held)
+            yield block()
         give_back()
 
-    return docs.mapInArrow(gather, "block long, at binary, number binary, lang array<string>, word array<string>, a array<long>, b array<long>, c array<long>")
+    return docs.mapInArrow(gather, "block long, at binary, number binary, lang array<string>, word array<string>, c array<long>")
 
 
 def _named_pairs(blocks: DataFrame) -> DataFrame:
-    """Blocks of the next level, from blocks (block, at, number) with i and id: the numbers that have a name, and the names."""
+    """Blocks of the next level, from blocks (block, at, number) with i and id, the numbers that have a name and the names. Pairs are listed in order, as places in names."""
 
     def rename(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in range(batch.num_rows):
-                at, number = (_unpacked(batch.column(c)[r].as_py()) for c in ("at", "number"))
+                at, number = np.cumsum(_unpacked(batch.column("at")[r].as_py())), _unpacked(batch.column("number")[r].as_py())
                 i, name = (batch.column(c)[r].values.to_numpy(zero_copy_only=False) for c in ("i", "id"))
                 place = np.full(int(number.max()) + 1, -1, dtype=np.int64)
                 place[i] = np.arange(len(i))
@@ -143,50 +159,69 @@ def _named_pairs(blocks: DataFrame) -> DataFrame:
                 if not len(pair):
                     continue
                 different, number, count = np.unique(own[pair] * len(i) + own[pair + 1], return_inverse=True, return_counts=True)
-                a, b = name[different // len(i)], name[different % len(i)]
-                row = [pa.array([batch.column("block")[r].as_py()]), pa.array([_packed(at[pair])]), pa.array([_packed(number)]), _one(pa.array(a)), _one(pa.array(b)), _one(pa.array(count))]
-                yield pa.RecordBatch.from_arrays(row, names=["block", "at", "number", "a", "b", "c"])
+                names = zstandard.ZstdCompressor(level=1).compress(name.astype(np.int64).tobytes())
+                yield _row(block=batch.column("block")[r].as_py(), at=_rising(at[pair]), number=_packed(number), names=names, a=_rising(different // len(i)), b=_packed(different % len(i)), c=_packed(count))
+        give_back()
+
+    return blocks.select("block", "at", "number", "i", "id").mapInArrow(rename, "block long, at binary, number binary, names binary, a binary, b binary, c binary")
+
+
+def _listed_pairs(blocks: DataFrame) -> DataFrame:
+    """block, i (the number in the block), a, b (names), c: a row for each different pair of each block."""
+
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in range(batch.num_rows):
+                block, names, a, b, c = (batch.column(x)[r].as_py() for x in ("block", "names", "a", "b", "c"))
+                name = np.frombuffer(zstandard.ZstdDecompressor().decompress(names), dtype=np.int64)
+                c = _unpacked(c)
+                columns = [pa.array(np.full(len(c), block)), pa.array(np.arange(len(c), dtype=np.int32)), pa.array(name[np.cumsum(_unpacked(a))]), pa.array(name[_unpacked(b)]), pa.array(c.astype(np.int64))]
+                yield pa.RecordBatch.from_arrays(columns, names=["block", "i", "a", "b", "c"])
         give_back()
 
-    return blocks.select("block", "at", "number", "i", "id").mapInArrow(rename, "block long, at binary, number binary, a array<long>, b array<long>, c array<long>")
+    return blocks.select("block", "names", "a", "b", "c").mapInArrow(pairs, "block long, i int, a long, b long, c long")
 
 
-def _listed(blocks: DataFrame, *columns: str) -> DataFrame:
-    """block, i (the number in the block) and the columns: a row for each entry of the blocks' lists."""
-    return blocks.select("block", F.posexplode(F.arrays_zip(*columns)).alias("i", "x")).select("block", "i", "x.*")
+def _named(listed: DataFrame, on: list[str], least: int, k: int) -> DataFrame:
+    """block, i, id, f and the columns of on: the entries of lists that occur least times in all blocks together. The first entry's place, of all blocks that list a gram, is its name everywhere. Entries are dealt once; a group has a row a block at most, and its window spills."""
+    whole = Window.partitionBy(*on)
+    place = F.shiftleft("block", IN_LIST) + F.col("i")
+    met = listed.withColumn("f", F.sum("c").over(whole)).withColumn("id", F.min(place).over(whole)).where(F.col("f") >= least)
+    return written_alone(met.select("block", "i", "id", "f", *on), f"met{k}")
 
 
-def _answered(blocks: DataFrame, listed: DataFrame, names: DataFrame, on: list[str]) -> DataFrame:
+def _answered(blocks: DataFrame, met: DataFrame) -> DataFrame:
     """blocks with the numbers that have a name, i, and the names, id. A block's answers are no more than its list."""
-    met = listed.join(names.select(*on, "id"), on).groupBy("block").agg(F.collect_list(F.struct("i", "id")).alias("x"))
-    return blocks.join(met.select("block", F.col("x.i").alias("i"), F.col("x.id").alias("id")), "block")
+    found = met.groupBy("block").agg(F.collect_list(F.struct("i", "id")).alias("x"))
+    return blocks.select("block", "at", "number").join(found.select("block", F.col("x.i").alias("i"), F.col("x.id").alias("id")), "block")
 
 
 def counted_phrases(docs: DataFrame, text: str = "text", lang: str = "lang", least: int = LEAST, longest: int = LONGEST) -> tuple[list[DataFrame], DataFrame]:
     """The levels 1 to longest, and lang, n (words). A level has id, lang, phrase, last (its last word), f, heads and tails (counts of its first 1, 2, ... and last 1, 2, ... words), and from level 2 on its parents a (all but the last word) and b (all but the first)."""
     small_batches(docs.sparkSession)
     given = docs.select(F.coalesce(F.col(f"`{lang}`"), F.lit(UNKNOWN)).alias("lang"), F.encode(F.col(f"`{text}`"), "UTF-8").alias("raw")).where("octet_length(raw) > 0")
-    blocks = written(_blocks(given), "blocks")
-    listed = _listed(blocks, "lang", "word", "c")
-    words = written(listed.groupBy("lang", "word").agg(F.sum("c").alias("f")), "words")
-    totals = words.groupBy("lang").agg(F.sum("f").alias("n"))
-    level = words.where(F.col("f") >= least).select(
-        F.monotonically_increasing_id().alias("id"), "lang", F.col("word").alias("phrase"), F.col("word").alias("last"), "f", F.array("f").alias("heads"), F.array("f").alias("tails"), "word"
-    )
-    levels = [written(level, "level1")]
-    on = ["lang", "word"]
+    blocks = written(_blocks(given), "blocks1")
+    words = blocks.select("block", F.posexplode(F.arrays_zip("lang", "word", "c")).alias("i", "x")).select("block", "i", "x.*")
+    totals = written(words.groupBy("lang").agg(F.sum("c").alias("n")), "totals")
+    met = _named(words, ["lang", "word"], least, 1)
+    level = met.groupBy("id", "lang", "word").agg(F.max("f").alias("f"))
+    levels = [written_alone(level.select("id", "lang", F.col("word").alias("phrase"), F.col("word").alias("last"), "f", F.array("f").alias("heads"), F.array("f").alias("tails")), "level1")]
     for k in range(2, longest + 1):
-        above = levels[-1]
-        blocks = written(_named_pairs(_answered(blocks.select("block", "at", "number"), listed, above, on)), f"blocks{k}")
-        listed, on = _listed(blocks, "a", "b", "c"), ["a", "b"]
-        pairs = listed.groupBy("a", "b").agg(F.sum("c").alias("f")).where(F.col("f") >= least)
+        above, old = levels[-1], (blocks, met)
+        blocks = written_alone(_named_pairs(_answered(blocks, met)), f"blocks{k}")
+        for table in old:
+            discard(table)  # nothing reads it any more
+        met = _named(_listed_pairs(blocks), ["a", "b"], least, k)
+        pairs = met.groupBy("id", "a", "b").agg(F.max("f").alias("f"))
         first = above.select(F.col("id").alias("a"), "lang", F.col("phrase").alias("_phrase"), "heads")
         second = above.select(F.col("id").alias("b"), "last", "tails")
         found = pairs.join(first, "a").join(second, "b")
-        levels.append(written(found.select(
-            F.monotonically_increasing_id().alias("id"), "lang", F.concat_ws(" ", "_phrase", "last").alias("phrase"), "last", "f",
+        levels.append(written_alone(found.select(
+            "id", "lang", F.concat_ws(" ", "_phrase", "last").alias("phrase"), "last", "f",
             F.concat("heads", F.array("f")).alias("heads"), F.concat("tails", F.array("f")).alias("tails"), "a", "b",
         ), f"level{k}"))
+    for table in (blocks, met):
+        discard(table)
     return levels, totals
 
 
