@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import uuid
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -45,13 +46,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def written_alone(df: DataFrame, name: str) -> DataFrame:
-    """As written, and the shuffle files of this one write go when it ends, not when the driver happens to collect its garbage. Only for a df that isn't run again."""
+def written_alone(df: DataFrame, name: str, bucket: str | None = None) -> DataFrame:
+    """As written, bucketed by a column if asked, so that joins on it don't shuffle the table; and the shuffle files of this one write go when it ends, not when the driver happens to collect its garbage. Only for a df that isn't run again."""
     conf, key = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
     before = conf.get(key, "false")
     conf.set(key, "true")
     try:
-        return written(df, name)
+        if bucket is None:
+            return written(df, name)
+        path, given = new_folder(df.sparkSession, name), f"millrace_{uuid.uuid4().hex}"
+        buckets = min(100_000, int(conf.get("spark.sql.shuffle.partitions")))  # that many is the limit of a bucketed table
+        df.write.format("parquet").option("path", path).bucketBy(buckets, bucket).saveAsTable(given)
+        return df.sparkSession.table(given)
     finally:
         conf.set(key, before)
 

@@ -25,6 +25,7 @@ of any length stays whole; a text of one endless piece makes a block as long. No
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +42,8 @@ BLOCK = 4 << 20
 #: What ends a piece, and what stands between words.
 BREAKS, GAPS = b".,;:!?\n\x0b\x0c\r", b" \t"
 UNKNOWN = "und"
+#: Shares in which the pairs of a level are dealt out, one after another, so that their shuffles don't lie on the disks together.
+SHARES = 4
 LEAST, LONGEST, SHOWN, PER_MILLE = 100, 5, 2000, 1000
 
 _KIND = np.zeros(256, dtype=np.uint8)
@@ -51,11 +54,13 @@ IN_LIST, IN_TASK = 28, 12
 
 
 def _packed(x: np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(x, dtype=np.int32).tobytes())
+    """Whole numbers of 32 bits, compressed byte by byte, as most have few bits."""
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(x, dtype="<i4").view(np.uint8).reshape(-1, 4).T.tobytes())
 
 
 def _unpacked(x: bytes) -> np.ndarray:
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(x), dtype=np.int32)
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(x), dtype=np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<i4").ravel()
 
 
 def _rising(x: np.ndarray) -> bytes:
@@ -166,16 +171,17 @@ def _named_pairs(blocks: DataFrame) -> DataFrame:
     return blocks.select("block", "at", "number", "i", "id").mapInArrow(rename, "block long, at binary, number binary, names binary, a binary, b binary, c binary")
 
 
-def _listed_pairs(blocks: DataFrame) -> DataFrame:
-    """block, i (the number in the block), a, b (names), c: a row for each different pair of each block."""
+def _listed_pairs(blocks: DataFrame, share: int) -> DataFrame:
+    """block, i (the number in the block), a, b (names), c: a row for each different pair of each block that falls to a share of SHARES."""
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in range(batch.num_rows):
                 block, names, a, b, c = (batch.column(x)[r].as_py() for x in ("block", "names", "a", "b", "c"))
                 name = np.frombuffer(zstandard.ZstdDecompressor().decompress(names), dtype=np.int64)
-                c = _unpacked(c)
-                columns = [pa.array(np.full(len(c), block)), pa.array(np.arange(len(c), dtype=np.int32)), pa.array(name[np.cumsum(_unpacked(a))]), pa.array(name[_unpacked(b)]), pa.array(c.astype(np.int64))]
+                a, b = name[np.cumsum(_unpacked(a))], name[_unpacked(b)]
+                own = np.flatnonzero(((a * 31 + b) * np.int64(0x5851F42D4C957F2D) >> 40) % SHARES == share)
+                columns = [pa.array(np.full(len(own), block)), pa.array(own.astype(np.int32)), pa.array(a[own]), pa.array(b[own]), pa.array(_unpacked(c)[own].astype(np.int64))]
                 yield pa.RecordBatch.from_arrays(columns, names=["block", "i", "a", "b", "c"])
         give_back()
 
@@ -200,7 +206,7 @@ def counted_phrases(docs: DataFrame, text: str = "text", lang: str = "lang", lea
     """The levels 1 to longest, and lang, n (words). A level has id, lang, phrase, last (its last word), f, heads and tails (counts of its first 1, 2, ... and last 1, 2, ... words), and from level 2 on its parents a (all but the last word) and b (all but the first)."""
     small_batches(docs.sparkSession)
     given = docs.select(F.coalesce(F.col(f"`{lang}`"), F.lit(UNKNOWN)).alias("lang"), F.encode(F.col(f"`{text}`"), "UTF-8").alias("raw")).where("octet_length(raw) > 0")
-    blocks = written(_blocks(given), "blocks1")
+    blocks = written_alone(_blocks(given), "blocks1", "block")
     words = blocks.select("block", F.posexplode(F.arrays_zip("lang", "word", "c")).alias("i", "x")).select("block", "i", "x.*")
     totals = written(words.groupBy("lang").agg(F.sum("c").alias("n")), "totals")
     met = _named(words, ["lang", "word"], least, 1)
@@ -208,10 +214,10 @@ def counted_phrases(docs: DataFrame, text: str = "text", lang: str = "lang", lea
     levels = [written_alone(level.select("id", "lang", F.col("word").alias("phrase"), F.col("word").alias("last"), "f", F.array("f").alias("heads"), F.array("f").alias("tails")), "level1")]
     for k in range(2, longest + 1):
         above, old = levels[-1], (blocks, met)
-        blocks = written_alone(_named_pairs(_answered(blocks, met)), f"blocks{k}")
+        blocks = written_alone(_named_pairs(_answered(blocks, met)), f"blocks{k}", "block")
         for table in old:
             discard(table)  # nothing reads it any more
-        met = _named(_listed_pairs(blocks), ["a", "b"], least, k)
+        met = reduce(DataFrame.unionByName, [_named(_listed_pairs(blocks, i), ["a", "b"], least, k) for i in range(SHARES)])
         pairs = met.groupBy("id", "a", "b").agg(F.max("f").alias("f"))
         first = above.select(F.col("id").alias("a"), "lang", F.col("phrase").alias("_phrase"), "heads")
         second = above.select(F.col("id").alias("b"), "last", "tails")
