@@ -43,7 +43,7 @@ BLOCK = 4 << 20
 BREAKS, GAPS = b".,;:!?\n\x0b\x0c\r", b" \t"
 UNKNOWN = "und"
 #: Shares in which the pairs of a level are dealt out, one after another, so that their shuffles don't lie on the disks together.
-SHARES = 4
+SHARES = 8
 LEAST, LONGEST, SHOWN, PER_MILLE = 100, 5, 2000, 1000
 
 _KIND = np.zeros(256, dtype=np.uint8)
