@@ -1,8 +1,7 @@
 """Operators on node tables: selection, ancestors, containers, flattened text, and records of posts.
 
-Each is a join or an aggregate on (page, node); none compares a page's nodes pairwise. `path` carries every
-node's ancestors, so walking up is an explode and searching below is an equi-join. A page is known by its id
-and the number of its row (PAGE), so an id that occurs twice is two pages.
+What lies in what comes from `structure`, one pass over nodes in page order; all else is filters and aggregates.
+A page is known by its id and the number of its row (PAGE), so an id that occurs twice is two pages.
 """
 
 from __future__ import annotations
@@ -15,115 +14,119 @@ from pyspark.sql import functions as F
 from ..functions import ages
 from ..functions import textops as X
 from ..functions.rules import first_failure, post_rules
-from ..sources.shared import materialised
+from .structure import HOPS, PAGE, contained, enclosed
+from .structure import owners as owners_of
 
 #: Fixed values of the feed's markup.
 MARKER_TAG, MARKER_ATTR, MARKER_PREFIX = "button", "aria-label", "Open control menu for post"
 LINK_PARTS = ("/in/", "/company/")
 AGE_TAGS, AGE_TEXT, AGE_CHARS = ("span", "time"), r"\A([0-9]{1,3})([mhdw])(?U)\s*(?:•|\z)", 40
-MAX_HOPS, NAME_CHARS = 8, 90
-#: What tells pages apart.
-PAGE = ("page", "row")
+MAX_HOPS, NAME_CHARS = HOPS, 90
+#: Characters of a link's text, and of an element that may show an age, that are looked at.
+LINK_CHARS, SHORT_CHARS = 1000, AGE_CHARS + 1
+
+
+def has_prefix(tag: str, attr: str, prefix: str) -> Column:
+    """Whether a node is an element of a tag whose attribute starts with prefix."""
+    return (F.col("tag") == tag) & F.coalesce(F.element_at("attrs", F.lit(attr)).startswith(prefix), F.lit(False))
+
+
+def has_parts(tag: str, attr: str, parts: tuple[str, ...]) -> Column:
+    """Whether a node is an element of a tag whose attribute contains one of parts."""
+    value = F.element_at("attrs", F.lit(attr))
+    return (F.col("tag") == tag) & F.coalesce(reduce(lambda a, b: a | b, (value.contains(p) for p in parts)), F.lit(False))
 
 
 def with_prefix(nodes: DataFrame, tag: str, attr: str, prefix: str) -> DataFrame:
-    """Elements of a tag whose attribute starts with prefix."""
-    return nodes.where((F.col("tag") == tag) & F.coalesce(F.element_at("attrs", F.lit(attr)).startswith(prefix), F.lit(False)))
+    return nodes.where(has_prefix(tag, attr, prefix))
 
 
 def with_parts(nodes: DataFrame, tag: str, attr: str, parts: tuple[str, ...]) -> DataFrame:
-    """Elements of a tag whose attribute contains one of parts; page order is the order of pre."""
-    value = F.element_at("attrs", F.lit(attr))
-    return nodes.where((F.col("tag") == tag) & F.coalesce(reduce(lambda a, b: a | b, (value.contains(p) for p in parts)), F.lit(False)))
+    """Page order is the order of pre."""
+    return nodes.where(has_parts(tag, attr, parts))
 
 
-def ancestors(nodes: DataFrame) -> DataFrame:
-    """page, pre, ancestor, ancestor_depth: each node itself and all above it, up to the root."""
-    return nodes.select(*PAGE, "pre", F.posexplode("path").alias("ancestor_depth", "ancestor"))
+def ancestors(nodes: DataFrame, which: Column) -> DataFrame:
+    """page, row, pre, ancestor: the nodes for which which holds, each with itself and all above it, up to the root."""
+    return enclosed(nodes, F.lit(True), which).select(*PAGE, "pre", F.col("top").alias("ancestor"))
 
 
-def owners(markers: DataFrame) -> DataFrame:
-    """page, ancestor, owns: how many markers lie at or below each ancestor of any."""
-    return ancestors(markers).groupBy(*PAGE, "ancestor").agg(F.count("*").alias("owns"))
+def owners(nodes: DataFrame, mark: Column) -> DataFrame:
+    """page, row, ancestor, owns: how many marks lie at or below each node that has any."""
+    return owners_of(nodes.select(*PAGE, "pre", "post", "parent", *_used(nodes)), mark).where("owns > 0").select(*PAGE, F.col("pre").alias("ancestor"), "owns")
 
 
-def containers(markers: DataFrame) -> DataFrame:
-    """page, marker, container: the highest ancestor that owns one marker only. A page's only marker has the root."""
-    up = ancestors(markers)
-    single = up.join(owners(markers).where("owns = 1"), [*PAGE, "ancestor"])
-    return single.groupBy(*PAGE, F.col("pre").alias("marker")).agg(F.min_by("ancestor", "ancestor_depth").alias("container"))
+def _used(nodes: DataFrame) -> list[str]:
+    """What conditions may ask for."""
+    return [c for c in nodes.columns if c not in (*PAGE, "pre", "post", "parent")]
 
 
-def below(nodes: DataFrame, tops: DataFrame, top: str) -> DataFrame:
-    """tops joined to the nodes at or below their column top, by the nodes' paths."""
-    spread = nodes.select("*", F.explode("path").alias("_up"))
-    return tops.join(spread.withColumnRenamed("_up", top), [*PAGE, top])
+def containers(nodes: DataFrame, mark: Column) -> DataFrame:
+    """page, row, marker, container, tag (the container's): the highest node that owns one mark only. A page's only mark has the root."""
+    inside = contained(nodes, mark, F.lit(0), F.lit(False))
+    return inside.where("pre = container").select(*PAGE, "marker", "container", "tag")
 
 
-def flattened(nodes: DataFrame, tops: DataFrame, top: str, name: str = "flat") -> DataFrame:
-    """page, top and all text below it, in page order, without anything between nodes, white space collapsed."""
-    texts = below(nodes.where("tag = '#text'").select(*PAGE, "pre", "text", "path"), tops.select(*PAGE, top).distinct(), top)
-    joined = texts.groupBy(*PAGE, top).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pre", "text"))), lambda x: x["text"]), "").alias("_all"))
-    out = tops.select(*PAGE, top).distinct().join(joined, [*PAGE, top], "left")
-    return out.select(*PAGE, top, X.collapse(F.coalesce("_all", F.lit(""))).alias(name))
+def _joined(order: str, text: str) -> Column:
+    return F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col(text).isNotNull(), F.struct(order, text)))), lambda x: x[text]), "")
 
 
-def ages_below(nodes: DataFrame, tops: DataFrame, top: str = "container") -> DataFrame:
-    """page, top, age, age_pre, age_path: of the first element below top that shows an age by itself."""
-    shown = nodes.where(F.col("tag").isin(*AGE_TAGS)).select(*PAGE, F.col("pre").alias("el"))
-    shown = flattened(nodes, shown, "el").where((F.length("flat") <= AGE_CHARS) & F.col("flat").rlike(AGE_TEXT))
-    shown = nodes.join(shown.withColumnRenamed("el", "pre"), [*PAGE, "pre"]).select(*PAGE, "pre", "path", F.concat(F.regexp_extract("flat", AGE_TEXT, 1), F.regexp_extract("flat", AGE_TEXT, 2)).alias("age"))
-    found = below(shown, tops.select(*PAGE, top).distinct(), top)
-    return found.groupBy(*PAGE, top).agg(F.min_by(F.struct("age", F.col("pre").alias("age_pre"), F.col("path").alias("age_path")), "pre").alias("_a")).select(*PAGE, top, "_a.*")
+def flattened(nodes: DataFrame, tops: Column, name: str = "flat") -> DataFrame:
+    """page, row, top and all text at or below it, in page order, without anything between nodes, white space collapsed: a row for each node for which tops holds. A text goes to every top above it."""
+    inside = enclosed(nodes, tops, tops | (F.col("tag") == "#text")).where("tag = '#text' OR pre = top")
+    return inside.groupBy(*PAGE, "top").agg(X.collapse(_joined("pre", "text")).alias(name))
 
 
-def links(nodes: DataFrame, parts: tuple[str, ...] = LINK_PARTS) -> DataFrame:
-    """page, pre, path, href (without its query), shown (its flattened text)."""
-    found = with_parts(nodes, "a", "href", parts).select(*PAGE, "pre", "path", X.without_query(F.element_at("attrs", F.lit("href"))).alias("href"))
-    text = flattened(nodes, found.select(*PAGE, F.col("pre").alias("el")), "el", "shown").withColumnRenamed("el", "pre")
-    return found.join(text, [*PAGE, "pre"])
+def first_shown(nodes: DataFrame, tags: tuple[str, ...], keeps: Column, name: str = "shown") -> DataFrame:
+    """page, row, name: the flattened text (column flat in keeps) of the first element of tags on a page that keeps holds for."""
+    shown = flattened(nodes, F.col("tag").isin(*tags)).where(keeps)
+    return shown.groupBy(*PAGE).agg(F.min_by("flat", "top").alias(name))
 
 
-def authors_by_label(markers: DataFrame, tops: DataFrame, found: DataFrame) -> DataFrame:
-    """page, marker, url, name: the name in the marker's label, the url of the first link in its container that shows this name."""
+def _author_by_label(label: Column, found: Column) -> tuple[Column, Column]:
+    """The url of the first link that shows the name in the marker's label, and the name; nulls if there is none."""
     pattern = rf"^{MARKER_PREFIX} by (.+)$"
-    label = F.element_at("attrs", F.lit(MARKER_ATTR))
-    named = markers.where(label.rlike(pattern)).select(*PAGE, F.col("pre").alias("marker"), X.collapse(F.regexp_extract(label, pattern, 1)).alias("name"))
-    named = named.withColumn("_norm", X.norm_name(F.col("name"))).where("_norm <> ''").join(tops, [*PAGE, "marker"])
-    inside = found.where("href <> ''").select(*PAGE, "pre", "href", X.norm_name(F.col("shown")).alias("_norm"), F.explode("path").alias("container"))
-    hit = named.join(inside, [*PAGE, "container", "_norm"])
-    return hit.groupBy(*PAGE, "marker").agg(F.min_by("href", "pre").alias("url"), F.first(F.substring("name", 1, NAME_CHARS)).alias("name"))
-
-
-def authors_by_walk(tops: DataFrame, aged: DataFrame, found: DataFrame) -> DataFrame:
-    """page, marker, url, name: from above the age, the nearest ancestor with a link, at most MAX_HOPS up and not above the container; there the first link with a short text, else the first."""
-    up = tops.join(aged, [*PAGE, "container"]).select(*PAGE, "marker", "container", F.posexplode("age_path").alias("depth", "ancestor"), (F.size("age_path") - 1).alias("age_depth"), F.array_position("age_path", F.col("container")).alias("top"))
-    up = up.where((F.col("depth") < F.col("age_depth")) & (F.col("depth") >= F.col("age_depth") - MAX_HOPS) & (F.col("depth") >= F.col("top") - 1))
-    inside = found.select(*PAGE, "pre", "href", "shown", F.explode("path").alias("ancestor"))
-    met = up.join(inside, [*PAGE, "ancestor"])
-    nearest = met.groupBy(*PAGE, "marker").agg(F.max("depth").alias("depth"))
-    good = (F.length("shown") > 0) & (F.length("shown") < NAME_CHARS)
-    pick = met.join(nearest, [*PAGE, "marker", "depth"]).groupBy(*PAGE, "marker").agg(F.min_by(F.struct("href", "shown"), F.struct(F.when(good, 0).otherwise(1), F.col("pre"))).alias("_l"))
-    name = F.nullif(F.substring(X.without_degree(F.col("_l.shown")), 1, NAME_CHARS), F.lit(""))
-    return pick.where(F.col("_l.href") != "").select(*PAGE, "marker", F.col("_l.href").alias("url"), name.alias("name"))
+    name = X.collapse(F.regexp_extract(label, pattern, 1))
+    wanted = F.nullif(X.norm_name(name), F.lit(""))
+    url = F.get(F.filter(found, lambda x: (x["href"] != "") & (x["norm"] == wanted)), F.lit(0))["href"]
+    return url, F.when(url.isNotNull(), F.substring(name, 1, NAME_CHARS))
+
+
+def _author_by_walk(ups: Column, container: Column, found: Column) -> tuple[Column, Column]:
+    """From above the age, the nearest ancestor with a link, not above the container; there the first link with a short text, else the first. Its url and its text as a name; nulls if there is none."""
+    inside = F.transform(F.filter(ups, lambda u: u["pre"] >= container), lambda u: F.filter(found, lambda x: (x["pre"] >= u["pre"]) & (x["pre"] < u["post"])))
+    nearest = F.get(F.filter(inside, lambda links: F.size(links) > 0), F.lit(0))
+    good = F.filter(nearest, lambda x: (F.length(x["shown"]) > 0) & (F.length(x["shown"]) < NAME_CHARS))
+    pick = F.coalesce(F.get(good, F.lit(0)), F.get(nearest, F.lit(0)))
+    url = F.nullif(pick["href"], F.lit(""))
+    return url, F.when(url.isNotNull(), F.nullif(F.substring(X.without_degree(pick["shown"]), 1, NAME_CHARS), F.lit("")))
 
 
 def posts(nodes: DataFrame, fold: bool = False) -> DataFrame:
     """A row for each marker of each page: the record's columns, author_route (label, walk) and outcome (record, ads, no_age, no_author, rejected_<rule>). nodes carry their page's captured_at.
 
-    Containers and links are read by several joins, so each is written once. A post without an age is dropped, whatever the reason, before its author is sought."""
-    captured = nodes.where("pre = 0").select(*PAGE, "captured_at")
-    nodes = nodes.select(*PAGE, "pre", "depth", "tag", "attrs", "text", "path")
-    markers = with_prefix(nodes, MARKER_TAG, MARKER_ATTR, MARKER_PREFIX)
-    tops = materialised(containers(markers), "containers")
-    flat = flattened(nodes, tops, "container")
-    flat = flat.withColumn("flat", X.clamp(X.fold_punctuation(F.col("flat")) if fold else F.col("flat")))
-    aged = ages_below(nodes, tops)
-    found = materialised(links(nodes), "links")
-    by_label = authors_by_label(markers, tops, found).select(*PAGE, "marker", F.col("url").alias("u1"), F.col("name").alias("n1"))
-    by_walk = authors_by_walk(tops, aged, found).select(*PAGE, "marker", F.col("url").alias("u2"), F.col("name").alias("n2"))
-    rows = tops.join(flat, [*PAGE, "container"]).join(aged.drop("age_pre", "age_path"), [*PAGE, "container"], "left")
-    rows = rows.join(by_label, [*PAGE, "marker"], "left").join(by_walk, [*PAGE, "marker"], "left").join(captured, list(PAGE), "left")
+    A structural pass gives each node its container; one aggregate by container then gathers its texts, links and first age. A post without an age is dropped, whatever the reason, before its author is sought. Of a link's text the first LINK_CHARS characters count."""
+    link, marker = has_parts("a", "href", LINK_PARTS), has_prefix(MARKER_TAG, MARKER_ATTR, MARKER_PREFIX)
+    aged = F.col("tag").isin(*AGE_TAGS)
+    marks = nodes.select(
+        *PAGE, "captured_at", "pre", "post", "parent", "text", marker.alias("marks"), aged.alias("ages"),
+        F.when(link, X.without_query(F.element_at("attrs", F.lit("href")))).alias("href"), F.when(marker, F.element_at("attrs", F.lit(MARKER_ATTR))).alias("label"),
+    )
+    inside = contained(marks, F.col("marks"), F.when(F.col("href").isNotNull(), LINK_CHARS).when(F.col("ages"), SHORT_CHARS), F.col("ages"))
+    inside = inside.where("text IS NOT NULL OR href IS NOT NULL OR ages OR pre = marker")
+    shows_age = F.col("ages") & (F.length("shown") <= AGE_CHARS) & F.col("shown").rlike(AGE_TEXT)
+    age = F.concat(F.regexp_extract("shown", AGE_TEXT, 1), F.regexp_extract("shown", AGE_TEXT, 2))
+    whole = inside.groupBy(*PAGE, "container", "marker").agg(
+        F.first("captured_at").alias("captured_at"), F.max(F.when(F.col("pre") == F.col("marker"), F.col("label"))).alias("label"), _joined("pre", "text").alias("flat"),
+        F.array_sort(F.collect_list(F.when(F.col("href").isNotNull(), F.struct("pre", "href", "shown", X.norm_name(F.col("shown")).alias("norm"))))).alias("links"),
+        F.min_by(F.struct(age.alias("age"), "ups"), F.when(shows_age, F.col("pre"))).alias("first"),
+    )
+    # min_by skips rows without an order, so first is null where no age is shown
+    flat = X.collapse(F.col("flat"))
+    rows = whole.withColumn("flat", X.clamp(X.fold_punctuation(flat) if fold else flat))
+    u1, n1 = _author_by_label(F.col("label"), F.col("links"))
+    u2, n2 = _author_by_walk(F.col("first.ups"), F.col("container"), F.col("links"))
+    rows = rows.select(*PAGE, "marker", "captured_at", "flat", F.col("first.age").alias("age"), u1.alias("u1"), n1.alias("n1"), u2.alias("u2"), n2.alias("n2"))
     label = F.col("u1").isNotNull()
     rows = rows.select(
         *PAGE,
@@ -158,11 +161,3 @@ def parse_report(rows: DataFrame) -> DataFrame:
 def rejected(rows: DataFrame) -> DataFrame:
     """bucket, n: rejected posts by the rule that they broke first."""
     return rows.where(F.col("outcome").startswith("rejected_")).groupBy(F.col("outcome").alias("bucket")).agg(F.count("*").alias("n"))
-
-
-def first_shown(nodes: DataFrame, tops: DataFrame, top: str, tags: tuple[str, ...], keeps: Column, name: str = "shown") -> DataFrame:
-    """page, top, name: the flattened text (column flat in keeps) of the first element of tags below top that keeps holds for."""
-    el = nodes.where(F.col("tag").isin(*tags)).select(*PAGE, F.col("pre").alias("el"))
-    shown = flattened(nodes, el, "el").where(keeps).withColumnRenamed("el", "pre")
-    shown = nodes.select(*PAGE, "pre", "path").join(shown, [*PAGE, "pre"])
-    return below(shown, tops.select(*PAGE, top).distinct(), top).groupBy(*PAGE, top).agg(F.min_by("flat", "pre").alias(name))

@@ -11,7 +11,6 @@ from ..functions.rules import POST_FIELDS, first_failure, post_rules
 from ..operators import dedup, quality, tree
 from ..operators.html_nodes import html_nodes
 from ..sources.files import append_run
-from ..sources.shared import materialised
 
 KEYS = ["author_key", "body_key"]
 
@@ -21,8 +20,8 @@ class BatchRejected(RuntimeError):
 
 
 def parse(pages: DataFrame) -> DataFrame:
-    """pages (page, html, captured_at) to a row for each post, with its outcome. Pages are parsed once; the node table is written, as several joins read some of its columns."""
-    return tree.posts(materialised(html_nodes(pages, "html", "page", ("captured_at",)), "nodes"))
+    """pages (page, html, captured_at) to a row for each post, with its outcome. Pages are parsed once, and nodes read once."""
+    return tree.posts(html_nodes(pages, "html", "page", ("captured_at",)))
 
 
 def keyed(rows: DataFrame) -> DataFrame:

@@ -17,7 +17,7 @@ from ..functions import textops as X
 from ..operators import dedup, quality, tree
 from ..operators.html_nodes import html_nodes
 from ..sources import files
-from ..sources.shared import lasting_folder, materialised
+from ..sources.shared import lasting_folder
 from ..streaming.ingest import ingest, open_stream
 from . import envelope as E
 
@@ -246,10 +246,8 @@ def url_without_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "pages", "page_id", "url").select("page_id", X.without_query(F.col("url")).alias("url"))
 
 
-def page_nodes(spark: SparkSession, sf_dir: str, again: bool = False) -> DataFrame:
-    """The node table; again: it is read more than once."""
-    nodes = html_nodes(read(spark, sf_dir, "pages", "page_id", "html"))
-    return materialised(nodes, "nodes") if again else nodes
+def page_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_nodes(read(spark, sf_dir, "pages", "page_id", "html"))
 
 
 @query("""SELECT page, href FROM (SELECT page_id AS page, unnest(regexp_extract_all(html, '<a href="([^"]*)"', 1)) AS href FROM pages) WHERE starts_with(href, '/e')""")
@@ -265,10 +263,8 @@ def link_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""SELECT page_id AS page, len(regexp_extract_all(html, '<a href=')) AS markers, len(regexp_extract_all(html, '<li><a href=')) AS containers, 'li' AS tag FROM pages WHERE contains(html, '<a href=')""")
 def link_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Containers of links: the highest element that holds one link only is its list item."""
-    nodes = page_nodes(spark, sf_dir, again=True).select(*tree.PAGE, "pre", "tag", "attrs", "path")
-    tops = tree.containers(tree.with_prefix(nodes, "a", "href", ""))
-    tags = tops.join(nodes.select(*tree.PAGE, F.col("pre").alias("container"), "tag"), [*tree.PAGE, "container"])
-    return tags.groupBy("page", "tag").agg(F.count("*").cast("long").alias("markers"), F.count_distinct("container").alias("containers"))
+    tops = tree.containers(page_nodes(spark, sf_dir).select(*tree.PAGE, "pre", "post", "parent", "tag", "attrs"), tree.has_prefix("a", "href", ""))
+    return tops.groupBy("page", "tag").agg(F.count("*").cast("long").alias("markers"), F.count_distinct("container").alias("containers"))
 
 
 _TAGS = r"(?is)<script.*?</script>|<style.*?</style>|<!--.*?-->|<[^>]*>"
@@ -284,15 +280,15 @@ def _unescaped_sql(text: str) -> str:
 @query(f"""SELECT page_id AS page, {_flat_sql(_unescaped_sql(f"regexp_replace(coalesce(html, ''), '{_TAGS}', '', 'g')"))} AS flat FROM pages""")
 def flatten_page(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All text of each page."""
-    nodes = page_nodes(spark, sf_dir, again=True).select(*tree.PAGE, "pre", "tag", "text", "path")
-    return tree.flattened(nodes, nodes.where("pre = 0").select(*tree.PAGE, F.col("pre").alias("root")), "root").select("page", "flat")
+    nodes = page_nodes(spark, sf_dir).select(*tree.PAGE, "pre", "post", "parent", "tag", "text")
+    return tree.flattened(nodes, F.col("pre") == 0).select("page", "flat")
 
 
 @query("""SELECT page_id AS page, trim(replace(replace(regexp_extract(html, '<h1>([^<]*)</h1>', 1), '&quot;', '"'), '&amp;', '&')) AS shown FROM pages""")
 def page_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first heading of each page that has a text."""
-    nodes = page_nodes(spark, sf_dir, again=True).select(*tree.PAGE, "pre", "tag", "text", "path")
-    return tree.first_shown(nodes, nodes.where("pre = 0").select(*tree.PAGE, F.col("pre").alias("root")), "root", ("h1", "h2"), F.col("flat") != "").select("page", "shown")
+    nodes = page_nodes(spark, sf_dir).select(*tree.PAGE, "pre", "post", "parent", "tag", "text")
+    return tree.first_shown(nodes, ("h1", "h2"), F.col("flat") != "").select("page", "shown")
 
 
 def feed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:

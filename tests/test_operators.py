@@ -3,13 +3,14 @@
 import datetime as dt
 import json
 import random
+import time
 from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
 from millrace.functions.rules import POST_FIELDS
-from millrace.operators import dedup, quality, tree
+from millrace.operators import dedup, quality, structure, tree
 from millrace.operators.html_nodes import html_nodes, nodes_of
 from millrace.plans import envelope as E
 from millrace.plans import parsing
@@ -121,15 +122,43 @@ def test_gates(spark, change, gate):
 
 
 def test_nodes():
-    rows = nodes_of('<!-- c --><ul><li>a<li>b<p>x<p>y</ul><script>1<2</script><br/>&amp;<i>z')
-    assert [(r[3], r[4], r[6]) for r in rows] == [
+    rows = nodes_of('<!-- c --><ul><li>a<li>b<p>x<p>y</ul><script>1<2</script><br/>&amp;<i>z').to_pylist()
+    assert [(r["depth"], r["tag"], r["text"]) for r in rows] == [
         (0, "#root", None), (1, "ul", None), (2, "li", None), (3, "#text", "a"), (2, "li", None), (3, "#text", "b"), (3, "p", None), (4, "#text", "x"), (3, "p", None), (4, "#text", "y"),
         (1, "script", None), (1, "br", None), (1, "#text", "&"), (1, "i", None), (2, "#text", "z"),
     ]
-    for n, post, parent, depth, _, _, _, path in rows:
-        assert path[-1] == n and len(path) == depth + 1 and (parent is None or path[-2] == parent)
-        assert {m for m in range(len(rows)) if n in rows[m][7]} == set(range(n, post))
-    assert len(nodes_of(None)) == 1
+    for r in rows:
+        below = [x for x in rows if r["pre"] <= x["pre"] < r["post"]]
+        assert all(x["depth"] > r["depth"] for x in below[1:]) and (r["parent"] is None or rows[r["parent"]]["post"] >= r["post"] and rows[r["parent"]]["depth"] == r["depth"] - 1)
+    assert nodes_of(None).num_rows == 1
+
+
+def test_nodes_of_odd_pages():
+    shown = lambda page: [(r["tag"], dict(r["attrs"]), r["text"]) for r in nodes_of(page).to_pylist()[1:]]
+    assert shown("<a href=\"x>y\" B='q' c=d/e f>t</a x>1 < 2 &lt; </ z>w<IMG src=a/>e<a \"b") == [("a", {"href": "x>y", "b": "q", "c": "d/e", "f": ""}, None), ("#text", {}, "t"), ("#text", {}, "1 < 2 < w"), ("img", {"src": "a/"}, None), ("#text", {}, 'e<a "b')]
+    assert shown('<p a="1" a="2">x<!-- > --><!-->y<!DOCTYPE z><?q?>w') == [("p", {"a": "2"}, None), ("#text", {}, "xyw")]
+    assert shown('<b x="y>z<i>') == [("b", {"x": '"y'}, None), ("#text", {}, "z"), ("i", {}, None)]  # a quote that isn't closed is none
+    assert shown("a</b>c</p>") == [("#text", {}, "a"), ("#text", {}, "c")]
+    assert shown("<script>var a = '<p>';</SCRIPT >b<style>c") == [("script", {}, None), ("#text", {}, "b"), ("style", {}, None)]
+    assert shown("<table><tr><td>1<table><tr><td>2</table><td>3") == [(t, {}, x) for t, x in [("table", None), ("tr", None), ("td", None), ("#text", "1"), ("table", None), ("tr", None), ("td", None), ("#text", "2"), ("td", None), ("#text", "3")]]
+
+
+@pytest.mark.parametrize("piece", ["<a ", "<div>", "<b>", "<p>x", '<a x="', '<a x="<a y=\'', "<", "<script>", "<!--", "</b", "<ul><li>", "<table><td>", "<div></p>", "&am", "<a/ "])
+@pytest.mark.parametrize("tail", ["", '">'])
+def test_hostile_pages_take_linear_time(piece, tail):
+    """Eight times the page takes about eight times the time, where a quadratic reader takes sixty-four times."""
+
+    def took(size):
+        page = piece * (size // len(piece)) + tail
+        best = 9e9
+        for _ in range(3):
+            began = time.process_time()
+            nodes_of(page)
+            best = min(best, time.process_time() - began)
+        return best
+
+    small, large = took(40_000), took(320_000)
+    assert large < 25 * small + 0.05
 
 
 BLOCK = '<div><div><a href="{liker}">Liker</a> likes this</div><div><div><a href="/in/x"></a><a href="{url}">{name} • 2nd</a></div><span>{age}</span></div><button aria-label="{label}"></button><p>{body}</p></div>'
@@ -169,11 +198,70 @@ def test_posts(feed):
 
 def test_containers(spark, feed):
     nodes = html_nodes(feed, "html", "page")
-    markers = tree.with_prefix(nodes, tree.MARKER_TAG, tree.MARKER_ATTR, tree.MARKER_PREFIX)
-    tops = tree.containers(markers).collect()
+    mark = tree.has_prefix(tree.MARKER_TAG, tree.MARKER_ATTR, tree.MARKER_PREFIX)
+    tops = tree.containers(nodes, mark).collect()
     assert {r["container"] for r in tops if r["page"] == "sole"} == {0}
     assert len({r["container"] for r in tops if r["page"] == "one"}) == 7
-    assert tree.owners(markers).where("page = 'one' AND ancestor = 0").first()["owns"] == 7
+    assert tree.owners(nodes, mark).where("page = 'one' AND ancestor = 0").first()["owns"] == 7
+
+
+def random_pages(spark):
+    rnd = random.Random(8)
+    pieces = ["<div>", "<div>", "</div>", "<span>", "</span>", "<a href='/in/x'>", "</a>", "<i>", "</i>", "a b", " ", "c  d", "\n", "<p>", "é"]
+    pages = [(f"p{i % 30}", "".join(rnd.choice(pieces) for _ in range(rnd.randint(0, 80)))) for i in range(40)] + [("null", None), ("deep", "<div>" * 500 + "x" + "<a href=/in/y>" * 300)]
+    return html_nodes(spark.createDataFrame(pages, "page string, html string").repartition(3), "html", "page").persist()
+
+
+def by_page(nodes):
+    out = {}
+    for r in nodes.orderBy("row", "pre").collect():
+        out.setdefault(r["row"], []).append(r)
+    return out
+
+
+def test_structure_against_brute_force(spark, monkeypatch):
+    """Ancestors, owners, containers, flattened and shown texts of random pages, against comparing all nodes of a page."""
+    nodes = random_pages(spark)
+    link, pages = tree.has_prefix("a", "href", "/in"), by_page(nodes)
+    is_link = lambda r: r["tag"] == "a" and r["attrs"].get("href", "").startswith("/in")
+    above, owned, held, flat = set(), set(), set(), set()
+    for row, of in pages.items():
+        owns = [sum(is_link(y) for y in of[x["pre"] : x["post"]]) for x in of]
+        for x in of:
+            up = [y for y in of if y["pre"] <= x["pre"] < y["post"]]
+            if is_link(x):
+                above |= {(row, x["pre"], y["pre"]) for y in up}
+                top = next((y for y in up if owns[y["pre"]] == 1), None)
+                held |= {(row, x["pre"], top["pre"], top["tag"])} if top else set()
+            if owns[x["pre"]]:
+                owned.add((row, x["pre"], owns[x["pre"]]))
+            if x["tag"] in ("div", "span"):
+                flat.add((row, x["pre"], " ".join("".join(y["text"] or "" for y in of[x["pre"] : x["post"]]).split())))
+    rows = lambda df, *c: {tuple(r[x] for x in ("row", *c)) for r in df.collect()}
+    assert rows(tree.ancestors(nodes, link), "pre", "ancestor") == above and above
+    assert rows(tree.owners(nodes, link), "ancestor", "owns") == owned
+    assert rows(tree.containers(nodes, link), "marker", "container", "tag") == held and held
+    assert rows(tree.flattened(nodes, F.col("tag").isin("div", "span")), "top", "flat") == flat and flat
+    got = structure.contained(nodes, F.col("pre") == 0, F.when(F.col("tag").isin("div", "span"), 10**6), F.col("tag") == "span")
+    assert {x for x in rows(got, "pre", "shown") if x[2] is not None} == flat
+    spans = got.where("tag = 'span'").collect()
+    for r in spans:
+        ups, of = [], pages[r["row"]]
+        x = of[r["pre"]]
+        while x["parent"] is not None and len(ups) < 8:
+            x = of[x["parent"]]
+            ups.append((x["pre"], x["post"]))
+        assert [(u["pre"], u["post"]) for u in r["ups"]] == ups
+    assert {len(r["shown"].replace(" ", "")) for r in structure.contained(nodes, F.col("pre") == 0, F.lit(3), F.lit(False)).collect()} <= {0, 1, 2, 3, 4, 5, 6}
+
+
+def test_structure_needs_whole_pages(spark):
+    nodes = random_pages(spark)
+    with pytest.raises(Exception, match="together and in order"):
+        tree.owners(nodes.where("pre > 0"), F.lit(True)).collect()
+    mixed = structure.together(nodes.repartition(5, "pre"))
+    assert sorted(map(str, tree.owners(mixed, F.col("tag") == "a").collect())) == sorted(map(str, tree.owners(nodes, F.col("tag") == "a").collect()))
+    assert tree.owners(nodes.limit(0), F.lit(True)).count() == 0
 
 
 def test_repeated_page_ids_are_two_pages(spark, feed):
@@ -181,7 +269,7 @@ def test_repeated_page_ids_are_two_pages(spark, feed):
     assert sorted(r["outcome"] for r in parsing.parse(twice).where("page = 'one'").collect()) == sorted(2 * [r["outcome"] for r in parsing.parse(feed).where("page = 'one'").collect()])
     one = spark.createDataFrame([("p", "<div><a href=/in/x>n</a></div>")] * 2, "page string, html string")
     nodes = html_nodes(one, "html", "page")
-    tops = tree.containers(tree.with_prefix(nodes, "a", "href", "/in"))
+    tops = tree.containers(nodes, tree.has_prefix("a", "href", "/in"))
     assert [(r["page"], r["container"]) for r in tops.collect()] == [("p", 0)] * 2
 
 
