@@ -65,6 +65,8 @@ class Pages:
 
     def shown(self, limits: np.ndarray) -> list[str | None]:
         """The text at or below each node with a limit above 0, white space collapsed, up to as many other characters. No node costs more than its limit."""
+        if not (limits > 0).any():
+            return [None] * len(limits)
         texts = self.nodes.column("text").to_pylist()
         cores, sizes, places, gaps, gap = [], [], [], [], True  # of texts with more than white space; gaps: whether white space comes before
         for i, text in enumerate(texts):
