@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import rules
 from ..functions.ages import iso, stamped
 from ..functions.textops import is_blank, permalink
 
+#: Splits of files whose counts are broadcast at most, of about 200 bytes each.
+FEW_SPLITS = 200_000
 POST = "author_profile_url string, author_name string, text string, post_relative_age string, post_time_iso string, scraped_at string"
 MESSAGE = "channel string, channel_title string, message_id bigint, text string, posted_at string, scraped_at string"
 
@@ -47,13 +49,29 @@ def _there(spark: SparkSession, path: str) -> bool:
     return found is not None and len(found) > 0
 
 
+def ordered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """file (its name), ordinal (the line's number in its file, from 0), line: a large file is read in many tasks.
+
+    A split of a file knows where it starts, and its lines come in order, so a line's number is that in its split and the
+    lines of the splits before it: counts by split, a row each, are summed up within files and joined back. They are
+    broadcast while they are few (a file has one split, and one more for each full share of the bytes that tasks read)."""
+    lines = spark.read.option("lineSep", "\n").text(path).select(
+        F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_block_start").alias("_start"), F.monotonically_increasing_id().alias("_id"), F.col("value").alias("line")
+    )
+    splits = lines.groupBy("_file", "_start").agg(F.count("*").alias("_n"), F.min("_id").alias("_first"))
+    earlier = Window.partitionBy("_file").orderBy("_start").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.select("_file", "_start", "_first", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    if len(lines.inputFiles()) + lines.rdd.getNumPartitions() <= FEW_SPLITS:
+        splits = F.broadcast(splits)
+    return lines.join(splits, ["_file", "_start"]).select("file", (F.col("_before") + F.col("_id") - F.col("_first")).alias("ordinal"), "line")
+
+
 def json_lines(spark: SparkSession, path: str, schema: str, strict: bool = True) -> DataFrame:
-    """file, ordinal (line order), the schema's columns and keys (those that the line has). Blank lines are skipped; a malformed line fails the read, or with strict off gives nulls. A path that isn't there has no lines."""
+    """file, ordinal (the line's number in its file, from 0, blank lines counted), the schema's columns and keys (those that the line has). Blank lines are skipped; a malformed line fails the read, or with strict off gives nulls. A path that isn't there has no lines."""
     if not _there(spark, path):
         none = spark.createDataFrame([], schema)
-        return none.select(F.lit("").alias("file"), F.lit(0).alias("ordinal"), "*", F.array().cast("array<string>").alias("keys"))
-    lines = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("file"), F.posexplode(F.split("value", "\n")).alias("ordinal", "line"))
-    lines = lines.where(~is_blank(F.col("line")))
+        return none.select(F.lit("").alias("file"), F.lit(0).cast("long").alias("ordinal"), "*", F.array().cast("array<string>").alias("keys"))
+    lines = ordered_lines(spark, path).where(~is_blank(F.col("line")))
     row = F.from_json("line", schema, {"mode": "FAILFAST" if strict else "PERMISSIVE"})
     return lines.select("file", "ordinal", row.alias("_row"), F.json_object_keys("line").alias("keys")).select("file", "ordinal", "_row.*", "keys")
 

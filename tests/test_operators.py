@@ -328,6 +328,31 @@ def test_json_lines(spark, tmp_path):
     assert json.loads(next((tmp_path / "out").glob("*.json")).read_text(encoding="utf-8")) == {"a": "é", "b": None, "t": "2024-01-01T00:00:00Z"}
 
 
+@pytest.mark.parametrize("few", [200_000, 0])
+def test_lines_keep_their_order_in_small_splits(spark, tmp_path, monkeypatch, few):
+    """Files in many splits (or one), with blank lines, lines longer than a split, carriage returns, no end of line at the end, and names that occur twice."""
+    monkeypatch.setattr(files, "FEW_SPLITS", few)
+    rnd, want = random.Random(2), {}
+    for name in ("a/x.jsonl", "b/x.jsonl", "b/y.jsonl", "b/empty.jsonl"):
+        lines = [rnd.choice(["", "é" * rnd.randint(0, 9), "w" * rnd.randint(0, 400), "r\r", str(i)]) for i in range(0 if "empty" in name else 300)]
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_bytes(("\n".join(lines) + ("\n" if "/y" in name else "")).encode())
+        if lines and "/y" not in name and not lines[-1]:
+            lines.pop()
+        for i, line in enumerate(lines):
+            want[name.split("/")[1], i, line] = want.get((name.split("/")[1], i, line), 0) + 1
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in ("128m", "1000", "50"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            df = files.ordered_lines(spark, str(tmp_path / "*"))
+            assert size == "128m" or spark.read.text(str(tmp_path / "*")).rdd.getNumPartitions() > 10
+            assert Counter((r["file"], r["ordinal"], r["line"]) for r in df.collect()) == Counter(want), size
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert files.ordered_lines(spark, str(tmp_path / "b/empty.jsonl")).count() == 0
+
+
 def test_lines_are_judged(spark, tmp_path):
     good = {"channel": "abcde", "channel_title": None, "message_id": 7, "text": "hi", "posted_at": "2024-01-01T00:00:00Z", "scraped_at": "2024-01-02T00:00:00Z"}
     rows = [good, {k: v for k, v in good.items() if k != "channel_title"}, good | {"more": 1}, {k: v for k, v in good.items() if k != "text"}, good | {"message_id": 0}, good | {"posted_at": "2024-01-03T00:00:00Z"}, good | {"channel": "1x"}]
