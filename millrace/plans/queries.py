@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions import ages, rules
 from ..functions import textops as X
 from ..operators import dedup, quality, tree
+from ..operators.history import KeyIndex
 from ..operators.html_nodes import html_nodes
 from ..sources import files
 from ..sources.shared import lasting_folder
@@ -401,6 +402,27 @@ def staging_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.json_lines(spark, path, "conv_id bigint, turn bigint, role string, text string").select("conv_id", "turn", "role", "text")
 
 
+@query(rf"WITH {SEEN} SELECT doc_id, body_key FROM kept")
+def dedup_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As dedup_incremental, with an index of the history's keys in place of the history."""
+    new, old = seen(spark, sf_dir)
+    index = KeyIndex(spark, lasting_folder(spark, "index"), {"body_key": "string"}, buckets=16)
+    index.add(old)
+    return dedup.keep_first(index.unseen(new.drop("author_key")), ["body_key"], ["doc_id"])
+
+
+@query(rf"WITH {KEYED} SELECT min(doc_id) AS doc_id, body_key FROM k GROUP BY body_key")
+def stream_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As stream_ingest, with an index of keys: the batch of the second run, the same files by another stream, reads the index only."""
+    schema = read(spark, sf_dir, "documents").schema
+    table = lasting_folder(spark, "history")
+    index = KeyIndex(spark, lasting_folder(spark, "index"), {"body_key": "string"}, buckets=16)
+    for i in range(2):
+        stream = open_stream(spark, f"{sf_dir}/documents.parquet*", schema)
+        ingest(stream, table, lasting_folder(spark, f"checkpoint{i}"), ["body_key"], ["doc_id"], lambda df: df.select("doc_id", dedup.letters_key(F.col("text")).alias("body_key")), index=index)
+    return spark.read.parquet(table).select("doc_id", "body_key")
+
+
 @query(rf"WITH {KEYED} SELECT min(doc_id) AS doc_id, body_key FROM k GROUP BY body_key")
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents read as a stream of files into an empty history, twice: the second run adds nothing."""

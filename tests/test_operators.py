@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.rules import POST_FIELDS
 from millrace.operators import dedup, quality, structure, tree
+from millrace.operators.history import KeyIndex
 from millrace.operators.html_nodes import html_nodes, nodes_of
 from millrace.plans import envelope as E
 from millrace.plans import parsing
@@ -444,3 +445,50 @@ def test_stream(spark, tmp_path):
     with pytest.raises(Exception, match="gate"):
         once(refuse)
     assert once() == [1, 3, 5] == once()
+
+
+@pytest.mark.parametrize("capacity", [100_000, 40])
+def test_key_index(spark, tmp_path, capacity):
+    """Against sets, with nulls, keys added twice, and (capacity 40) filters that are far too small."""
+    rnd = random.Random(6)
+    make = lambda n: [(rnd.choice(["a", "b", None]), rnd.choice([f"k{rnd.randint(0, 3000)}", "é", "", None]) if i % 9 else f"k{i}", i) for i in range(n)]
+    index = KeyIndex(spark, str(tmp_path / f"i{capacity}"), {"a": "string", "b": "string"}, capacity, 4)
+    batch = make(500)
+    df = spark.createDataFrame(batch, "a string, b string, n int")
+    assert index.known(df) is None and index.unseen(df).count() == 500
+    have = set()
+    for _ in range(3):
+        old = make(300)
+        have |= {r[:2] for r in old}
+        index.add(spark.createDataFrame(old + old[:50], "a string, b string, n int"))
+    assert {tuple(r) for r in index.unseen(df).collect()} == {r for r in batch if r[:2] not in have}
+    assert {tuple(r) for r in index.known(df).collect()} == {r[:2] for r in batch} & have
+    assert index.unseen(df.limit(0)).count() == 0
+
+
+def test_key_index_reads_only_what_may_be_hit(spark, tmp_path):
+    """Keys read fall with the batch; a batch of new keys reads next to none, and what filters let through is about one in a hundred."""
+    index = KeyIndex(spark, str(tmp_path / "i"), {"k": "long"}, 20_000, 32)
+    index.add(spark.range(20_000).select(F.col("id").alias("k")))
+    assert index.known(spark.range(10**6, 10**6 + 3).select(F.col("id").alias("k"))) is None
+    passed = index.maybe(spark.range(10**6, 10**6 + 20_000).select(F.col("id").alias("k"))).count()
+    assert passed < 800
+    assert index.maybe(spark.range(20_000).select(F.col("id").alias("k"))).count() == 20_000  # none is missed
+    few = index._stored("keys").where(F.col("_bucket").isin([r[0] for r in index.maybe(spark.range(3).select(F.col("id").alias("k"))).select("_bucket").distinct().collect()]))
+    assert few.count() < 3 * 20_000 / 32 * 1.5
+
+
+def test_index_catches_up(spark, tmp_path):
+    """A run that wrote the history but not the index is made good at the next begin; one that wrote neither changes nothing."""
+    table = str(tmp_path / "t")
+    index = KeyIndex(spark, str(tmp_path / "i"), {"k": "long"}, buckets=4)
+    ids = lambda a, b: spark.range(a, b).select(F.col("id").alias("k"))
+    index.begin(None)
+    ids(0, 10).write.parquet(table)
+    assert index.known(ids(0, 10)) is None
+    index.begin(spark.read.parquet(table))
+    assert index.unseen(ids(5, 15)).count() == 5
+    index.end()
+    index.begin(spark.read.parquet(table))
+    index.end()
+    assert index.unseen(ids(5, 15)).count() == 5
