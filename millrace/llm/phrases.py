@@ -43,7 +43,7 @@ BLOCK = 4 << 20
 BREAKS, GAPS = b".,;:!?\n\x0b\x0c\r", b" \t"
 UNKNOWN = "und"
 #: Shares in which the pairs of a level are dealt out, one after another, so that their shuffles don't lie on the disks together.
-SHARES = 8
+SHARES = 4
 LEAST, LONGEST, SHOWN, PER_MILLE = 100, 5, 2000, 1000
 
 _KIND = np.zeros(256, dtype=np.uint8)
@@ -53,14 +53,15 @@ _KIND[list(BREAKS)] = 2
 IN_LIST, IN_TASK = 28, 12
 
 
-def _packed(x: np.ndarray) -> bytes:
-    """Whole numbers of 32 bits, compressed byte by byte, as most have few bits."""
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(x, dtype="<i4").view(np.uint8).reshape(-1, 4).T.tobytes())
+def _packed(x: np.ndarray, kind: str = "<i4") -> bytes:
+    """Whole numbers, compressed byte by byte, as most have few bits."""
+    width = np.dtype(kind).itemsize
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(x, dtype=kind).view(np.uint8).reshape(-1, width).T.tobytes())
 
 
-def _unpacked(x: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(x), dtype=np.uint8).reshape(4, -1)
-    return np.ascontiguousarray(planes.T).view("<i4").ravel()
+def _unpacked(x: bytes, kind: str = "<i4") -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(x), dtype=np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
 
 
 def _rising(x: np.ndarray) -> bytes:
@@ -164,8 +165,7 @@ def _named_pairs(blocks: DataFrame) -> DataFrame:
                 if not len(pair):
                     continue
                 different, number, count = np.unique(own[pair] * len(i) + own[pair + 1], return_inverse=True, return_counts=True)
-                names = zstandard.ZstdCompressor(level=1).compress(name.astype(np.int64).tobytes())
-                yield _row(block=batch.column("block")[r].as_py(), at=_rising(at[pair]), number=_packed(number), names=names, a=_rising(different // len(i)), b=_packed(different % len(i)), c=_packed(count))
+                yield _row(block=batch.column("block")[r].as_py(), at=_rising(at[pair]), number=_packed(number), names=_packed(name, "<i8"), a=_rising(different // len(i)), b=_packed(different % len(i)), c=_packed(count))
         give_back()
 
     return blocks.select("block", "at", "number", "i", "id").mapInArrow(rename, "block long, at binary, number binary, names binary, a binary, b binary, c binary")
@@ -178,7 +178,7 @@ def _listed_pairs(blocks: DataFrame, share: int) -> DataFrame:
         for batch in batches:
             for r in range(batch.num_rows):
                 block, names, a, b, c = (batch.column(x)[r].as_py() for x in ("block", "names", "a", "b", "c"))
-                name = np.frombuffer(zstandard.ZstdDecompressor().decompress(names), dtype=np.int64)
+                name = _unpacked(names, "<i8")
                 a, b = name[np.cumsum(_unpacked(a))], name[_unpacked(b)]
                 own = np.flatnonzero(((a * 31 + b) * np.int64(0x5851F42D4C957F2D) >> 40) % SHARES == share)
                 columns = [pa.array(np.full(len(own), block)), pa.array(own.astype(np.int32)), pa.array(a[own]), pa.array(b[own]), pa.array(_unpacked(c)[own].astype(np.int64))]
