@@ -293,16 +293,22 @@ def page_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def feed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Feed pages of each source (a null one is `unknown`): its documents as posts, one in nine an advert, with authors by label or only in the markup."""
+    """Feed pages of each source (a null one is `unknown`): its documents as posts, one in nine an advert, with authors by label or only in the markup. Of the others some have no age, no author, a profile elsewhere, an age of three digits or of over 30 days, or noise in the text and a count with a zero-width space."""
     docs = read(spark, sf_dir, "documents", "doc_id", "source", "text").withColumn("source", F.coalesce("source", F.lit("unknown")))
-    title, path = F.concat(F.lit("Author "), F.col("source")), F.concat(F.lit("https://www.linkedin.com/in/"), F.col("source"))
-    escaped = F.replace(F.replace(F.coalesce("text", F.lit("")), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
     kind = F.pmod(F.col("doc_id"), F.lit(9))
+    fault = F.when(kind < 8, F.pmod(F.col("doc_id"), F.lit(23))).otherwise(0)
+    title = F.concat(F.lit("Author "), F.col("source"))
+    path = F.concat(F.when(fault == 2, "https://example.com/").when(fault == 3, "https://example.com/in/").otherwise("https://www.linkedin.com/in/"), F.col("source"))
+    other = F.when(fault == 2, "https://example.com/other").otherwise("https://www.linkedin.com/in/other?x=1")
+    text = F.concat(F.coalesce("text", F.lit("")), F.when(fault == 6, " and …more hashtag#tag Show translation").otherwise(""))
+    escaped = F.replace(F.replace(text, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
     label = F.when(kind < 4, F.concat(F.lit("Open control menu for post by "), title)).otherwise("Open control menu for post")
-    age = F.when(kind == 8, "3,321 followersPromoted").otherwise(F.concat((1 + F.pmod(F.col("doc_id"), F.lit(20))).cast("string"), F.lit("h • ")))
+    hours = F.concat((1 + F.pmod(F.col("doc_id"), F.lit(20))).cast("string"), F.lit("h • "))
+    age = F.when(kind == 8, "3,321 followersPromoted").when(fault == 1, "new").when(fault == 4, "502h • ").when(fault == 5, "6w • ").otherwise(hours)
+    counts = F.when(fault == 6, "1\u200b2 reactionsAndela 3 comments").otherwise("12 reactionsAndela 3 comments")
     post = F.concat(
-        F.lit('<div class="p"><div><a href="https://www.linkedin.com/in/other?x=1">Someone</a> likes this</div><div><a href="'), path, F.lit('?trk=feed"><img></a><a href="'), path, F.lit('?trk=feed">'), title, F.lit(" • 2nd</a><span>"), age,
-        F.lit('</span></div><button aria-label="'), label, F.lit('"></button><p>'), escaped, F.lit("</p><div>12 reactionsAndela 3 comments</div></div>"),
+        F.lit('<div class="p"><div><a href="'), other, F.lit('">Someone</a> likes this</div><div><a href="'), path, F.lit('?trk=feed"><img></a><a href="'), path, F.lit('?trk=feed">'), title, F.lit(" • 2nd</a><span>"), age,
+        F.lit('</span></div><button aria-label="'), label, F.lit('"></button><p>'), escaped, F.lit("</p><div>"), counts, F.lit("</div></div>"),
     )
     # a page has a bounded number of posts: the documents of one source and of one thousand of ids
     pages = docs.groupBy("source", F.floor(F.col("doc_id") / 1000).alias("slice")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("doc_id", post.alias("p")))), lambda x: x["p"]), "\n").alias("body"))
@@ -312,14 +318,18 @@ def feed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 #: What feed_pages shows and parsing must find again, from the documents alone. A post has 17 nodes (16 if its text is
 #: empty), its button is the 13th, a line break stands between posts, and root, html, body and main come first.
-_POSTS = f"""d AS (SELECT doc_id, coalesce(source, 'unknown') AS source, coalesce(text, '') AS text, doc_id // 1000 AS slice, doc_id % 9 AS kind, (1 + doc_id % 20) || 'h' AS age FROM documents),
+_POSTS = f"""d AS (SELECT doc_id, coalesce(source, 'unknown') AS source, coalesce(text, '') || CASE WHEN doc_id % 9 < 8 AND doc_id % 23 = 6 THEN ' and …more hashtag#tag Show translation' ELSE '' END AS text,
+  doc_id // 1000 AS slice, doc_id % 9 AS kind, CASE WHEN doc_id % 9 < 8 THEN doc_id % 23 ELSE 0 END AS fault FROM documents),
+e AS (SELECT *, CASE WHEN kind = 8 OR fault = 1 THEN NULL WHEN fault = 4 THEN '502h' WHEN fault = 5 THEN '6w' ELSE (1 + doc_id % 20) || 'h' END AS age,
+  CASE fault WHEN 4 THEN 502 WHEN 5 THEN 1008 ELSE 1 + doc_id % 20 END AS hours, CASE WHEN fault = 6 THEN '1' || chr(8203) || '2' ELSE '12' END AS reactions FROM d),
 p AS (SELECT *, source || '/' || slice AS page, CAST(16 + coalesce(sum(CASE WHEN text = '' THEN 17 ELSE 18 END) OVER (PARTITION BY source, slice ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS INTEGER) AS ordinal,
-  substr({_flat_sql("'Someone likes thisAuthor ' || source || ' • 2nd' || CASE WHEN kind = 8 THEN '3,321 followersPromoted' ELSE age || ' • ' END || text || '12 reactionsAndela 3 comments'")}, 1, 6000) AS flat FROM d),
-b AS (SELECT *, {_body_sql("flat")} AS body FROM p),
-o AS (SELECT page, ordinal, CASE WHEN kind < 8 THEN 'https://www.linkedin.com/in/' || source END AS author_profile_url, CASE WHEN kind < 8 THEN 'Author ' || source END AS author_name, body AS text,
-  CASE WHEN kind < 8 THEN age END AS post_relative_age, CASE WHEN kind < 8 THEN strftime(TIMESTAMP '2024-01-31' - to_hours(1 + doc_id % 20), '%Y-%m-%dT%H:%M:%SZ') END AS post_time_iso,
-  CASE WHEN kind < 4 THEN 'label' WHEN kind < 8 THEN 'walk' END AS author_route,
-  CASE WHEN kind = 8 THEN 'ads' WHEN NOT regexp_matches(body, '[^{_WS}]') OR starts_with(body, 'Feed post') OR NOT regexp_matches(body, '\\p{{L}}') THEN 'rejected_text' ELSE 'record' END AS outcome FROM b)"""
+  substr({_flat_sql("'Someone likes thisAuthor ' || source || ' • 2nd' || CASE WHEN kind = 8 THEN '3,321 followersPromoted' WHEN fault = 1 THEN 'new' ELSE age || ' • ' END || text || reactions || ' reactionsAndela 3 comments'")}, 1, 6000) AS flat FROM e),
+b AS (SELECT *, {_body_sql("flat")} AS body, fault <> 2 AND (kind < 4 OR age IS NOT NULL) AS known FROM p),
+o AS (SELECT page, ordinal, CASE WHEN known THEN CASE WHEN fault = 3 THEN 'https://example.com/in/' ELSE 'https://www.linkedin.com/in/' END || source END AS author_profile_url, CASE WHEN known THEN 'Author ' || source END AS author_name, body AS text,
+  age AS post_relative_age, CASE WHEN age IS NOT NULL THEN strftime(TIMESTAMP '2024-01-31' - to_hours(hours), '%Y-%m-%dT%H:%M:%SZ') END AS post_time_iso,
+  CASE WHEN age IS NULL OR NOT known THEN NULL WHEN kind < 4 THEN 'label' ELSE 'walk' END AS author_route,
+  CASE WHEN kind = 8 THEN 'ads' WHEN age IS NULL THEN 'no_age' WHEN NOT known THEN 'no_author' WHEN fault = 3 THEN 'rejected_author_profile_url'
+    WHEN NOT regexp_matches(body, '[^{_WS}]') OR starts_with(body, 'Feed post') OR NOT regexp_matches(body, '\\p{{L}}') THEN 'rejected_text' WHEN fault = 4 THEN 'rejected_post_relative_age' WHEN fault = 5 THEN 'rejected_model' ELSE 'record' END AS outcome FROM b)"""
 
 
 @query(f"WITH {_POSTS} SELECT * FROM o")
@@ -330,7 +340,7 @@ def parse_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse(feed_pages(spark, sf_dir)).select("page", "ordinal", "author_profile_url", "author_name", "text", "post_relative_age", ages.iso(F.col("post_time_iso")).alias("post_time_iso"), "author_route", "outcome")
 
 
-@query(f"""WITH {_POSTS} SELECT count(*) AS containers, count(*) FILTER (WHERE outcome = 'ads') AS ads, 0::BIGINT AS no_age, 0::BIGINT AS no_author, count(*) FILTER (WHERE author_route = 'label') AS author_by_label,
+@query(f"""WITH {_POSTS} SELECT count(*) AS containers, count(*) FILTER (WHERE outcome = 'ads') AS ads, count(*) FILTER (WHERE outcome = 'no_age') AS no_age, count(*) FILTER (WHERE outcome = 'no_author') AS no_author, count(*) FILTER (WHERE author_route = 'label') AS author_by_label,
   count(*) FILTER (WHERE author_route = 'walk') AS author_by_walk, count(*) FILTER (WHERE starts_with(outcome, 'rejected_')) AS rejected, count(*) FILTER (WHERE outcome = 'record') AS records FROM o""")
 def parse_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .parsing import parse
