@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.ages import age_seconds, age_unit
 from ..functions.textops import CLAMP, NEAR
+from . import segments
 
 #: A batch smaller than this isn't judged on shares.
 ENOUGH = 20
@@ -40,26 +41,20 @@ def twentieth(rows: DataFrame, time: Column) -> DataFrame:
 
 def inversions(rows: DataFrame, age: Column, ordinal: str, feed: list[str]) -> DataFrame:
     """By feed: ages that can be read, and how many are smaller than the one before, and the share of these in percent."""
-    w = Window.partitionBy(*feed).orderBy(ordinal)
-    read = rows.select(*feed, ordinal, age_seconds(age).alias("s")).where("s is not null").withColumn("p", F.lag("s").over(w))
-    out = read.groupBy(*feed).agg(F.count("*").alias("ages"), F.count_if(F.col("s") < F.col("p")).alias("inversions"))
+    read = rows.select(*feed, ordinal, age_seconds(age).alias("s")).where("s is not null")
+    out = segments.falls(read, "s", ordinal, feed).select(*feed, F.col("n").alias("ages"), F.col("falls").alias("inversions"))
     return out.withColumn("inversion_percent", F.coalesce(F.try_divide(100.0 * F.col("inversions"), F.col("ages")), F.lit(0.0)))
 
 
 def streak_stop(rows: DataFrame, past: Column, ordinal: str, feed: list[str], k: int) -> DataFrame:
     """By feed: the first row at which the last k rows, itself included, are all past."""
-    w = Window.partitionBy(*feed).orderBy(ordinal)
-    marked = rows.select(*feed, ordinal, past.cast("int").alias("past"))
-    marked = marked.withColumn("run", F.sum("past").over(w.rowsBetween(-(k - 1), 0)))
-    return marked.where(F.col("run") == k).groupBy(*feed).agg(F.min(ordinal).alias("stops_at"))
+    out = segments.first_run(rows.select(*feed, ordinal, past.alias("past")), "past", ordinal, feed, k)
+    return out.withColumnRenamed("at", "stops_at")
 
 
 def stuck_cycles(rows: DataFrame, size: str, ordinal: str, feed: list[str]) -> DataFrame:
     """By feed and row: how many rows have passed since size last grew."""
-    w = Window.partitionBy(*feed).orderBy(ordinal)
-    grew = F.coalesce(F.col(size) > F.lag(size).over(w), F.lit(True))
-    grouped = rows.withColumn("_grew", grew).withColumn("_since", F.sum(F.col("_grew").cast("int")).over(w))
-    return grouped.withColumn("stuck", F.row_number().over(Window.partitionBy(*feed, "_since").orderBy(ordinal)) - 1).drop("_grew", "_since")
+    return segments.since_growth(rows, size, ordinal, feed, "stuck")
 
 
 def tail(rows: DataFrame, value: str, ordinal: str, feed: list[str], n: int) -> DataFrame:

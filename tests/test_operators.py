@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.functions.rules import POST_FIELDS
-from millrace.operators import dedup, quality, structure, tree
+from millrace.operators import dedup, quality, segments, structure, tree
 from millrace.operators.history import KeyIndex
 from millrace.operators.html_nodes import html_nodes, nodes_of
 from millrace.plans import envelope as E
@@ -97,6 +97,41 @@ def test_feed_order(spark):
     assert [r["stuck"] for r in quality.stuck_cycles(grown, "v", "n", ["feed"]).orderBy("n").collect()] == [0, 1, 2, 0, 1, 0]
 
 
+@pytest.mark.parametrize("rows_a_range", [10**6, 40, 9])
+def test_feeds_are_cut(spark, monkeypatch, rows_a_range):
+    """Against plain loops: one feed with most rows, a null feed, short feeds, sizes and marks that are null, runs across many ranges."""
+    monkeypatch.setattr(segments, "SEGMENT", rows_a_range)
+    rnd = random.Random(rows_a_range)
+    rows = [(rnd.choice(["big"] * 8 + ["b", None]) if i < 390 else f"one{i}", i, rnd.choice([1, 1, 1, 2, 3, None]) if i % 100 < 60 else 5, rnd.choice([True] * 7 + [False, None])) for i in range(400)]
+    df = spark.createDataFrame(rows, "feed string, n int, v int, past boolean")
+    rnd.shuffle(rows)
+    feeds = {}
+    for r in sorted(rows, key=lambda r: r[1]):
+        feeds.setdefault(r[0], []).append(r)
+    stuck, falls = {}, {}
+    for f, own in feeds.items():
+        since, last = 0, None
+        for k, (_, n, v, _p) in enumerate(own):
+            since = 0 if k == 0 or v is None or last is None or v > last else since + 1
+            stuck[n], last = since, v
+        values = [v for _, _, v, _p in own if v is not None]
+        falls[f] = (len(values), sum(b < a for a, b in zip(values, values[1:])))
+    assert {r["n"]: r["stuck"] for r in quality.stuck_cycles(df, "v", "n", ["feed"]).collect()} == stuck
+    got = {r["feed"]: (r["n"], r["falls"]) for r in segments.falls(df.where("v is not null"), "v", "n", ["feed"]).collect()}
+    assert got == {f: x for f, x in falls.items() if x[0]}
+    for k in (1, 3, 14):
+        want = {}
+        for f, own in feeds.items():
+            run = 0
+            for _, n, _, p in own:
+                run = run + 1 if p else 0
+                if run == k:
+                    want[f] = n
+                    break
+        assert {r["feed"]: r["stops_at"] for r in quality.streak_stop(df, F.col("past"), "n", ["feed"], k).collect()} == want
+    assert quality.stuck_cycles(df.limit(0), "v", "n", ["feed"]).count() == 0 == quality.streak_stop(df.limit(0), F.col("past"), "n", ["feed"], 2).count()
+
+
 PASSING = {"n": 100, "invalid": 0, "empty_bodies": 0, "repeats": 90, "near_clamp": 5, "ages": 100, "inversions": 10}
 
 
