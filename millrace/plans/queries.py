@@ -20,6 +20,7 @@ from ..operators.html_nodes import html_nodes
 from ..sources import files
 from ..sources.shared import lasting_folder
 from ..streaming.ingest import ingest, open_stream
+from ..streaming.stateful import ingest_first
 from . import envelope as E
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -396,6 +397,26 @@ def score_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("""SELECT d.doc_id, CASE d.doc_id % 8 WHEN 1 THEN 'draft' WHEN 2 THEN 'status.by' WHEN 3 THEN 'metadata.source.icon,metadata.trace' WHEN 4 THEN 'scoring[].unit' WHEN 6 THEN NULL ELSE '' END AS unknown,
+  CASE WHEN d.doc_id % 8 = 6 THEN 'json' WHEN d.doc_id % 8 = 7 THEN 'feedback' WHEN d.doc_id % 8 IN (1, 2, 3, 4) THEN 'extra' ELSE 'record' END AS outcome FROM documents d JOIN labels l ON d.doc_id = l.doc_id""")
+def envelope_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Canonical posts as JSON lines, read and judged again. Of eight, four have keys that no post has, at the top, below, twice and in a list; one has one in its platform's data, where any may stand; one is cut off, and one has a feedback of 11."""
+    kind, posts = F.col("doc_id") % 8, enveloped(spark, sf_dir)
+    own = lambda c, *named: F.struct(f"{c}.*", *named)
+    data = F.struct(F.col("doc_id").alias("doc_id"), F.when(kind == 5, "x").alias("more"))
+    source = own("metadata.source", F.when(kind == 3, "i").alias("icon"))
+    meta = F.struct(source.alias("source"), *(F.col(f"metadata.{f}") for f in ("user_id", "parsed_at", "raw_file", "schema_version")), data.alias("platform_data"), F.when(kind == 3, "t").alias("trace"))
+    scoring = F.transform("scoring", lambda x: x.withField("unit", F.when(kind == 4, "1")))
+    posts = posts.withColumns({"status": own("status", F.when(kind == 2, "me").alias("by")), "metadata": meta, "scoring": scoring, "draft": F.when(kind == 1, True), "feedback": F.when(kind == 7, 11)})
+    line = F.to_json(F.struct(*(c for c in posts.columns if c != "doc_id")))  # null fields are left out
+    line = F.when(kind == 6, F.concat(F.lit('{"metadata":{"platform_data":{"doc_id":'), F.col("doc_id").cast("string"))).otherwise(line)
+    path = lasting_folder(spark, "posts")
+    posts.select(line.alias("value")).write.text(path)
+    read_again = E.post_lines(spark, path)
+    doc_id = F.regexp_extract("line", r'"platform_data":\{"doc_id":([0-9]+)', 1).cast("long")
+    return read_again.select(doc_id.alias("doc_id"), F.array_join(F.array_sort("unknown"), ",").alias("unknown"), "outcome")
+
+
 @query("""SELECT d.doc_id FROM documents d JOIN labels l ON d.doc_id = l.doc_id WHERE quality = 1 AND d.doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1)""")
 def outbox(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Good posts that weren't sent; the toxic ones stand for those that were."""
@@ -442,3 +463,15 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
         stream = open_stream(spark, f"{sf_dir}/documents.parquet*", schema)
         ingest(stream, table, checkpoint, ["body_key"], ["doc_id"], lambda df: df.select("doc_id", dedup.letters_key(F.col("text")).alias("body_key")))
     return spark.read.parquet(table).select("doc_id", "body_key")
+
+
+@query(rf"WITH {KEYED} SELECT min(doc_id) AS doc_id, body_key FROM k WHERE body_key NOT IN (SELECT body_key FROM k JOIN labels l USING (doc_id)) GROUP BY body_key")
+def stream_stateful(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as a stream, kept by keyed state that begins with those that have a label; a second run from the checkpoint adds nothing."""
+    schema = read(spark, sf_dir, "documents").schema
+    table, checkpoint = lasting_folder(spark, "first"), lasting_folder(spark, "checkpoint")
+    _, old = seen(spark, sf_dir)
+    for _ in range(2):
+        rows = open_stream(spark, f"{sf_dir}/documents.parquet*", schema).select("doc_id", dedup.letters_key(F.col("text")).alias("body_key"))
+        ingest_first(rows, table, checkpoint, ["body_key"], ["doc_id"], old)
+    return spark.read.parquet(table).select("doc_id", "body_key")

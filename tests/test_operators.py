@@ -17,6 +17,7 @@ from millrace.plans import envelope as E
 from millrace.plans import parsing
 from millrace.sources import config, files
 from millrace.streaming.ingest import ingest
+from millrace.streaming.stateful import ingest_first
 
 
 @pytest.fixture(scope="module")
@@ -527,3 +528,41 @@ def test_index_catches_up(spark, tmp_path):
     index.begin(spark.read.parquet(table))
     index.end()
     assert index.unseen(ids(5, 15)).count() == 5
+
+
+def test_stateful_keep_first(spark, tmp_path):
+    """Late and repeated rows, a null key, a hot key, history as first state, and a restart that reads files it hasn't read only."""
+    inbox, table, checkpoint = (str(tmp_path / x) for x in ("in", "table", "cp"))
+    schema = "n int, k string, t string"
+    old = spark.createDataFrame([("old",)], "k string")
+
+    def put(rows):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(inbox)
+
+    def once():
+        q = ingest_first(spark.readStream.schema(schema).parquet(inbox), table, checkpoint, ["k"], ["n"], old)
+        read = sum(p["numInputRows"] for p in q.recentProgress)
+        return sorted((r["n"], r["k"]) for r in spark.read.parquet(table).collect()), read
+
+    put([(n, "hot", "x") for n in range(3000, 0, -1)] + [(7, None, "y"), (5, None, "y"), (6, "old", "z"), (None, "b", "x"), (9, "b", "x")])
+    want = [(1, "hot"), (5, None), (9, "b")]
+    assert once() == (want, 3005)
+    put([(0, "hot", "late"), (0, None, "late"), (4, "c", "new"), (4, "c", "new"), (1, "old", "late")])
+    assert once() == (sorted(want + [(4, "c")]), 5)
+    assert once()[0] == sorted(want + [(4, "c")])  # nothing new
+
+
+def test_unknown_keys_at_any_depth(spark, tmp_path):
+    good = {"id": "p:1", "platform": "p", "text": "t", "status": {"state": "sent"}, "scoring": [], "metadata": {"source": {"path": "p/x"}, "platform_data": {"any": {"thing": [1]}}}}
+    scored = [{"model_name": "m", "task": "t", "value": 1.0}, {"model_name": "m", "x.y": 2}, {"x.y": 1}, 3, None]
+    cases = [
+        (json.dumps(good), [], "record"),
+        (json.dumps(good | {"a": 1, "status": {"state": "sent", "b": 2}}), ["a", "status.b"], "extra"),
+        (json.dumps(good | {"scoring": scored}), ["scoring[].x.y"], "extra"),
+        (json.dumps(good | {"metadata": {"source": {"path": "p", "q": {"r": 1}}, "s": None}}), ["metadata.s", "metadata.source.q"], "extra"),
+        (json.dumps(good | {"status": "sent"}), [], "status"),
+        ("[1, 2]", None, "json"), ('{"id": ', None, "json"), ("null", None, "json"), ('{"id": 1, "id": 2}', None, "json"), ("{}", [], "id"),
+    ]
+    (tmp_path / "p.jsonl").write_text("\n\n".join(c[0] for c in cases))
+    got = E.post_lines(spark, str(tmp_path / "p.jsonl")).orderBy("ordinal").collect()
+    assert [(r["unknown"] and sorted(r["unknown"]) if r["unknown"] is not None else None, r["outcome"]) for r in got] == [c[1:] for c in cases]
