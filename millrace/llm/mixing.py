@@ -9,7 +9,8 @@ undecided meet in ever fewer blocks of their source. The last dozen of a source
 choice and taking the one whose words come nearest to the balance.
 
 Null texts and texts without words have size 0 and are taken 0 words. Null sources are one source, the last.
-All randomness is a hash of the key and the size, so reruns agree; rows of one key are drawn each by itself.
+All randomness is a hash of the key, the size and, among rows that agree in source, key and size, of a number that each
+gets from their count, so reruns agree; repeated rows are drawn each by itself and spread over blocks.
 An empty table gives an empty result.
 """
 
@@ -86,7 +87,7 @@ def landing(p: np.ndarray, size: np.ndarray) -> np.ndarray:
 
 def _fly(last: bool):
     def fly(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values(["draw", "key", "size"], kind="stable").reset_index(drop=True)
+        part = part.sort_values(["draw", "key", "size", "nth"], kind="stable").reset_index(drop=True)
         size, p, draw = (part[c].to_numpy(dtype=float).copy() for c in ("size", "p", "draw"))
         # documents of like sizes decide among themselves: one far longer than the others would hardly move
         kind = np.floor(np.log2(np.maximum(size, 1)))
@@ -110,12 +111,27 @@ def sizes_of(docs: DataFrame, text: str = "text") -> DataFrame:
     return docs.withColumn("size", F.regexp_count(F.coalesce(F.col(text), F.lit("")), F.lit(rf"[^{SPACE}]+")).cast("long"))
 
 
+def numbered(rows: DataFrame) -> DataFrame:
+    """source, key, size, nth (from 0 among rows that agree in these) for each of rows, which are counted first: many equal rows are one count, dealt to tasks by BLOCK and numbered there."""
+    counts = written(rows.groupBy("source", "key", "size").agg(F.count("*").alias("n")), "sizes")  # the texts are read once
+    few = counts.where(F.col("n") <= BLOCK).withColumn("first", F.lit(0).cast("long"))
+    parts = F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(BLOCK).cast("long")))
+    many = counts.where(F.col("n") > BLOCK).withColumn("first", parts).repartition("first", "key")
+    every = F.explode(F.sequence("first", F.least(F.col("first") + BLOCK, F.col("n")) - 1))
+    return few.unionByName(many).select("source", "key", "size", every.alias("nth"))
+
+
+def dealt(rows: DataFrame, seed: int) -> DataFrame:
+    """rows with block, of as many as blocks says."""
+    return rows.withColumn("block", F.pmod(F.xxhash64("key", "size", "nth", F.lit(seed)), F.col("blocks")))
+
+
 def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, limit: float = 3.0, text: str = "text", source: str = "source", key: str = "doc_id") -> DataFrame:
     """key, size, source_size, target, copies, taken: a row for each of docs."""
     spark = docs.sparkSession
     small_batches(spark)
-    rows = sizes_of(docs.select(F.col(key).alias("key"), F.col(source).alias("source"), F.col(text).alias("_text")), "_text").drop("_text")
-    rows = written(rows.withColumn("row", F.monotonically_increasing_id()), "sizes")  # the texts are read once
+    rows = numbered(sizes_of(docs.select(F.col(key).alias("key"), F.col(source).alias("source"), F.col(text).alias("_text")), "_text"))
+    rows = written(rows.withColumn("row", F.monotonically_increasing_id()), "rows")
     found = rows.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("n")).limit(MAX_SOURCES + 1).collect()
     if len(found) > MAX_SOURCES:
         raise ValueError(f"more than {MAX_SOURCES} sources")
@@ -126,8 +142,9 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, limit: float = 3.
     whole = F.floor(F.col("rate") + 1e-9)
     rows = rows.withColumn("whole", whole.cast("int")).withColumn("p", F.greatest(F.lit(0.0), F.col("rate") - F.col("whole")))
     rows = rows.withColumn("p", F.when(F.col("size") == 0, 0.0).otherwise(F.when(F.col("p") < 1e-9, 0.0).otherwise(F.col("p"))))
-    unit = f"row long, key {dict(rows.dtypes)['key']}, source string, size long, p double, draw double, block long, blocks long"
-    open_ = rows.where("p > 0").select("row", "key", "source", "size", "p", unit_hash(F.col("key"), F.col("size"), F.lit(9)).alias("draw"), F.pmod(F.xxhash64("key", "size", F.lit(90)), F.col("blocks")).alias("block"), "blocks")
+    unit = f"row long, key {dict(rows.dtypes)['key']}, source string, size long, nth long, p double, draw double, blocks long, block long"
+    draw = unit_hash(F.col("key"), F.col("size"), F.col("nth"), F.lit(9))
+    open_ = dealt(rows.where("p > 0").select("row", "key", "source", "size", "nth", "p", draw.alias("draw"), "blocks"), 90)
     decided, most = [], max((r["blocks"] for r in plan.collect()), default=0)
     while most > 0:
         out = open_.groupBy("source", "block").applyInPandas(_fly(most == 1), unit)
@@ -137,7 +154,7 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, limit: float = 3.
             break
         meet = max(2, BLOCK // LEFT)
         fewer = F.greatest(F.lit(1).cast("long"), F.ceil(F.col("blocks") / meet))
-        open_ = out.where((F.col("p") > 0) & (F.col("p") < 1)).withColumn("blocks", fewer.cast("long")).withColumn("block", F.pmod(F.xxhash64("key", "size", F.lit(91)), F.col("blocks")))
+        open_ = dealt(out.where((F.col("p") > 0) & (F.col("p") < 1)).withColumn("blocks", fewer.cast("long")), 91)
         most = -(-most // meet)
     drawn = decided[0] if decided else rows.limit(0).select("row", F.lit(0).alias("drawn"))
     for more in decided[1:]:
