@@ -78,6 +78,15 @@ def _candidates(words: Column, sizes: list[int], bitmap: Column, power: int) ->
     return F.concat(*map(of, sizes))
 
 
+def _hits(rows: DataFrame, keys: DataFrame, sets: DataFrame) -> DataFrame:
+    """_row, hit (numbers of words), items for the rows that have a hit. Only candidates meet the windows, and only hits the sets of items, so no row goes into a join with a null key."""
+    at = rows.where(F.size("at") > 0).select("_row", F.explode("at").alias("at")).select("_row", "at.*")
+    covered = F.sequence(F.col("start"), F.col("start") + F.col("size") - 1)
+    by_row = at.join(keys, "window").groupBy("_row").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set(covered)))).alias("hit"), F.collect_set("set_id").alias("set_ids"))
+    of_sets = by_row.select("_row", "hit", F.explode("set_ids").alias("set_id")).join(sets, "set_id")
+    return of_sets.groupBy("_row").agg(F.first("hit").alias("hit"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+
+
 def find_contamination(docs: DataFrame, benchmark: DataFrame, n: int = 13, percent: int = 5, text: str = "text", key: str = "doc_id", bench_text: str = "text", item: str = "item_id") -> DataFrame:
     """key, n_words, n_hit, spans (array of first word and end), items (sorted as strings), contaminated: a row for each of docs.
 
@@ -101,22 +110,13 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, n: int = 13, perce
         return F.struct(F.size(w).cast("long").alias("n_words"), _candidates(w, sizes or [n], bitmap, power).alias("at"))
 
     rows = docs.select(F.col(key).alias("_key"), F.monotonically_increasing_id().alias("_row"), _let(words_of(F.col(text)), found).alias("_found"))
-    rows = rows.select("_key", "_row", "_found.n_words", F.explode_outer("_found.at").alias("at")).select("_key", "_row", "n_words", "at.*")
+    # the texts are read once; nearly all documents have no candidate, and go on as a few numbers
+    rows = written(rows.select("_key", "_row", "_found.*"), "candidates")
     keys, sets = known.select("window", "set_id"), known.select("set_id", "items").dropDuplicates(["set_id"])
     if fits(keys, BROADCAST_ROWS):
         keys, sets = F.broadcast(keys), F.broadcast(sets)
-    covered = F.when(F.col("set_id").isNotNull(), F.sequence(F.col("start"), F.col("start") + F.col("size") - 1))
-    per_doc = (
-        rows.join(keys, "window", "left")
-        .groupBy("_row", "_key", "n_words")
-        .agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set(covered)))).alias("hit"), F.collect_set("set_id").alias("set_ids"))
-    )
-    whole = (
-        per_doc.select("_row", "_key", "n_words", "hit", F.explode_outer("set_ids").alias("set_id"))
-        .join(sets, "set_id", "left")
-        .groupBy("_row")
-        .agg(*(F.first(c).alias(c) for c in ("_key", "n_words", "hit")), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
-    )
+    whole = rows.select("_key", "_row", "n_words").join(_hits(rows, keys, sets), "_row", "left")
+    whole = whole.withColumn("hit", F.coalesce("hit", F.array().cast("array<int>"))).withColumn("items", F.coalesce("items", F.array().cast("array<string>")))
     n_hit = F.size("hit").cast("long")
     return whole.select(F.col("_key").alias(key), "n_words", n_hit.alias("n_hit"), _let(F.col("hit"), _spans).alias("spans"), "items").withColumn(
         "contaminated", (F.col("n_hit") > 0) & (100 * F.col("n_hit") >= percent * F.col("n_words"))

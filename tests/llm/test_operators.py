@@ -455,6 +455,20 @@ def test_decontamination(spark, docs, texts, empty):
         assert brute_hits(cut[i], [])[0] == n - hit
 
 
+def test_decontamination_without_broadcast(spark, docs, texts, monkeypatch):
+    """The shuffled path equals brute force, with a document twice, a long one, and no outer join on a window or a set."""
+    monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", 0)
+    items = [(1, texts[20]), (2, "One"), (10, texts[30]), (9, None), (5, texts[20])]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    long = " ".join(f"w{i}" for i in range(200_000)) + " " + texts[20] + " one"
+    more = spark.createDataFrame([(0, texts[0]), (-1, long)], "doc_id long, text string")
+    found = decontaminate.find_contamination(docs.select("doc_id", "text").unionByName(more), bench)
+    said = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftOuter, (window" not in said and "LeftOuter, (set_id" not in said and "LeftOuter, (_row" in said
+    want = sorted((i, *brute_hits(t, items)) for i, t in [*enumerate(texts), (0, texts[0]), (-1, long)])
+    assert sorted((r["doc_id"], r["n_words"], r["n_hit"], r["items"]) for r in found.collect()) == want
+
+
 def test_decontamination_sizes_its_bitmap(spark):
     """More windows than the least bitmap is for; every item is found in its document and in no other."""
     rnd = random.Random(12)
@@ -587,6 +601,18 @@ def test_mixing_repeated_rows(spark):
     assert all(r["n"] == 400 and abs(r["t"] - r["g"]) <= 20 for r in got)
 
 
+def test_mixing_deals_equal_rows_to_blocks(spark, monkeypatch):
+    """Many equal rows are as many after they are numbered, each with its own number, and no block has much more than its share."""
+    monkeypatch.setattr(mixing, "BLOCK", 256)
+    rows = spark.range(20_000).select(F.lit(1).alias("key"), F.lit("a").alias("source"), F.lit(7).cast("long").alias("size"))
+    rows = rows.unionByName(spark.createDataFrame([(2, None, 7), (2, None, 7), (None, "a", 0)], "key int, source string, size long"))
+    got = mixing.numbered(rows)
+    counts = {(r["key"], r["source"]): (r["n"], r["d"], r["m"]) for r in got.groupBy("key", "source").agg(F.count("*").alias("n"), F.count_distinct("nth").alias("d"), F.max("nth").alias("m")).collect()}
+    assert counts == {(1, "a"): (20_000, 20_000, 19_999), (2, None): (2, 2, 1), (None, "a"): (1, 1, 0)}
+    blocks = mixing.dealt(got.where("key = 1").withColumn("blocks", F.lit(79).cast("long")), 90).groupBy("block").count().collect()
+    assert len(blocks) == 79 and max(r["count"] for r in blocks) < 256 * 1.4
+
+
 # 10
 
 
