@@ -22,6 +22,7 @@ from ..sources.shared import lasting_folder
 from ..streaming.ingest import ingest, open_stream
 from ..streaming.stateful import ingest_first
 from . import envelope as E
+from .status import StatusLog, send
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -425,6 +426,21 @@ def outbox(spark: SparkSession, sf_dir: str) -> DataFrame:
     return E.outbox(posts, sent, "quality", 1.0).select("doc_id")
 
 
+@query("""SELECT d.doc_id, CASE WHEN toxic = 1 THEN 'irrelevant' WHEN quality = 1 THEN 'sent' ELSE 'parsed' END AS state, coalesce(quality = 1 AND NOT coalesce(toxic = 1, false), false) AS sent_now, false AS sent_later
+FROM documents d JOIN labels l ON d.doc_id = l.doc_id""")
+def outbox_sent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxic posts are marked irrelevant, good ones are sent by a run that is then repeated; a later run has nothing left to send."""
+    posts, log = enveloped(spark, sf_dir), StatusLog(spark, lasting_folder(spark, "status"))
+    toxic = posts.where(E.best(F.col("scoring"), "toxic") == 1).select("id", F.lit("irrelevant").alias("state"))
+    log.append(lambda latest: toxic, "scored")
+    now, again, later = (send(posts, log, "quality", 1.0, run).select("id", F.lit(1).alias(c)) for run, c in (("now", "now"), ("now", "again"), ("later", "later")))
+    out = posts.select("doc_id", "id")
+    for more in (now, again, later, log.latest().select("id", "state")):
+        out = out.join(more, "id", "left")
+    sent = F.col("now").isNotNull() & F.col("again").isNotNull()
+    return out.select("doc_id", F.coalesce("state", F.lit("parsed")).alias("state"), sent.alias("sent_now"), F.col("later").isNotNull().alias("sent_later"))
+
+
 @query("SELECT conv_id, turn, role, text FROM conversations")
 def staging_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Turns written as JSON lines and read again, strictly."""

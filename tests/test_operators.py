@@ -14,7 +14,7 @@ from millrace.operators import dedup, quality, segments, structure, tree
 from millrace.operators.history import KeyIndex
 from millrace.operators.html_nodes import html_nodes, nodes_of
 from millrace.plans import envelope as E
-from millrace.plans import parsing
+from millrace.plans import parsing, status
 from millrace.sources import config, files
 from millrace.streaming.ingest import ingest
 from millrace.streaming.stateful import ingest_first
@@ -566,3 +566,30 @@ def test_unknown_keys_at_any_depth(spark, tmp_path):
     (tmp_path / "p.jsonl").write_text("\n\n".join(c[0] for c in cases))
     got = E.post_lines(spark, str(tmp_path / "p.jsonl")).orderBy("ordinal").collect()
     assert [(r["unknown"] and sorted(r["unknown"]) if r["unknown"] is not None else None, r["outcome"]) for r in got] == [c[1:] for c in cases]
+
+
+def test_status_log(spark, tmp_path):
+    """Runs repeated, killed before their commit, in a race, and with a state that isn't known."""
+    log = status.StatusLog(spark, str(tmp_path / "log"))
+    rows = lambda *r: spark.createDataFrame(list(r), "id string, state string")
+    now = lambda: {r["id"]: r["state"] for r in log.latest().collect()}
+    assert now() == {}
+    for _ in range(2):
+        assert log.append(lambda _: rows(("a", "sent"), ("a", "parsed"), ("b", "scored")), "one").count() == 3
+    assert now() == {"a": "sent", "b": "scored"} and len(log.commits()) == 1
+    with pytest.raises(Exception, match="no state: lost"):
+        log.append(lambda _: rows(("a", "parsed"), ("c", "lost")), "two")
+    rows(("z", "sent")).withColumn("version", F.lit(2)).write.parquet(str(tmp_path / "log/changes/killed"))
+    assert now() == {"a": "sent", "b": "scored"}
+    seen = []
+
+    def slow(latest):
+        seen.append(latest.count())
+        if len(seen) == 1:
+            log.append(lambda _: rows(("c", "parsed"), ("b", "irrelevant")), "faster")
+        return rows(("d", "scored"))
+
+    log.append(slow, "slower")
+    assert seen == [2, 3] and [c.run for c in log.commits()] == ["one", "faster", "slower"]
+    assert now() == {"a": "sent", "b": "irrelevant", "c": "parsed", "d": "scored"}
+    assert log.append(lambda _: rows(), "empty").count() == 0 and now()["d"] == "scored"
