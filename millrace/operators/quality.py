@@ -7,8 +7,11 @@ from pyspark.sql import functions as F
 
 from ..functions.ages import age_seconds, age_unit
 from ..functions.textops import CLAMP, NEAR
+from ..sources.shared import materialised
 from . import segments
 
+#: Different values that meet in a task, about.
+PIECE = 1_000_000
 #: A batch smaller than this isn't judged on shares.
 ENOUGH = 20
 
@@ -27,6 +30,27 @@ def order_statistic(rows: DataFrame, value: Column, bucket: Column, rank: Column
     return inside.withColumn("upto", upto).where("upto > rank").agg(F.min("v").alias(name))
 
 
+def ranked_values(rows: DataFrame, value: Column, ranks: dict[str, Column]) -> DataFrame:
+    """One row: by name the value at a rank (from 0, an expression of n, the number of non-null values) in sorted order, null where there is none.
+
+    Values of any type that sorts are counted, then dealt to ranges; sums of ranges tell which range has a rank, and only that
+    range's values, about PIECE, meet in a task. Nothing is assumed of how values are spread."""
+    counts = materialised(rows.select(value.alias("v")).where("v is not null").groupBy("v").agg(F.count("*").alias("c")), "values")
+    n, different = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
+    if different <= PIECE:
+        part = counts.withColumn("part", F.lit(0))
+    else:
+        part = materialised(counts.repartitionByRange(-(-different // PIECE), "v").withColumn("part", F.spark_partition_id()), "ranges")
+    before = F.coalesce(F.sum("c").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    places = part.groupBy("part").agg(F.sum("c").alias("c")).select("part", "c", before.alias("before"), F.lit(n).cast("long").alias("n"))
+    wanted = F.explode(F.array(*(F.struct(F.lit(name).alias("name"), rank.cast("long").alias("rank")) for name, rank in ranks.items())))
+    places = places.select("part", "c", "before", wanted.alias("w")).select("part", "c", "before", "w.*").where("rank >= before AND rank < before + c")
+    inside = part.join(F.broadcast(places.drop("c")), "part")  # a row a rank
+    upto = F.col("before") + F.sum("c").over(Window.partitionBy("name").orderBy("v"))
+    found = inside.withColumn("upto", upto).where("upto > rank")
+    return found.agg(*(F.min(F.when(F.col("name") == name, F.col("v"))).alias(name) for name in ranks))
+
+
 def median_length(rows: DataFrame, text: str = "text") -> DataFrame:
     """The upper median of lengths, a null text having none."""
     size = F.length(F.coalesce(F.col(text), F.lit("")))
@@ -34,9 +58,8 @@ def median_length(rows: DataFrame, text: str = "text") -> DataFrame:
 
 
 def twentieth(rows: DataFrame, time: Column) -> DataFrame:
-    """The time at a twentieth from the oldest, of ISO strings (which sort as times do)."""
-    text = F.nullif(time, F.lit(""))
-    return order_statistic(rows, text, F.substring(text, 1, 13), F.floor(F.col("n") / 20), "twentieth")
+    """The time at a twentieth from the oldest, of ISO strings (which sort as times do); very many may lie in one hour."""
+    return ranked_values(rows, F.nullif(time, F.lit("")), {"twentieth": F.floor(F.col("n") / 20)})
 
 
 def inversions(rows: DataFrame, age: Column, ordinal: str, feed: list[str]) -> DataFrame:

@@ -84,6 +84,21 @@ def test_order_statistics(spark, n):
     assert quality.twentieth(times, F.col("t")).first()[0] == sorted(f"2024-01-{1 + v // 10:02}T{v % 24:02}:00:00Z" for v in values)[max(0, n // 20)]
 
 
+@pytest.mark.parametrize("piece", [10**6, 7])
+def test_ranked_values(spark, monkeypatch, piece):
+    """Several ranks at once, one value with most rows, ranges that hold few values, and ranks that nothing has."""
+    monkeypatch.setattr(quality, "PIECE", piece)
+    rnd = random.Random(piece)
+    values = [f"2024-01-01T05:00:00.{rnd.randint(0, 90):03}Z" for _ in range(300)] + ["2024-01-01T05:00:00.041Z"] * 150 + [None] * 5
+    rnd.shuffle(values)
+    df = spark.createDataFrame([(v,) for v in values], "v string")
+    n = F.col("n")
+    got = quality.ranked_values(df, F.col("v"), {"first": F.lit(0), "tenth": F.floor(n / 10), "median": F.floor(n / 2), "last": n - 1, "none": n}).first()
+    there = sorted(v for v in values if v is not None)
+    assert tuple(got) == (there[0], there[45], there[225], there[449], None)
+    assert tuple(quality.ranked_values(df.where("v is null"), F.col("v"), {"a": F.lit(0), "b": n - 1}).first()) == (None, None)
+
+
 def test_feed_order(spark):
     rows = [("f", i, a) for i, a in enumerate(["1m", "5m", "3m", None, "2h", "?", "1h", "1d", "1w", "2w", "3w", "1m"])] + [("g", 0, "1w")]
     df = spark.createDataFrame(rows, "feed string, n int, age string")
