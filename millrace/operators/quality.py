@@ -64,7 +64,7 @@ def twentieth(rows: DataFrame, time: Column) -> DataFrame:
 
 def inversions(rows: DataFrame, age: Column, ordinal: str, feed: list[str]) -> DataFrame:
     """By feed: ages that can be read, and how many are smaller than the one before, and the share of these in percent."""
-    read = rows.select(*feed, ordinal, age_seconds(age).alias("s")).where("s is not null")
+    read = rows.select(*feed, ordinal, age_seconds(age).alias("s"))
     out = segments.falls(read, "s", ordinal, feed).select(*feed, F.col("n").alias("ages"), F.col("falls").alias("inversions"))
     return out.withColumn("inversion_percent", F.coalesce(F.try_divide(100.0 * F.col("inversions"), F.col("ages")), F.lit(0.0)))
 

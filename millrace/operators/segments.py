@@ -37,8 +37,9 @@ def _windows(feed: list[str], ordinal: str):
 
 
 def falls(rows: DataFrame, value: str, ordinal: str, feed: list[str]) -> DataFrame:
-    """By feed: n, and how many values are smaller than the one before. Null values must be gone."""
+    """By feed that has values: n, and how many are smaller than the one before. Null values are passed over; feeds are measured with them, so that no value is computed for that."""
     pieces, _ = cut(rows.select(*feed, ordinal, value), feed, ordinal)
+    pieces = pieces.where(F.col(value).isNotNull())
     inside, over, _ = _windows(feed, ordinal)
     pieces = pieces.withColumn("_i", F.row_number().over(inside)).withColumn("_p", F.lag(value).over(inside))
     parts = pieces.groupBy(*feed, "_segment").agg(

@@ -133,7 +133,7 @@ def test_feeds_are_cut(spark, monkeypatch, rows_a_range):
         values = [v for _, _, v, _p in own if v is not None]
         falls[f] = (len(values), sum(b < a for a, b in zip(values, values[1:])))
     assert {r["n"]: r["stuck"] for r in quality.stuck_cycles(df, "v", "n", ["feed"]).collect()} == stuck
-    got = {r["feed"]: (r["n"], r["falls"]) for r in segments.falls(df.where("v is not null"), "v", "n", ["feed"]).collect()}
+    got = {r["feed"]: (r["n"], r["falls"]) for r in segments.falls(df, "v", "n", ["feed"]).collect()}
     assert got == {f: x for f, x in falls.items() if x[0]}
     for k in (1, 3, 14):
         want = {}
