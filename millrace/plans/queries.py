@@ -17,7 +17,7 @@ from ..functions import textops as X
 from ..operators import dedup, quality, tree
 from ..operators.history import KeyIndex
 from ..operators.html_nodes import html_nodes
-from ..sources import files
+from ..sources import channels, files
 from ..sources.shared import lasting_folder
 from ..streaming.ingest import ingest, open_stream
 from ..streaming.stateful import ingest_first
@@ -491,3 +491,21 @@ def stream_stateful(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows = open_stream(spark, f"{sf_dir}/documents.parquet*", schema).select("doc_id", dedup.letters_key(F.col("text")).alias("body_key"))
         ingest_first(rows, table, checkpoint, ["body_key"], ["doc_id"], old)
     return spark.read.parquet(table).select("doc_id", "body_key")
+
+
+@query("""SELECT conv_id, turn, min(role) AS role, CASE WHEN turn // 3 % 2 = 1 THEN 1 ELSE 2 END AS run FROM conversations WHERE conv_id IS NOT NULL AND turn >= 0 GROUP BY conv_id, turn""")
+def messages_by_number(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns as an archive of channels, read as a stream in three runs. Before the first only every second three numbers of a channel are exported; then all are, in larger files that overlap those; then nothing is new. run is the run that read a message."""
+    archive, table, checkpoint = (lasting_folder(spark, n) for n in ("archive", "messages", "checkpoint"))
+    none = F.lit(None).cast("string")
+    turns = read(spark, sf_dir, "conversations", "conv_id", "turn", "role").select(
+        F.col("conv_id").cast("string").alias("channel"), F.col("role").alias("channel_title"), F.col("turn").alias("message_id"), none.alias("text"), none.alias("posted_at"), none.alias("scraped_at")
+    )
+    for run in (1, 2, 3):
+        if run == 1:
+            channels.export(turns.where(F.floor(F.col("message_id") / 3) % 2 == 1), archive, 3)
+        elif run == 2:
+            channels.export(turns, archive, 1000)
+        rows = channels.stream_archive(spark, archive).select(F.col("channel").cast("long").alias("conv_id"), F.col("message_id").alias("turn"), F.col("channel_title").alias("role"), F.lit(run).alias("run"))
+        rows.writeStream.format("parquet").option("path", table).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema("conv_id long, turn long, role string, run int").parquet(table)

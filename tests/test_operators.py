@@ -15,7 +15,7 @@ from millrace.operators.history import KeyIndex
 from millrace.operators.html_nodes import html_nodes, nodes_of
 from millrace.plans import envelope as E
 from millrace.plans import parsing, status
-from millrace.sources import config, files
+from millrace.sources import channels, config, files
 from millrace.streaming.ingest import ingest
 from millrace.streaming.stateful import ingest_first
 
@@ -608,3 +608,43 @@ def test_status_log(spark, tmp_path):
     assert seen == [2, 3] and [c.run for c in log.commits()] == ["one", "faster", "slower"]
     assert now() == {"a": "sent", "b": "irrelevant", "c": "parsed", "d": "scored"}
     assert log.append(lambda _: rows(), "empty").count() == 0 and now()["d"] == "scored"
+
+
+def test_ranges_against_sets():
+    rnd = random.Random(3)
+    for _ in range(300):
+        a, b = (channels.union([[x, x + rnd.randrange(6)] for x in (rnd.randrange(40) for _ in range(rnd.randrange(6)))]) for _ in range(2))
+        numbers = lambda ranges: [n for low, high in ranges for n in range(low, high + 1)]
+        assert numbers(channels.minus(a, b)) == sorted(set(numbers(a)) - set(numbers(b)))
+        assert numbers(channels.union(a + b)) == sorted(set(numbers(a)) | set(numbers(b)))
+
+
+def test_channel_archive(spark, tmp_path):
+    archive, table, checkpoint = (str(tmp_path / x) for x in ("a", "t", "c"))
+    message = "channel string, channel_title string, message_id long, text string, posted_at string, scraped_at string"
+
+    def put(numbers, text, per_file, channel="news/1"):
+        rows = [(channel, None, n, text, None, "2024") for n in numbers] + [(None, None, 1, "none", None, None), (channel, None, None, "none", None, None)]
+        channels.export(spark.createDataFrame(rows, message), archive, per_file)
+
+    def run():
+        stream = channels.stream_archive(spark, archive).select("channel", "message_id", "text")
+        stream.writeStream.format("parquet").option("path", table).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+        return sorted(tuple(r) for r in spark.read.schema("channel string, message_id long, text string").parquet(table).collect())
+
+    assert channels.read_archive(spark, str(tmp_path / "no")).count() == 0
+    put([10, 11, 12, 12, 25], "one", 10)
+    first = [("news/1", n, "one") for n in (10, 11, 12, 25)]
+    assert run() == first == run()
+    put(range(8, 15), "two", 100)  # overlaps, with numbers before and after
+    second = sorted(first + [("news/1", n, "two") for n in (8, 9, 13, 14)])
+    assert run() == second == run()
+    put([5], "late\n\"line\" é", 10, "other")
+    assert run() == sorted([*second, ("other", 5, "late\n\"line\" é")])
+    batch = channels.read_archive(spark, archive)
+    assert batch.count() == 9 and batch.where("channel = 'other'").first()["text"] == "late\n\"line\" é"
+    assert sorted(r["message_id"] for r in batch.where("channel = 'news/1' and message_id > 9 and message_id <= 13").collect()) == [10, 11, 12, 13]
+    assert batch.where("channel = 'news/1' and message_id in (9, 25)").count() == 2 and batch.where("message_id > 9 and message_id < 9").count() == 0
+    reader = channels.ArchiveReader(archive)
+    left = list(reader.pushFilters([channels.EqualTo(("channel",), "news/1"), channels.GreaterThan(("message_id",), 20)]))
+    assert len(left) == 1 and [p.path.rsplit("/", 1)[1] for p in reader.partitions()] == ["25-25.jsonl"]  # one file is opened of four
