@@ -23,10 +23,14 @@ def keep_first(rows: DataFrame, keys: list[str], ordinal: list[str]) -> DataFram
     """Of the rows of each key, the first by ordinal, and only one: rows that tie on ordinal are told apart by a hash of their other columns (maps and variants, which have none, left out); rows that tie on that too are alike. Null keys are equal.
 
     One aggregate carries the rows themselves, so a key that very many rows share is combined before the shuffle, and rows are shuffled once."""
+    return first_with(rows, keys, ordinal, {}).select("_first.*")
+
+
+def first_with(rows: DataFrame, keys: list[str], ordinal: list[str], more: dict[str, Column]) -> DataFrame:
+    """_first, the row that keep_first keeps, and beside it aggregates of all rows of its key."""
     plain = [f.name for f in rows.schema.fields if not re.search("map<|variant", f.dataType.simpleString())]
     order = F.struct(*(F.col(o) for o in ordinal), F.xxhash64(*map(_named, plain)).alias("_tie"))
-    first = rows.groupBy(*map(_named, keys)).agg(F.min_by(F.struct(*map(_named, rows.columns)), order).alias("_first"))
-    return first.select("_first.*")
+    return rows.groupBy(*map(_named, keys)).agg(F.min_by(F.struct(*map(_named, rows.columns)), order).alias("_first"), *(c.alias(name) for name, c in more.items())).select("_first", *more)
 
 
 def ranked_first(rows: DataFrame, keys: list[str], ordinal: list[str]) -> DataFrame:

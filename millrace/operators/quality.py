@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..functions.ages import age_seconds, age_unit
 from ..functions.textops import CLAMP, NEAR
 from ..sources.shared import materialised
 from . import segments
+from .dedup import first_with
 
 #: Different values that meet in a task, about.
 PIECE = 1_000_000
@@ -114,6 +117,55 @@ def lengths(rows: DataFrame, text: str = "text") -> DataFrame:
     return rows.agg(F.min(size).alias("min_chars"), F.max(size).alias("max_chars"), F.count_if(size >= CLAMP - NEAR).alias("near_clamp"))
 
 
+@dataclass(frozen=True)
+class Measure:
+    """A number of a batch's report, added up in two steps: over the rows of a key, then over keys."""
+
+    name: str
+    of_key: Column
+    over_keys: Column
+
+
+def counted(name: str, what: Column) -> Measure:
+    """How many rows it holds for."""
+    return Measure(name, F.count_if(what), F.coalesce(F.sum(name), F.lit(0)))
+
+
+def least(name: str, value: Column) -> Measure:
+    return Measure(name, F.min(value), F.min(name))
+
+
+def greatest(name: str, value: Column) -> Measure:
+    return Measure(name, F.max(value), F.max(name))
+
+
+def measures(body: str, text: str, invalid: Column) -> list[Measure]:
+    """What repeats() and lengths() tell, and rows that a rule (the bucket of the first that failed) rejects, by the keys of repeats()."""
+    size = F.length(F.coalesce(F.col(text), F.lit("")))
+    return [
+        Measure("n", F.count("*"), F.coalesce(F.sum("n"), F.lit(0))), Measure("unique_keys", F.lit(1), F.count("*")), Measure("repeats", F.count("*") - 1, F.coalesce(F.sum("repeats"), F.lit(0))),
+        counted("empty_bodies", F.col(body) == ""), least("min_chars", size), greatest("max_chars", size), counted("near_clamp", size >= CLAMP - NEAR), counted("invalid", invalid.isNotNull()),
+    ]
+
+
+def summary(rows: DataFrame, keys: list[str], of: list[Measure]) -> DataFrame:
+    """One row with every measure, by one read of the rows and one shuffle of a row a key and task."""
+    return rows.groupBy(*keys).agg(*(m.of_key.alias(m.name) for m in of)).agg(*(m.over_keys.alias(m.name) for m in of))
+
+
+def saved_first(rows: DataFrame, keys: list[str], ordinal: list[str], of: list[Measure], name: str) -> tuple[DataFrame, DataFrame]:
+    """The first row of each key as a table in the shared folder, and one row with every measure of all rows, both of one read.
+
+    The aggregate that finds a key's first row adds up its measures; they are observed where the table is written, after the
+    last shuffle, so a task that is repeated for a lost executor is counted once."""
+    kept = first_with(rows, keys, ordinal, {m.name: m.of_key for m in of})
+    totals = [m.over_keys.alias(m.name) for m in of]
+    seen = Observation()
+    table = materialised(kept.observe(seen, *totals).select("_first.*"), name)
+    kind = kept.agg(*totals).schema
+    return table, rows.sparkSession.createDataFrame([tuple(seen.get[f.name] for f in kind)], kind)
+
+
 def beside(*reports: DataFrame) -> DataFrame:
     """One-row reports as one row."""
     out = reports[0].withColumn("_1", F.lit(1))

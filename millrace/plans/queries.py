@@ -358,11 +358,14 @@ inv AS (SELECT count(*) FILTER (WHERE text IS NULL OR NOT regexp_matches(text, '
 f AS (SELECT *, n = 0 AS no_rows, invalid > 0 AS invalid_rows, empty_bodies > 0 AS empty_rows, n >= 20 AND repeats > 0.9 * n AS repeating, near_clamp > greatest(3, 0.05 * n) AS clamped, ages >= 20 AND 100 * inversions > 10 * ages AS disordered FROM rep, len, ord, inv)"""
 
 
+def document_measures() -> list[quality.Measure]:
+    return quality.measures("body_key", "text", rules.first_failure(rules.text_rules(F.col("text"))))
+
+
 def report(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, feed = keyed(spark, sf_dir), aged(spark, sf_dir)
     order = quality.inversions(feed, F.col("age"), "event_id", ["user_id"]).agg(F.sum("ages").alias("ages"), F.sum("inversions").alias("inversions"))
-    invalid = rows.agg(F.count_if(rules.first_failure(rules.text_rules(F.col("text"))).isNotNull()).alias("invalid"))
-    return quality.gates(quality.beside(quality.repeats(rows, ["body_key"], "body_key"), quality.lengths(rows), order, invalid))
+    return quality.gates(quality.beside(quality.summary(rows, ["body_key"], document_measures()), order))
 
 
 @query(f"WITH {REPORT} SELECT n, unique_keys, repeats, empty_bodies, min_chars, max_chars, near_clamp, ages, inversions, invalid FROM f")
@@ -375,6 +378,14 @@ def quality_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report(spark, sf_dir).select("no_rows", "invalid_rows", "empty_rows", "repeating", "clamped", "disordered", "passed")
 
 
+@query(f"""WITH {REPORT} SELECT n, unique_keys, repeats, empty_bodies, min_chars, max_chars, near_clamp, invalid, (SELECT count(*) FROM (SELECT min(doc_id) FROM k GROUP BY author_key, body_key)) AS saved,
+  (SELECT CAST(sum(i) AS BIGINT) FROM (SELECT min(doc_id) AS i FROM k GROUP BY author_key, body_key)) AS id_sum FROM f""".replace("GROUP BY body_key)),", "GROUP BY author_key, body_key)),", 1))
+def saved_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents saved, the first of each author and letters, and their report, observed while they are written; beside it what the table then holds."""
+    first, told = quality.saved_first(keyed(spark, sf_dir), ["author_key", "body_key"], ["doc_id"], document_measures(), "first")
+    return quality.beside(told, first.agg(F.count("*").alias("saved"), F.sum("doc_id").alias("id_sum")))
+
+
 def enveloped(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labelled documents as canonical posts with two scores."""
     docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")

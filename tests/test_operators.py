@@ -648,3 +648,27 @@ def test_channel_archive(spark, tmp_path):
     reader = channels.ArchiveReader(archive)
     left = list(reader.pushFilters([channels.EqualTo(("channel",), "news/1"), channels.GreaterThan(("message_id",), 20)]))
     assert len(left) == 1 and [p.path.rsplit("/", 1)[1] for p in reader.partitions()] == ["25-25.jsonl"]  # one file is opened of four
+
+
+def test_report_while_saving(spark, posts):
+    """Measures that are observed while rows are saved are those of the separate reports."""
+    rows, df = posts
+    keys = ["author_key", "body_key"]
+    of = quality.measures("body_key", "text", F.when(F.col("text") == "two", "two"))
+    first, told = quality.saved_first(df, keys, ["n"], of, "first")
+    assert {r["n"] for r in first.collect()} == {min(r[0] for r in rows if key(r) == k) for k in set(map(key, rows))} and first.columns == df.columns
+    want = quality.beside(quality.repeats(df, keys, "body_key"), quality.lengths(df)).first().asDict() | {"invalid": sum(r[2] == "two" for r in rows)}
+    assert told.first().asDict() == want == quality.summary(df, keys, of).first().asDict()
+    nothing = quality.saved_first(df.where("n < 0"), keys, ["n"], of, "first")
+    assert nothing[0].count() == 0 and nothing[1].first()["n"] == 0 and nothing[1].first()["min_chars"] is None
+
+
+def test_run_counts_authors_and_disorder(spark, tmp_path):
+    t = dt.datetime(2024, 3, 1)
+    rows = [("p", 0, i, url, "A", f"text {chr(97 + i % 5)}", age, t, t) for i, (url, age) in enumerate([("u1", "3h"), ("u1", "1h"), ("", None), (None, "2h"), ("u2", "1h"), ("u1", "3h")])]
+    records = spark.createDataFrame(rows, "page string, row long, ordinal int, author_profile_url string, author_name string, text string, post_relative_age string, post_time_iso timestamp, scraped_at timestamp")
+    first, told = parsing.saved(records)
+    got = told.first()
+    assert (got["n"], got["authors"], got["no_url"], got["ages"], got["inversions"], got["invalid"], got["missing_field"]) == (6, 4, 2, 5, 2, 6, 2)
+    assert sorted(r["ordinal"] for r in first.collect()) == [0, 1, 2, 3, 4] and not got["passed"]
+    assert parsing.saved(records.where("false"))[1].first()["no_rows"]
