@@ -1,10 +1,12 @@
 """Toxicity: a weighted finite-state grammar over clauses.
 
-Words become symbols (insult, threat, target, negation, report, quote, other). A chain of weighted transducers
-reads a clause, each the output of the one before: a target close before makes an insult aimed and a threat a
-menace, and heavier; a negation close before weakens either, as do reported speech and quotation. The chain is
-composed into one machine, once a process, so a clause is read in one pass. A lone insult keeps its own weight;
-how much weight it takes to be called toxic is learned. The score of a
+Words become symbols (insult, threat, target, object, negation, report, quote, other). Two chains of weighted
+transducers read a clause, each transducer the output of the one before. The first chain reads from the clause's
+end: whom a threat names after it ("kill you") makes it a menace, whom an insult names after it makes it aimed, and
+a report that follows ("idiot, she said") weakens; who reports is no target. The second reads from the beginning: any pronoun before an insult
+aims it, but only an object before a threat makes it a menace (as in "dich töten"; in "they beat the record" they are
+the subject); a negation close before weakens, as do reported speech and quotation. Each chain is composed into one
+machine, once a process. A lone insult keeps its own weight; how much weight it takes to be called toxic is learned. The score of a
 text is a logistic function of its clauses' weights, never of a single word's presence.
 
 Insults are learned: words and word beginnings that stand in many different contexts of toxic texts and
@@ -40,11 +42,13 @@ HELD_TERMS = 100_000
 #: Different contexts that a term must be seen in, and the least evidence (a log-likelihood ratio).
 MIN_CONTEXTS, MIN_EVIDENCE = 6, 30.0
 
-INSULT, THREAT, TARGET, NEGATION, REPORT, QUOTE, OTHER, AIMED, MENACE = SYMBOLS = range(9)
+INSULT, THREAT, TARGET, OBJECT, NEGATION, REPORT, QUOTE, OTHER, AIMED, MENACE = SYMBOLS = range(10)
 #: The grammar's closed lists, in the languages of the corpus.
 INSULTS = "idiot idiots moron morons imbecile stupid dumb scum trash loser losers pathetic worthless disgusting clown bastard bitch asshole fucker whore vermin filth retard dummkopf arschloch abschaum hurensohn schlampe connard salope enculé crétin ordure imbécile pendejo cabrón puta basura escoria estúpido idiota".split()
 THREATS = "kill hurt beat destroy murder strangle töten umbringen vernichten tuer frapper détruire matar golpear destruir".split()
 TARGETS = "you your yours he she they them him her du dich dir ihr euch sie tu te toi vous ils elles usted ustedes tú ti vosotros ellos ellas".split()
+#: Those of them that stand before a verb as its object; the others before it are its subject.
+OBJECTS = "him them her dich dir euch te vous".split()
 NEGATIONS = "not no never isn't aren't don't won't wasn't nicht kein keine nie niemals ne pas jamais nunca jamás ni".split()
 REPORTS = "said says called calls quoted wrote reported claimed allegedly sagte sagt nannte schrieb angeblich disait écrit appelé dijo dice llamó escribió".split()
 QUOTES = set("\"“”„«»")
@@ -84,41 +88,57 @@ class Transducer:
         return Transducer(moves)
 
 
-def _fading(opens: int, acts: dict[int, int], words: int, factor: float) -> Transducer:
-    """After the symbol that opens it, and for so many words, the factor holds for symbols, which are written as others."""
-    moves = {(s, opens): (words, opens, 1.0) for s in range(words + 1)}
+def _fading(opens: tuple[int, ...], acts: dict[int, int], words: int, factor: float) -> Transducer:
+    """After a symbol that opens it, and for so many words, the factor holds for symbols, which are written as others."""
+    moves = {(s, o): (words, o, 1.0) for s in range(words + 1) for o in opens}
     moves |= {(s, a): (s - 1, out, factor) for s in range(1, words + 1) for a, out in acts.items()}
     return Transducer(moves, {s: s - 1 for s in range(1, words + 1)})
 
 
+#: From a clause's end: a pronoun right before a report is who speaks, no target.
+_SPEAKER = Transducer({(s, REPORT): (1, REPORT, 1.0) for s in (0, 1)} | {(1, x): (0, OTHER, 1.0) for x in (TARGET, OBJECT)}, {1: 0})
+
+
 def _quoted(factor: float) -> Transducer:
     inside = {(1, a): (1, a, factor) for a in _WEIGHS}
     return Transducer({(0, QUOTE): (1, QUOTE, 1.0), (1, QUOTE): (0, QUOTE, 1.0)} | inside)
 
 
-#: Read one after the other.
-GRAMMAR = (
-    _fading(TARGET, {INSULT: AIMED}, 6, 1.3),
-    _fading(TARGET, {THREAT: MENACE}, 4, 2.0),
-    _fading(NEGATION, {x: x for x in _WEIGHS}, 3, 0.3),
-    _fading(REPORT, {x: x for x in _WEIGHS}, 8, 0.6),
+#: Read one after the other, from a clause's end: what comes after insults and threats.
+BACKWARD = (
+    _SPEAKER,
+    _fading((TARGET, OBJECT), {THREAT: MENACE}, 3, 2.0),
+    _fading((TARGET, OBJECT), {INSULT: AIMED}, 2, 1.3),
+    _fading((REPORT,), {x: x for x in _WEIGHS}, 3, 0.6),
+)
+#: Read one after the other, from its beginning: what comes before.
+FORWARD = (
+    _fading((TARGET, OBJECT), {INSULT: AIMED}, 6, 1.3),
+    _fading((OBJECT,), {THREAT: MENACE}, 4, 2.0),
+    _fading((NEGATION,), {x: x for x in _WEIGHS}, 3, 0.3),
+    _fading((REPORT,), {x: x for x in _WEIGHS}, 8, 0.6),
     _quoted(0.5),
 )
 
 
 @cache
-def machine() -> Transducer:
-    """The grammar as one transducer."""
-    return reduce(Transducer.then, GRAMMAR)
+def machines() -> tuple[Transducer, Transducer]:
+    """Either chain as one transducer."""
+    return reduce(Transducer.then, BACKWARD), reduce(Transducer.then, FORWARD)
+
+
+def _read(moves: dict, symbols: list[tuple[int, float]]) -> list[tuple[int, float]]:
+    state, out = 0, []
+    for symbol, weight in symbols:
+        state, written, factor = moves[state, symbol]
+        out.append((written, weight * factor))
+    return out
 
 
 def run(symbols: list[tuple[int, float]]) -> float:
     """The weight of a clause, given as symbols and their own weights."""
-    state, total, moves = 0, 0.0, machine().moves
-    for symbol, weight in symbols:
-        state, _, factor = moves[state, symbol]
-        total += weight * factor
-    return total
+    backward, forward = machines()
+    return sum(w for _, w in _read(forward.moves, _read(backward.moves, symbols[::-1])[::-1]))
 
 
 class Lexicon:
@@ -128,7 +148,7 @@ class Lexicon:
         import ahocorasick
 
         self.words, self.stems = words, stems
-        self.closed = {w: (k, 0.0) for k, ws in ((TARGET, TARGETS), (NEGATION, NEGATIONS), (REPORT, REPORTS)) for w in ws}
+        self.closed = {w: (k, 0.0) for k, ws in ((TARGET, TARGETS), (OBJECT, OBJECTS), (NEGATION, NEGATIONS), (REPORT, REPORTS)) for w in ws}
         self.closed |= {w: (THREAT, 0.5) for w in THREATS}
         self.sizes = sorted({len(s) for s in stems})
         self.any = ahocorasick.Automaton()
@@ -213,34 +233,45 @@ def _evidence(a: int, b: int, na: int, nb: int) -> float:
     return 2 * (ll(a, na, min(p, 1 - 1e-12)) + ll(b, nb, q) - ll(a, na, r) - ll(b, nb, r))
 
 
-def _learn_terms(toxic: DataFrame, clean: DataFrame) -> tuple[dict[str, float], dict[str, float]]:
-    def seen(only: set[str] | None):
-        def rows(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            found: set[tuple[str, int]] = set()
-            frame = lambda: pd.DataFrame(list(found), columns=["term", "context"])
-            for part in parts:
-                for x in part["text"]:
-                    found.update((t, c) for t, c in _terms(x or "").items() if only is None or t in only)
-                    if len(found) > HELD_TERMS:  # what is said twice is counted once later on
-                        yield frame()
-                        found.clear()
-            if found:
-                yield frame()
-                found.clear()
-            give_back()
-
-        return rows
-
-    shape = "term string, context long"
-    n_toxic, n_clean = toxic.count(), clean.count()
+def _contexts(rows: DataFrame, only: set[str] | None) -> DataFrame:
+    """term, and in how many different contexts it stands: n0 and n1 in rows of half 0 and of half 1, n in all. Texts are read once for all three."""
+
+    def seen(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        found: set[tuple[str, int, int]] = set()
+        frame = lambda: pd.DataFrame(list(found), columns=["term", "context", "half"])
+        for part in parts:
+            for x, half in zip(part["text"], part["half"], strict=True):
+                found.update((t, c, half) for t, c in _terms(x or "").items() if only is None or t in only)
+                if len(found) > HELD_TERMS:  # what is said twice is counted once later on
+                    yield frame()
+                    found.clear()
+        if found:
+            yield frame()
+            found.clear()
+        give_back()
+
+    once = rows.select("text", "half").mapInPandas(seen, "term string, context long, half long").groupBy("term", "context").agg(*(F.max((F.col("half") == h).cast("int")).alias(f"h{h}") for h in (0, 1)))
+    return once.groupBy("term").agg(F.sum("h0").alias("n0"), F.sum("h1").alias("n1"), F.count("*").alias("n"))
+
+
+def _learn_terms(rows: DataFrame) -> dict[str, tuple[dict[str, float], dict[str, float]]]:
+    """Weights of words and of word beginnings, as learned from half 0 (by n0), from half 1 (n1) and from all rows (n)."""
+    by = ("n0", "n1", "n")
+    sizes = rows.groupBy("y").agg(*(F.count_distinct(F.when(F.col("half") == h, F.col("text"))).alias(f"n{h}") for h in (0, 1)), F.count_distinct("text").alias("n")).collect()
+    toxic, clean = ({n: next((r[n] for r in sizes if r["y"] == y), 0) for n in by} for y in (1, 0))
+    if not toxic["n"] or not clean["n"]:
+        return {n: ({}, {}) for n in by}
+    # words are learned at most MAX_TERMS * 20 at a time: the most frequent among those that are frequent enough
+    top = _contexts(rows.where("y = 1"), None).where(F.col("n") >= MIN_CONTEXTS).orderBy(F.desc("n"), "term").limit(MAX_TERMS * 20).collect()
+    a = {r["term"]: r for r in top}
+    b = {r["term"]: r for r in _contexts(rows.where("y = 0"), set(a)).collect()}
+    return {n: _weigh({t: r[n] for t, r in a.items() if r[n] >= MIN_CONTEXTS}, {t: r[n] for t, r in b.items()}, toxic[n], clean[n]) for n in by}
+
+
+def _weigh(a: dict[str, int], b: dict[str, int], n_toxic: int, n_clean: int) -> tuple[dict[str, float], dict[str, float]]:
+    """Words and beginnings that stand out in toxic contexts (a, of so many texts) against clean ones (b)."""
     if not n_toxic or not n_clean:
         return {}, {}
-    many = F.countDistinct("context").alias("n")
-    # words are learned at most MAX_TERMS * 20 at a time: the most frequent among those that are frequent enough
-    top = toxic.mapInPandas(seen(None), shape).groupBy("term").agg(many).where(F.col("n") >= MIN_CONTEXTS).orderBy(F.desc("n"), "term").limit(MAX_TERMS * 20).collect()
-    a = {r["term"]: r["n"] for r in top}
-    only = set(a)
-    b = {r["term"]: r["n"] for r in clean.mapInPandas(seen(only), shape).groupBy("term").agg(many).collect()}
     weigh = {}
     for term, n in a.items():
         m = b.get(term, 0)
@@ -279,13 +310,15 @@ def train(docs: DataFrame, labels: DataFrame, fold: Column, text: str = "text",
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).join(F.broadcast(chosen), "key")  # of a bounded size
     rows = written(rows.repartition(12), "labelled")
 
-    def learned(some: DataFrame) -> Model:
-        words, stems = _learn_terms(some.where("y = 1").dropDuplicates(["text"]), some.where("y = 0").dropDuplicates(["text"]))
+    terms = _learn_terms(rows)
+
+    def learned(n: str) -> Model:
+        words, stems = terms[n]
         return Model({w: 1.5 for w in INSULTS} | words, stems, -3.0, [1.5, 1.0, 0.5, 0.0])
 
     # cross-fitting: the function is fitted on what each half's terms find in the other, and then used with the terms of all
-    sent = docs.sparkSession.sparkContext.broadcast({half: learned(rows.where(F.col("half") != half)) for half in (0, 1)})
-    model = learned(rows)
+    sent = docs.sparkSession.sparkContext.broadcast({0: learned("n1"), 1: learned("n0")})
+    model = learned("n")
 
     def measured(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         lexicons = {half: m.lexicon() for half, m in sent.value.items()}

@@ -352,22 +352,30 @@ def test_toxicity_grammar():
     assert weigh("lOWeischaft da") == pytest.approx(1.0)
     assert weigh("blowei idiots") == 0  # inside a word, and another word
     assert len(lexicon.clauses("idiot. scum! fine. scum")) == 3
-    assert weigh("kill you") == weigh("I will kill") == 0.5 and weigh("you I kill") == 1.0
+    assert weigh("I will kill") == weigh("they beat the record") == 0.5  # a subject is no target
+    assert weigh("kill you") == weigh("I will kill all of you") == weigh("ich werde dich töten") == weigh("je vais te tuer") == 1.0
+    assert weigh("idiot, you") == pytest.approx(1.3) == weigh("you idiot") == weigh("you idiot you")
+    assert weigh("idiot, she said") == pytest.approx(0.6) and weigh("I won't kill you") == pytest.approx(0.3)
 
 
-def test_toxicity_machine_is_the_chain():
-    """The composed machine gives each clause what its transducers give one after the other."""
+def test_toxicity_machines_are_the_chains():
+    """The composed machines give each clause what their transducers give one after the other."""
     rnd = random.Random(13)
-    assert len(toxicity.machine().moves) == len(toxicity.SYMBOLS) * len({s for s, _ in toxicity.machine().moves})  # every symbol moves every state
+    for m in toxicity.machines():
+        assert len(m.moves) == len(toxicity.SYMBOLS) * len({s for s, _ in m.moves})  # every symbol moves every state
     for _ in range(300):
-        clause = [(rnd.choice([toxicity.INSULT, toxicity.THREAT, toxicity.TARGET, toxicity.NEGATION, toxicity.REPORT, toxicity.QUOTE, toxicity.OTHER]), rnd.random()) for _ in range(rnd.randint(0, 15))]
-        states, total = [0] * len(toxicity.GRAMMAR), 0.0
-        for symbol, weight in clause:
-            for i, t in enumerate(toxicity.GRAMMAR):
-                states[i], symbol, factor = t.step(states[i], symbol)
-                weight *= factor
-            total += weight
-        assert toxicity.run(clause) == pytest.approx(total)
+        clause = [(rnd.choice(toxicity.SYMBOLS[:-2]), rnd.random()) for _ in range(rnd.randint(0, 15))]
+        want = clause
+        for chain in (toxicity.BACKWARD, toxicity.FORWARD):
+            want, states = want[::-1] if chain is toxicity.BACKWARD else want, [0] * len(chain)
+            read = []
+            for symbol, weight in want:
+                for i, t in enumerate(chain):
+                    states[i], symbol, factor = t.step(states[i], symbol)
+                    weight *= factor
+                read.append((symbol, weight))
+            want = read[::-1] if chain is toxicity.BACKWARD else read
+        assert toxicity.run(clause) == pytest.approx(sum(w for _, w in want))
 
 
 def test_toxicity_held_out(spark):
