@@ -6,7 +6,7 @@ Ties and repeated rows don't matter, every row is judged by its own text; other
 Line rules (a line without a word is neither kept nor counted):
 - repeated: it equals an earlier line of the text;
 - navigation: three or more lone separators that make up a fifth of its words, or a menu word alone;
-- boilerplate: a notice on cookies, rights, licences, scripts, subscriptions or sharing in a short line;
+- boilerplate: a phrase by which sites ask for consent, claim rights with a year, name a licence, or ask to subscribe or share, in a short line;
 - symbols: more than a tenth of its characters are of `[#*$%&|<>]`;
 - shouting: ten or more letters, more than 7 of 10 upper-case;
 - repetitive: ten or more words, fewer than 3 of 10 different;
@@ -15,7 +15,6 @@ Line rules (a line without a word is neither kept nor counted):
 
 from __future__ import annotations
 
-import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -28,13 +27,31 @@ SYMBOLS = "#*$%&|<>"
 LONE = ("|", "/", ">", "·", "•", "»", "›", "::", "--")
 SEPARATORS = r"(?:^|[\x20\x09-\x0D])(?:[|/>·•»›]|::|--)(?:$|[\x20\x09-\x0D])"
 MENU = r"(?i)^[\x20\x09-\x0D]*(?:home|menu|login|log in|sign in|sign up|register|search|next|previous|back to top|skip to content|share|print|startseite|anmelden|suche|weiter|zurück|accueil|connexion|rechercher|suivant|précédent|inicio|iniciar sesión|buscar|siguiente|anterior)[\x20\x09-\x0D]*$"
-NOTICES = "cookie|all rights reserved|copyright|©|licensed under|released under the|license, version|this work is licensed|privacy policy|terms of (?:use|service)|enable javascript|subscribe to|newsletter|share this|alle rechte vorbehalten|datenschutz|tous droits réservés|mentions légales|todos los derechos reservados|política de privacidad"
-NOTICE = f"(?i)(?:{NOTICES})"
+#: What a notice says, by a part that each of its forms has, in lowered text. A topic alone ("a cookie recipe") is no notice.
+NOTICES = {
+    "cookie": "(?:we|site|website|page) uses? cookies|use of cookies|(?:accept|allow|enable|manage|consent to|reject) (?:all |our |the use of |necessary )?cookies|cookie (?:policy|settings|preferences|consent|notice)|cookies akzeptieren|accepter (?:les |tous les )?cookies|aceptar (?:las |todas las )?cookies",
+    "all rights reserved": "all rights reserved",
+    "copyright": "copyright(?: [(]c[)])?[^a-z]{0,8}(?:19|20)[0-9]{2}|(?:19|20)[0-9]{2}[^a-z]{0,4}copyright",
+    "©": "©[^\\n]{0,60}(?:19|20)[0-9]{2}|(?:19|20)[0-9]{2}[^a-z]{0,4}©",
+    "under": "(?:licensed|released|published|distributed|available) under (?:the |a |an )?(?:terms of the )?(?:mit|apache|gnu|gpl|lgpl|agpl|bsd|mozilla|eclipse|creative commons|cc)[ -]",
+    "this work is licensed": "this work is licensed",
+    "privacy policy": "(?:our|this) privacy policy|^[^a-z]*privacy policy[^a-z]*$|privacy policy (?:[|]|·|and terms|& terms)",
+    "terms of": "(?:our|these|agree to the|accept the) terms of (?:use|service)|^[^a-z]*terms of (?:use|service)[^a-z]*$",
+    "javascript": "(?:please|must|need to) enable javascript|enable javascript (?:to|in)|javascript is (?:disabled|required)",
+    "subscribe to": "subscribe to (?:our|my|this) |subscribe to the (?:newsletter|channel|blog|feed|podcast)",
+    "newsletter": "(?:sign up|register) (?:for|to)[^.!?]{0,30}newsletter|newsletter abonnieren|notre newsletter|nuestra newsletter",
+    "share this": "share this (?:article|post|page|story|with|on|via)",
+    "alle rechte vorbehalten": "alle rechte vorbehalten",
+    "datenschutz": "datenschutz(?:erklärung|hinweis|richtlinie|bestimmung)",
+    "tous droits réservés": "tous droits réservés",
+    "mentions légales": "mentions légales",
+    "todos los derechos reservados": "todos los derechos reservados",
+    "política de privacidad": "(?:nuestra|esta) política de privacidad|^[^a-z]*política de privacidad[^a-z]*$",
+}
+NOTICE = "|".join(NOTICES.values())
 #: Words of the longest line that counts as a notice, and of the longest that MENU can match.
 NOTICE_WORDS, MENU_WORDS = 30, 3
 BLANKS = " \t\n\x0b\f\r"
-#: What a notice has in its lowered text, so that most lines never meet the pattern.
-_IN_NOTICES = sorted({re.split(r"[(]", x)[0] for x in re.split(r"\|(?![^(]*\))", NOTICES)})
 
 
 def split_words(line: Column) -> Column:
@@ -96,7 +113,7 @@ def line_fails(line: Column, words: Column | None = None) -> Column:
         | ((n >= 10) & (10 * F.size(F.array_distinct(words)) < 3 * n))
         | (F.arrays_overlap(words, F.array(*map(F.lit, LONE))) & (marks >= 3) & (5 * marks >= n))
         | (line.rlike(f"[{SYMBOLS}]") & (10 * _symbols(line) > _chars(line)))
-        | ((n <= NOTICE_WORDS) & _any([low.contains(x) for x in _IN_NOTICES]) & line.rlike(NOTICE))
+        | ((n <= NOTICE_WORDS) & _any([low.contains(x) for x in NOTICES]) & low.rlike(NOTICE))
         | ((upper >= 8) & (10 * upper > 7 * letters) & (letters >= 10))
     )
 

@@ -221,7 +221,7 @@ measured AS (
   FROM different),
 good AS (
   SELECT doc_id, sum(chars) AS chars FROM measured WHERE NOT (
-    (marks >= 3 AND 5 * marks >= len(lw)) OR regexp_matches(line, '{quality.MENU}') OR (len(lw) <= {quality.NOTICE_WORDS} AND regexp_matches(line, '{quality.NOTICE}'))
+    (marks >= 3 AND 5 * marks >= len(lw)) OR regexp_matches(line, '{quality.MENU}') OR (len(lw) <= {quality.NOTICE_WORDS} AND regexp_matches(lower(line), '{quality.NOTICE}'))
     OR 10 * symbols > chars OR (letters >= 10 AND 10 * upper_letters > 7 * letters) OR (len(lw) >= 10 AND 10 * len(list_distinct(lw)) < 3 * len(lw))
     OR (len(lw) >= 8 AND NOT regexp_matches(line, '[.!?…:;。！？]')))
   GROUP BY doc_id),

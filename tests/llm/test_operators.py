@@ -511,6 +511,23 @@ def test_quality_lines(spark):
         "home | news | sport | weather | login": True,
         "Accueil": True,
         "All rights reserved.": True,
+        "We use cookies to improve your visit.": True,
+        "The cookie recipe that my grandmother wrote down needs butter, sugar and two eggs.": False,
+        "Copyright (c) 2019 Example Press": True,
+        "© Example Press, 2019-2024": True,
+        "Copyright is a right that authors have, he told the class.": False,
+        "The sign © came into law long ago, and nobody drew it by hand.": False,
+        "Released under the MIT License.": True,
+        "Licensed under CC BY-NC 4.0.": True,
+        "The band's second record was released under the name of a friend.": False,
+        "Sign up for our weekly newsletter!": True,
+        "She printed a newsletter for the village, page by page.": False,
+        "They subscribe to the view, as we all did, that it rains.": False,
+        "Please enable JavaScript to see this page.": True,
+        "Read our Privacy Policy.": True,
+        "The privacy policy of the ministry changed, and nobody knew why.": False,
+        "Lesen Sie unsere Datenschutzerklärung.": True,
+        "Der Datenschutz beschäftigt den Landtag, wie jedes Jahr, lange.": False,
         "WORDS IN CAPITALS ALL ALONG THE LINE!!": True,
         "a$$ b%% c&& d## of&& more**": True,
         "same same same same same same same same same same.": True,
