@@ -5,7 +5,8 @@ message number in them, as an export leaves them; exports may overlap, come late
 kept as ranges of numbers by channel, so an export that overlaps an earlier one gives its new numbers only, one that comes
 late gives all of its own, and one that is there twice gives nothing. Of files that share numbers the first by (first, last, path)
 gives them; of lines in a file that share one, the first. A number that a file's
-name covers and its lines lack counts as read: messages get no new numbers, so it was deleted. The driver sees names of files, tasks see their lines, one file at a time.
+name covers and its lines lack counts as read: messages get no new numbers, so it was deleted. The driver sees names and sizes of
+files, tasks see their lines, one file at a time; a task reads many small files, so tasks are as many as the bytes ask for, not as the files.
 
 Batch reads take filters: a channel that isn't asked for isn't opened, nor is a file outside of the numbers asked for.
 Files are opened by pyarrow, so the archive may lie in any store that it can open (local, hdfs, s3, gs). Other names than
@@ -17,11 +18,11 @@ from __future__ import annotations
 import json
 import re
 import uuid
-from collections.abc import Iterator
-from dataclasses import dataclass
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass, field
+from itertools import groupby
 from urllib.parse import quote, unquote
 
-import pandas as pd
 import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
@@ -31,15 +32,19 @@ from pyspark.sql.types import StructType
 
 from ..operators.dedup import keep_first
 from .files import MESSAGE
-from .workers import ship
+from .workers import bounded_batches, ship
 
 NAME = "channel_archive"
 #: Rows of an Arrow batch that a task gives.
 ROWS = 1000
+#: Bytes that a task reads, or one file if it has more, and what opening a file counts as.
+TASK_BYTES, OPEN_BYTES = 16 << 20, 64 << 10
 _FILE = re.compile(r"(\d+)-(\d+)\.jsonl")
 _LEAST, _GREATEST = 0, (1 << 63) - 1
 
 Ranges = list[list[int]]
+#: First and last number, path and bytes.
+File = tuple[int, int, str, int]
 
 
 def opened(path: str) -> tuple[fs.FileSystem, str]:
@@ -78,36 +83,51 @@ def union(ranges: Ranges) -> Ranges:
 
 @dataclass
 class Share(InputPartition):
-    """A file and the numbers that it gives."""
+    """A file and the numbers that it gives, and others that the same task reads after it."""
 
     path: str
     ranges: Ranges
+    size: int = 0
+    rest: list[Share] = field(default_factory=list)
 
 
-def listing(folder: str) -> dict[str, list[tuple[int, int, str]]]:
-    """By channel its files as (first, last, path), in order."""
+def listing(folder: str) -> dict[str, list[File]]:
+    """By channel its files, in order."""
     store, root = opened(folder)
-    out: dict[str, list[tuple[int, int, str]]] = {}
+    out: dict[str, list[File]] = {}
     for f in store.get_file_info(fs.FileSelector(root, recursive=True, allow_not_found=True)):
         if f.type == fs.FileType.File and (m := _FILE.fullmatch(f.base_name)):
-            out.setdefault(unquote(f.path.split("/")[-2]), []).append((int(m[1]), int(m[2]), f.path))
+            out.setdefault(unquote(f.path.split("/")[-2]), []).append((int(m[1]), int(m[2]), f.path, f.size or 0))
     return {channel: sorted(files) for channel, files in out.items()}
 
 
-def shares(files: list[tuple[int, int, str]], wanted: Ranges) -> Iterator[Share]:
+def shares(files: list[File], wanted: Ranges) -> Iterator[Share]:
     """Deals the wanted numbers of a channel to its files, each to the first that may have it."""
-    for first, last, path in files:
+    for first, last, path, size in files:
         mine = minus([[first, last]], minus([[first, last]], wanted))
         if mine:
-            yield Share(path, mine)
+            yield Share(path, mine, size)
             wanted = minus(wanted, mine)
 
 
-def rows_of(folder: str, share: Share, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+def tasks(given: Iterable[Share]) -> list[Share]:
+    """The shares put together until a task has TASK_BYTES."""
+    out: list[Share] = []
+    left = 0
+    for share in given:
+        cost = share.size + OPEN_BYTES
+        if out and cost <= left:
+            out[-1].rest.append(share)
+            left -= cost
+        else:
+            out.append(share)
+            left = TASK_BYTES - cost
+    return out
+
+
+def _messages(store: fs.FileSystem, share: Share) -> Iterator[dict]:
     """The file's messages with numbers in its share, each number once, in the file's order."""
-    store, _ = opened(folder)
-    kept, seen = [], set()
-    names = schema.names
+    seen = set()
     with store.open_input_stream(share.path) as raw:
         for line in _lines(raw):
             if not line.strip():
@@ -117,6 +137,15 @@ def rows_of(folder: str, share: Share, schema: pa.Schema) -> Iterator[pa.RecordB
             if number in seen or not any(low <= number <= high for low, high in share.ranges):
                 continue
             seen.add(number)
+            yield row
+
+
+def rows_of(folder: str, share: Share, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """The messages of a task's files, file by file."""
+    store, _ = opened(folder)
+    kept, names = [], schema.names
+    for part in (share, *share.rest):
+        for row in _messages(store, part):
             kept.append({n: row.get(n) for n in names})
             if len(kept) == ROWS:
                 yield pa.RecordBatch.from_pylist(kept, schema)
@@ -174,7 +203,7 @@ class ArchiveReader(_Reader, DataSourceReader):
         for channel, files in listing(self.folder).items():
             if self.low <= self.high and (self.channels is None or channel in self.channels):
                 out += shares(files, [[self.low, self.high]])
-        return out
+        return tasks(out)
 
 
 class ArchiveStream(_Reader, DataSourceStreamReader):
@@ -184,13 +213,13 @@ class ArchiveStream(_Reader, DataSourceStreamReader):
         return {}
 
     def latestOffset(self) -> dict:
-        return {channel: union([[first, last] for first, last, _ in files]) for channel, files in sorted(listing(self.folder).items())}
+        return {channel: union([[first, last] for first, last, _, _ in files]) for channel, files in sorted(listing(self.folder).items())}
 
     def partitions(self, start: dict, end: dict) -> list[Share]:
         files, out = listing(self.folder), []
         for channel, ranges in end.items():
             out += shares(files.get(channel, []), minus(ranges, start.get(channel, [])))
-        return out
+        return tasks(out)
 
 
 class ChannelArchive(DataSource):
@@ -231,24 +260,26 @@ def stream_archive(spark: SparkSession, folder: str) -> DataFrame:
 def export(messages: DataFrame, folder: str, numbers: int = 1000) -> None:
     """Adds messages to an archive, a file for each channel and so many numbers. Of messages that share channel and number one stays; rows without either, or with a number below 0, are left out.
 
-    A file is written beside its place and then moved, so a task that runs twice leaves it once. A group has at most so many rows, however many a channel has."""
-    ship(messages.sparkSession)
+    Rows are dealt by channel and block and sorted, so a task writes its files one after another and holds a batch of rows. A file is written beside its place and then moved, so a task that runs twice leaves it once."""
+    spark = messages.sparkSession
+    bounded_batches(spark)
     names = [c.split()[0] for c in MESSAGE.split(", ")]
     rows = keep_first(messages.select(*names).where("channel is not null and message_id >= 0"), ["channel", "message_id"], ["scraped_at", "posted_at", "text", "channel_title"])
 
-    def write(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values("message_id")
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, root = opened(folder)
-        at = f"{root}/{quote(part['channel'].iloc[0], safe='')}"
-        store.create_dir(at, recursive=True)
-        name = f"{part['message_id'].iloc[0]}-{part['message_id'].iloc[-1]}"
-        beside = f"{at}/_{name}-{uuid.uuid4().hex}"
-        lines = (json.dumps({n: None if pd.isna(v) else v for n, v in zip(names, row, strict=True)}, ensure_ascii=False) for row in part[names].astype(object).itertuples(index=False))
-        with store.open_output_stream(beside) as out:
-            for line in lines:
-                out.write(line.encode() + b"\n")
-        store.move(beside, f"{at}/{name}.jsonl")
-        return pd.DataFrame({"n": [len(part)]})
-
-    block = F.floor(F.col("message_id") / numbers).alias("_block")
-    rows.groupBy("channel", block).applyInPandas(write, "n long").write.format("noop").mode("overwrite").save()
+        given = (row for batch in batches for row in batch.to_pylist())
+        for (channel, _), group in groupby(given, lambda row: (row["channel"], row["_block"])):
+            at = f"{root}/{quote(channel, safe='')}"
+            store.create_dir(at, recursive=True)
+            beside, said = f"{at}/_{uuid.uuid4().hex}", []
+            with store.open_output_stream(beside) as out:
+                for row in group:
+                    said.append(row["message_id"])
+                    out.write(json.dumps({n: row[n] for n in names}, ensure_ascii=False).encode() + b"\n")
+            store.move(beside, f"{at}/{said[0]}-{said[-1]}.jsonl")
+            yield pa.RecordBatch.from_pylist([{"n": len(said)}])
+
+    # a fixed number of tasks: small rows make many files, so tasks must not be put together by bytes
+    dealt = rows.withColumn("_block", F.floor(F.col("message_id") / numbers)).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "channel", "_block")
+    dealt.sortWithinPartitions("channel", "_block", "message_id").mapInArrow(write, "n long").write.format("noop").mode("overwrite").save()

@@ -650,6 +650,19 @@ def test_channel_archive(spark, tmp_path):
     assert len(left) == 1 and [p.path.rsplit("/", 1)[1] for p in reader.partitions()] == ["25-25.jsonl"]  # one file is opened of four
 
 
+def test_archive_of_many_small_channels(spark, tmp_path, monkeypatch):
+    """Tasks are as many as the bytes ask for, each channel in a file of its own notwithstanding."""
+    archive = str(tmp_path / "a")
+    rows = spark.range(900).selectExpr("concat('c', id % 300) AS channel", "'t' AS channel_title", "id AS message_id", "string(id) AS text", "string(null) AS posted_at", "string(null) AS scraped_at")
+    channels.export(rows, archive, 300)
+    tasks = channels.ArchiveReader(archive).partitions()
+    assert sum(1 + len(t.rest) for t in tasks) == 900 and len(tasks) == 4  # 256 files a task
+    assert channels.ArchiveStream(archive).partitions({}, channels.ArchiveStream(archive).latestOffset())[0].rest
+    assert sorted((r["channel"], r["message_id"], r["text"]) for r in channels.read_archive(spark, archive).collect()) == sorted((f"c{n % 300}", n, str(n)) for n in range(900))
+    monkeypatch.setattr(channels, "TASK_BYTES", 1)  # no file is left out that is larger than a task
+    assert len(channels.ArchiveReader(archive).partitions()) == 900
+
+
 def test_report_while_saving(spark, posts):
     """Measures that are observed while rows are saved are those of the separate reports."""
     rows, df = posts
