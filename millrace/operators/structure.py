@@ -16,12 +16,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.workers import bounded_batches
+from ..sources.workers import bounded_batches, give_back
 
 #: What tells pages apart.
 PAGE = ("page", "row")
-#: Nodes that are worked on at once, or those of one page if it has more.
-NODES = 20_000
+#: Nodes that are worked on at once and their bytes, or those of one page if it has more.
+NODES, BYTES = 20_000, 4 << 20
 HOPS = 8
 
 
@@ -115,13 +115,14 @@ def by_pages(nodes: DataFrame, work: Callable[[Pages], pa.Table], schema: str) -
             if not batch.num_rows:
                 continue
             held.append(batch)
-            if sum(b.num_rows for b in held) < NODES:
+            if sum(b.num_rows for b in held) < NODES and sum(b.nbytes for b in held) < BYTES:
                 continue
             table = pa.Table.from_batches(held)
             starts = np.flatnonzero(table.column("pre").to_numpy() == 0)
             if len(starts) and (cut := int(starts[-1])):  # the last page may go on
                 yield from work(Pages(table.slice(0, cut).combine_chunks())).to_batches()
                 held = table.slice(cut).to_batches()
+                give_back()
         if held:
             yield from work(Pages(pa.Table.from_batches(held).combine_chunks())).to_batches()
 

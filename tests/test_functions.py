@@ -141,3 +141,13 @@ def test_message_and_envelope_rules(spark):
     keys = spark.sql("SELECT array('a', 'b') AS k")
     assert keys.select(rules.first_failure([rules.extra_keys(F.col("k"), ["a"])])).first()[0] == "extra"
     assert keys.select(rules.first_failure([rules.extra_keys(F.col("k"), ["a", "b"])])).first()[0] is None
+
+
+def test_white_space_that_is_even_is_not_touched():
+    """One space between words is no match, so a text of plain words is not rewritten."""
+    import re
+
+    from millrace.functions import textops
+
+    uneven = re.compile(textops._UNEVEN.removeprefix("(?U)"))
+    assert uneven.findall("a b c") == [] and [m.group() for m in uneven.finditer(" a  b\tc \x1cd　e")] == ["  ", "\t", " \x1c", "　"]
