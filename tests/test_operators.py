@@ -16,6 +16,7 @@ from millrace.operators.html_nodes import closed_references, html_nodes, nodes_o
 from millrace.plans import envelope as E
 from millrace.plans import parsing, status
 from millrace.sources import channels, config, files
+from millrace.streaming import stateful
 from millrace.streaming.ingest import ingest
 from millrace.streaming.stateful import ingest_first
 
@@ -588,6 +589,29 @@ def test_stateful_keep_first(spark, tmp_path):
     assert once()[0] == sorted(want + [(4, "c")])  # nothing new
 
 
+def test_stateful_buckets(spark, tmp_path, monkeypatch):
+    """Groups with very many keys, in several Arrow batches, on keys of two columns with nulls; long numbers beside null ones stay exact."""
+    monkeypatch.setattr(stateful, "BUCKETS", 3, raising=False)
+    inbox, table, checkpoint = (str(tmp_path / x) for x in ("in", "table", "cp"))
+    schema = "n long, k long, t timestamp"
+    rnd, far = random.Random(4), 2**60
+    when = lambda i: None if i % 7 == 0 else dt.datetime(2024, 1, 1, 0, 0, 0, i % 3)
+    rows = [(None if i % 11 == 0 else far + i, rnd.choice([None, *range(far, far + 700)]), when(rnd.randrange(50))) for i in range(9000)]
+    old = sorted({r[1:] for r in rows if r[1] is not None and r[1] % 5 == 0}, key=str)
+    history = spark.createDataFrame(old, "k long, t timestamp")
+    want, seen = [], set(old)
+    for part in (rows[:6000], rows[6000:], []):
+        if part:
+            spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(inbox)
+        ingest_first(spark.readStream.schema(schema).parquet(inbox), table, checkpoint, ["k", "t"], ["n"], history)
+        for r in sorted(part, key=lambda r: (r[0] is None, r[0] or 0)):
+            if r[1:] not in seen:
+                seen.add(r[1:])
+                want.append(r)
+        assert sorted((tuple(r) for r in spark.read.parquet(table).collect()), key=str) == sorted(want, key=str)
+    assert len(want) > 1000
+
+
 def test_unknown_keys_at_any_depth(spark, tmp_path):
     good = {"id": "p:1", "platform": "p", "text": "t", "status": {"state": "sent"}, "scoring": [], "metadata": {"source": {"path": "p/x"}, "platform_data": {"any": {"thing": [1]}}}}
     scored = [{"model_name": "m", "task": "t", "value": 1.0}, {"model_name": "m", "x.y": 2}, {"x.y": 1}, 3, None]
