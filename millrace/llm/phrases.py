@@ -42,7 +42,7 @@ BLOCK = 4 << 20
 #: What ends a piece, and what stands between words.
 BREAKS, GAPS = b".,;:!?\n\x0b\x0c\r", b" \t"
 UNKNOWN = "und"
-#: Shares in which the pairs of a level are dealt out, one after another, so that their shuffles don't lie on the disks together.
+#: Shares in which the words or pairs of a level are dealt out, one after another, so that their shuffles don't lie on the disks together.
 SHARES = 4
 LEAST, LONGEST, SHOWN, PER_MILLE = 100, 5, 2000, 1000
 
@@ -209,7 +209,10 @@ def counted_phrases(docs: DataFrame, text: str = "text", lang: str = "lang", lea
     blocks = written_alone(_blocks(given), "blocks1", "block")
     words = blocks.select("block", F.posexplode(F.arrays_zip("lang", "word", "c")).alias("i", "x")).select("block", "i", "x.*")
     totals = written(words.groupBy("lang").agg(F.sum("c").alias("n")), "totals")
-    met = _named(words, ["lang", "word"], least, 1)
+    share = F.pmod(F.xxhash64("lang", "word"), F.lit(SHARES))
+    met = reduce(DataFrame.unionByName, [_named(words.where(share == i), ["lang", "word"], least, 1) for i in range(SHARES)])
+    listed, blocks = blocks, written_alone(blocks.select("block", "at", "number"), "places1", "block")
+    discard(listed)  # the words would lie beside the pairs
     level = met.groupBy("id", "lang", "word").agg(F.max("f").alias("f"))
     levels = [written_alone(level.select("id", "lang", F.col("word").alias("phrase"), F.col("word").alias("last"), "f", F.array("f").alias("heads"), F.array("f").alias("tails")), "level1")]
     for k in range(2, longest + 1):

@@ -9,6 +9,7 @@ import duckdb
 import pytest
 
 from millrace.llm import phrases, queries
+from millrace.sources.shared import _own
 
 DATA = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, phrase string, a string, n string"
@@ -74,6 +75,26 @@ def test_blocks_of_any_size(docs, texts, monkeypatch):
     assert found(docs, 3, 5, 2000) == brute(texts, 3, 5, 2000)
 
 
+def test_words_leave_the_disks(spark, docs, monkeypatch):
+    """Words are dealt in shares, as pairs are, and their lists are gone when pairs are listed."""
+    named, answered, shares, left = phrases._named, phrases._answered, [], []
+
+    def in_shares(listed, on, least, k):
+        if k == 1:
+            shares.append({tuple(r) for r in listed.select("lang", "word").distinct().collect()})
+        return named(listed, on, least, k)
+
+    def after(blocks, met):
+        left.append([*Path(_own(spark).removeprefix("file:")).rglob("blocks1/*.parquet")])
+        return answered(blocks, met)
+
+    monkeypatch.setattr(phrases, "_named", in_shares)
+    monkeypatch.setattr(phrases, "_answered", after)
+    phrases.counted_phrases(docs, least=3, longest=2)
+    assert left == [[]]
+    assert len(shares) == phrases.SHARES and all(shares) and len(set.union(*shares)) == sum(map(len, shares))
+
+
 def test_numbers_beyond_64_bits(spark):
     """1000 * a * n and l * r as exact whole numbers."""
     from pyspark.sql import functions as F
