@@ -54,7 +54,7 @@ def from_six(x: bytes) -> np.ndarray:
 
 def by_shard(h: np.ndarray, shards: int) -> Iterator[tuple[int, np.ndarray]]:
     """Places of h by shard, in the order of h."""
-    shard = (h % np.uint64(shards)).astype(np.int64)
+    shard = (h % np.uint64(shards)).astype(np.uint16 if shards <= 1 << 16 else np.int64)  # short numbers are sorted by radix
     order = np.argsort(shard, kind="stable")
     cut = np.searchsorted(shard[order], np.arange(shards + 1))
     for s in range(shards):

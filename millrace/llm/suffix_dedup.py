@@ -38,8 +38,10 @@ from .common import give_back, small_batches, written
 from .packs import by_shard, compress, expand, from_six, packed, six, unpack
 
 LENGTH = 50
-#: Bytes handled at a time (positions must fit in 24 bits).
-PIECE = 4 << 20
+#: Bytes handled at a time (positions must fit in 24 bits; the arrays of so many stay in a core's cache).
+PIECE = 1 << 18
+#: Rows of a shard that make a batch, about, of however many parts; a batch a part would be the square of the corpus in batches.
+BATCH = 1 << 18
 #: Bytes of text for each shard, about, and the bounds of their number.
 SHARD_BYTES, MIN_SHARDS, MAX_SHARDS = 8 << 20, 24, 20_000
 _LAST = np.iinfo(np.int64).max
@@ -130,16 +132,14 @@ def anchors(text: np.ndarray, sizes: np.ndarray, shape: Shape) -> Anchors:
 
 def suffixes(text: np.ndarray, a: Anchors, shape: Shape) -> np.ndarray:
     """A row of bytes for each run: the text from the anchor on, the text before it backwards, both padded, and their sizes."""
-    out = np.zeros((len(a.at), shape.row), dtype=np.uint8)
-    right, left = a.last + shape.length - a.at, a.at - a.first
-    at = a.at.astype(np.int32)
-    for j in range(shape.length):
-        use = j < right
-        out[use, j] = text[at[use] + j]
-    for j in range(shape.reach - 1):
-        use = j < left
-        out[use, shape.length + j] = text[at[use] - 1 - j]
-    out[:, -2] = np.minimum(right, 255)
+    length, back = shape.length, shape.reach - 1
+    out = np.empty((len(a.at), shape.row), dtype=np.uint8)
+    right, left = (a.last + length - a.at).astype(np.uint8), (a.at - a.first).astype(np.uint8)
+    padded = np.concatenate((np.zeros(back, dtype=np.uint8), text, np.zeros(length, dtype=np.uint8)))
+    around = np.ndarray(len(text) + 1, f"V{back + length}", padded, strides=(1,))[a.at].view(np.uint8).reshape(-1, back + length)
+    np.multiply(around[:, back:], np.arange(length, dtype=np.uint8) < right[:, None], out=out[:, :length])
+    np.multiply(around[:, :back][:, ::-1], np.arange(back, dtype=np.uint8) < left[:, None], out=out[:, length:-2])
+    out[:, -2] = right
     out[:, -1] = left + 1  # never 0, so rows can be compared as strings
     return out
 
@@ -148,6 +148,54 @@ def _strings(rows: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(rows).view(f"S{rows.shape[1]}").ravel()
 
 
+def _alike(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order in which equal strings are neighbours, and where in it others begin. By a hash of all bytes; what it makes equal is compared."""
+    if not len(rows):
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+    width, h = rows.itemsize, np.zeros(len(rows), dtype=np.uint64)
+    with np.errstate(over="ignore"):
+        for at in [*range(0, width - 7, 8), width - 8]:  # the last eight bytes may have some of those before
+            h = _mix((h ^ np.ndarray(len(rows), "<u8", rows, at, (width,))) * _MULTIPLY)
+    order = np.argsort(h)
+    new = np.append(True, h[order][1:] != h[order][:-1])
+    same = np.flatnonzero(~new)
+    if (rows[order[same]] != rows[order[same - 1]]).any():
+        order = np.argsort(rows, kind="stable")
+        new[1:] = rows[order][1:] != rows[order][:-1]
+    return order, np.flatnonzero(new)
+
+
+def _sorted(rows: np.ndarray) -> np.ndarray:
+    """The order of strings that all differ: by eight bytes at a time, of those that are equal up to there."""
+    n, width = len(rows), rows.itemsize
+    table = rows.view(np.uint8).reshape(n, width)
+    order, tied, run = np.arange(n), np.arange(n), np.zeros(n, dtype=np.int64)
+    for at in range(0, width, 8):
+        word = np.zeros((len(tied), 8), dtype=np.uint8)
+        word[:, : width - at] = table[order[tied], at : at + 8]
+        word = word.view(">u8").ravel().astype(np.uint64)
+        by = np.lexsort((word, run)) if at else np.argsort(word)
+        order[tied] = order[tied][by]
+        word, run = word[by], run[by]
+        new = np.append(True, (word[1:] != word[:-1]) | (run[1:] != run[:-1]))
+        more = ~new | ~np.append(new[1:], True)
+        tied, run = tied[more], np.cumsum(new)[more]
+        if not len(tied):
+            break
+    return order
+
+
+def _distinct(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each different string is, in the strings' order, and which of them each row is."""
+    order, first = _alike(rows)
+    by = _sorted(rows[order[first]])
+    rank = np.empty(len(by), dtype=np.int64)
+    rank[by] = np.arange(len(by))
+    which = np.empty(len(rows), dtype=np.int64)
+    which[order] = np.repeat(rank, np.diff(np.append(first, len(rows))))
+    return order[first][by], which
+
+
 @dataclass
 class Level:
     """A suffix array: sorted rows, each once, with the smallest key that has it, and a bit for each string of the row that is known to start in a document with a key smaller than that."""
@@ -162,21 +210,28 @@ class Level:
         bits = np.zeros(len(rows), dtype=np.uint64) if bits is None else bits
         if not len(rows):
             return Level(rows, keys, bits)
-        order = np.argsort(rows, kind="stable")
-        first = np.flatnonzero(np.append(True, rows[order][1:] != rows[order][:-1]))
-        run = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(rows))))
-        order = order[np.lexsort((keys[order], run))]
-        return Level(rows[order][first], keys[order][first], bits[order][first])
-
-    def sharing(self, prefixes: np.ndarray, k: int) -> np.ndarray:
-        """Places of the rows that start with one of some sorted prefixes of k bytes."""
-        own = _strings(self.rows.view(np.uint8).reshape(len(self.rows), -1)[:, :k]) if len(self.rows) else np.zeros(0, dtype=f"S{k}")
+        at, which = _distinct(rows)
+        least, known = np.full(len(at), _LAST), np.zeros(len(at), dtype=np.uint64)
+        np.minimum.at(least, which, keys)
+        use = keys == least[which]
+        np.bitwise_or.at(known, which[use], bits[use])
+        return Level(rows[at], least, known)
+
+    def prefixes(self, k: int) -> np.ndarray:
+        """The first k bytes of the rows."""
+        return _strings(self.rows.view(np.uint8).reshape(-1, self.rows.itemsize)[:, :k])
+
+    def sharing(self, prefixes: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the rows that start with one of some sorted prefixes of k bytes, and how many start with each."""
+        own = self.prefixes(k)
         low, high = np.searchsorted(own, prefixes, side="left"), np.searchsorted(own, prefixes, side="right")
         size = high - low
-        return np.repeat(low - np.cumsum(size) + size, size) + np.arange(size.sum())
+        return np.repeat(low - np.cumsum(size) + size, size) + np.arange(size.sum()), size
 
     def find(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Where rows are, and whether they are."""
+        if rows is self.rows:
+            return np.arange(len(rows)), np.ones(len(rows), dtype=bool)
         at = np.minimum(np.searchsorted(self.rows, rows), max(0, len(self.rows) - 1))
         return at, self.rows[at] == rows if len(self.rows) else np.zeros(len(rows), dtype=bool)
 
@@ -196,7 +251,7 @@ def earlier(rows: np.ndarray, keys: np.ndarray, shape: Shape) -> np.ndarray:
         for start in range(shape.reach):  # the hash rolls along the text; equal hashes are compared by their bytes
             before = last - start
             use = np.flatnonzero((before <= left) & (shape.length - before <= right))
-            use = use[np.argsort(h[use], kind="stable")]
+            use = use[np.argsort(h[use])]
             same = h[use][1:] == h[use][:-1]
             if same.any():
                 use = use[np.append(same, False) | np.append(False, same)]
@@ -220,13 +275,17 @@ class SuffixFamily:
         """Finds the strings that the batch shares with the levels and within itself; then it becomes a level, with which levels of its size or less are merged."""
         if not len(batch.rows):
             return
-        prefixes = np.unique(_strings(batch.rows.view(np.uint8).reshape(len(batch.rows), -1)[:, : self.shape.k]))
-        near = [level.sharing(prefixes, self.shape.k) for level in self.levels]
-        rows = np.concatenate([batch.rows, *(x.rows[at] for x, at in zip(self.levels, near, strict=True))])
-        keys = np.concatenate([batch.keys, *(x.keys[at] for x, at in zip(self.levels, near, strict=True))])
-        bits, done = earlier(rows, keys, self.shape), len(batch.rows)
+        own = batch.prefixes(self.shape.k)
+        first = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
+        size = np.diff(np.append(first, len(own)))
+        near, sizes = zip(*(level.sharing(own[first], self.shape.k) for level in self.levels), strict=True) if self.levels else ((), ())
+        mine = np.flatnonzero(np.repeat(sum(sizes, size) > 1, size))  # a row alone with its anchor shares no string
+        rows = np.concatenate([batch.rows[mine], *(x.rows[at] for x, at in zip(self.levels, near, strict=True))])
+        keys = np.concatenate([batch.keys[mine], *(x.keys[at] for x, at in zip(self.levels, near, strict=True))])
+        bits, done = earlier(rows, keys, self.shape), len(mine)
         self.compared += len(rows)
-        batch = Level(batch.rows, batch.keys, batch.bits | bits[:done])
+        batch = Level(batch.rows, batch.keys, batch.bits.copy())
+        batch.bits[mine] |= bits[:done]
         for level, at in zip(self.levels, near, strict=True):
             level.bits[at] |= bits[done : done + len(at)]
             done += len(at)
@@ -247,6 +306,28 @@ class SuffixFamily:
         return out
 
 
+def found(parts: list[tuple[np.ndarray, np.ndarray]], shape: Shape) -> Iterator[np.ndarray]:
+    """For the rows and keys that each part sent, a bit for each of a row's strings that starts in a document with a key smaller than the row's. Parts are joined to batches of BATCH rows, about."""
+    family, batches, i = SuffixFamily(shape), [], 0
+    ends = np.cumsum([len(k) for _, k in parts])
+    while i < len(parts):
+        j = max(i + 1, int(np.searchsorted(ends, (ends[i - 1] if i else 0) + BATCH, side="right")))
+        rows, keys = (np.concatenate([part[x] for part in parts[i:j]]) for x in (0, 1))
+        sizes = [len(k) for _, k in parts[i:j]]
+        parts[i:j] = [None] * (j - i)  # rows are held once
+        at, which = _distinct(rows)
+        least = np.full(len(at), _LAST)
+        np.minimum.at(least, which, keys)
+        batch = Level(rows[at], least, np.zeros(len(at), dtype=np.uint64))
+        family.add(batch)
+        batches.append((batch, which, keys > least[which], sizes))
+        i = j
+    for batch, which, later, sizes in batches:
+        mine = family.hits(batch.rows, batch.keys)[which]
+        mine[later] = ~np.uint64(0)
+        yield from np.split(mine, np.cumsum(sizes)[:-1])
+
+
 def _pieces(sizes: np.ndarray, length: int) -> Iterator[tuple[int, int, int, int]]:
     """Spans of documents (first, one beyond the last) of about PIECE bytes; a longer document is cut, so that every string lies in one piece. Then the start and end in bytes."""
     ends = np.cumsum(sizes)
@@ -280,23 +361,20 @@ class _Part:
     def __init__(self, packs: pd.DataFrame, shape: Shape):
         self.shape = shape
         self.packs = list(packs.sort_values("seq")["pack"])
-        hashes, keys = [], []
-        for pack in self.packs:
+        #: Of each piece: the pack's number, start and end, the keys of the runs' documents, the runs, and which of the hashes theirs are.
+        self.pieces = []
+        for number, pack in enumerate(self.packs):
             own = unpack(pack)[0]
-            for _, doc, a, _ in _found(pack, shape):
-                # of a document, each hash once
-                h, k = a.hash, own[doc]
-                order = np.lexsort((k, h))
-                h, k = h[order], k[order]
-                new = np.append(True, (h[1:] != h[:-1]) | (k[1:] != k[:-1])) if len(h) else np.zeros(0, dtype=bool)
-                hashes.append(h[new])
-                keys.append(k[new])
-        h, k = (np.concatenate(x) if x else np.zeros(0, dtype=t) for x, t in ((hashes, np.uint64), (keys, np.int64)))
-        order = np.argsort(h, kind="stable")
+            for piece, doc, a, start in _found(pack, shape):
+                self.pieces.append((number, start, start + len(piece), own[doc], Anchors(*(x.astype(np.int32) for x in (a.at, a.first, a.last)), a.hash)))
+        h, k = (np.concatenate([*x, np.zeros(0, dtype=t)]) for x, t in (([p[4].hash for p in self.pieces], np.uint64), ([p[3] for p in self.pieces], np.int64)))
+        order = np.argsort(h)
         h, k = h[order], k[order]
         first = np.flatnonzero(np.append(True, h[1:] != h[:-1])) if len(h) else np.zeros(0, dtype=np.int64)
         self.hashes = h[first]
         self.several = np.maximum.reduceat(k, first) != np.minimum.reduceat(k, first) if len(first) else np.zeros(0, dtype=bool)
+        self.place = np.empty(len(h), dtype=np.int32)
+        self.place[order] = np.repeat(np.arange(len(first), dtype=np.int32), np.diff(np.append(first, len(h))))
 
     def sent(self, shards: int) -> Iterator[tuple[int, bytes, bytes]]:
         """Of each shard: hashes that one document has, and a bit for each that is in several here."""
@@ -304,40 +382,53 @@ class _Part:
             yield s, six(self.hashes[at]), np.packbits(self.several[at]).tobytes()
 
     def shared(self, bits: pd.DataFrame, shards: int) -> np.ndarray:
-        """Hashes that two documents have, sorted."""
+        """For each hash, whether two documents have it."""
         answer = dict(zip(bits["shard"], bits["bits"], strict=True))
-        out = [self.hashes[at[np.unpackbits(np.frombuffer(answer[s], np.uint8), count=len(at)).astype(bool)]] for s, at in by_shard(self.hashes, shards) if s in answer]
-        return np.sort(np.concatenate(out)) if out else np.zeros(0, dtype=np.uint64)
+        out = np.zeros(len(self.hashes), dtype=bool)
+        for s, at in by_shard(self.hashes, shards):
+            if s in answer:
+                out[at] = np.unpackbits(np.frombuffer(answer[s], np.uint8), count=len(at))
+        return out
 
-    def runs(self, shared: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray, Anchors]]:
-        """By piece: the pack's number, rows, keys and hashes of the runs at shared anchors, where their piece starts, the runs."""
-        for number, pack in enumerate(self.packs):
-            own = unpack(pack)[0]
-            for piece, doc, a, start in _found(pack, self.shape):
-                if not len(shared):
-                    continue
-                place = np.minimum(np.searchsorted(shared, a.hash), len(shared) - 1)
-                use = shared[place] == a.hash
-                b = Anchors(a.at[use], a.first[use], a.last[use], a.hash[use])
-                yield number, _strings(suffixes(piece, b, self.shape)), own[doc[use]], b.hash, start, b
-
-    def unique(self, shared: np.ndarray) -> tuple[Level, np.ndarray]:
-        """The runs' rows, each once with the smallest key here, and their hashes."""
-        rows, keys, hashes = [], [], []
-        for _, r, k, h, _, _ in self.runs(shared):
-            order = np.argsort(r, kind="stable")
-            r, k, h = r[order], k[order], h[order]
-            first = np.flatnonzero(np.append(True, r[1:] != r[:-1])) if len(r) else np.zeros(0, dtype=np.int64)
-            rows.append(r[first])
-            keys.append(np.minimum.reduceat(k, first) if len(first) else k[:0])
-            hashes.append(h[first])
-        if not rows:
-            return Level.of(np.zeros(0, dtype=f"S{self.shape.row}"), np.zeros(0, dtype=np.int64)), np.zeros(0, dtype=np.uint64)
-        r, k, h = np.concatenate(rows), np.concatenate(keys), np.concatenate(hashes)
-        order = np.argsort(r, kind="stable")
-        r, k, h = r[order], k[order], h[order]
-        first = np.flatnonzero(np.append(True, r[1:] != r[:-1])) if len(r) else np.zeros(0, dtype=np.int64)
-        return Level(r[first], np.minimum.reduceat(k, first) if len(first) else k, np.zeros(len(first), dtype=np.uint64)), h[first]
+    def unique(self, shared: np.ndarray) -> Unique:
+        """The runs at shared anchors."""
+        rows, keys, hashes, runs, which, done, total = [], [], [], [], [], 0, 0
+        text, of = None, -1
+        for number, start, end, key, a in self.pieces:
+            use = np.flatnonzero(shared[self.place[done : done + len(key)]])
+            done += len(key)
+            if not len(use):
+                continue
+            if of != number:
+                text, of = unpack(self.packs[number])[2], number
+            key, a = key[use], Anchors(a.at[use], a.first[use], a.last[use], a.hash[use])
+            r = _strings(suffixes(text[start:end], a, self.shape))
+            order, first = _alike(r)
+            rows.append(r[order[first]])
+            keys.append(np.minimum.reduceat(key[order], first))
+            hashes.append(a.hash[order[first]])
+            w = np.empty(len(r), dtype=np.int32)
+            w[order] = np.repeat(np.arange(total, total + len(first), dtype=np.int32), np.diff(np.append(first, len(r))))
+            total += len(first)
+            runs.append((number, start, key, a))
+            which.append(w)
+        rows, k, h = (np.concatenate([*x, np.zeros(0, dtype=t)]) for x, t in ((rows, f"S{self.shape.row}"), (keys, np.int64), (hashes, np.uint64)))
+        order, first = _alike(rows)
+        rank = np.empty(len(rows), dtype=np.int32)
+        rank[order] = np.repeat(np.arange(len(first), dtype=np.int32), np.diff(np.append(first, len(rows))))
+        k = np.minimum.reduceat(k[order], first) if len(first) else k
+        return Unique(rows, order[first], k, h[order[first]], [(*x, rank[w]) for x, w in zip(runs, which, strict=True)])
+
+
+@dataclass
+class Unique:
+    """Of a part: where each different row is among rows, its smallest key here and its hash; and by piece the pack's number, where the piece starts, the runs' keys, the runs, and which row each is."""
+
+    rows: np.ndarray
+    at: np.ndarray
+    keys: np.ndarray
+    hashes: np.ndarray
+    runs: list[tuple[int, int, np.ndarray, Anchors, np.ndarray]]
 
 
 def find_repeats(docs: DataFrame, length: int = LENGTH, text: str = "text", key: str = "doc_id", with_text: bool = False) -> DataFrame:
@@ -377,21 +468,17 @@ def find_repeats(docs: DataFrame, length: int = LENGTH, text: str = "text", key:
             out = []
             if len(own) and len(answer):
                 p = _Part(own, shape)
-                level, h = p.unique(p.shared(answer, shards))
-                for s, at in by_shard(h, shards):
-                    out.append((s, int(own["part"].iloc[0]), compress(level.rows[at]), level.keys[at].tobytes()))
+                u = p.unique(p.shared(answer, shards))
+                for s, at in by_shard(u.hashes, shards):
+                    out.append((s, int(own["part"].iloc[0]), compress(u.rows[u.at[at]]), u.keys[at].tobytes()))
             return pd.DataFrame(out, columns=["shard", "part", "rows", "keys"])
 
         def answer_suffixes(sent: pd.DataFrame) -> pd.DataFrame:
             give_back()
             sent = sent.sort_values("part")
-            family = SuffixFamily(shape)
-            batches = [(expand(r, f"S{shape.row}"), np.frombuffer(k, np.int64)) for r, k in zip(sent["rows"], sent["keys"], strict=True)]
-            for r, k in batches:
-                family.add(Level.of(r, k))
             out = []
-            for part, (r, k) in zip(sent["part"], batches, strict=True):
-                if (mine := family.hits(r, k)).any():
+            for part, mine in zip(sent["part"], found([(expand(r, f"S{shape.row}"), np.frombuffer(k, np.int64)) for r, k in zip(sent["rows"], sent["keys"], strict=True)], shape), strict=True):
+                if mine.any():
                     out.append((int(part), int(sent["shard"].iloc[0]), compress(mine)))
             return pd.DataFrame(out, columns=["part", "shard", "masks"])
 
@@ -409,22 +496,21 @@ def find_repeats(docs: DataFrame, length: int = LENGTH, text: str = "text", key:
             p = None
             if len(own) and answer["masks"].notna().any():
                 p = _Part(own, shape)
-                shared = p.shared(answer[answer["bits"].notna()], shards)
-                level, h = p.unique(shared)
-                mask, given = np.zeros(len(level.rows), dtype=np.uint64), dict(zip(answer["shard"][answer["masks"].notna()], answer["masks"][answer["masks"].notna()], strict=True))
-                for s, at in by_shard(h, shards):
+                u = p.unique(p.shared(answer[answer["bits"].notna()], shards))
+                mask, given = np.zeros(len(u.at), dtype=np.uint64), dict(zip(answer["shard"][answer["masks"].notna()], answer["masks"][answer["masks"].notna()], strict=True))
+                for s, at in by_shard(u.hashes, shards):
                     if s in given:
                         mask[at] = expand(given[s], np.uint64)
-                for number, r, k, _, start, a in p.runs(shared):
-                    at = np.searchsorted(level.rows, r)
-                    whole = level.keys[at] < k
-                    for before in range(shape.reach):
-                        use = ((mask[at] >> np.uint64(before)) & np.uint64(1)).astype(bool) & ~whole & (a.at - before >= a.first) & (a.at - before <= a.last)
-                        if use.any():
-                            hit = a.at[use] - before + start
-                            matched.setdefault(number, []).append((hit, hit + shape.length))
-                    if whole.any():
-                        matched.setdefault(number, []).append((a.first[whole] + start, a.last[whole] + start + shape.length))
+                for number, start, key, a, which in u.runs:
+                    every = (np.uint64(2) << (a.at - a.first).astype(np.uint64)) - (np.uint64(1) << (a.at - a.last).astype(np.uint64))
+                    hits = np.where(u.keys[which] < key, every, mask[which] & every)
+                    whole, some = hits == every, np.flatnonzero((hits != every) & (hits != 0))
+                    spans = matched.setdefault(number, [])
+                    spans.append((a.first[whole] + start, a.last[whole] + start + shape.length))
+                    for before in range(shape.reach if len(some) else 0):
+                        first = a.at[some[(hits[some] >> np.uint64(before)) & np.uint64(1) > 0]] - before + start
+                        spans.append((first, first + shape.length))
+                u = None
             for number, pack in enumerate(p.packs if p else own.sort_values("seq")["pack"]):
                 keys, sizes, text = unpack(pack)
                 gone = np.zeros(len(text) + 1, dtype=np.int32)
@@ -432,10 +518,10 @@ def find_repeats(docs: DataFrame, length: int = LENGTH, text: str = "text", key:
                     np.add.at(gone, first, 1)
                     np.add.at(gone, end, -1)
                 gone = np.cumsum(gone[:-1]) > 0
-                starts = np.cumsum(sizes) - sizes
+                starts, none = np.cumsum(sizes) - sizes, np.zeros(0, dtype=np.int64)
                 for k, a, n in zip(keys.tolist(), starts.tolist(), sizes.tolist(), strict=True):
                     g = gone[a : a + n]
-                    edge = np.flatnonzero(np.diff(np.concatenate(([0], g.view(np.int8), [0]))))
+                    edge = np.flatnonzero(np.diff(np.concatenate(([0], g.view(np.int8), [0])))) if g.any() else none
                     kept = text[a : a + n][~g].tobytes() if len(edge) else text[a : a + n].tobytes()
                     row = (None if k == _LAST else k, n, n - len(kept), edge[::2].tolist(), edge[1::2].tolist(), hashlib.sha256(kept).hexdigest())
                     out.append((*row, kept.decode("utf-8", "ignore")) if with_text else row)

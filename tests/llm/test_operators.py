@@ -338,6 +338,51 @@ def test_suffix_family():
                 assert bool(int(bits) >> o & 1) == (first[o, x] < key)
 
 
+@pytest.mark.parametrize("size", [1 << 18, 1000])
+def test_suffix_parts_are_compared_by_batches(monkeypatch, size):
+    """Many parts with different text around one line: batches are made by rows, not by parts, and each part gets its own answer."""
+    import numpy as np
+
+    shape, rnd, added = suffix_dedup.Shape(50), np.random.default_rng(6), []
+    monkeypatch.setattr(suffix_dedup, "BATCH", size)
+    add = suffix_dedup.SuffixFamily.add
+    monkeypatch.setattr(suffix_dedup.SuffixFamily, "add", lambda self, batch: (added.append(self), add(self, batch)))
+    line, parts = rnd.integers(97, 123, shape.row).astype(np.uint8), []
+    for _ in range(300):
+        rows = np.tile(line, (20, 1))
+        rows[:, 40:45] = rnd.integers(97, 99, (20, 5))
+        rows[:, 60] = rnd.integers(97, 123, 20)
+        rows[:, -2], rows[:, -1] = 50, shape.reach
+        rows = np.unique(suffix_dedup._strings(rows))
+        parts.append((rows, rnd.permutation(10_000)[: len(rows)]))
+    total = sum(len(keys) for _, keys in parts)
+
+    def strings(row):
+        text = row[shape.length : shape.length + shape.reach - 1][::-1] + row[: shape.length]
+        return [(o, text[shape.reach - 1 - o :][: shape.length]) for o in range(shape.reach)]
+
+    first = {}
+    for rows, keys in parts:
+        for row, key in zip(rows.tolist(), keys.tolist(), strict=True):
+            for x in strings(row):
+                first[x] = min(first.get(x, key), key)
+    want = [[sum((first[x] < key) << x[0] for x in strings(row)) for row, key in zip(rows.tolist(), keys.tolist(), strict=True)] for rows, keys in parts]
+    assert [(x & np.uint64((1 << shape.reach) - 1)).tolist() for x in suffix_dedup.found(list(parts), shape)] == want
+    assert len(added) <= 1 + 2 * total // size and added[0].compared < 2 * total  # a batch a part would be 300, with far more comparisons
+
+
+def test_suffix_rows_of_one_hash(monkeypatch):
+    """Rows of equal hashes are told apart by their bytes."""
+    import numpy as np
+
+    rows = np.array([b"%08d" % x * 3 for x in (5, 3, 5, 4, 3, 11)])
+    want = suffix_dedup._distinct(rows)
+    assert rows[want[0]].tolist() == sorted(set(rows.tolist())) and (rows[want[0]][want[1]] == rows).all()
+    monkeypatch.setattr(suffix_dedup, "_mix", lambda h: h * np.uint64(0))
+    got = suffix_dedup._distinct(rows)
+    assert (rows[got[0]] == rows[want[0]]).all() and (got[1] == want[1]).all()
+
+
 # 5
 
 
