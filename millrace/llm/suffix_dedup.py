@@ -159,7 +159,7 @@ def _alike(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     order = np.argsort(h)
     new = np.append(True, h[order][1:] != h[order][:-1])
     same = np.flatnonzero(~new)
-    if (rows[order[same]] != rows[order[same - 1]]).any():
+    if any((rows[order[x]] != rows[order[x - 1]]).any() for x in np.split(same, range(1 << 16, len(same), 1 << 16))):
         order = np.argsort(rows, kind="stable")
         new[1:] = rows[order][1:] != rows[order][:-1]
     return order, np.flatnonzero(new)
@@ -361,18 +361,25 @@ class _Part:
     def __init__(self, packs: pd.DataFrame, shape: Shape):
         self.shape = shape
         self.packs = list(packs.sort_values("seq")["pack"])
-        #: Of each piece: the pack's number, start and end, the keys of the runs' documents, the runs, and which of the hashes theirs are.
-        self.pieces = []
+        docs = [unpack(pack)[0].copy() for pack in self.packs]
+        self.keys, rank = np.unique(np.concatenate([*docs, np.zeros(0, dtype=np.int64)]), return_inverse=True)
+        #: Of each piece: the pack's number, start, end; of its runs where the anchor is, how far before it the last and the first string start, and which of the keys theirs are.
+        self.pieces, hashes, done = [], [], 0
         for number, pack in enumerate(self.packs):
-            own = unpack(pack)[0]
+            own = rank[done : done + len(docs[number])].astype(np.int32)
+            done += len(own)
             for piece, doc, a, start in _found(pack, shape):
-                self.pieces.append((number, start, start + len(piece), own[doc], Anchors(*(x.astype(np.int32) for x in (a.at, a.first, a.last)), a.hash)))
-        h, k = (np.concatenate([*x, np.zeros(0, dtype=t)]) for x, t in (([p[4].hash for p in self.pieces], np.uint64), ([p[3] for p in self.pieces], np.int64)))
+                self.pieces.append((number, start, start + len(piece), a.at.astype(np.int32), (a.at - a.last).astype(np.uint8), (a.at - a.first).astype(np.uint8), own[doc]))
+                hashes.append(a.hash)
+        h = np.concatenate([*hashes, np.zeros(0, dtype=np.uint64)])
+        k = np.concatenate([*(p[-1] for p in self.pieces), np.zeros(0, dtype=np.int32)])
+        hashes = None
         order = np.argsort(h)
         h, k = h[order], k[order]
         first = np.flatnonzero(np.append(True, h[1:] != h[:-1])) if len(h) else np.zeros(0, dtype=np.int64)
         self.hashes = h[first]
         self.several = np.maximum.reduceat(k, first) != np.minimum.reduceat(k, first) if len(first) else np.zeros(0, dtype=bool)
+        #: Which of the hashes each run has.
         self.place = np.empty(len(h), dtype=np.int32)
         self.place[order] = np.repeat(np.arange(len(first), dtype=np.int32), np.diff(np.append(first, len(h))))
 
@@ -391,44 +398,49 @@ class _Part:
         return out
 
     def unique(self, shared: np.ndarray) -> Unique:
-        """The runs at shared anchors."""
-        rows, keys, hashes, runs, which, done, total = [], [], [], [], [], 0, 0
+        """The runs at shared anchors; the others are forgotten."""
+        used = shared[self.place]
+        rows = np.empty(np.count_nonzero(used), dtype=f"S{self.shape.row}")  # as many as there are runs, if no row is repeated in its piece
+        keys, places, runs, which, done, total = [], [], [], [], 0, 0
         text, of = None, -1
-        for number, start, end, key, a in self.pieces:
-            use = np.flatnonzero(shared[self.place[done : done + len(key)]])
-            done += len(key)
+        while self.pieces:
+            number, start, end, at, low, high, key = self.pieces.pop(0)
+            use = np.flatnonzero(used[done : done + len(at)])
+            place = self.place[done : done + len(at)][use]
+            done += len(at)
             if not len(use):
                 continue
             if of != number:
                 text, of = unpack(self.packs[number])[2], number
-            key, a = key[use], Anchors(a.at[use], a.first[use], a.last[use], a.hash[use])
-            r = _strings(suffixes(text[start:end], a, self.shape))
+            at, low, high, key = at[use], low[use], high[use], key[use]
+            r = _strings(suffixes(text[start:end], Anchors(at, at - high, at - low, place), self.shape))
             order, first = _alike(r)
-            rows.append(r[order[first]])
+            rows[total : total + len(first)] = r[order[first]]
             keys.append(np.minimum.reduceat(key[order], first))
-            hashes.append(a.hash[order[first]])
+            places.append(place[order[first]])
             w = np.empty(len(r), dtype=np.int32)
             w[order] = np.repeat(np.arange(total, total + len(first), dtype=np.int32), np.diff(np.append(first, len(r))))
             total += len(first)
-            runs.append((number, start, key, a))
+            runs.append((number, start, at, low, high, key))
             which.append(w)
-        rows, k, h = (np.concatenate([*x, np.zeros(0, dtype=t)]) for x, t in ((rows, f"S{self.shape.row}"), (keys, np.int64), (hashes, np.uint64)))
+        rows = rows[:total]
+        k, place = (np.concatenate([*x, np.zeros(0, dtype=np.int32)]) for x in (keys, places))
         order, first = _alike(rows)
-        rank = np.empty(len(rows), dtype=np.int32)
-        rank[order] = np.repeat(np.arange(len(first), dtype=np.int32), np.diff(np.append(first, len(rows))))
-        k = np.minimum.reduceat(k[order], first) if len(first) else k
-        return Unique(rows, order[first], k, h[order[first]], [(*x, rank[w]) for x, w in zip(runs, which, strict=True)])
+        rank = np.empty(total, dtype=np.int32)
+        rank[order] = np.repeat(np.arange(len(first), dtype=np.int32), np.diff(np.append(first, total)))
+        k = np.minimum.reduceat(k[order], first) if total else k
+        return Unique(rows, order[first], self.keys[k], self.hashes[place[order[first]]], [(*x[:5], self.keys[x[5]], rank[w]) for x, w in zip(runs, which, strict=True)])
 
 
 @dataclass
 class Unique:
-    """Of a part: where each different row is among rows, its smallest key here and its hash; and by piece the pack's number, where the piece starts, the runs' keys, the runs, and which row each is."""
+    """Of a part: where each different row is among rows, its smallest key here and its hash; and of each piece the pack's number, its start, where the runs' anchors are, how far before them the last and the first string start, the runs' keys, and which row each is."""
 
     rows: np.ndarray
     at: np.ndarray
     keys: np.ndarray
     hashes: np.ndarray
-    runs: list[tuple[int, int, np.ndarray, Anchors, np.ndarray]]
+    runs: list[tuple[int, int, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]
 
 
 def find_repeats(docs: DataFrame, length: int = LENGTH, text: str = "text", key: str = "doc_id", with_text: bool = False) -> DataFrame:
@@ -501,16 +513,17 @@ def find_repeats(docs: DataFrame, length: int = LENGTH, text: str = "text", key:
                 for s, at in by_shard(u.hashes, shards):
                     if s in given:
                         mask[at] = expand(given[s], np.uint64)
-                for number, start, key, a, which in u.runs:
-                    every = (np.uint64(2) << (a.at - a.first).astype(np.uint64)) - (np.uint64(1) << (a.at - a.last).astype(np.uint64))
+                u.rows = None
+                while u.runs:
+                    number, start, at, low, high, key, which = u.runs.pop(0)
+                    every = (np.uint64(2) << high.astype(np.uint64)) - (np.uint64(1) << low.astype(np.uint64))
                     hits = np.where(u.keys[which] < key, every, mask[which] & every)
                     whole, some = hits == every, np.flatnonzero((hits != every) & (hits != 0))
                     spans = matched.setdefault(number, [])
-                    spans.append((a.first[whole] + start, a.last[whole] + start + shape.length))
+                    spans.append((at[whole] - high[whole] + start, at[whole] - low[whole] + start + shape.length))
                     for before in range(shape.reach if len(some) else 0):
-                        first = a.at[some[(hits[some] >> np.uint64(before)) & np.uint64(1) > 0]] - before + start
+                        first = at[some[(hits[some] >> np.uint64(before)) & np.uint64(1) > 0]] - before + start
                         spans.append((first, first + shape.length))
-                u = None
             for number, pack in enumerate(p.packs if p else own.sort_values("seq")["pack"]):
                 keys, sizes, text = unpack(pack)
                 gone = np.zeros(len(text) + 1, dtype=np.int32)
