@@ -7,10 +7,11 @@ The index is a family of sparse suffix arrays. Of every string of `length` bytes
 hash is its anchor, wherever the string stands, so equal strings share their anchor. Suffixes are indexed at
 anchors only, each with the bytes of all strings that chose the anchor. They are dealt to shards by the
 anchor's hash. In a shard, the family has logarithmically many levels, each a sorted suffix array: a new batch
-gets a suffix array, it is scanned against every level for strings that they share (a binary search finds the
-suffixes of a level whose anchor the batch has; only these are compared), both sides keep which of their strings
-start in a smaller document, and then levels of about the batch's size are merged with it. So each suffix is
-compared when it comes, and after that only with those that share its anchor.
+(the rows of several parts, by their number) gets a suffix array, it is scanned against every level for strings
+that they share (a binary search finds the suffixes of a level whose anchor the batch has; only these are
+compared), both sides keep which of their strings start in a smaller document, and then levels of about the
+batch's size are merged with it. So each suffix is compared when it comes, and after that only with those that
+share its anchor.
 
 Steps, over parts of the corpus that are packed once into a bucketed table and never shuffled again:
 1. each part sends the hashes of its anchors, and the shards answer, a bit each, which occur in two documents;
